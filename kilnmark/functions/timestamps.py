@@ -22,9 +22,8 @@ def instant(text) -> Column:
 
 
 def local_time(text) -> Column:
-    """Date and time as written, offset cut off -> TIMESTAMP_NTZ; NULL if malformed."""
-    written = F.regexp_replace(F.trim(_col(text)), r"(Z|[+-]\d{2}:?\d{2})$", "")
-    return written.try_cast("timestamp_ntz")
+    """Date and time as written, whatever the offset -> TIMESTAMP_NTZ; NULL if malformed."""
+    return F.trim(_col(text)).try_cast("timestamp_ntz")
 
 
 def day_text(column) -> Column:

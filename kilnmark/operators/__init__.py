@@ -9,6 +9,6 @@ from kilnmark.operators.running import (
     running_averages_of_readings,
     running_table,
 )
-from kilnmark.operators.segments import first_marker_day, segment_averages, segment_table
+from kilnmark.operators.segments import first_marker_day, interval, markers, segment_averages, segment_table
 
 __all__ = [name for name in dir() if not name.startswith("_")]

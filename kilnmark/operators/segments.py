@@ -119,10 +119,21 @@ def segment_averages(
     return parts.select(*keys, "start_ts", "end_ts", marker, "n_rows", *averages)
 
 
+def markers(rows: DataFrame, marker: str = LAB) -> DataFrame:
+    """The rows that carry a lab value."""
+    return rows.where(F.col(marker).isNotNull())
+
+
+def interval(rows: DataFrame, after, until, ts: str = "ts") -> DataFrame:
+    """Rows with ``after`` < ts <= ``until``; the comparison reaches the scan."""
+    kind = rows.schema[ts].dataType
+    return rows.where((F.col(ts) > F.lit(after).cast(kind)) & (F.col(ts) <= F.lit(until).cast(kind)))
+
+
 def first_marker_day(rows: DataFrame, by=DEVICE, within=("archive_day",), ts="ts", marker=LAB) -> DataFrame:
     """Day of the first marker of every archive unit: the date part of its keys."""
     keys = [*by, *within]
-    return (rows.where(F.col(marker).isNotNull()).groupBy(*keys)
+    return (markers(rows, marker).groupBy(*keys)
             .agg(F.to_date(F.min(ts)).alias("key_day")))
 
 

@@ -25,10 +25,14 @@ def device_columns() -> list[Column]:
     return [zero_pad(F.col("user_id") % 3 + 1).alias("factory_id"), zero_pad("user_id").alias("oven_id")]
 
 
-def readings(events: DataFrame) -> DataFrame:
-    """Sensor readings, long: ``(device, ts, seq, meter, value)``."""
-    return events.where(F.col("event_type") != LAB_TYPE).select(
-        *device_columns(), "ts", F.col("event_id").alias("seq"), F.col("event_type").alias("meter"), "value")
+def readings(events: DataFrame, with_lab: bool = False) -> DataFrame:
+    """Readings, long: ``(device, ts, seq, meter, value)``; lab values too if asked, as one more meter."""
+    meter = F.col("event_type")
+    if with_lab:
+        meter = F.when(meter == LAB_TYPE, LAB).otherwise(meter)
+    else:
+        events = events.where(meter != LAB_TYPE)
+    return events.select(*device_columns(), "ts", F.col("event_id").alias("seq"), meter.alias("meter"), "value")
 
 
 def lab_events(events: DataFrame) -> DataFrame:

@@ -44,8 +44,9 @@ def parse_messages(messages: DataFrame, schema: T.StructType, text: str = "value
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD,
                "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
     parsed = F.from_csv(F.trim(F.regexp_replace(text, r"[\r\n]+$", "")), _ddl(spec), options)
-    return messages.select(*keep, F.col(text).alias("__text"), parsed.alias("__m")).select(
-        *keep, "__m.*", "__text")
+    # ``inline`` of the one record keeps later filters above the parser. A plain
+    # struct would be parsed again for every column a filter mentions.
+    return messages.select(*keep, F.col(text).alias("__text"), F.inline(F.array(parsed)))
 
 
 def _ddl(schema: T.StructType) -> str:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kilnmark.schemas import DEFAULT_FACTORY, DEFAULT_OVEN
+
 
 def file_feed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
               glob: str | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
@@ -22,17 +24,32 @@ def file_feed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "
     return reader.options(**(options or {})).load(path)
 
 
-def topic_feed(spark: SparkSession, servers: str, topic: str, from_start: bool = False,
-               options: Mapping[str, str] | None = None) -> DataFrame:
-    """Text messages of a topic, from its latest offset or replayed from the start; keys are ignored.
+def topic_messages(spark: SparkSession, servers: str, topic: str, from_start: bool = False,
+                   options: Mapping[str, str] | None = None) -> DataFrame:
+    """``(value, seq, ingest_ts)`` of a topic, from its latest offset or replayed from the start.
 
-    Needs Spark's Kafka module on the class path. Offsets live in the query's checkpoint.
+    Message keys are ignored; ``seq`` is the offset, so the order of writes of
+    one device is that of its partition. Needs Spark's Kafka module on the class
+    path. The position is kept in the query's checkpoint.
     """
     return (spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
             .option("startingOffsets", "earliest" if from_start else "latest")
             .options(**(options or {})).load()
-            .select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("ingest_ts")))
+            .select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"),
+                    F.col("timestamp").alias("ingest_ts")))
+
+
+def file_messages(spark: SparkSession, path: str, options: Mapping[str, str] | None = None) -> DataFrame:
+    """``(value, seq, ingest_ts)`` of text files with one message per line; ``seq`` follows the files' times."""
+    arrived = F.col("_metadata.file_modification_time")
+    return (spark.readStream.format("text").options(**(options or {})).load(path)
+            .select("value", F.unix_micros(arrived).alias("seq"), arrived.alias("ingest_ts")))
+
+
+def with_device(messages: DataFrame, factory: str = DEFAULT_FACTORY, oven: str = DEFAULT_OVEN) -> DataFrame:
+    """Device columns for feeds whose messages do not name their device."""
+    return messages.select(F.lit(factory).alias("factory_id"), F.lit(oven).alias("oven_id"), "*")
 
 
 def with_event_time(rows: DataFrame, ts: str = "ts", delay: str = "1 hour") -> DataFrame:

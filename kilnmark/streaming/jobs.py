@@ -6,26 +6,30 @@ specific to streams is the watermark, the output mode and the sink.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from kilnmark.operators.latest import current_row
 from kilnmark.operators.merge import both_feeds, merge_events
+from kilnmark.operators.reshape import rows_to_meters
 from kilnmark.operators.running import (
     SIZE,
     SLIDE,
     average_messages,
+    keyed_running_table,
     running_averages,
     running_averages_of_readings,
     running_table,
 )
-from kilnmark.schemas import DEVICE, LAB, METERS
-from kilnmark.sources.tables import BATCH, append_batch
-from kilnmark.streaming.feeds import with_event_time
+from kilnmark.schemas import DEVICE, LAB, METERS, STATUS
+from kilnmark.sources.messages import read_lab, read_sensor
+from kilnmark.sources.tables import BATCH, CELL_PARTS, append_batch, both_kinds, cells, read_newest
+from kilnmark.streaming.feeds import with_device, with_event_time
 
 DELAY = "1 hour"
 
@@ -133,3 +137,46 @@ def finish(query: StreamingQuery, timeout: int = 3600) -> None:
 def rows_per_batch(query: StreamingQuery) -> list[tuple[int, int]]:
     """(batch, input rows) of the recent progress reports."""
     return [(p["batchId"], p["numInputRows"]) for p in query.recentProgress]
+
+
+# --- all branches ----------------------------------------------------------
+
+def start_all(sensor_messages: DataFrame, lab_messages: DataFrame, tables_path: str,
+              publish: Callable[[DataFrame, int], None], checkpoint: str, delay: str = DELAY, size: str = SIZE,
+              slide: str = SLIDE, trigger: dict | None = None) -> list[StreamingQuery]:
+    """Message feeds -> archive, current-condition cells, running averages with messages, dead letters.
+
+    Each branch is a query with its own checkpoint, so one that fails or falls
+    behind does not hold up the others. Times are the wall clock of the data.
+    """
+    keep = (*DEVICE, "seq")
+    sensor, bad_sensor = read_sensor(with_device(sensor_messages), keep=keep)
+    lab, bad_lab = read_lab(with_device(lab_messages), keep=keep)
+    sensor = sensor.drop("ts", "datetime").withColumnRenamed("ts_local", "ts")
+    lab = lab.drop("ts", "datetime").withColumnRenamed("ts_local", "ts")
+
+    cell_rows = cells(both_kinds(sensor, lab))
+    merged = merge_stream(sensor, lab, [STATUS, *METERS], delay=delay)
+    averages = running_stream(sensor, size=size, slide=slide, delay=delay)
+    dead = bad_sensor.unionByName(bad_lab)
+    return [
+        start_archive(merged, f"{tables_path}/archive", f"{checkpoint}/archive", trigger=trigger),
+        start_upserts(cell_rows, table_sink(f"{tables_path}/cells", CELL_PARTS), f"{checkpoint}/cells", "append",
+                      trigger),
+        start_upserts(averages, averages_sink(f"{tables_path}/running", publish), f"{checkpoint}/running", "update",
+                      trigger),
+        start_upserts(dead, table_sink(f"{tables_path}/dead_letters", ()), f"{checkpoint}/dead", "append", trigger),
+    ]
+
+
+def read_running_table(spark: SparkSession, path: str, meters: Sequence[str] = METERS,
+                       first: dt.date | None = None) -> DataFrame:
+    """The stored running averages: newest value per window and meter, one column per meter, keyed.
+
+    ``first`` is the earliest day to read; older partitions are skipped.
+    """
+    days = None if first is None else F.col("day") >= F.lit(first)
+    newest = read_newest(spark, path, [*DEVICE, "day", "window_end", "meter"], ["avg"], BATCH, days)
+    newest = newest.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+    wide = rows_to_meters(newest.withColumnRenamed("avg", "value"), meters, [*DEVICE, "window_end"], F.max)
+    return keyed_running_table(wide, meters)

@@ -132,6 +132,12 @@ ORACLE = {
     "segment_shifted_archives": SHIFTED,
     "segment_all_files": SEGMENTS + f" SELECT {SEGMENT_COLUMNS} FROM segments",
     "many_ovens": MANY_OVENS,
+    "lab_markers": f"""WITH {EV}
+        SELECT factory_id, oven_id, ts, event_id AS seq, "productHumidity" FROM ev WHERE event_type = 'purchase'""",
+    "interval_rows": """
+        SELECT event_id, date_trunc('hour', ts) AS ts, value FROM events
+        WHERE date_trunc('hour', ts) > TIMESTAMP '2024-01-10 06:00:00'
+          AND date_trunc('hour', ts) <= TIMESTAMP '2024-01-12 18:00:00'""",
     "raw_clean_sorted": f"""WITH {EV}
         SELECT datetime, ts, "productHumidity", CAST(event_id % 2 AS VARCHAR) AS "processIsOn", {EXPORT},
                rank() OVER (ORDER BY ts) AS position FROM ev""",
@@ -292,5 +298,6 @@ ORACLE = {
         SELECT factory_id, oven_id, event_type AS meter, max(ts) AS ts, arg_max(value, ts) AS value,
                arg_max(event_id, ts) AS seq
         FROM sensor GROUP BY factory_id, oven_id, event_type""",
+    "stream_cells": CELLS + " SELECT factory_id, oven_id, archive_day, meter, minute_ts, value FROM cells",
     "stream_late_update": WIDE + f" SELECT factory_id, oven_id, window_start, window_end, {WIDE6} FROM wide",
 }

@@ -24,7 +24,9 @@ from kilnmark.operators import (
     duplicate_summary,
     hour_map,
     hour_row,
+    interval,
     keyed_running_table,
+    markers,
     merge_sensor_lab,
     rows_to_meters,
     running_averages,
@@ -77,9 +79,8 @@ def _sensor_wide(events: DataFrame) -> DataFrame:
 
 
 def _all_readings(events: DataFrame) -> DataFrame:
-    """Sensor readings and lab values as one long feed."""
-    lab = feeds.lab_events(events).select(*DEVICE, "ts", "seq", F.lit(LAB).alias("meter"), F.col(LAB).alias("value"))
-    return feeds.readings(events).unionByName(lab)
+    """Sensor readings and lab values as one long feed, from one scan."""
+    return feeds.readings(events, with_lab=True)
 
 
 def _segment_frame(events: DataFrame, within=("archive_day",)) -> DataFrame:
@@ -277,6 +278,18 @@ def many_ovens(spark, sf_dir):
         F.round(F.avg("avg_click"), 6).alias("mean_click"))
 
 
+def lab_markers(spark, sf_dir):
+    """The rows that end a segment."""
+    return markers(feeds.archive_rows(_events(spark, sf_dir))).select(*DEVICE, "ts", "seq", LAB)
+
+
+def interval_rows(spark, sf_dir):
+    """Rows after one moment, up to and including another."""
+    events = _events(spark, sf_dir).withColumn("ts", _hour())
+    rows = interval(events, dt.datetime(2024, 1, 10, 6), dt.datetime(2024, 1, 12, 18))
+    return rows.select("event_id", "ts", "value")
+
+
 # --- running averages ------------------------------------------------------
 
 def _running(spark, sf_dir, **window):
@@ -511,6 +524,16 @@ def stream_current(spark, sf_dir):
     return tables.read_newest(spark, table, by, ["ts", "value", "seq"], tables.BATCH)
 
 
+def stream_cells(spark, sf_dir):
+    """Every reading stored in its minute cell by a stream; the newest write wins."""
+    table = fresh_dir(spark, "cells")
+    cells = tables.cells(feeds.readings(_event_stream(spark, sf_dir), with_lab=True))
+    sink = jobs.table_sink(table, tables.CELL_PARTS)
+    jobs.finish(jobs.start_upserts(cells, sink, fresh_dir(spark, "checkpoint"), mode="append"))
+    newest = tables.read_newest(spark, table, tables.CELL_KEYS, ["value"], "seq")
+    return newest.select(*tables.CELL_KEYS, "value")
+
+
 def stream_late_update(spark, sf_dir):
     """Purchases, errors and views arrive first, the rest a restart later; earlier averages are updated."""
     source, table, checkpoint = (fresh_dir(spark, n) for n in ("late-source", "averages", "checkpoint"))
@@ -533,6 +556,8 @@ QUERIES = {
     "segment_shifted_archives": segment_shifted_archives,
     "segment_all_files": segment_all_files,
     "many_ovens": many_ovens,
+    "lab_markers": lab_markers,
+    "interval_rows": interval_rows,
     "raw_clean_sorted": raw_clean_sorted,
     "chronological_export": chronological_export,
     "split_sensor_lab": split_sensor_lab,
@@ -578,5 +603,6 @@ QUERIES = {
     "stream_archive": stream_archive,
     "stream_segments": stream_segments,
     "stream_current": stream_current,
+    "stream_cells": stream_cells,
     "stream_late_update": stream_late_update,
 }
