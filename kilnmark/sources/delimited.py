@@ -2,29 +2,43 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kilnmark.functions.timestamps import instant, local_time
+from kilnmark.functions.values import empty_to_null
 from kilnmark.operators.ordering import chronological
-from kilnmark.schemas import RAW
+from kilnmark.schemas import RAW, check_readable
 
 CORRUPT = "_corrupt_record"
 
 
 def read_raw(spark: SparkSession, path: str, sep: str = ";", schema: T.StructType = RAW,
              partitions: int | None = None) -> DataFrame:
-    """Rows of an export with a header; lines that do not fit keep their text in ``_corrupt_record``.
+    """Typed rows of an export with a header; ``_corrupt_record`` has the text of lines that do not fit.
 
-    A gzip file cannot be split: give ``partitions`` to spread its rows after the read.
+    Cells are read as text and cast here, so that a line is judged by all its
+    columns even when a query asks for few of them. A gzip file cannot be
+    split: give ``partitions`` to spread its rows after the read.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    rows = (spark.read.schema(with_corrupt)
-            .option("sep", sep).option("header", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False)
-            .csv(path))
-    return rows.repartition(partitions) if partitions else rows
+    check_readable(schema)
+    text = T.StructType([T.StructField(name, T.StringType(), True) for name in [*schema.names, CORRUPT]])
+    lines = (spark.read.schema(text)
+             .option("sep", sep).option("header", True).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False)
+             .csv(path))
+    if partitions:
+        lines = lines.repartition(partitions)
+    cells = {f.name: empty_to_null(f.name) for f in schema.fields}
+    typed = {f.name: cells[f.name].try_cast(f.dataType) for f in schema.fields}
+    bad = reduce(or_, [cells[name].isNotNull() & typed[name].isNull() for name in schema.names])
+    whole = F.concat_ws(sep, *[F.coalesce(F.col(name), F.lit("")) for name in schema.names])
+    return lines.select(*[typed[name].alias(name) for name in schema.names],
+                        F.when(F.col(CORRUPT).isNotNull(), F.col(CORRUPT)).when(bad, whole).alias(CORRUPT))
 
 
 def with_times(rows: DataFrame, text: str = "datetime") -> DataFrame:
