@@ -10,7 +10,7 @@ import sys
 if __package__ in (None, ""):  # started as a script by spark-submit
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from kilnmark.functions import minutes_before  # noqa: E402
+from kilnmark.functions import minutes_before, parse_day  # noqa: E402
 from kilnmark.plans import batch, serving  # noqa: E402
 from kilnmark.schemas import RAW  # noqa: E402
 from kilnmark.session import build_session  # noqa: E402
@@ -53,6 +53,10 @@ def daily(spark, args):
     batch.run_daily(spark, args.archive, args.table, args.first, args.stop, args.format)
 
 
+def files(spark, args):
+    batch.run_files(spark, args.archive, args.table, args.run_number, args.format)
+
+
 def past(spark, args):
     now = args.now or dt.datetime.now()
     table = jobs.read_running_table(spark, args.table, first=minutes_before(now, args.minutes).date())
@@ -61,8 +65,9 @@ def past(spark, args):
 
 
 def week(spark, args):
-    answer = serving.batch_week(tables.read_table(spark, args.table), args.date)
-    serving.in_key_order(answer).show(args.rows, truncate=False)
+    stop = parse_day(args.date)
+    table = batch.read_segments(spark, args.table, first=stop - dt.timedelta(days=7), stop=stop)
+    serving.in_key_order(serving.batch_week(table, args.date)).show(args.rows, truncate=False)
 
 
 def look(spark, args):
@@ -95,6 +100,8 @@ def parser() -> argparse.ArgumentParser:
             ("--size", {"default": jobs.SIZE}), ("--slide", {"default": jobs.SLIDE}))
     command(daily, "archive days -> segment table", ("--archive", need), ("--table", need),
             ("--first", day), ("--stop", day), ("--format", {"default": "parquet"}))
+    command(files, "archive record files, each on its own -> segment table", ("--archive", need), ("--table", need),
+            ("--run-number", {"type": int, "required": True}), ("--format", {"default": "parquet"}))
     command(past, "running averages of the last minutes", ("--table", need),
             ("--now", {"type": dt.datetime.fromisoformat, "default": None}),
             ("--minutes", {"type": int, "default": serving.DAY_MINUTES}), rows)

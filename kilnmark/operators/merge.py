@@ -18,9 +18,10 @@ def both_feeds(
     ts: str = "ts",
     order: str = "seq",
     marker: str = LAB,
+    shared: Sequence[str] = (),
 ) -> DataFrame:
     """Sensor and lab events in one frame; the columns of the other side are NULL."""
-    keys = [*by, ts]
+    keys = [*by, ts, *shared]
     return (sensor.select(*keys, *values, order)
             .unionByName(lab.select(*keys, marker), allowMissingColumns=True))
 
@@ -32,8 +33,9 @@ def merge_events(
     ts: str = "ts",
     order: str = "seq",
     marker: str = LAB,
+    shared: Sequence[str] = (),
 ) -> DataFrame:
-    """``(by, ts, marker, values…)``: one row per device and timestamp.
+    """``(by, ts, shared…, marker, values…)``: one row per device and timestamp.
 
     Several sensor rows at one timestamp: the one with the largest ``order``
     wins as a whole. Several lab rows: the largest value wins. A side without
@@ -41,10 +43,12 @@ def merge_events(
     very many copies costs no more than any other, and the same expression
     runs on batch frames and on streams.
 
-    ``values`` and ``order`` should be fixed-width (numbers, booleans, times):
-    they then stay in hash aggregation.
+    ``shared`` columns are on both sides and go with the timestamp, such as its
+    wall clock. ``values`` and ``order`` should be fixed-width (numbers,
+    booleans, times): they then stay in hash aggregation.
     """
     return events.groupBy(*by, ts).agg(
+        *[F.max(s).alias(s) for s in shared],
         F.max(marker).alias(marker), *[F.max_by(v, order).alias(v) for v in values])
 
 
@@ -56,9 +60,11 @@ def merge_sensor_lab(
     ts: str = "ts",
     order: str = "seq",
     marker: str = LAB,
+    shared: Sequence[str] = (),
 ) -> DataFrame:
     """Full outer join of the two feeds on device and timestamp, as one grouped union."""
-    return merge_events(both_feeds(sensor, lab, values, by, ts, order, marker), values, by, ts, order, marker)
+    both = both_feeds(sensor, lab, values, by, ts, order, marker, shared)
+    return merge_events(both, values, by, ts, order, marker, shared)
 
 
 def duplicate_summary(

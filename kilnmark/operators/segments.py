@@ -37,10 +37,13 @@ _DAY = "__day"
 _FROM = "__from_lane"
 
 
-def _fold(meters: Sequence[str], marker: str) -> list[Column]:
+def _fold(meters: Sequence[str], marker: str, has_local: bool) -> list[Column]:
     """Aggregates that merge partial records into larger partial records."""
     folds = [F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"),
              F.max(marker).alias(marker), F.sum("n_rows").alias("n_rows")]
+    if has_local:
+        folds += [F.min_by("start_local", "start_ts").alias("start_local"),
+                  F.max_by("end_local", "end_ts").alias("end_local")]
     for i, _ in enumerate(meters):
         folds += [F.sum(f"__sum{i}").alias(f"__sum{i}"), F.sum(f"__n{i}").alias(f"__n{i}")]
     return folds
@@ -81,33 +84,41 @@ def segment_averages(
     marker: str = LAB,
     slice_width: str = "15 minutes",
     one_row_per_ts: bool = False,
+    local: str | None = None,
 ) -> DataFrame:
     """``(by, within, start_ts, end_ts, marker, n_rows, avg_<meter>…)``, one row per marker.
 
     ``within=()`` lets segments run across midnight. ``one_row_per_ts`` skips
     step 1 for rows that are unique per device and timestamp, as an archive is.
+    ``local`` names the wall clock that belongs to ``ts``: rows are compared by
+    ``ts``, and ``start_local`` and ``end_local`` say what the clock showed.
     """
     by, within, meters = list(by), list(within), list(meters)
     keys = by + within
     at_ts = F.window(ts, slice_width)["start"].alias(_SLICE)
-    rows = rows.select(*keys, at_ts, F.col(ts).alias("end_ts"), marker, *meters)
+    clock = [F.col(local).alias("end_local")] if local else []
+    rows = rows.select(*keys, at_ts, F.col(ts).alias("end_ts"), *clock, marker, *meters)
     if one_row_per_ts:
         points = rows.select(
-            *keys, _SLICE, "end_ts", F.col("end_ts").alias("start_ts"), marker, F.lit(1).cast("bigint").alias("n_rows"),
+            *keys, _SLICE, "end_ts", *(["end_local"] if local else []), marker,
+            F.lit(1).cast("bigint").alias("n_rows"),
             *[c for i, m in enumerate(meters) for c in (
                 F.col(m).cast("double").alias(f"__sum{i}"), F.col(m).isNotNull().cast("bigint").alias(f"__n{i}"))])
     else:
         points = rows.groupBy(*keys, _SLICE, "end_ts").agg(
+            *([F.min("end_local").alias("end_local")] if local else []),
             F.max(marker).alias(marker), F.count(F.lit(1)).alias("n_rows"),
             *[c for i, m in enumerate(meters) for c in (
-                F.sum(m).alias(f"__sum{i}"), F.count(m).alias(f"__n{i}"))],
-        ).withColumn("start_ts", F.col("end_ts"))
+                F.sum(m).alias(f"__sum{i}"), F.count(m).alias(f"__n{i}"))])
+    points = points.withColumn("start_ts", F.col("end_ts"))
+    if local:
+        points = points.withColumn("start_local", F.col("end_local"))
 
     outer = [keys]
     if not within:
         points = points.withColumn(_DAY, F.to_date(F.col(_SLICE)))
         outer = [by + [_DAY], by]
-    folds = _fold(meters, marker)
+    folds = _fold(meters, marker, local is not None)
     is_marker = F.when(F.col(marker).isNotNull(), F.col("end_ts"))
     parts = _fold_group(points, [*outer[0], _SLICE], is_marker, folds)
     for group in outer:
@@ -116,7 +127,8 @@ def segment_averages(
 
     averages = [F.when(F.col(f"__n{i}") > 0, F.col(f"__sum{i}") / F.col(f"__n{i}")).alias(f"avg_{m}")
                 for i, m in enumerate(meters)]
-    return parts.select(*keys, "start_ts", "end_ts", marker, "n_rows", *averages)
+    clocks = ["start_local", "end_local"] if local else []
+    return parts.select(*keys, "start_ts", "end_ts", *clocks, marker, "n_rows", *averages)
 
 
 def markers(rows: DataFrame, marker: str = LAB) -> DataFrame:
@@ -130,11 +142,11 @@ def interval(rows: DataFrame, after, until, ts: str = "ts") -> DataFrame:
     return rows.where((F.col(ts) > F.lit(after).cast(kind)) & (F.col(ts) <= F.lit(until).cast(kind)))
 
 
-def first_marker_day(rows: DataFrame, by=DEVICE, within=("archive_day",), ts="ts", marker=LAB) -> DataFrame:
+def first_marker_day(rows: DataFrame, by=DEVICE, within=("archive_day",), ts="ts", marker=LAB,
+                     local: str | None = None) -> DataFrame:
     """Day of the first marker of every archive unit: the date part of its keys."""
-    keys = [*by, *within]
-    return (markers(rows, marker).groupBy(*keys)
-            .agg(F.to_date(F.min(ts)).alias("key_day")))
+    first = F.min_by(local, ts) if local else F.min(ts)
+    return markers(rows, marker).groupBy(*by, *within).agg(F.to_date(first).alias("key_day"))
 
 
 def segment_table(segments: DataFrame, key_day="archive_day", columns=SEGMENT_COLUMNS, by=DEVICE,
@@ -145,8 +157,9 @@ def segment_table(segments: DataFrame, key_day="archive_day", columns=SEGMENT_CO
     the day of its first marker by construction; archives cut at other times
     join ``first_marker_day`` and pass its column.
     """
+    start, end = ("start_local", "end_local") if "start_local" in segments.columns else ("start_ts", "end_ts")
     return segments.select(
-        batch_key(F.col(key_day), "start_ts", "end_ts", by).alias("key"),
+        batch_key(F.col(key_day), start, end, by).alias("key"),
         *by, F.col(key_day).alias("archive_day"),
-        F.col("start_ts").alias("startTimestamp"), F.col("end_ts").alias("endTimestamp"), marker,
+        F.col(start).alias("startTimestamp"), F.col(end).alias("endTimestamp"), marker,
         *[F.col(f"avg_{meter}").alias(name) for meter, name in columns.items()])

@@ -8,30 +8,32 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kilnmark.operators.latest import last_write
 from kilnmark.operators.segments import first_marker_day, segment_averages, segment_table
-from kilnmark.schemas import DEVICE, METERS, SEGMENT_COLUMNS
-from kilnmark.sources.archive import PART, read_archive
-from kilnmark.sources.tables import replace_days
+from kilnmark.schemas import DEVICE, LAB, MERGED, METERS, SEGMENT_COLUMNS
+from kilnmark.sources.archive import PART, from_records, read_archive
+from kilnmark.sources.tables import BATCH, append_batch, read_table, replace_days
 
 
 def analyse_days(archive: DataFrame, meters: Sequence[str] = METERS, columns: Mapping[str, str] = SEGMENT_COLUMNS,
-                 ts: str = "ts", by: Sequence[str] = DEVICE, one_row_per_ts: bool = True) -> DataFrame:
+                 ts: str = "ts", by: Sequence[str] = DEVICE, one_row_per_ts: bool = True,
+                 local: str | None = None) -> DataFrame:
     """Segments of every device and archive day; the archive day is the date of the keys."""
-    segments = segment_averages(archive, meters, by, (PART,), ts, one_row_per_ts=one_row_per_ts)
+    segments = segment_averages(archive, meters, by, (PART,), ts, one_row_per_ts=one_row_per_ts, local=local)
     return segment_table(segments, PART, columns, by)
 
 
 def analyse_files(archive: DataFrame, meters: Sequence[str] = METERS, columns: Mapping[str, str] = SEGMENT_COLUMNS,
                   ts: str = "ts", by: Sequence[str] = DEVICE, unit: str = "archive_file",
-                  one_row_per_ts: bool = True) -> DataFrame:
+                  one_row_per_ts: bool = True, local: str | None = None) -> DataFrame:
     """Segments of every file on its own, wherever the files were cut.
 
     The date of the keys is that of the file's first marker. That lookup has
     one row per device and file; adaptive execution broadcasts it only if its
     measured size allows.
     """
-    segments = segment_averages(archive, meters, by, (unit,), ts, one_row_per_ts=one_row_per_ts)
-    first = first_marker_day(archive, by, (unit,), ts)
+    segments = segment_averages(archive, meters, by, (unit,), ts, one_row_per_ts=one_row_per_ts, local=local)
+    first = first_marker_day(archive, by, (unit,), ts, local=local)
     return segment_table(segments.join(first, [*by, unit]), "key_day", columns, by)
 
 
@@ -44,11 +46,35 @@ def analyse_across_midnight(rows: DataFrame, meters: Sequence[str] = METERS,
 
 
 def run_daily(spark: SparkSession, archive_path: str, table_path: str, first: dt.date | None = None,
-              stop: dt.date | None = None, fmt: str = "parquet", ts: str = "ts") -> None:
+              stop: dt.date | None = None, fmt: str = "parquet") -> None:
     """Analyse archive days ``[first, stop)`` (all of them by default) and replace their results."""
     archive = read_archive(spark, archive_path, fmt=fmt)
     if first is not None:
         archive = archive.where(F.col(PART) >= F.lit(first))
     if stop is not None:
         archive = archive.where(F.col(PART) < F.lit(stop))
-    replace_days(analyse_days(archive, ts=ts), table_path)
+    local = "ts_local" if "ts_local" in archive.columns else None
+    replace_days(analyse_days(archive, local=local), table_path)
+
+
+def run_files(spark: SparkSession, path: str, table_path: str, run: int, fmt: str = "parquet") -> None:
+    """Analyse archive record files (one, a folder or a glob), each on its own, and upsert the results by key.
+
+    Files may cut days anywhere, so results of other files stay; ``run`` is a
+    growing number and the newest run wins per key. Use a table of its own.
+    """
+    rows = from_records(read_archive(spark, path, MERGED if fmt == "parquet" else None, fmt))
+    append_batch(analyse_files(rows, one_row_per_ts=False, local="ts_local"), table_path, run)
+
+
+def read_segments(spark: SparkSession, path: str, columns: Mapping[str, str] = SEGMENT_COLUMNS,
+                  first: dt.date | None = None, stop: dt.date | None = None) -> DataFrame:
+    """The batch analysis table of either job, newest run per key; the range skips partitions."""
+    table = read_table(spark, path)
+    if first is not None:
+        table = table.where(F.col(PART) >= F.lit(first))
+    if stop is not None:
+        table = table.where(F.col(PART) < F.lit(stop))
+    if BATCH not in table.columns:
+        return table
+    return last_write(table, ["key", *DEVICE, PART], ["startTimestamp", "endTimestamp", LAB, *columns.values()], BATCH)

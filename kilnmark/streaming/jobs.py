@@ -50,15 +50,16 @@ def running_stream_of_readings(readings: DataFrame, by: Sequence[str] = DEVICE,
 
 
 def merge_stream(sensor: DataFrame, lab: DataFrame, values: Sequence[str] = METERS, by: Sequence[str] = DEVICE,
-                 ts: str = "ts", order: str = "seq", marker: str = LAB, delay: str = DELAY) -> DataFrame:
+                 ts: str = "ts", order: str = "seq", marker: str = LAB, delay: str = DELAY,
+                 shared: Sequence[str] = ()) -> DataFrame:
     """Sensor and lab events merged on device and timestamp.
 
     The union comes before the watermark: an idle lab feed then does not hold
     back the output, as it would with two watermarks. State is one row per
     device and timestamp, for as long as the delay.
     """
-    both = with_event_time(both_feeds(sensor, lab, values, by, ts, order, marker), ts, delay)
-    return merge_events(both, values, by, ts, order, marker)
+    both = with_event_time(both_feeds(sensor, lab, values, by, ts, order, marker, shared), ts, delay)
+    return merge_events(both, values, by, ts, order, marker, shared)
 
 
 def current_stream(sensor: DataFrame, values: Sequence[str] = METERS, by: Sequence[str] = DEVICE,
@@ -118,10 +119,10 @@ def start_upserts(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def start_archive(merged: DataFrame, path: str, checkpoint: str, ts: str = "ts", fmt: str = "parquet",
+def start_archive(merged: DataFrame, path: str, checkpoint: str, day_of: str = "ts", fmt: str = "parquet",
                   trigger: dict | None = None) -> StreamingQuery:
-    """Append rows the watermark has passed, under their archive day."""
-    dated = merged.withColumn("archive_day", F.to_date(ts))
+    """Append rows the watermark has passed, under the day of ``day_of``."""
+    dated = merged.withColumn("archive_day", F.to_date(day_of))
     return (dated.writeStream.format(fmt).outputMode("append").partitionBy("archive_day")
             .option("path", path).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
@@ -147,20 +148,18 @@ def start_all(sensor_messages: DataFrame, lab_messages: DataFrame, tables_path:
     """Message feeds -> archive, current-condition cells, running averages with messages, dead letters.
 
     Each branch is a query with its own checkpoint, so one that fails or falls
-    behind does not hold up the others. Times are the wall clock of the data.
+    behind does not hold up the others. Events are compared by instant; the
+    archive keeps their wall clock too and is cut by its days.
     """
     keep = (*DEVICE, "seq")
     sensor, bad_sensor = read_sensor(with_device(sensor_messages), keep=keep)
     lab, bad_lab = read_lab(with_device(lab_messages), keep=keep)
-    sensor = sensor.drop("ts", "datetime").withColumnRenamed("ts_local", "ts")
-    lab = lab.drop("ts", "datetime").withColumnRenamed("ts_local", "ts")
-
     cell_rows = cells(both_kinds(sensor, lab))
-    merged = merge_stream(sensor, lab, [STATUS, *METERS], delay=delay)
+    merged = merge_stream(sensor, lab, [STATUS, *METERS], delay=delay, shared=["ts_local"])
     averages = running_stream(sensor, size=size, slide=slide, delay=delay)
     dead = bad_sensor.unionByName(bad_lab)
     return [
-        start_archive(merged, f"{tables_path}/archive", f"{checkpoint}/archive", trigger=trigger),
+        start_archive(merged, f"{tables_path}/archive", f"{checkpoint}/archive", "ts_local", trigger=trigger),
         start_upserts(cell_rows, table_sink(f"{tables_path}/cells", CELL_PARTS), f"{checkpoint}/cells", "append",
                       trigger),
         start_upserts(averages, averages_sink(f"{tables_path}/running", publish), f"{checkpoint}/running", "update",

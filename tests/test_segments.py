@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kilnmark.operators import first_marker_day, interval, markers, segment_averages, segment_table
 from kilnmark.plans import batch
 from kilnmark.schemas import LAB, METERS, SEGMENT_COLUMNS
+from kilnmark.sources import archive
 
 SCHEMA = f"factory_id string, oven_id string, ts timestamp_ntz, archive_day date, {LAB} double, m double"
 DAY = dt.datetime(2014, 5, 21)
@@ -125,6 +126,34 @@ def test_files_cut_elsewhere_use_the_first_markers_date(spark):
     assert first_marker_day(rows, within=("archive_file",)).first()["key_day"] == early.date()
 
 
+def test_instants_order_rows_and_wall_clocks_name_them(spark):
+    """The clock goes back an hour between the second and the third row."""
+    texts = [("2014-11-02T00:30:00-04:00", None), ("2014-11-02T01:50:00-04:00", 7.0), ("2014-11-02T01:10:00-05:00", None),
+             ("2014-11-02T02:30:00-05:00", 8.0)]
+    records = spark.createDataFrame([(t, lab, "true", *[1.0] * 6) for t, lab in texts],
+                                    f"timestamp string, {LAB} double, processOn string, "
+                                    + ", ".join(f"{m} double" for m in METERS)).withColumn("archive_file", F.lit("a"))
+    rows = archive.from_records(records)
+    for frame in (batch.analyse_days(rows, local="ts_local"), batch.analyse_files(rows, local="ts_local")):
+        assert sorted(r["key"] for r in frame.collect()) == ["001#001#20141102#0030#0150", "001#001#20141102#0110#0230"]
+
+
+def test_record_files_are_analysed_one_by_one(spark, tmp_path):
+    """One file per window, two windows in a day; running again changes nothing."""
+    records, table = str(tmp_path / "records"), str(tmp_path / "table")
+    names = ", ".join(f"{m} double" for m in METERS)
+    for hours, lab in ((range(0, 12), 5), (range(12, 24), 20)):
+        rows = [(DAY.replace(hour=h), 7.0 if h == lab else None, h % 2 == 0, *[float(h)] * 6) for h in hours]
+        frame = spark.createDataFrame(rows, f"ts_local timestamp_ntz, {LAB} double, processIsOn boolean, {names}")
+        archive.to_records(frame).coalesce(1).write.mode("append").parquet(records)
+    for run in (1, 1, 2):
+        batch.run_files(spark, records, table, run)
+    got = {r["key"]: r for r in batch.read_segments(spark, table).collect()}
+    assert sorted(got) == ["001#001#20140521#0000#0500", "001#001#20140521#1200#2000"]
+    assert got["001#001#20140521#1200#2000"]["avgWaterFlowProcess"] == 16.0
+    assert batch.read_segments(spark, table, stop=DAY.date()).count() == 0
+
+
 def test_markers_and_interval(spark):
     frame = spark.createDataFrame(minutes("03:00", "12:00"), SCHEMA)
     assert markers(frame).count() == 2
