@@ -14,6 +14,7 @@ from kilnmark.functions.timestamps import (
     local_time,
     minutes_before,
     parse_day,
+    wall_clock,
 )
 from kilnmark.functions.values import (
     empty_to_null,

@@ -45,6 +45,11 @@ def minutes_before(moment: dt.datetime, minutes: int) -> dt.datetime:
     return moment - dt.timedelta(minutes=minutes)
 
 
+def wall_clock(moment: dt.datetime) -> Column:
+    """A Python wall-clock time as TIMESTAMP_NTZ, whatever zone Python or the session is in."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def display_time(column, zone: str = "America/New_York", source_zone: str = "UTC") -> Column:
     """Wall clock of ``zone`` for a TIMESTAMP_NTZ held in ``source_zone``."""
     return F.convert_timezone(F.lit(source_zone), F.lit(zone), _col(column))

@@ -26,8 +26,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kilnmark.functions.keys import batch_key
+from kilnmark.functions.timestamps import wall_clock
 from kilnmark.schemas import DEVICE, LAB, METERS, SEGMENT_COLUMNS
 
 _NEXT = "__next_marker"
@@ -37,11 +39,23 @@ _DAY = "__day"
 _FROM = "__from_lane"
 
 
-def _fold(meters: Sequence[str], marker: str, has_local: bool) -> list[Column]:
+def _first_fold(meters: Sequence[str], marker: str, local: bool, folded: bool) -> list[Column]:
+    """Aggregates that make partial records: of rows, or of rows already ``folded`` per timestamp."""
+    folds = [F.min("end_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"), F.max(marker).alias(marker),
+             (F.sum("n_rows") if folded else F.count(F.lit(1))).alias("n_rows")]
+    if local:
+        folds += [F.min_by("clock", "end_ts").alias("start_local"), F.max_by("clock", "end_ts").alias("end_local")]
+    for i, meter in enumerate(meters):
+        total, count = (F.sum(f"__sum{i}"), F.sum(f"__n{i}")) if folded else (F.sum(meter), F.count(meter))
+        folds += [total.alias(f"__sum{i}"), count.alias(f"__n{i}")]
+    return folds
+
+
+def _fold(meters: Sequence[str], marker: str, local: bool) -> list[Column]:
     """Aggregates that merge partial records into larger partial records."""
     folds = [F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"),
              F.max(marker).alias(marker), F.sum("n_rows").alias("n_rows")]
-    if has_local:
+    if local:
         folds += [F.min_by("start_local", "start_ts").alias("start_local"),
                   F.max_by("end_local", "end_ts").alias("end_local")]
     for i, _ in enumerate(meters):
@@ -96,31 +110,24 @@ def segment_averages(
     by, within, meters = list(by), list(within), list(meters)
     keys = by + within
     at_ts = F.window(ts, slice_width)["start"].alias(_SLICE)
-    clock = [F.col(local).alias("end_local")] if local else []
-    rows = rows.select(*keys, at_ts, F.col(ts).alias("end_ts"), *clock, marker, *meters)
-    if one_row_per_ts:
-        points = rows.select(
-            *keys, _SLICE, "end_ts", *(["end_local"] if local else []), marker,
-            F.lit(1).cast("bigint").alias("n_rows"),
-            *[c for i, m in enumerate(meters) for c in (
-                F.col(m).cast("double").alias(f"__sum{i}"), F.col(m).isNotNull().cast("bigint").alias(f"__n{i}"))])
-    else:
-        points = rows.groupBy(*keys, _SLICE, "end_ts").agg(
-            *([F.min("end_local").alias("end_local")] if local else []),
+    clock = [F.col(local).alias("clock")] if local else []
+    points = rows.select(*keys, at_ts, F.col(ts).alias("end_ts"), *clock, marker, *meters)
+    if not one_row_per_ts:
+        points = points.groupBy(*keys, _SLICE, "end_ts").agg(
+            *([F.min("clock").alias("clock")] if local else []),
             F.max(marker).alias(marker), F.count(F.lit(1)).alias("n_rows"),
             *[c for i, m in enumerate(meters) for c in (
                 F.sum(m).alias(f"__sum{i}"), F.count(m).alias(f"__n{i}"))])
-    points = points.withColumn("start_ts", F.col("end_ts"))
-    if local:
-        points = points.withColumn("start_local", F.col("end_local"))
 
     outer = [keys]
     if not within:
         points = points.withColumn(_DAY, F.to_date(F.col(_SLICE)))
         outer = [by + [_DAY], by]
-    folds = _fold(meters, marker, local is not None)
+    has_local = local is not None
     is_marker = F.when(F.col(marker).isNotNull(), F.col("end_ts"))
-    parts = _fold_group(points, [*outer[0], _SLICE], is_marker, folds)
+    parts = _fold_group(points, [*outer[0], _SLICE], is_marker,
+                        _first_fold(meters, marker, has_local, not one_row_per_ts))
+    folds = _fold(meters, marker, has_local)
     for group in outer:
         parts = parts.drop(_FROM).withColumnRenamed(_LANE, _FROM)
         parts = _fold_group(parts, [*group, _FROM], F.col(_NEXT), folds, drop_tail=group == outer[-1])
@@ -138,8 +145,9 @@ def markers(rows: DataFrame, marker: str = LAB) -> DataFrame:
 
 def interval(rows: DataFrame, after, until, ts: str = "ts") -> DataFrame:
     """Rows with ``after`` < ts <= ``until``; the comparison reaches the scan."""
-    kind = rows.schema[ts].dataType
-    return rows.where((F.col(ts) > F.lit(after).cast(kind)) & (F.col(ts) <= F.lit(until).cast(kind)))
+    if isinstance(rows.schema[ts].dataType, T.TimestampNTZType):
+        after, until = wall_clock(after), wall_clock(until)
+    return rows.where((F.col(ts) > after) & (F.col(ts) <= until))
 
 
 def first_marker_day(rows: DataFrame, by=DEVICE, within=("archive_day",), ts="ts", marker=LAB,

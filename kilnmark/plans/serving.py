@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kilnmark.functions.keys import batch_key_time, running_key_time
-from kilnmark.functions.timestamps import minutes_before, parse_day
+from kilnmark.functions.timestamps import minutes_before, parse_day, wall_clock
 from kilnmark.functions.values import round2, status_label
 from kilnmark.operators.latest import current_row, latest_average
 from kilnmark.operators.reshape import meters_to_rows, to_series
@@ -23,22 +23,18 @@ def _minute(moment: dt.datetime) -> dt.datetime:
     return moment.replace(second=0, microsecond=0)
 
 
-def _at(moment: dt.datetime):
-    return F.lit(moment).cast("timestamp_ntz")
-
-
 def rows_for_windows(sensor: DataFrame, now: dt.datetime, minutes: int = DAY_MINUTES, size_minutes: int = 60,
                      ts: str = "ts") -> DataFrame:
     """The sensor rows that windows ending in ``[now - minutes, now)`` are made of; reaches the scan."""
     first = _minute(minutes_before(now, minutes)) - dt.timedelta(minutes=size_minutes)
-    return sensor.where((F.col(ts) >= _at(first)) & (F.col(ts) < _at(_minute(now))))
+    return sensor.where((F.col(ts) >= wall_clock(first)) & (F.col(ts) < wall_clock(_minute(now))))
 
 
 def running_avg_since(table: DataFrame, now: dt.datetime, minutes: int = DAY_MINUTES,
                       meters: Sequence[str] = METERS) -> DataFrame:
     """Keys in ``[now - minutes, now)`` at minute grain, values to two decimals."""
-    in_range = ((F.col("window_end") >= _at(_minute(minutes_before(now, minutes))))
-                & (F.col("window_end") < _at(_minute(now))))
+    in_range = ((F.col("window_end") >= wall_clock(_minute(minutes_before(now, minutes))))
+                & (F.col("window_end") < wall_clock(_minute(now))))
     return table.where(in_range).select("key", *[round2(m).alias(m) for m in meters])
 
 

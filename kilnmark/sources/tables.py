@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnmark.functions.timestamps import archive_day
+from kilnmark.functions.timestamps import archive_day, wall_clock
 from kilnmark.operators.latest import last_write
 from kilnmark.schemas import DEVICE, LAB, METERS, STATUS
 
@@ -85,15 +85,17 @@ def meter_days(rows: DataFrame, meter: str, first: dt.date, stop: dt.date, day:
     return rows.where((F.col("meter") == meter) & (F.col(day) >= F.lit(first)) & (F.col(day) < F.lit(stop)))
 
 
-def meter_hour(rows: DataFrame, factory: str, oven: str, meter: str, hour: dt.datetime,
+def meter_hour(rows: DataFrame, meter: str, hour: dt.datetime, factory: str | None = None, oven: str | None = None,
                minute_ts: str = "minute_ts", day: str = DAY) -> DataFrame:
-    """One hour of one meter of one device: one partition, then a pushed-down time range."""
+    """One hour of one meter, of one device or of all: one partition, then a pushed-down time range."""
     start = hour.replace(minute=0, second=0, microsecond=0)
     stop = start + dt.timedelta(hours=1)
-    return rows.where((F.col(day) == F.lit(start.date())) & (F.col("meter") == meter)
-                      & (F.col("factory_id") == factory) & (F.col("oven_id") == oven)
-                      & (F.col(minute_ts) >= F.lit(start).cast("timestamp_ntz"))
-                      & (F.col(minute_ts) < F.lit(stop).cast("timestamp_ntz")))
+    rows = rows.where((F.col(day) == F.lit(start.date())) & (F.col("meter") == meter)
+                      & (F.col(minute_ts) >= wall_clock(start)) & (F.col(minute_ts) < wall_clock(stop)))
+    for column, value in (("factory_id", factory), ("oven_id", oven)):
+        if value is not None:
+            rows = rows.where(F.col(column) == value)
+    return rows
 
 
 def preview(rows: DataFrame, n: int = 20, order: Sequence[str] = ()) -> DataFrame:

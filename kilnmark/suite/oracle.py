@@ -212,8 +212,7 @@ ORACLE = {
         FROM ev WHERE event_type = 'click' AND archive_day >= DATE '2024-01-10' AND archive_day < DATE '2024-01-15'""",
     "meter_hour_scan": f"""WITH {EV}
         SELECT factory_id, oven_id, event_type AS meter, date_trunc('minute', ts) AS minute_ts, value
-        FROM ev WHERE event_type = 'view' AND factory_id = '002' AND oven_id = '007'
-          AND date_trunc('hour', ts) = TIMESTAMP '2024-01-01 00:00:00'""",
+        FROM ev WHERE event_type = 'view' AND date_trunc('hour', ts) = TIMESTAMP '2024-01-01 08:00:00'""",
     "range_scan_past_24h": WIDE + f" SELECT key, {WIDE2} FROM wide{IN_24H} ORDER BY key",
     "range_scan_past_minutes": WIDE + f" SELECT key, {WIDE2} FROM wide{IN_12MIN} ORDER BY key",
     "key_range_scan": WIDE + f""" SELECT key, window_end, {WIDE6} FROM wide

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from kilnmark.functions import (
     display_time,
-    instant,
     is_on,
+    local_time,
     message_value,
     path_label,
     round2,
+    wall_clock,
 )
 from kilnmark.operators import (
     average_messages,
@@ -64,6 +65,11 @@ def _day(ts="ts"):
     return F.date_trunc("day", F.col(ts)).cast("timestamp_ntz")
 
 
+def _utc(ts):
+    """Instant -> wall clock in UTC, whatever the session zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(ts).cast("timestamp_ntz"))
+
+
 def _hour(ts="ts"):
     return F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz")
 
@@ -117,13 +123,13 @@ def split_sensor_lab(spark, sf_dir):
 
 def parse_payload(spark, sf_dir):
     good, _ = messages.read_sensor(feeds.sensor_messages(_events(spark, sf_dir)), keep=[*DEVICE, "seq"])
-    return good.select(*DEVICE, "seq", "datetime", F.col("ts").cast("timestamp_ntz").alias("ts"), "ts_local",
+    return good.select(*DEVICE, "seq", "datetime", _utc("ts").alias("ts"), "ts_local",
                        STATUS, *METERS)
 
 
 def parse_lab_payload(spark, sf_dir):
     good, _ = messages.read_lab(feeds.lab_messages(_events(spark, sf_dir)), keep=[*DEVICE, "seq"])
-    return good.select(*DEVICE, "seq", F.col("ts").cast("timestamp_ntz").alias("ts"), LAB)
+    return good.select(*DEVICE, "seq", _utc("ts").alias("ts"), LAB)
 
 
 def dead_letter(spark, sf_dir):
@@ -161,8 +167,8 @@ def upsert_last_wins(spark, sf_dir):
     """Two batches, the first one delivered twice; the newest write of every cell."""
     path = fresh_dir(spark, "cells")
     cells = tables.cells(_all_readings(_events(spark, sf_dir)))
-    early = cells.where(F.col("minute_ts") < F.lit(NOW).cast("timestamp_ntz"))
-    late = cells.where(F.col("minute_ts") >= F.lit(NOW).cast("timestamp_ntz"))
+    early = cells.where(F.col("minute_ts") < wall_clock(NOW))
+    late = cells.where(F.col("minute_ts") >= wall_clock(NOW))
     for batch_id, part in ((0, early), (1, late), (0, early)):
         tables.append_batch(part, path, batch_id, tables.CELL_PARTS)
     newest = tables.read_newest(spark, path, tables.CELL_KEYS, ["value"], "seq")
@@ -183,9 +189,9 @@ def meter_prefix_scan(spark, sf_dir):
 
 
 def meter_hour_scan(spark, sf_dir):
-    """Hour-grain read of one meter of one device."""
+    """Hour-grain read of one meter."""
     rows = tables.read_table(spark, _stored_cells(spark, sf_dir))
-    rows = tables.meter_hour(rows, "002", "007", "view", dt.datetime(2024, 1, 1, 0, 30))
+    rows = tables.meter_hour(rows, "view", dt.datetime(2024, 1, 1, 8, 30))
     return rows.select(*DEVICE, "meter", "minute_ts", "value")
 
 
@@ -210,18 +216,14 @@ def merge_day_buckets(spark, sf_dir):
 
 def merge_latest_wins(spark, sf_dir):
     """Several sensor rows per bucket: the newest one wins as a whole."""
-    rows = feeds.export_rows(_events(spark, sf_dir)).withColumn("ts", _hour_of_text()).withColumn(
-        "is_on", is_on(STATUS))
+    rows = (feeds.export_rows(_events(spark, sf_dir)).withColumn("ts", local_time("datetime"))
+            .withColumn("ts", _hour()).withColumn("is_on", is_on(STATUS)))
     sensor = rows.where(F.col(LAB).isNull())
     lab = rows.where(F.col(LAB).isNotNull())
     merged = merge_sensor_lab(sensor, lab, ["is_on", *METERS])
     return merged.select(*DEVICE, "ts", LAB, "is_on", *METERS)
 
 
-def _hour_of_text():
-    return F.date_trunc("hour", instant("datetime")).cast("timestamp_ntz")
-
-
 def merge_duplicates(spark, sf_dir):
     """Events per side of every device and day."""
     events = _events(spark, sf_dir)

@@ -145,7 +145,7 @@ def test_keyed_table(spark, tmp_path):
     assert newest() == expected and tables.read_table(spark, path).count() == 3
     tables.settle(spark, path, settled, tables.CELL_KEYS, ["value"], "seq", dt.date(2014, 5, 22), tables.CELL_PARTS)
     assert tables.read_table(spark, settled).count() == 2
-    hour = tables.meter_hour(tables.read_table(spark, settled), "f", "o", "a", at(30))
+    hour = tables.meter_hour(tables.read_table(spark, settled), "a", at(30), "f", "o")
     assert [r["value"] for r in hour.collect()] == [2.0]
     assert tables.meter_days(tables.read_table(spark, path), "a", dt.date(2014, 5, 21), dt.date(2014, 5, 22)).count() == 2
     assert '"meter":"a"' in tables.preview(hour).first()[0]
