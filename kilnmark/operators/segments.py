@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,38 +32,53 @@ from kilnmark.functions.keys import batch_key
 from kilnmark.functions.timestamps import wall_clock
 from kilnmark.schemas import DEVICE, LAB, METERS, SEGMENT_COLUMNS
 
-_NEXT = "__next_marker"
-_LANE = "__lane"
 _SLICE = "__slice"
 _DAY = "__day"
-_FROM = "__from_lane"
+
+
+def _next(level: int) -> str:
+    return f"__next{level}"
+
+
+def _lane(level: int) -> str:
+    return f"__lane{level}"
+
+
+def _columns(names: Sequence[str]) -> str:
+    return ", ".join(f"`{name}`" for name in names)
+
+
+def _expressions(texts: Sequence[str]) -> list[Column]:
+    return [F.expr(text) for text in texts]
 
 
 def _first_fold(meters: Sequence[str], marker: str, local: bool, folded: bool) -> list[Column]:
     """Aggregates that make partial records: of rows, or of rows already ``folded`` per timestamp."""
-    folds = [F.min("end_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"), F.max(marker).alias(marker),
-             (F.sum("n_rows") if folded else F.count(F.lit(1))).alias("n_rows")]
+    folds = ["min(end_ts) AS start_ts", "max(end_ts) AS end_ts", f"max(`{marker}`) AS `{marker}`",
+             ("sum(n_rows)" if folded else "count(1)") + " AS n_rows"]
     if local:
-        folds += [F.min_by("clock", "end_ts").alias("start_local"), F.max_by("clock", "end_ts").alias("end_local")]
+        folds += ["min_by(clock, end_ts) AS start_local", "max_by(clock, end_ts) AS end_local"]
     for i, meter in enumerate(meters):
-        total, count = (F.sum(f"__sum{i}"), F.sum(f"__n{i}")) if folded else (F.sum(meter), F.count(meter))
-        folds += [total.alias(f"__sum{i}"), count.alias(f"__n{i}")]
-    return folds
+        folds += [f"sum(__sum{i}) AS __sum{i}", f"sum(__n{i}) AS __n{i}"] if folded else _sum_and_count(i, meter)
+    return _expressions(folds)
+
+
+def _sum_and_count(i: int, meter: str) -> list[str]:
+    return [f"sum(`{meter}`) AS __sum{i}", f"count(`{meter}`) AS __n{i}"]
 
 
 def _fold(meters: Sequence[str], marker: str, local: bool) -> list[Column]:
     """Aggregates that merge partial records into larger partial records."""
-    folds = [F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"),
-             F.max(marker).alias(marker), F.sum("n_rows").alias("n_rows")]
+    folds = ["min(start_ts) AS start_ts", "max(end_ts) AS end_ts", f"max(`{marker}`) AS `{marker}`",
+             "sum(n_rows) AS n_rows"]
     if local:
-        folds += [F.min_by("start_local", "start_ts").alias("start_local"),
-                  F.max_by("end_local", "end_ts").alias("end_local")]
+        folds += ["min_by(start_local, start_ts) AS start_local", "max_by(end_local, end_ts) AS end_local"]
     for i, _ in enumerate(meters):
-        folds += [F.sum(f"__sum{i}").alias(f"__sum{i}"), F.sum(f"__n{i}").alias(f"__n{i}")]
-    return folds
+        folds += [f"sum(__sum{i}) AS __sum{i}", f"sum(__n{i}) AS __n{i}"]
+    return _expressions(folds)
 
 
-def _fold_group(parts: DataFrame, group: Sequence[str], candidate: Column, folds: Sequence[Column],
+def _fold_group(parts: DataFrame, group: Sequence[str], candidate: str, folds: Sequence[Column], level: int,
                 drop_tail: bool = False) -> DataFrame:
     """Give every record the next marker inside its group and fold records of one marker.
 
@@ -72,21 +87,21 @@ def _fold_group(parts: DataFrame, group: Sequence[str], candidate: Column, folds
     groups later. Records of any other marker are complete: each marker is a
     lane of its own, so they spread evenly and are not held up.
     """
+    found, lane = _next(level), _lane(level)
     # Descending order turns "current row to end" into a running frame, which
     # Spark evaluates in one pass instead of once per row.
-    following = (Window.partitionBy(*group).orderBy(F.col("end_ts").desc())
-                 .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = Window.partitionBy(*group)
-    lane = F.when(F.col(_NEXT) > F.col("__first"), F.col(_NEXT))
-    if _FROM in group:
-        lane = F.coalesce(F.col(_FROM), lane)
-    parts = (parts.withColumn("__candidate", candidate)
-             .withColumn(_NEXT, F.min("__candidate").over(following))
-             .withColumn("__first", F.min("__candidate").over(whole))
-             .withColumn(_LANE, lane))
+    parts = parts.selectExpr(
+        "*",
+        f"""min({candidate}) OVER (PARTITION BY {_columns(group)} ORDER BY end_ts DESC
+                RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {found}""",
+        f"min({candidate}) OVER (PARTITION BY {_columns(group)}) AS __first")
     if drop_tail:
-        parts = parts.where(F.col(_NEXT).isNotNull())
-    return parts.groupBy(*group, _LANE, _NEXT).agg(*folds)
+        parts = parts.where(f"{found} IS NOT NULL")
+    closed = f"CASE WHEN {found} > __first THEN {found} END"
+    if level > 0:
+        closed = f"coalesce({_lane(level - 1)}, {closed})"
+    # The group is part of the keys, so this needs no further exchange.
+    return parts.groupBy(*group, F.expr(f"{closed} AS {lane}"), found).agg(*folds)
 
 
 def segment_averages(
@@ -106,36 +121,36 @@ def segment_averages(
     step 1 for rows that are unique per device and timestamp, as an archive is.
     ``local`` names the wall clock that belongs to ``ts``: rows are compared by
     ``ts``, and ``start_local`` and ``end_local`` say what the clock showed.
+    ``slice_width`` bounds the largest group: shorten it for feeds with very
+    many timestamps per minute, widen it for sparse ones.
     """
     by, within, meters = list(by), list(within), list(meters)
     keys = by + within
-    at_ts = F.window(ts, slice_width)["start"].alias(_SLICE)
-    clock = [F.col(local).alias("clock")] if local else []
-    points = rows.select(*keys, at_ts, F.col(ts).alias("end_ts"), *clock, marker, *meters)
+    clock = [f"`{local}` AS clock"] if local else []
+    points = rows.select(
+        *keys, F.window(ts, slice_width)["start"].alias(_SLICE),
+        *_expressions([f"`{ts}` AS end_ts", *clock]), marker, *meters)
     if not one_row_per_ts:
-        points = points.groupBy(*keys, _SLICE, "end_ts").agg(
-            *([F.min("clock").alias("clock")] if local else []),
-            F.max(marker).alias(marker), F.count(F.lit(1)).alias("n_rows"),
-            *[c for i, m in enumerate(meters) for c in (
-                F.sum(m).alias(f"__sum{i}"), F.count(m).alias(f"__n{i}"))])
+        points = points.groupBy(*keys, _SLICE, "end_ts").agg(*_expressions(
+            (["min(clock) AS clock"] if local else [])
+            + [f"max(`{marker}`) AS `{marker}`", "count(1) AS n_rows"]
+            + [text for i, m in enumerate(meters) for text in _sum_and_count(i, m)]))
 
     outer = [keys]
     if not within:
-        points = points.withColumn(_DAY, F.to_date(F.col(_SLICE)))
+        points = points.selectExpr("*", f"CAST({_SLICE} AS DATE) AS {_DAY}")
         outer = [by + [_DAY], by]
     has_local = local is not None
-    is_marker = F.when(F.col(marker).isNotNull(), F.col("end_ts"))
-    parts = _fold_group(points, [*outer[0], _SLICE], is_marker,
-                        _first_fold(meters, marker, has_local, not one_row_per_ts))
+    parts = _fold_group(points, [*outer[0], _SLICE], f"CASE WHEN `{marker}` IS NOT NULL THEN end_ts END",
+                        _first_fold(meters, marker, has_local, not one_row_per_ts), 0)
     folds = _fold(meters, marker, has_local)
-    for group in outer:
-        parts = parts.drop(_FROM).withColumnRenamed(_LANE, _FROM)
-        parts = _fold_group(parts, [*group, _FROM], F.col(_NEXT), folds, drop_tail=group == outer[-1])
+    for level, group in enumerate(outer):
+        parts = _fold_group(parts, [*group, _lane(level)], _next(level), folds, level + 1,
+                            drop_tail=group == outer[-1])
 
-    averages = [F.when(F.col(f"__n{i}") > 0, F.col(f"__sum{i}") / F.col(f"__n{i}")).alias(f"avg_{m}")
-                for i, m in enumerate(meters)]
     clocks = ["start_local", "end_local"] if local else []
-    return parts.select(*keys, "start_ts", "end_ts", *clocks, marker, "n_rows", *averages)
+    return parts.select(*keys, "start_ts", "end_ts", *clocks, marker, "n_rows", *_expressions(
+        [f"CASE WHEN __n{i} > 0 THEN __sum{i} / __n{i} END AS `avg_{m}`" for i, m in enumerate(meters)]))
 
 
 def markers(rows: DataFrame, marker: str = LAB) -> DataFrame:

@@ -166,4 +166,4 @@ def test_no_group_holds_a_whole_device(spark):
     rows = spark.createDataFrame(minutes("03:00"), SCHEMA)
     plan = segment_averages(rows, ["m"])._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert windows and all("__slice" in line or "__from_lane" in line for line in windows)
+    assert windows and all("__slice" in line or "__lane0" in line for line in windows)
