@@ -87,12 +87,17 @@ def duplicate_summary(
         F.min(marker).alias("lab_min"), F.max(marker).alias("lab_max"))
 
 
-def duplicate_rows(events: DataFrame, by: Sequence[str] = DEVICE, ts: str = "ts") -> DataFrame:
-    """The events that share their ``(by, ts)`` with another one, with the group's size.
+def duplicate_rows(events: DataFrame, by: Sequence[str] = DEVICE, ts: str = "ts", order: str = "seq",
+                   spread: int = 32) -> DataFrame:
+    """The events that share their ``(by, ts)`` with another one, with the group's size ``n_rows``.
 
-    The counted side has one row per repeated key, so adaptive execution can
-    split a hot key of the event side.
+    A window count would gather each group in one task. Here groups are counted
+    (combined before the shuffle) and joined back, with the events of a group
+    dealt out over ``spread`` salts and its count present under each of them.
     """
     keys = [*by, ts]
-    repeated = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
-    return events.join(repeated, keys)
+    salt = F.pmod(F.hash(order), F.lit(spread)).alias("__salt")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("__salt")
+    repeated = (events.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+                .where("n_rows > 1").select("*", salts))
+    return events.select("*", salt).join(repeated, [*keys, "__salt"]).drop("__salt")

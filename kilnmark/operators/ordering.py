@@ -28,8 +28,10 @@ def chronological_rank(rows: DataFrame, ts: str = "ts", slice_width: str = "1 mi
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
     slice_start = F.window(ts, slice_width)["start"].alias("__slice")
-    per_ts = rows.groupBy(slice_start, ts).agg(F.count(F.lit(1)).alias("__n"))
-    per_slice = (rows.groupBy(slice_start).agg(F.count(F.lit(1)).alias("__n"))
+    times = rows.select(ts, slice_start)
+    per_ts = times.groupBy("__slice", ts).agg(F.count(F.lit(1)).alias("__n"))
+    # From the rows again, not from per_ts: combined before the shuffle this is one row per slice and task.
+    per_slice = (times.groupBy("__slice").agg(F.count(F.lit(1)).alias("__n"))
                  .withColumn("__day", F.to_date("__slice")))
     # One row per calendar day: the only unpartitioned window, bounded by the time span.
     per_day = per_slice.groupBy("__day").agg(F.sum("__n").alias("__n"))

@@ -439,7 +439,8 @@ def preview(spark, sf_dir):
 
 def _event_stream(spark, sf_dir, **options):
     schema = _events(spark, sf_dir).schema
-    return file_feed(spark, sf_dir, schema, glob="events.parquet", options=options)
+    # The pattern covers a single file as well as a folder of part files.
+    return file_feed(spark, f"{sf_dir}/events.parquet*", schema, options=options)
 
 
 def _back_to_local(rows, *names):
