@@ -58,7 +58,7 @@ def files(spark, args):
 
 
 def past(spark, args):
-    now = args.now or dt.datetime.now()
+    now = args.now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     table = jobs.read_running_table(spark, args.table, first=minutes_before(now, args.minutes).date())
     answer = serving.running_avg_since(table, now, args.minutes)
     serving.in_key_order(answer).show(args.rows, truncate=False)

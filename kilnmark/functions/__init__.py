@@ -8,6 +8,7 @@ from kilnmark.functions.keys import (
 )
 from kilnmark.functions.timestamps import (
     archive_day,
+    archive_window,
     day_text,
     display_time,
     instant,

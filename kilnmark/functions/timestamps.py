@@ -36,6 +36,13 @@ def archive_day(column) -> Column:
     return F.to_date(_col(column))
 
 
+def archive_window(column, width: str) -> Column:
+    """Label of the fixed window a time falls in: start and end, without colons."""
+    window = F.window(_col(column), width)
+    bounds = [F.date_format(window[side], "yyyy-MM-dd'T'HH_mm_ss") for side in ("start", "end")]
+    return F.concat_ws("--", *bounds)
+
+
 def parse_day(text: str) -> dt.date:
     """``yyyyMMdd`` request parameter -> date; raises on anything else."""
     return dt.datetime.strptime(text, "%Y%m%d").date()

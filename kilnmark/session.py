@@ -23,6 +23,10 @@ def build_session(app_name: str = "kilnmark", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # State on local disk with changes logged to the checkpoint, not on the heap.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

@@ -9,11 +9,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from kilnmark.functions.timestamps import archive_window
 from kilnmark.operators.latest import current_row
 from kilnmark.operators.merge import both_feeds, merge_events
 from kilnmark.operators.reshape import rows_to_meters
@@ -85,8 +87,14 @@ def averages_sink(table_path: str, publish: Callable[[DataFrame, int], None], da
     """
     def store(batch: DataFrame, batch_id: int) -> None:
         append_batch(batch.withColumn(day, F.to_date("window_end")), table_path, batch_id, (day,))
-        table = batch.sparkSession.read.schema(_with_parts(batch, day)).parquet(table_path)
-        publish(average_messages(table.where(F.col(BATCH) == batch_id)), batch_id)
+        reader = batch.sparkSession.read.schema(_with_parts(batch, day)).option("basePath", table_path)
+        try:  # only this batch's folders are listed, however long the table is
+            stored = reader.parquet(f"{table_path}/{day}=*/{BATCH}={batch_id}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return  # nothing changed in this batch
+        publish(average_messages(stored), batch_id)
     return store
 
 
@@ -120,10 +128,15 @@ def start_upserts(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
 
 
 def start_archive(merged: DataFrame, path: str, checkpoint: str, day_of: str = "ts", fmt: str = "parquet",
-                  trigger: dict | None = None) -> StreamingQuery:
-    """Append rows the watermark has passed, under the day of ``day_of``."""
-    dated = merged.withColumn("archive_day", F.to_date(day_of))
-    return (dated.writeStream.format(fmt).outputMode("append").partitionBy("archive_day")
+                  trigger: dict | None = None, width: str | None = None) -> StreamingQuery:
+    """Append rows the watermark has passed, under the day of ``day_of``.
+
+    With ``width`` the archive is cut into windows of that length instead, under
+    their ``archive_window`` label.
+    """
+    part = "archive_day" if width is None else "archive_window"
+    label = F.to_date(day_of) if width is None else archive_window(day_of, width)
+    return (merged.select("*", label.alias(part)).writeStream.format(fmt).outputMode("append").partitionBy(part)
             .option("path", path).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 

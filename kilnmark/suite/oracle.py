@@ -257,6 +257,17 @@ ORACLE = {
         SELECT archive_day, factory_id, oven_id, count(*) AS n_rows,
                strftime(archive_day, '%Y-%m-%dT00_00_00') AS label
         FROM ev GROUP BY archive_day, factory_id, oven_id""",
+    "archive_windows": f"""WITH {EV}, cut AS (
+        SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS opened FROM ev), marked AS (
+        SELECT *, min(CASE WHEN event_type = 'purchase' THEN ts END) OVER (
+            PARTITION BY factory_id, oven_id, opened ORDER BY ts
+            RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS marker FROM cut)
+        SELECT factory_id, oven_id,
+               strftime(opened, '%Y-%m-%dT%H_%M_%S') || '--' || strftime(opened + INTERVAL 6 HOUR, '%Y-%m-%dT%H_%M_%S')
+                   AS archive_window,
+               min(ts) AS start_ts, max(ts) AS end_ts, max(productHumidity) AS "productHumidity",
+               count(*) AS n_rows, {_means('avg_{m}')}
+        FROM marked WHERE marker IS NOT NULL GROUP BY factory_id, oven_id, opened, marker""",
     "burst_counts": """
         SELECT CASE WHEN event_type = 'purchase' THEN 'lab' ELSE 'sensor' END AS topic,
                date_trunc('hour', ts) AS burst, count(*) AS n_rows

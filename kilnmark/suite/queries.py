@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilnmark.functions import (
+    archive_window,
     display_time,
     is_on,
     local_time,
@@ -404,6 +405,15 @@ def archive_daily_counts(spark, sf_dir):
     return counts.select("archive_day", *DEVICE, "n_rows", label.alias("label"))
 
 
+def archive_windows(spark, sf_dir):
+    """Segments of archives cut every six hours, named by their window."""
+    events = feeds.archive_rows(_events(spark, sf_dir))
+    cut = events.select("*", archive_window("ts", "6 hours").alias("archive_window"))
+    segments = segment_averages(cut, EVENT_METERS, within=("archive_window",))
+    return segments.select(*DEVICE, "archive_window", "start_ts", "end_ts", LAB, "n_rows",
+                           *_rounded(EVENT_COLUMNS.values()))
+
+
 def burst_counts(spark, sf_dir):
     """Rows published per feed and hour."""
     kind = F.when(F.col("event_type") == feeds.LAB_TYPE, "lab").otherwise("sensor").alias("topic")
@@ -596,6 +606,7 @@ QUERIES = {
     "running_items": running_items,
     "display_time": display_times,
     "archive_daily_counts": archive_daily_counts,
+    "archive_windows": archive_windows,
     "burst_counts": burst_counts,
     "sql_view": sql_view,
     "preview": preview,

@@ -74,6 +74,38 @@ def test_archive_appends_closed_rows_once(spark, dirs):
     assert {r["archive_day"] for r in spark.read.parquet(out).collect()} == {START.date()}
 
 
+def test_archive_can_be_cut_by_windows(spark, dirs):
+    source, out, checkpoint = dirs
+    schema = spark.createDataFrame([], SCHEMA).schema
+    arrive(spark, [row(0, 1, 1.0), row(0.2, 2, 2.0), row(0.3, 3, 3.0), row(9, 4, 4.0)], source)
+    lab = file_feed(spark, source, schema).where("false").withColumnRenamed("m", LAB)
+    merged = jobs.merge_stream(file_feed(spark, source, schema), lab, ["m"], delay="1 hour")
+    jobs.finish(jobs.start_archive(merged, out, checkpoint, width="15 minutes"), 120)
+    labels = {r["archive_window"]: r["count"] for r in spark.read.parquet(out).groupBy("archive_window").count().collect()}
+    assert labels == {"2014-05-21T00_00_00--2014-05-21T00_15_00": 2, "2014-05-21T00_15_00--2014-05-21T00_30_00": 1}
+
+
+def test_arrival_time_windows(spark, tmp_path):
+    """The same operator on the time a message arrived instead of the time it carries."""
+    from kilnmark.sources.messages import read_sensor
+    from kilnmark.streaming.feeds import file_messages, with_device
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    line = "2014-06-05T06:01:00-04:00,1,47.5,14.5,50.2,38.65,29.9,60.05"
+    spark.createDataFrame([(line,)], "value string").write.text(source)
+    rows, _ = read_sensor(with_device(file_messages(spark, source)), keep=[*DEVICE, "seq", "ingest_ts"])
+    means = jobs.running_stream(rows, METERS, ts="ingest_ts", size="1 day", slide="1 day", long=False)
+    jobs.finish(jobs.start_upserts(means, jobs.table_sink(out, ()), str(tmp_path / "cp")), 120)
+    found = spark.read.parquet(out).first()
+    assert found["window_start"].year > 2014 and found["temperatureProcess2"] == 60.05
+
+
+def test_empty_batch_publishes_nothing(spark, dirs):
+    _, out, sent = dirs
+    frame = running_table(spark.createDataFrame([], SCHEMA), ["m"]).select(*DEVICE, "window_start", "window_end",
+                                                                           F.lit("m").alias("meter"), F.col("m").alias("avg"))
+    jobs.averages_sink(out, lambda batch, n: pytest.fail("published"))(frame, 0)
+
+
 def test_repeated_batch_changes_nothing(spark, dirs):
     _, out, _ = dirs
     frame = running_table(spark.createDataFrame([row(0.5, 1, 10.0)], SCHEMA), ["m"])
