@@ -10,5 +10,6 @@ from kilnmark.operators.running import (
     running_table,
 )
 from kilnmark.operators.segments import first_marker_day, interval, markers, segment_averages, segment_table
+from kilnmark.operators.skew import join_spread
 
 __all__ = [name for name in dir() if not name.startswith("_")]

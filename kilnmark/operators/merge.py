@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kilnmark.operators.skew import join_spread
 from kilnmark.schemas import DEVICE, LAB, METERS
 
 
@@ -87,17 +88,12 @@ def duplicate_summary(
         F.min(marker).alias("lab_min"), F.max(marker).alias("lab_max"))
 
 
-def duplicate_rows(events: DataFrame, by: Sequence[str] = DEVICE, ts: str = "ts", order: str = "seq",
-                   spread: int = 32) -> DataFrame:
+def duplicate_rows(events: DataFrame, by: Sequence[str] = DEVICE, ts: str = "ts", order: str = "seq") -> DataFrame:
     """The events that share their ``(by, ts)`` with another one, with the group's size ``n_rows``.
 
     A window count would gather each group in one task. Here groups are counted
-    (combined before the shuffle) and joined back, with the events of a group
-    dealt out over ``spread`` salts and its count present under each of them.
+    (combined before the shuffle) and joined back, each dealt out over many tasks.
     """
     keys = [*by, ts]
-    salt = F.pmod(F.hash(order), F.lit(spread)).alias("__salt")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("__salt")
-    repeated = (events.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-                .where("n_rows > 1").select("*", salts))
-    return events.select("*", salt).join(repeated, [*keys, "__salt"]).drop("__salt")
+    repeated = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+    return join_spread(events, repeated, keys, [order])

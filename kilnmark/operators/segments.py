@@ -118,7 +118,8 @@ def segment_averages(
     """``(by, within, start_ts, end_ts, marker, n_rows, avg_<meter>…)``, one row per marker.
 
     ``within=()`` lets segments run across midnight. ``one_row_per_ts`` skips
-    step 1 for rows that are unique per device and timestamp, as an archive is.
+    step 1 for rows that are unique per device and timestamp, as an archive is;
+    results do not depend on it, only the bound on group sizes does.
     ``local`` names the wall clock that belongs to ``ts``: rows are compared by
     ``ts``, and ``start_local`` and ``end_local`` say what the clock showed.
     ``slice_width`` bounds the largest group: shorten it for feeds with very

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kilnmark.operators.latest import last_write
 from kilnmark.operators.segments import first_marker_day, segment_averages, segment_table
+from kilnmark.operators.skew import join_spread
 from kilnmark.schemas import DEVICE, LAB, MERGED, METERS, SEGMENT_COLUMNS
 from kilnmark.sources.archive import PART, from_records, read_archive
 from kilnmark.sources.tables import BATCH, append_batch, read_table, replace_days
@@ -28,13 +29,12 @@ def analyse_files(archive: DataFrame, meters: Sequence[str] = METERS, columns: M
                   one_row_per_ts: bool = True, local: str | None = None) -> DataFrame:
     """Segments of every file on its own, wherever the files were cut.
 
-    The date of the keys is that of the file's first marker. That lookup has
-    one row per device and file; adaptive execution broadcasts it only if its
-    measured size allows.
+    The date of the keys is that of the file's first marker: one lookup row per
+    device and file.
     """
     segments = segment_averages(archive, meters, by, (unit,), ts, one_row_per_ts=one_row_per_ts, local=local)
     first = first_marker_day(archive, by, (unit,), ts, local=local)
-    return segment_table(segments.join(first, [*by, unit]), "key_day", columns, by)
+    return segment_table(join_spread(segments, first, [*by, unit], ["end_ts"]), "key_day", columns, by)
 
 
 def analyse_across_midnight(rows: DataFrame, meters: Sequence[str] = METERS,

@@ -79,6 +79,8 @@ def test_unique_rows_need_no_first_step(spark):
     rows = list({(r[1], r[2]): r for r in random_rows(6, 300, 2, 3, 0.1)}.values())
     assert run(spark, rows, one_row_per_ts=True) == loop(rows)
     assert run(spark, rows, False, one_row_per_ts=True) == loop(rows, False)
+    copies = random_rows(7, 200, 2, 3, 0.2, copies=40)
+    assert run(spark, copies, one_row_per_ts=True) == loop(copies)
 
 
 def minutes(*marks, lab=7.8):
