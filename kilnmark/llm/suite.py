@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from kilnmark.llm import chat, quality
+from kilnmark.llm import bpe, chat, langid, packing, quality
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
+    "op3_bpe": bpe.op3_bpe,
     "op5_quality_rules": quality.op5_quality_rules,
     "op9_chat_format": chat.op9_chat_format,
+    "op10_language_id": langid.op10_language_id,
 }
 ORACLE = {
     "op5_quality_rules": quality.ORACLE,
