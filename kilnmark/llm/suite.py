@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from kilnmark.llm import bpe, chat, langid, packing, quality
+from kilnmark.llm import bpe, chat, htmltext, langid, packing, quality, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op3_bpe": bpe.op3_bpe,
+    "op4_html_text": htmltext.op4_html_text,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op6_warc": warc.op6_warc,
     "op9_chat_format": chat.op9_chat_format,
     "op10_language_id": langid.op10_language_id,
 }
 ORACLE = {
     "op5_quality_rules": quality.ORACLE,
+    "op6_warc": warc.ORACLE,
     "op9_chat_format": chat.ORACLE,
 }
