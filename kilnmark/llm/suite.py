@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from kilnmark.llm import bpe, chat, htmltext, langid, packing, quality, warc
+from kilnmark.llm import bpe, chat, htmltext, langid, ngram_join, packing, quality, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_ngram_join": ngram_join.op2_ngram_join,
     "op3_bpe": bpe.op3_bpe,
     "op4_html_text": htmltext.op4_html_text,
     "op5_quality_rules": quality.op5_quality_rules,
