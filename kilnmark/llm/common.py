@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,3 +114,73 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     inside lambdas even per element. A generator of one row is a border for the optimizer.
     """
     return df.drop(*columns).select("*", F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
+
+
+#: Slots of one bucket, so that a slot within it takes two bytes.
+BUCKET_SLOTS = 1 << 16
+
+
+def pack_slots(slots: np.ndarray) -> pa.RecordBatch:
+    """Slot numbers as rows (bucket, slots): two bytes for each slot."""
+    slots = np.sort(slots.astype(np.uint64))
+    bucket = (slots >> np.uint64(16)).astype(np.int64)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    cuts = np.append(first, len(slots))
+    short = (slots & np.uint64(0xFFFF)).astype("<u2")
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[first], pa.int32()),
+         pa.array([short[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], ["bucket", "slots"])
+
+
+def flag_slots(packed: DataFrame, bits: int, least: int, times_mean: float = 0.0) -> np.ndarray:
+    """A packed bit for each of 2^``bits`` slots: does it stand in ``packed`` often enough?
+
+    Often enough is ``least`` times, and more than ``times_mean`` times the mean of its
+    bucket. All rows count. Buckets are cut by hash values and so are even; a task adds up
+    one bucket after the other in bounded memory. The result has the same size for any
+    corpus and is all that the driver gets.
+    """
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("slots").to_pylist()):
+                if bucket not in total:
+                    total[bucket] = np.zeros(BUCKET_SLOTS, np.uint32)
+                slots, many = np.unique(np.frombuffer(data, "<u2"), return_counts=True)
+                total[bucket][slots] += many.astype(np.uint32)
+        for bucket, count in total.items():
+            enough = count >= max(least, times_mean * count.mean())
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(enough).tobytes()], pa.binary())],
+                                             ["bucket", "bits"])
+
+    flags = packed.repartition("bucket").mapInArrow(add, "bucket int, bits binary")
+    out = np.zeros((1 << (bits - 16), BUCKET_SLOTS // 8), np.uint8)
+    for row in flags.toLocalIterator():
+        out[row.bucket] = np.frombuffer(row.bits, np.uint8)
+    return out.reshape(-1)
+
+
+def is_flagged(flags: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    at = slots.astype(np.int64)
+    return ((flags[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+
+
+#: Inputs of the rolling hashes: a value per byte, and an odd factor per position.
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+_powers: dict[bool, np.ndarray] = {}
+
+
+def powers(n: int, inverse: bool = False) -> np.ndarray:
+    """The first ``n`` powers of the factor, or of its inverse, modulo 2^64."""
+    if inverse not in _powers or len(_powers[inverse]) < n:
+        steps = np.full(max(n, 1 << 16), _INVERSE if inverse else FACTOR)
+        steps[0] = 1
+        _powers[inverse] = np.multiply.accumulate(steps)
+    return _powers[inverse][:n]
+
+
+def running_sums(data: np.ndarray) -> np.ndarray:
+    """Sums of byte value times power; a difference times the inverse power at its start is a hash of the bytes between."""
+    return np.concatenate([[np.uint64(0)], np.cumsum(BYTE_VALUES[data] * powers(len(data)))])

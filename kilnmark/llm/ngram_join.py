@@ -21,40 +21,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kilnmark.llm.common import components, durable, mix, table
+from kilnmark.llm.common import (FACTOR, components, durable, flag_slots, is_flagged, mix, pack_slots, powers, running_sums,
+                                 table)
 
 WORDS = 5
 #: A link needs DEN * overlap >= NUM * (size + size), which is a Jaccard similarity of 0.8 or more.
 NUM, DEN = 4, 9
 FRAGMENTS = 8
 #: Slots that count how many documents hold an n-gram; n-grams above LOW of the hash range are not counted.
-SLOT_BITS, BUCKET_BITS, LOW = 24, 8, 0.35
-#: A slot is frequent over MIN_FREQUENT documents and four times the mean of all slots.
+SLOT_BITS, LOW = 24, 0.35
+#: A slot is frequent from MIN_FREQUENT documents and four times the mean of its bucket's slots.
 MIN_FREQUENT = 16
 #: Bits of the filter for the documents whose sets are needed.
 NEEDED_BITS = 23
 STAR_ROUNDS = 3
 
-_MUL = np.uint64(0x9E3779B97F4A7C15)
-_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
-    if name not in _powers or len(_powers[name]) < n:
-        _powers[name] = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(max(n, 1 << 16) - 1, base)]))
-    return _powers[name][:n]
-
-
 def _word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of every word of ASCII-lower-cased bytes."""
     data = np.frombuffer(text, np.uint8)
     space = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[data] * _power("up", _MUL, len(data)))])
-    return mix((sums[end] - sums[start]) * _power("down", _INV, len(data) + 1)[start]
+    sums = running_sums(data)
+    return mix((sums[end] - sums[start]) * powers(len(data) + 1, inverse=True)[start]
                ^ (end - start).astype(np.uint64)), start
 
 
@@ -93,7 +82,7 @@ def _sets(batches, width: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
 def _print(grams: np.ndarray) -> tuple[int, int, int]:
     """Size and two sums over a set; equal for equal sets."""
     return len(grams), int(grams.sum(dtype=np.uint64).astype(np.int64)), int(
-        mix(grams ^ _MUL).sum(dtype=np.uint64).astype(np.int64))
+        mix(grams ^ FACTOR).sum(dtype=np.uint64).astype(np.int64))
 
 
 def _fresh_sets(batches, width: int):
@@ -120,65 +109,20 @@ def describe(docs: DataFrame, width: int = WORDS) -> DataFrame:
 
 
 def frequent_slots(docs: DataFrame, width: int = WORDS) -> np.ndarray:
-    """A bit per slot of the low hash range: does it hold many n-grams of documents?
+    """A bit per slot of the low hash range: do many documents hold n-grams of the slot?
 
-    Counts cover all documents. They are summed per bucket of slots, first under a salt of
-    the task; what reaches the driver is one bit per slot, whatever the corpus. The bits shape
-    the global order only, so they cannot change a result.
+    The counts cover all documents. The bits shape the global order only, so they cannot
+    change a result.
     """
-    low, inner = 1 << (SLOT_BITS - BUCKET_BITS), np.uint64(SLOT_BITS - BUCKET_BITS)
     step = np.uint64(int(LOW * 2.0**64) >> SLOT_BITS)
 
     def slots(batches):
-        for _, sets in _fresh_sets(batches, width):
-            grams = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            slot = grams // step
-            slot = np.sort(slot[slot < np.uint64(1 << SLOT_BITS)])
-            cuts = np.searchsorted(slot, np.arange(0, (1 << SLOT_BITS) + 1, low, dtype=np.uint64))
-            short = (slot & np.uint64(low - 1)).astype("<u2")
-            full = np.flatnonzero(np.diff(cuts))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(full, pa.int32()), pa.array([short[cuts[k]:cuts[k + 1]].tobytes() for k in full], pa.binary())],
-                ["bucket", "slots"])
-
-    def add(batches, kind: str):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = np.frombuffer(data, kind)
-                count = np.bincount(own, minlength=low) if kind == "<u2" else own
-                total[bucket] = total[bucket] + count if bucket in total else count.copy()
-        for bucket, count in total.items():
-            yield bucket, count.astype("<i8")
-
-    def partial(batches):
-        for bucket, count in add(batches, "<u2"):
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([count.tobytes()], pa.binary())],
-                                             ["bucket", "counts"])
-
-    def final(batches):
-        for bucket, count in add(batches, "<i8"):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int32()), pa.array([int(count.sum())], pa.int64()),
-                 pa.array([np.minimum(count, 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary())], ["bucket", "n", "counts"])
-
-    def bits(batches):
         for batch in batches:
-            for bucket, limit, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "limit", "counts"))):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket], pa.int32()), pa.array([np.packbits(np.frombuffer(data, "<u4") > limit).tobytes()], pa.binary())],
-                    ["bucket", "bits"])
+            grams = [s for _, sets in _fresh_sets([batch], width) for s in sets]
+            slot = np.concatenate(grams) // step if grams else np.zeros(0, np.uint64)
+            yield pack_slots(slot[slot < np.uint64(1 << SLOT_BITS)])
 
-    salted = docs.mapInArrow(slots, "bucket int, slots binary").withColumn("salt", F.spark_partition_id() % 16)
-    summed = (salted.repartition("bucket", "salt").select("bucket", "slots").mapInArrow(partial, "bucket int, counts binary")
-              .repartition("bucket").mapInArrow(final, "bucket int, n long, counts binary"))
-    summed = durable(summed, "slot-counts")
-    mean = (summed.agg(F.sum("n")).first()[0] or 0) / (1 << SLOT_BITS)
-    flags = summed.withColumn("limit", F.lit(int(max(MIN_FREQUENT, 4 * mean)))).mapInArrow(bits, "bucket int, bits binary")
-    out = np.zeros((1 << BUCKET_BITS, low // 8), np.uint8)
-    for row in flags.collect():
-        out[row.bucket] = np.frombuffer(row.bits, np.uint8)
-    return out.reshape(-1)
+    return flag_slots(docs.mapInArrow(slots, "bucket int, slots binary"), SLOT_BITS, MIN_FREQUENT, 4)
 
 
 def prefixes(docs: DataFrame, flags: np.ndarray, width: int = WORDS) -> DataFrame:
@@ -193,8 +137,7 @@ def prefixes(docs: DataFrame, flags: np.ndarray, width: int = WORDS) -> DataFram
             for doc, s in zip(ids, sets):
                 slot = s // step
                 counted = slot < np.uint64(1 << SLOT_BITS)
-                at = np.where(counted, slot, np.uint64(0)).astype(np.int64)
-                frequent = counted & ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+                frequent = counted & is_flagged(bits, np.where(counted, slot, np.uint64(0)))
                 # Pairs over the threshold miss at most a fifth of either set.
                 n = len(s)
                 first = np.concatenate([np.flatnonzero(~frequent), np.flatnonzero(frequent)])[:n - (4 * n + 4) // 5 + 1]
