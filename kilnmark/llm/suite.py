@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kilnmark.llm import bpe, chat, htmltext, langid, ngram_join, packing, quality, suffix_dedup, warc
+from kilnmark.llm import bpe, chat, cover_tree, htmltext, langid, ngram_join, packing, quality, suffix_dedup, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_html_text": htmltext.op4_html_text,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_warc": warc.op6_warc,
+    "op7_embedding_dedup": cover_tree.op7_embedding_dedup,
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_chat_format": chat.op9_chat_format,
     "op10_language_id": langid.op10_language_id,
