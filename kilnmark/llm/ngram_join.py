@@ -34,7 +34,9 @@ SLOT_BITS, LOW = 24, 0.35
 MIN_FREQUENT = 16
 #: Bits of the filter for the documents whose sets are needed.
 NEEDED_BITS = 23
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
+#: Words of 64 bits in the parity sketch of a set: bit k is the parity of its n-grams in the k-th fine fragment.
+SKETCH = [f"p{k}" for k in range(8)]
 
 def _word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of every word of ASCII-lower-cased bytes."""
@@ -85,6 +87,21 @@ def _print(grams: np.ndarray) -> tuple[int, int, int]:
         mix(grams ^ FACTOR).sum(dtype=np.uint64).astype(np.int64))
 
 
+def _sketch(grams: np.ndarray) -> np.ndarray:
+    bits = 64 * len(SKETCH)
+    return np.packbits(np.bincount((grams % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).view(np.int64)
+
+
+def _near(n: str, p: str, other_n: str, q: str) -> Column:
+    """An exact bound: sketches differ in no more bits than sets in n-grams, and links in a ninth of both sizes."""
+    differ = " + ".join(f"bit_count({x.replace('p', p)} ^ {x.replace('p', q)})" for x in SKETCH)
+    return F.expr(f"{DEN} * ({differ}) <= ({DEN} - 2 * {NUM}) * ({n} + {other_n})")
+
+
+def _renamed(letter: str) -> list[Column]:
+    return [F.col(x).alias(x.replace("p", letter)) for x in SKETCH]
+
+
 def _fresh_sets(batches, width: int):
     """Like _sets, but a set that this task has met already is left out."""
     seen = set()
@@ -98,14 +115,17 @@ def _fresh_sets(batches, width: int):
 
 
 def describe(docs: DataFrame, width: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles and the two sums that tell sets apart, for every row."""
+    """doc_id, n_shingles, the two sums that tell sets apart, and the parity sketch, for every row."""
     def run(batches):
         for ids, sets in _sets(batches, width):
             rows = [_print(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3))],
-                                             ["doc_id", "n_shingles", "s1", "s2"])
+            sketches = np.array([_sketch(s) for s in sets], np.int64).reshape(-1, len(SKETCH))
+            yield pa.RecordBatch.from_arrays(
+                [ids, *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3)),
+                 *(pa.array(np.ascontiguousarray(sketches[:, k])) for k in range(len(SKETCH)))],
+                ["doc_id", "n_shingles", "s1", "s2", *SKETCH])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, " + ", ".join(f"{x} long" for x in SKETCH))
 
 
 def frequent_slots(docs: DataFrame, width: int = WORDS) -> np.ndarray:
@@ -126,14 +146,14 @@ def frequent_slots(docs: DataFrame, width: int = WORDS) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, flags: np.ndarray, width: int = WORDS) -> DataFrame:
-    """(key, doc, n, hot) for the n-grams in the prefix of each set; hot: frequent, or not counted."""
+    """(key, doc, n, pos, hot) for the n-grams in the prefix of each set; hot: frequent, or not counted."""
     step = np.uint64(int(LOW * 2.0**64) >> SLOT_BITS)
     shared = docs.sparkSession.sparkContext.broadcast(flags)
 
     def run(batches):
         bits = shared.value
         for ids, sets in _fresh_sets(batches, width):
-            keys, rows, sizes, hots = [], [], [], []
+            keys, rows, sizes, places, hots = [], [], [], [], []
             for doc, s in zip(ids, sets):
                 slot = s // step
                 counted = slot < np.uint64(1 << SLOT_BITS)
@@ -143,12 +163,23 @@ def prefixes(docs: DataFrame, flags: np.ndarray, width: int = WORDS) -> DataFram
                 first = np.concatenate([np.flatnonzero(~frequent), np.flatnonzero(frequent)])[:n - (4 * n + 4) // 5 + 1]
                 keys.append(s[first]), hots.append((frequent | ~counted)[first])
                 rows.append(np.full(len(first), doc, np.int64)), sizes.append(np.full(len(first), n, np.int32))
+                places.append(np.arange(len(first), dtype=np.int32))
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(rows)),
-                     pa.array(np.concatenate(sizes)), pa.array(np.concatenate(hots))], ["key", "doc", "n", "hot"])
+                     pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places)), pa.array(np.concatenate(hots))],
+                    ["key", "doc", "n", "pos", "hot"])
 
-    return docs.mapInArrow(run, "key long, doc long, n int, hot boolean")
+    return docs.mapInArrow(run, "key long, doc long, n int, pos int, hot boolean")
+
+
+def _may_link(n: str, pos: str, other_n: str, other_pos: str) -> Column:
+    """Can two documents link if this is the first n-gram of the order that they share?
+
+    Nothing before it is shared, so what lies behind must do. Every link passes at its first shared
+    n-gram, which stands in both prefixes.
+    """
+    return F.expr(f"{DEN} * least({n} - {pos}, {other_n} - {other_pos}) >= {NUM} * ({n} + {other_n})")
 
 
 def _cold_pairs(rows: DataFrame) -> DataFrame:
@@ -156,7 +187,7 @@ def _cold_pairs(rows: DataFrame) -> DataFrame:
     def run(batches):
         held = None
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in ("key", "doc", "n")]
+            now = [batch.column(c).to_numpy() for c in ("key", "doc", "n", "pos")]
             now = now if held is None else [np.concatenate([h, x]) for h, x in zip(held, now)]
             if not len(now[0]):
                 continue
@@ -166,29 +197,28 @@ def _cold_pairs(rows: DataFrame) -> DataFrame:
         if held is not None:
             yield from pairs(*held)
 
-    def pairs(key, doc, n):
+    def pairs(key, doc, n, pos):
         # Rows i and i + d are a pair as long as they share the key, for one distance d after the other.
         d, at = 1, np.arange(len(key) - 1)
         while len(at):
             at = at[at + d < len(key)]
             at = at[key[at] == key[at + d]]
             a, b = at, at + d
-            fits = (5 * n[a] >= 4 * n[b]) & (5 * n[b] >= 4 * n[a]) & (doc[a] != doc[b])
+            fits = (DEN * np.minimum(n[a] - pos[a], n[b] - pos[b]) >= NUM * (n[a] + n[b])) & (doc[a] != doc[b])
             if fits.any():
                 x, y = doc[a[fits]], doc[b[fits]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
             d += 1
 
-    dealt = rows.where("not hot").select("key", "doc", "n").repartition("key").sortWithinPartitions("key")
+    dealt = rows.where("not hot").select("key", "doc", "n", "pos").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 class _Verifier:
     """Tells which pairs of class representatives are links, fragment by fragment."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, width: int):
+    def __init__(self, docs: DataFrame, width: int):
         self.docs, self.width = docs, width
-        self.reps = classes
 
     def fragments(self, wanted: DataFrame) -> DataFrame:
         """(doc, f, grams) of the documents in ``wanted`` (column doc)."""
@@ -247,44 +277,52 @@ class _Verifier:
 
 
 def _to_reps(pairs: DataFrame, rep_of: DataFrame) -> DataFrame:
-    """Pairs between class representatives, each once, without pairs inside a class."""
-    named = (pairs.join(rep_of.select(F.col("doc_id").alias("a"), F.col("rep").alias("ra")), "a")
-             .join(rep_of.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb")), "b").where("ra <> rb"))
+    """Pairs between class representatives, each once, without those inside a class or too far apart by their sketches."""
+    def side(name: str, letter: str) -> DataFrame:
+        return rep_of.select(F.col("doc_id").alias(name), F.col("rep").alias(f"r{name}"), F.col("n_shingles").alias(f"n{name}"),
+                             *_renamed(letter))
+
+    named = pairs.join(side("a", "u"), "a").join(side("b", "w"), "b").where("ra <> rb").where(_near("na", "u", "nb", "w"))
     return named.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
 
 
 def _hot_links(hot: DataFrame, links: DataFrame, verify: _Verifier) -> DataFrame:
     """Links that join what frequent keys hold together, on top of ``links``.
 
-    ``hot`` has (key, doc, n) of representatives. In each round, the members of a
-    key's group that lie outside the component of its representative are compared with it; the
-    representatives differ from key to key. What is still apart after the rounds is compared pair
-    by pair, so nothing that could join two components is left out.
+    ``hot`` has (key, doc, n, pos and the sketch) of representatives. In each round, the members of a key's group
+    that lie outside the component of its centre are compared with it; the centre has the key near the
+    front, so it holds little that others lack. What is still apart after the rounds is compared with all of
+    the group, so nothing that could join two components is left out.
     """
     found, tested = links, None
     for turn in range(STAR_ROUNDS + 1):
         label = components(found)
         named = (hot.join(label.withColumnRenamed("id", "doc"), "doc", "left")
                  .withColumn("c", F.coalesce("component_id", "doc")).drop("component_id"))
+        # Later rounds shuffle the order, so that other members become centres.
+        order = F.col("pos") if turn == 0 else F.pmod(F.xxhash64("doc", "key", F.lit(turn)), F.lit(1 + 2 * turn))
         per_key = (named.groupBy("key").agg(
             F.min("c").alias("c0"), F.max("c").alias("c1"),
-            F.min(F.struct(F.xxhash64("doc", "key", F.lit(turn)).alias("h"), "doc", "c", "n")).alias("r"))
-            .where("c0 < c1").select("key", F.col("r.doc").alias("other"), F.col("r.c").alias("oc"), F.col("r.n").alias("on")))
+            F.min(F.struct(order.alias("h"), "pos", "doc", "c", "n", *SKETCH)).alias("r"))
+            .where("c0 < c1").select("key", F.col("r.doc").alias("other"), F.col("r.c").alias("oc"), F.col("r.n").alias("on"),
+                                     F.col("r.pos").alias("opos"), *(F.col(f"r.{x}").alias(x.replace("p", "q")) for x in SKETCH)))
         per_key = durable(per_key, "ngram-open")
         if per_key.isEmpty():
             break
         live = durable(named.join(per_key, "key"), "ngram-live")
-        hot = live.select("key", "doc", "n")  # keys whose members are together already are done with
+        hot = live.select("key", "doc", "n", "pos", *SKETCH)  # keys whose members are together already are done with
+        outside = live.where("c <> oc")
         if turn < STAR_ROUNDS:
             # Two keys of each document per round: enough for most, and linear.
-            nth = F.row_number().over(Window.partitionBy("doc").orderBy(F.xxhash64("key", F.lit(turn)), "key"))
-            few = live.where("c <> oc").withColumn("nth", nth).where("nth <= 2")
-            pairs = few.where("5 * n >= 4 * on and 5 * on >= 4 * n").select(
-                F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b"))
+            nth = F.row_number().over(Window.partitionBy("doc").orderBy("pos", "key"))
+            few = outside.where(_may_link("n", "pos", "on", "opos") & _near("n", "p", "on", "q")).withColumn("nth", nth).where("nth <= 2")
+            pairs = few.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b"))
         else:
-            left = live.select("key", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"))
-            right = live.select("key", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"))
-            pairs = (left.join(right, "key").where("cx < cy and 5 * nx >= 4 * ny and 5 * ny >= 4 * nx")
+            left = outside.select("key", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("c").alias("cx"),
+                                  *_renamed("u"))
+            right = live.select("key", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("c").alias("cy"),
+                                *_renamed("w"))
+            pairs = (left.join(right, "key").where(F.expr("cx <> cy") & _may_link("nx", "px", "ny", "py") & _near("nx", "u", "ny", "w"))
                      .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
         pairs = pairs.distinct()
         if tested is not None:
@@ -307,13 +345,15 @@ def ngram_components(docs: DataFrame, width: int = WORDS) -> DataFrame:
     linked = docs.where("doc_id is not null")
     same = ["n_shingles", "s1", "s2"]
     reps = info.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    known = durable(info.join(reps, same, "left"), "ngram-classes")
-    rep_of = known.where("rep is not null").select("doc_id", "rep").distinct()
+    # Stored first, so that both sides of the join come from a shuffle and a busy class can be split.
+    known = durable(info.join(durable(reps, "ngram-reps"), same, "left"), "ngram-classes")
+    rep_of = known.where("rep is not null").select("doc_id", "rep", "n_shingles", *SKETCH).distinct()
     rows = prefixes(linked, frequent_slots(linked, width), width)
     rows = durable(rows.where("hot"), "ngram-hot"), rows
-    verify = _Verifier(linked, reps, width)
+    verify = _Verifier(linked, width)
     links = verify.links(_to_reps(_cold_pairs(rows[1]), rep_of))
-    hot = (rows[0].join(rep_of.withColumnRenamed("doc_id", "doc"), "doc").select("key", F.col("rep").alias("doc"), "n").distinct())
+    hot = (rows[0].join(rep_of.withColumnRenamed("doc_id", "doc"), "doc")
+           .select("key", F.col("rep").alias("doc"), "n", "pos", *SKETCH).distinct())
     links = _hot_links(durable(hot, "ngram-hot"), links, verify)
     # Documents of a class hang below its representative; an id that repeats may join classes.
     edges = links.union(rep_of.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
