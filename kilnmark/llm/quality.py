@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from kilnmark.llm.common import SPACE, empty_text, once, table
 
 SYMBOLS = "#*$%&|<>"
+SAMPLE_BYTES = 20_000
 _NOT_SPACE = f"[^{SPACE}]"
 
 
@@ -110,16 +111,19 @@ def order_rules(sample: DataFrame, rules: list[Rule]) -> list[Rule]:
 
 
 def judge(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None,
-          sample_rows: int = 1000) -> DataFrame:
+          sample_rows: int = 500) -> DataFrame:
     """Base columns, ``rejected_by`` (null: kept) and ``kept``; every row of ``docs`` comes back.
 
-    ``sample_rows`` bounds the sample that orders the rules; verdicts do not depend on it.
+    ``sample_rows`` rows of at most ``SAMPLE_BYTES`` bytes order the rules; verdicts do not depend on them.
     Columns of ``docs`` keep their place unless they bear the name of a result.
     """
     rules = default_rules(text) if rules is None else rules
     counted = base_counts(docs, text)
-    few = docs.limit(sample_rows)
-    ordered = order_rules(base_counts(few, text), rules) if len(rules) > 1 else rules
+    ordered = rules
+    if len(rules) > 1:
+        # take() reads as few partitions as it needs; a limit would send this many rows from each of them.
+        few = docs.where(F.octet_length(empty_text(text)) <= SAMPLE_BYTES).take(sample_rows)
+        ordered = order_rules(base_counts(docs.sparkSession.createDataFrame(few, docs.schema), text), rules)
     verdict = F.when(F.col("base_failed"), F.lit("base"))
     for rule in ordered:
         verdict = verdict.when(F.coalesce(rule.rejects, F.lit(False)), F.lit(rule.name))
