@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilnmark.llm import langid, ngram_join, packing, quality, suffix_dedup
-from kilnmark.llm.common import durable, table
+from kilnmark.llm.common import bounded_batches, durable, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A language named with less certainty than this rejects the document.
@@ -24,6 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the net names with some certainty; it learns on the rows given here."""
+    bounded_batches(spark)
     told = langid.predict(docs.select(*COLUMNS), langid.train(docs.select("doc_id", "lang", "text")))
     return told.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
@@ -34,6 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows without a doc_id link with nothing and stay. Rows that repeat a doc_id are one document:
     the least of them in the order of the other columns stays.
     """
+    bounded_batches(spark)
     first = (ngram_join.ngram_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct())
     rows = docs.select(*COLUMNS)
     kept = rows.join(first, F.col("doc_id") == F.col("__keep"), "left_semi")
@@ -43,12 +45,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes that a document of smaller doc_id holds in a repeated string."""
+    bounded_batches(spark)
     cut = suffix_dedup.cut_texts(suffix_dedup.dedup(docs.select(*COLUMNS)))
     return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in the packed sequences."""
+    bounded_batches(spark)
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kilnmark.llm.common import empty_text, encoding, table
+from kilnmark.llm.common import released, empty_text, encoding, table
 
 CHUNK, OVERLAP = 65536, 1024
 
@@ -73,7 +73,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
                 ids = [enc.encode_ordinary(x) for x in part.column("__text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), _ids(ids)], [*rest, "ids"])
 
-    short = rows.where(F.length("__text") <= chunk).mapInArrow(whole, out)
+    short = rows.where(F.length("__text") <= chunk).mapInArrow(released(whole), out)
     return short.unionByName(_encode_long(rows.where(F.length("__text") > chunk), rest, path, pattern, chunk, overlap))
 
 
@@ -105,7 +105,7 @@ def _encode_long(rows: DataFrame, rest: list[str], path: str, pattern: str, chun
                     [*part.columns, pa.array(heads, ints), pa.array(tails, ints)],
                     ["__key", "no", "n", "part", "head", "tail"])
 
-    marked = cut.mapInArrow(borders, "__key string, no int, n int, part string, head array<int>, tail array<int>")
+    marked = cut.mapInArrow(released(borders), "__key string, no int, n int, part string, head array<int>, tail array<int>")
     order = Window.partitionBy("__key").orderBy("no")
     everything = Window.partitionBy("__key")
     # Where this chunk starts to count, and where the next one takes over.
@@ -129,7 +129,7 @@ def _encode_long(rows: DataFrame, rest: list[str], path: str, pattern: str, chun
                 ids = [enc.encode_ordinary(x) for x in part.column("piece").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("__key"), part.column("no"), _ids(ids)], ["__key", "no", "ids"])
 
-    coded = synced.unionByName(joined).repartition("__key", "no").mapInArrow(encode, "__key string, no int, ids array<int>")
+    coded = synced.unionByName(joined).repartition("__key", "no").mapInArrow(released(encode), "__key string, no int, ids array<int>")
     whole = coded.groupBy("__key").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("no", "ids"))),
                                                              lambda x: x["ids"])).alias("ids"))
     return keyed.select(*rest, "__key").join(whole, "__key").select(*rest, "ids")
@@ -155,7 +155,7 @@ def digest_ids(coded: DataFrame, path: str, pattern: str) -> DataFrame:
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return coded.select("doc_id", "ids").mapInArrow(
-        run, T.StructType([coded.schema["doc_id"], T.StructField("n_tokens", T.LongType()),
+        released(run), T.StructType([coded.schema["doc_id"], T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]))
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import base64
+import ctypes
 import functools
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,34 @@ from pyspark.sql import functions as F
 SPACE = r"\x20\x09-\x0D"
 
 
+#: Rows of an Arrow batch. A row may hold a whole text, so Spark's default of 10,000 rows is too many.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to ``BATCH_ROWS`` rows; a smaller one stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for mapInArrow, giving the task's memory back at its end: workers wait idle for a minute."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):
+                pass  # another C library: the memory stays with the worker
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -153,7 +182,7 @@ def flag_slots(packed: DataFrame, bits: int, least: int, times_mean: float = 0.0
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(enough).tobytes()], pa.binary())],
                                              ["bucket", "bits"])
 
-    flags = packed.repartition("bucket").mapInArrow(add, "bucket int, bits binary")
+    flags = packed.repartition("bucket").mapInArrow(released(add), "bucket int, bits binary")
     out = np.zeros((1 << (bits - 16), BUCKET_SLOTS // 8), np.uint8)
     for row in flags.toLocalIterator():
         out[row.bucket] = np.frombuffer(row.bits, np.uint8)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kilnmark.llm.common import table
+from kilnmark.llm.common import released, table
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>|</?[a-zA-Z][^>]*+>", re.S)
@@ -216,7 +216,7 @@ def extract(pages: DataFrame, column: str = "html") -> DataFrame:
                     [*(part.column(c) for c in rest), pa.array(texts, pa.string()),
                      pa.array([len(x) for x in texts], pa.int64())], [*rest, "text", "n_chars"])
 
-    return pages.select(*rest, column).mapInArrow(run, schema)
+    return pages.select(*rest, column).mapInArrow(released(run), schema)
 
 
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

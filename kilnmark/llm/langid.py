@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kilnmark.llm.common import table
+from kilnmark.llm.common import released, table
 
 WIDTHS, FILTERS, LENGTH = (2, 3, 4), 16, 128
 #: Bounds of the training sample: rows, and windows per row.
@@ -154,7 +154,7 @@ def predict(docs: DataFrame, net: ByteNet | None) -> DataFrame:
                 cols = [*(part.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(cols, [*kept, "lang_pred", "score"])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return docs.select(*kept).mapInArrow(released(run), schema)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,10 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kilnmark.llm.common import (FACTOR, components, durable, flag_slots, is_flagged, mix, pack_slots, powers, running_sums,
+from kilnmark.llm.common import (released, FACTOR, components, durable, flag_slots, is_flagged, mix, pack_slots, powers, running_sums,
                                  table)
 
 WORDS = 5
@@ -125,7 +126,7 @@ def describe(docs: DataFrame, width: int = WORDS) -> DataFrame:
                  *(pa.array(np.ascontiguousarray(sketches[:, k])) for k in range(len(SKETCH)))],
                 ["doc_id", "n_shingles", "s1", "s2", *SKETCH])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, " + ", ".join(f"{x} long" for x in SKETCH))
+    return docs.mapInArrow(released(run), "doc_id long, n_shingles long, s1 long, s2 long, " + ", ".join(f"{x} long" for x in SKETCH))
 
 
 def frequent_slots(docs: DataFrame, width: int = WORDS) -> np.ndarray:
@@ -142,13 +143,12 @@ def frequent_slots(docs: DataFrame, width: int = WORDS) -> np.ndarray:
             slot = np.concatenate(grams) // step if grams else np.zeros(0, np.uint64)
             yield pack_slots(slot[slot < np.uint64(1 << SLOT_BITS)])
 
-    return flag_slots(docs.mapInArrow(slots, "bucket int, slots binary"), SLOT_BITS, MIN_FREQUENT, 4)
+    return flag_slots(docs.mapInArrow(released(slots), "bucket int, slots binary"), SLOT_BITS, MIN_FREQUENT, 4)
 
 
-def prefixes(docs: DataFrame, flags: np.ndarray, width: int = WORDS) -> DataFrame:
+def prefixes(docs: DataFrame, shared: Broadcast, width: int = WORDS) -> DataFrame:
     """(key, doc, n, pos, hot) for the n-grams in the prefix of each set; hot: frequent, or not counted."""
     step = np.uint64(int(LOW * 2.0**64) >> SLOT_BITS)
-    shared = docs.sparkSession.sparkContext.broadcast(flags)
 
     def run(batches):
         bits = shared.value
@@ -170,7 +170,7 @@ def prefixes(docs: DataFrame, flags: np.ndarray, width: int = WORDS) -> DataFram
                      pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places)), pa.array(np.concatenate(hots))],
                     ["key", "doc", "n", "pos", "hot"])
 
-    return docs.mapInArrow(run, "key long, doc long, n int, pos int, hot boolean")
+    return docs.mapInArrow(released(run), "key long, doc long, n int, pos int, hot boolean")
 
 
 def _may_link(n: str, pos: str, other_n: str, other_pos: str) -> Column:
@@ -211,7 +211,7 @@ def _cold_pairs(rows: DataFrame) -> DataFrame:
             d += 1
 
     dealt = rows.where("not hot").select("key", "doc", "n", "pos").repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(released(run), "a long, b long").distinct()
 
 
 class _Verifier:
@@ -221,7 +221,7 @@ class _Verifier:
         self.docs, self.width = docs, width
 
     def fragments(self, wanted: DataFrame) -> DataFrame:
-        """(doc, f, grams) of the documents in ``wanted`` (column doc)."""
+        """(doc, f, grams) of the documents in ``wanted`` (column doc), stored."""
         spark, mask = self.docs.sparkSession, (1 << NEEDED_BITS) - 1
         slot = F.xxhash64("doc").bitwiseAND(F.lit(mask))
         # A filter of fixed size: 2^NEEDED_BITS bits in words of 32, whatever the number of documents.
@@ -249,13 +249,16 @@ class _Verifier:
 
         self_width = self.width
         marked = self.docs.withColumn("slot", F.xxhash64("doc_id").bitwiseAND(F.lit(mask)))
-        return marked.mapInArrow(run, "doc long, f int, grams array<bigint>").dropDuplicates(["doc", "f"])
+        found = durable(marked.mapInArrow(released(run), "doc long, f int, grams array<bigint>").dropDuplicates(["doc", "f"]),
+                        "ngram-fragments")
+        held.destroy()
+        return found
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of ``pairs`` with a similarity of 0.8 or more."""
         pairs = durable(pairs, "ngram-pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-        parts = durable(self.fragments(wanted), "ngram-fragments")
+        parts = self.fragments(wanted)
 
         def overlap(few: DataFrame, some: Column) -> DataFrame:
             """Partial overlap of each pair in each of the fragments, with the sizes there."""
@@ -348,10 +351,13 @@ def ngram_components(docs: DataFrame, width: int = WORDS) -> DataFrame:
     # Stored first, so that both sides of the join come from a shuffle and a busy class can be split.
     known = durable(info.join(durable(reps, "ngram-reps"), same, "left"), "ngram-classes")
     rep_of = known.where("rep is not null").select("doc_id", "rep", "n_shingles", *SKETCH).distinct()
-    rows = prefixes(linked, frequent_slots(linked, width), width)
+    flags = linked.sparkSession.sparkContext.broadcast(frequent_slots(linked, width))
+    rows = prefixes(linked, flags, width)
     rows = durable(rows.where("hot"), "ngram-hot"), rows
     verify = _Verifier(linked, width)
-    links = verify.links(_to_reps(_cold_pairs(rows[1]), rep_of))
+    cold = durable(_to_reps(_cold_pairs(rows[1]), rep_of), "ngram-cold")
+    flags.destroy()
+    links = verify.links(cold)
     hot = (rows[0].join(rep_of.withColumnRenamed("doc_id", "doc"), "doc")
            .select("key", F.col("rep").alias("doc"), "n", "pos", *SKETCH).distinct())
     links = _hot_links(durable(hot, "ngram-hot"), links, verify)

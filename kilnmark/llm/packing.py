@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kilnmark.llm.bpe import encode_documents
-from kilnmark.llm.common import durable, table
+from kilnmark.llm.common import released, durable, table
 
 WINDOW, STOP_ID = 2048, 1
 #: The least length of a triple is a multiple of this; the other two are free.
@@ -123,7 +123,7 @@ def cut_pieces(coded: DataFrame, window: int = WINDOW, stop_id: int = STOP_ID, k
                 cols.append(pa.array(ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(cols, [f.name for f in fields])
 
-    return coded.select("doc_id", "ids").mapInArrow(run, T.StructType(fields))
+    return coded.select("doc_id", "ids").mapInArrow(released(run), T.StructType(fields))
 
 
 def place_pieces(pieces: DataFrame, window: int = WINDOW, buckets: int = BUCKETS) -> DataFrame:

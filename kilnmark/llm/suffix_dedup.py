@@ -20,10 +20,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnmark.llm.common import (BYTE_VALUES, durable, empty_text, flag_slots, is_flagged, mix, pack_slots, powers, running_sums,
+from kilnmark.llm.common import (released, BYTE_VALUES, durable, empty_text, flag_slots, is_flagged, mix, pack_slots, powers, running_sums,
                                  table)
 
 THRESHOLD, GRAM = 50, 24
@@ -111,7 +112,7 @@ def coarse_flags(docs: DataFrame) -> np.ndarray:
         if many:
             yield pack_slots(np.concatenate(held))
 
-    return flag_slots(docs.mapInArrow(run, "bucket int, slots binary"), SLOT_BITS, 2)
+    return flag_slots(docs.mapInArrow(released(run), "bucket int, slots binary"), SLOT_BITS, 2)
 
 
 def fine_flags(docs: DataFrame, coarse: np.ndarray) -> np.ndarray:
@@ -136,9 +137,11 @@ def fine_flags(docs: DataFrame, coarse: np.ndarray) -> np.ndarray:
         for batch in batches:
             yield pack_slots(_low(batch.column("key").to_numpy().view(np.uint64)))
 
-    keys = (docs.mapInArrow(run, "key long, lo long, hi long").groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    keys = (docs.mapInArrow(released(run), "key long, lo long, hi long").groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
             .where("lo < hi").select("key"))
-    return flag_slots(keys.mapInArrow(pack, "bucket int, slots binary"), SLOT_BITS, 1)
+    flags = flag_slots(keys.mapInArrow(released(pack), "bucket int, slots binary"), SLOT_BITS, 1)
+    shared.destroy()
+    return flags
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
@@ -150,17 +153,14 @@ def _binary(rows: np.ndarray) -> pa.Array:
 _ROWS = "key long, doc long, tid long, at long, o1 int, o2 int, context binary"
 
 
-def contexts(docs: DataFrame, coarse: np.ndarray, fine: np.ndarray) -> DataFrame:
-    """Anchors that passed both flags, with the bytes of their windows.
+def contexts(docs: DataFrame, one: Broadcast, two: Broadcast) -> DataFrame:
+    """Anchors that passed the coarse flags (one) and the fine ones (two), with the bytes of their windows.
 
     Where equal contexts meet within a task's batch, only the least document goes on; for the others it
     is settled that they repeat it: rows with o1 = -1 carry such a stretch (at, length o2).
     """
-    spark = docs.sparkSession.sparkContext
-    one, two = spark.broadcast(coarse), spark.broadcast(fine)
-
     def run(batches):
-        for ids, tids, buffer, ends in _slices(batches, 1 << 21):
+        for ids, tids, buffer, ends in _slices(batches):
             doc, at, keys, w1, w2 = _anchors(buffer, ends)
             hit = is_flagged(one.value, _high(keys)) & is_flagged(two.value, _low(keys))
             doc, at, keys, w1, w2 = (x[hit] for x in (doc, at, keys, w1, w2))
@@ -192,7 +192,7 @@ def contexts(docs: DataFrame, coarse: np.ndarray, fine: np.ndarray) -> DataFrame
                  pa.array((w2 - w1 + THRESHOLD)[done].astype(np.int32)), pa.array([b""] * n, pa.binary())],
                 ["key", "doc", "tid", "at", "o1", "o2", "context"])
 
-    return docs.mapInArrow(run, _ROWS)
+    return docs.mapInArrow(released(run), _ROWS)
 
 
 def _windows(keys, at, o1, o2, matrix):
@@ -277,7 +277,7 @@ def compare(rows: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
                 yield from settle(*held)
 
     sorted_rows = rows.repartition("key").sortWithinPartitions("key")
-    return sorted_rows.mapInArrow(run, "h long, doc long, tid long, start long, end long")
+    return sorted_rows.mapInArrow(released(run), "h long, doc long, tid long, start long, end long")
 
 
 def repeated_stretches(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -285,7 +285,10 @@ def repeated_stretches(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFra
     usable = docs.where("doc_id is not null").where(F.octet_length("text") >= THRESHOLD)
     coarse = coarse_flags(usable)
     fine = fine_flags(usable, coarse)
-    found = durable(compare(contexts(usable, coarse, fine), group_rows), "repeats")
+    sc = docs.sparkSession.sparkContext
+    one, two = sc.broadcast(coarse), sc.broadcast(fine)
+    found = durable(compare(contexts(usable, one, two), group_rows), "repeats")
+    one.destroy(), two.destroy()
     left = found.where("h is not null")
     least = left.groupBy("h").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("h", "least")
     late = left.join(least, "h").where("doc > least").select("doc", "tid", "start", "end")
@@ -349,7 +352,7 @@ def digest_kept(cut: DataFrame) -> DataFrame:
                     ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return cut.select("doc_id", "text", "removed").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        released(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cut_texts(cut: DataFrame) -> DataFrame:
@@ -370,7 +373,7 @@ def cut_texts(cut: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if f.name == "text" else batch.column(f.name)
                                               for f in schema], [f.name for f in schema])
 
-    return cut.mapInArrow(run, schema)
+    return cut.mapInArrow(released(run), schema)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
