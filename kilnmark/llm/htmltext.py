@@ -29,6 +29,7 @@ RAW = frozenset("script style textarea title noscript iframe xmp noembed noframe
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
                   "h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead "
                   "tr ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are no article.
 DROPPED = frozenset("nav header footer aside form button select option textarea input script style noscript template iframe "
                     "svg head title menu dialog object canvas audio video".split())
@@ -186,6 +187,10 @@ def main_text(page: str) -> str:
             return True
         if id(node) in above:
             return False
+        # A heading beside the densest subtree is short, so its density says little.
+        if node.tag in HEADINGS and node.parent is not None and id(node.parent) in above and 2 * node.link_chars < node.chars:
+            whole.add(id(node))
+            return True
         if node.density >= threshold and 2 * node.link_chars < node.chars and node.tag in BLOCK:
             whole.add(id(node))
             return True
