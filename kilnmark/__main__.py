@@ -57,17 +57,25 @@ def files(spark, args):
     batch.run_files(spark, args.archive, args.table, args.run_number, args.format)
 
 
+def give(answer, args):
+    """The whole answer, to a folder or to the console; only ``--rows`` cuts what is printed."""
+    if args.output:
+        answer.write.mode("overwrite").parquet(args.output)
+    if args.rows or not args.output:
+        answer.show(args.rows or max(1, answer.count()), truncate=False)
+
+
 def past(spark, args):
     now = args.now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     table = jobs.read_running_table(spark, args.table, first=minutes_before(now, args.minutes).date())
     answer = serving.running_avg_since(table, now, args.minutes)
-    serving.in_key_order(answer).show(args.rows, truncate=False)
+    give(serving.in_key_order(answer), args)
 
 
 def week(spark, args):
     stop = parse_day(args.date)
     table = batch.read_segments(spark, args.table, first=stop - dt.timedelta(days=7), stop=stop)
-    serving.in_key_order(serving.batch_week(table, args.date)).show(args.rows, truncate=False)
+    give(serving.in_key_order(serving.batch_week(table, args.date)), args)
 
 
 def look(spark, args):
@@ -87,6 +95,8 @@ def parser() -> argparse.ArgumentParser:
     need = {"required": True}
     day = {"type": dt.date.fromisoformat, "default": None}
     rows = ("--rows", {"type": int, "default": 100})
+    whole = (("--rows", {"type": int, "default": None, "help": "print this many rows only"}),
+             ("--output", {"default": None, "help": "folder for the whole answer as Parquet"}))
     command(clean, "raw export -> comma export in time order", ("--input", need), ("--output", need),
             ("--sep", {"default": ";"}), ("--gzip", {"action": "store_true"}),
             ("--partitions", {"type": int, "default": None}))
@@ -104,8 +114,8 @@ def parser() -> argparse.ArgumentParser:
             ("--run-number", {"type": int, "required": True}), ("--format", {"default": "parquet"}))
     command(past, "running averages of the last minutes", ("--table", need),
             ("--now", {"type": dt.datetime.fromisoformat, "default": None}),
-            ("--minutes", {"type": int, "default": serving.DAY_MINUTES}), rows)
-    command(week, "segments of the week before a date", ("--table", need), ("--date", need), rows)
+            ("--minutes", {"type": int, "default": serving.DAY_MINUTES}), *whole)
+    command(week, "segments of the week before a date", ("--table", need), ("--date", need), *whole)
     command(look, "first rows of a table as JSON", ("--path", need), ("--format", {"default": "parquet"}), rows)
     return top
 

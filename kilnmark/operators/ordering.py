@@ -15,7 +15,7 @@ def chronological(rows: DataFrame, ts: str, ties: Sequence[str]) -> DataFrame:
 
 
 def chronological_rank(rows: DataFrame, ts: str = "ts", slice_width: str = "1 minute") -> DataFrame:
-    """Add ``position``: one more than the number of rows with an earlier timestamp.
+    """Add ``position``: one more than the number of rows with an earlier timestamp; null where that is null.
 
     A running count without partitions would need one task for everything.
     Counts are summed at three grains instead - timestamps within a time slice,
@@ -28,7 +28,7 @@ def chronological_rank(rows: DataFrame, ts: str = "ts", slice_width: str = "1 mi
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
     slice_start = F.window(ts, slice_width)["start"].alias("__slice")
-    times = rows.select(ts, slice_start)
+    times = rows.where(F.col(ts).isNotNull()).select(ts, slice_start)
     per_ts = times.groupBy("__slice", ts).agg(F.count(F.lit(1)).alias("__n"))
     # From the rows again, not from per_ts: combined before the shuffle this is one row per slice and task.
     per_slice = (times.groupBy("__slice").agg(F.count(F.lit(1)).alias("__n"))
@@ -41,4 +41,4 @@ def chronological_rank(rows: DataFrame, ts: str = "ts", slice_width: str = "1 mi
     positions = (per_ts.withColumn("__within", earlier("__n", ts, "__slice"))
                  .join(slices, "__slice")
                  .select(ts, (F.col("__before") + F.col("__within") + 1).alias("position")))
-    return rows.join(positions, ts)
+    return rows.join(positions, ts, "left")

@@ -141,9 +141,11 @@ def start_archive(merged: DataFrame, path: str, checkpoint: str, day_of: str = "
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def finish(query: StreamingQuery, timeout: int = 3600) -> None:
-    """Wait for a query that ends by itself; stop it and raise if it does not."""
-    if not query.awaitTermination(timeout):
+def finish(query: StreamingQuery, timeout: int | None = None) -> None:
+    """Wait for a query that ends by itself, however long it takes; with a ``timeout``, stop it and raise."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"streaming query {query.id} still running after {timeout} s")
 
