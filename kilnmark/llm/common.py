@@ -8,7 +8,9 @@ import functools
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,25 @@ SPACE = r"\x20\x09-\x0D"
 BATCH_ROWS = 1000
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, once per application, unless PYTHONPATH names its folder already."""
+    root, app = Path(__file__).resolve().parents[2], spark.sparkContext.applicationId
+    if app in _shipped or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    name = Path(tempfile.mkdtemp(prefix="llm-package-")) / "kilnmark.zip"
+    with zipfile.ZipFile(name, "w") as out:
+        for file in sorted((root / "kilnmark").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    spark.sparkContext.addPyFile(str(name))  # Spark sends it to every executor
+    _shipped.add(app)
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch size to ``BATCH_ROWS`` rows; a smaller one stays."""
+    """Lower the session's Arrow batch size to ``BATCH_ROWS`` rows; a smaller one stays. Ships the package too."""
+    ship_package(spark)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
         spark.conf.set(name, str(BATCH_ROWS))
