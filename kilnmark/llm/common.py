@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import contextlib
 import ctypes
 import functools
 import os
@@ -85,10 +86,27 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Actions inside drop their shuffle files when they end: for plans that run once and leave a table."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def durable(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: a lost executor costs no recomputation."""
+    """``df`` written to the shared folder and read back: a lost executor costs no recomputation.
+
+    The shuffle files behind it go with the write. Without that they stay until the driver collects
+    garbage, and the steps of an operator add up on disk.
+    """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -201,7 +219,7 @@ def flag_slots(packed: DataFrame, bits: int, least: int, times_mean: float = 0.0
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(enough).tobytes()], pa.binary())],
                                              ["bucket", "bits"])
 
-    flags = packed.repartition("bucket").mapInArrow(released(add), "bucket int, bits binary")
+    flags = durable(packed.repartition("bucket").mapInArrow(released(add), "bucket int, bits binary"), "flags")
     out = np.zeros((1 << (bits - 16), BUCKET_SLOTS // 8), np.uint8)
     for row in flags.toLocalIterator():
         out[row.bucket] = np.frombuffer(row.bits, np.uint8)
