@@ -67,7 +67,7 @@ def give(answer, args):
 
 def past(spark, args):
     now = args.now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    table = jobs.read_running_table(spark, args.table, first=minutes_before(now, args.minutes).date())
+    table = jobs.read_running_table(spark, args.table, first=minutes_before(now, args.minutes).date(), last=now.date())
     answer = serving.running_avg_since(table, now, args.minutes)
     give(serving.in_key_order(answer), args)
 

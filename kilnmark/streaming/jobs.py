@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -184,12 +186,14 @@ def start_all(sensor_messages: DataFrame, lab_messages: DataFrame, tables_path:
 
 
 def read_running_table(spark: SparkSession, path: str, meters: Sequence[str] = METERS,
-                       first: dt.date | None = None) -> DataFrame:
+                       first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
     """The stored running averages: newest value per window and meter, one column per meter, keyed.
 
-    ``first`` is the earliest day to read; older partitions are skipped.
+    ``first`` and ``last`` are the days to read, both included; other partitions are skipped.
     """
-    days = None if first is None else F.col("day") >= F.lit(first)
+    bounds = [F.col("day") >= F.lit(first)] if first is not None else []
+    bounds += [F.col("day") <= F.lit(last)] if last is not None else []
+    days = reduce(and_, bounds) if bounds else None
     newest = read_newest(spark, path, [*DEVICE, "day", "window_end", "meter"], ["avg"], BATCH, days)
     newest = newest.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
     wide = rows_to_meters(newest.withColumnRenamed("avg", "value"), meters, [*DEVICE, "window_end"], F.max)

@@ -287,9 +287,11 @@ def lab_markers(spark, sf_dir):
 
 
 def interval_rows(spark, sf_dir):
-    """Rows after one moment, up to and including another."""
-    events = _events(spark, sf_dir).withColumn("ts", _hour())
-    rows = interval(events, dt.datetime(2024, 1, 10, 6), dt.datetime(2024, 1, 12, 18))
+    """Rows whose hour is after one moment, up to and including another."""
+    after, until = dt.datetime(2024, 1, 10, 6), dt.datetime(2024, 1, 12, 18)
+    # The same hours as bounds of the stored column, which reach the scan.
+    near = interval(_events(spark, sf_dir), after, until + dt.timedelta(hours=1))
+    rows = interval(near.withColumn("ts", _hour()), after, until)
     return rows.select("event_id", "ts", "value")
 
 

@@ -6,6 +6,7 @@ import datetime as dt
 from kilnmark import __main__ as cli
 from kilnmark.operators.ordering import chronological_rank
 from kilnmark.streaming import jobs
+from kilnmark.suite.queries import QUERIES
 
 
 def test_rank_keeps_rows_without_time(spark):
@@ -32,3 +33,20 @@ def test_finish_waits_without_limit():
 
     jobs.finish(Query())
     assert Query.limits == [()]
+
+
+def test_hour_range_reaches_the_scan(spark):
+    plan = QUERIES["interval_rows"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(ts" in plan and "LessThanOrEqual(ts" in plan
+
+
+def test_running_table_skips_days_outside(spark, tmp_path):
+    path = str(tmp_path / "running")
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    rows = [("001", "001", dt.datetime(d.year, d.month, d.day, 9), "m", 1.0, d, 0) for d in days]
+    (spark.createDataFrame(rows, "factory_id string, oven_id string, window_end timestamp, meter string, avg double, "
+                                 "day date, batch_id long")
+     .write.partitionBy("day", "batch_id").parquet(path))
+    table = jobs.read_running_table(spark, path, ["m"], days[1], days[1])
+    assert [r["window_end"].date() for r in table.collect()] == [days[1]]
+    assert jobs.read_running_table(spark, path, ["m"]).count() == 3
