@@ -19,17 +19,25 @@ from kilnmark.streaming import jobs  # noqa: E402
 from kilnmark.streaming.feeds import file_messages, topic_messages  # noqa: E402
 
 
+def keep_dead(lines, path):
+    """Lines that do not fit, with the reason, as JSON."""
+    delimited.dead_letters(lines).write.mode("overwrite").json(path)
+
+
 def clean(spark, args):
-    rows = delimited.with_times(delimited.without_corrupt(
-        delimited.read_raw(spark, args.input, args.sep, partitions=args.partitions)))
+    lines = delimited.read_raw(spark, args.input, args.sep, partitions=args.partitions)
+    rows = delimited.with_times(delimited.without_corrupt(lines))
     delimited.write_clean(rows, args.output, "ts", gzip=args.gzip)
+    keep_dead(lines, args.dead or args.output.rstrip("/") + ".dead")
 
 
 def split(spark, args):
-    rows = delimited.without_corrupt(delimited.read_raw(spark, args.input, ","))
+    lines = delimited.read_raw(spark, args.input, ",")
+    rows = delimited.without_corrupt(lines)
     sensor, lab = messages.split_export(messages.drop_empty_sensor_blocks(rows))
     for feed, path in ((sensor, args.sensor), (lab, args.lab)):
         feed.select(messages.to_message(feed.columns)).write.mode("overwrite").text(path)
+    keep_dead(lines, args.dead or args.sensor.rstrip("/") + ".dead")
 
 
 def stream(spark, args):
@@ -97,11 +105,12 @@ def parser() -> argparse.ArgumentParser:
     rows = ("--rows", {"type": int, "default": 100})
     whole = (("--rows", {"type": int, "default": None, "help": "print this many rows only"}),
              ("--output", {"default": None, "help": "folder for the whole answer as Parquet"}))
+    dead = ("--dead", {"default": None, "help": "folder for lines that do not fit (beside the output by default)"})
     command(clean, "raw export -> comma export in time order", ("--input", need), ("--output", need),
             ("--sep", {"default": ";"}), ("--gzip", {"action": "store_true"}),
-            ("--partitions", {"type": int, "default": None}))
+            ("--partitions", {"type": int, "default": None}), dead)
     command(split, f"comma export ({len(RAW)} columns) -> sensor and lab messages", ("--input", need),
-            ("--sensor", need), ("--lab", need))
+            ("--sensor", need), ("--lab", need), dead)
     command(stream, "messages -> archive, cells, running averages",
             ("--sensor", need), ("--lab", need), ("--averages", need), ("--tables", need), ("--checkpoint", need),
             ("--servers", {"default": None, "help": "Kafka servers; sensor, lab and averages are then topics"}),

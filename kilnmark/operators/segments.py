@@ -174,16 +174,16 @@ def first_marker_day(rows: DataFrame, by=DEVICE, within=("archive_day",), ts="ts
 
 
 def segment_table(segments: DataFrame, key_day="archive_day", columns=SEGMENT_COLUMNS, by=DEVICE,
-                  marker: str = LAB) -> DataFrame:
+                  marker: str = LAB, keep: Sequence[str] = ()) -> DataFrame:
     """Shape segments into the stored batch analysis table: key first, catalog names.
 
     ``key_day`` is the column with the date part of the key. An archive day is
     the day of its first marker by construction; archives cut at other times
-    join ``first_marker_day`` and pass its column.
+    join ``first_marker_day`` and pass its column. ``keep`` names further columns.
     """
     start, end = ("start_local", "end_local") if "start_local" in segments.columns else ("start_ts", "end_ts")
     return segments.select(
         batch_key(F.col(key_day), start, end, by).alias("key"),
         *by, F.col(key_day).alias("archive_day"),
         F.col(start).alias("startTimestamp"), F.col(end).alias("endTimestamp"), marker,
-        *[F.col(f"avg_{meter}").alias(name) for meter, name in columns.items()])
+        *[F.col(f"avg_{meter}").alias(name) for meter, name in columns.items()], *keep)

@@ -5,16 +5,18 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnmark.operators.latest import last_write
 from kilnmark.operators.segments import first_marker_day, segment_averages, segment_table
 from kilnmark.operators.skew import join_spread
 from kilnmark.schemas import DEVICE, LAB, MERGED, METERS, SEGMENT_COLUMNS
 from kilnmark.sources.archive import PART, from_records, read_archive
 from kilnmark.sources.tables import BATCH, append_batch, read_table, replace_days
 
+FILE = "archive_file"
+
 
 def analyse_days(archive: DataFrame, meters: Sequence[str] = METERS, columns: Mapping[str, str] = SEGMENT_COLUMNS,
                  ts: str = "ts", by: Sequence[str] = DEVICE, one_row_per_ts: bool = True,
@@ -25,16 +27,16 @@ def analyse_days(archive: DataFrame, meters: Sequence[str] = METERS, columns: Ma
 
 
 def analyse_files(archive: DataFrame, meters: Sequence[str] = METERS, columns: Mapping[str, str] = SEGMENT_COLUMNS,
-                  ts: str = "ts", by: Sequence[str] = DEVICE, unit: str = "archive_file",
+                  ts: str = "ts", by: Sequence[str] = DEVICE, unit: str = FILE,
                   one_row_per_ts: bool = True, local: str | None = None) -> DataFrame:
-    """Segments of every file on its own, wherever the files were cut.
+    """Segments of every file on its own, wherever the files were cut; the last column names the file.
 
     The date of the keys is that of the file's first marker: one lookup row per
     device and file.
     """
     segments = segment_averages(archive, meters, by, (unit,), ts, one_row_per_ts=one_row_per_ts, local=local)
     first = first_marker_day(archive, by, (unit,), ts, local=local)
-    return segment_table(join_spread(segments, first, [*by, unit], ["end_ts"]), "key_day", columns, by)
+    return segment_table(join_spread(segments, first, [*by, unit], ["end_ts"]), "key_day", columns, by, keep=[unit])
 
 
 def analyse_across_midnight(rows: DataFrame, meters: Sequence[str] = METERS,
@@ -45,36 +47,72 @@ def analyse_across_midnight(rows: DataFrame, meters: Sequence[str] = METERS,
     return segment_table(segments.withColumn("key_day", F.to_date("end_ts")), "key_day", columns, by)
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None if nothing was ever written there."""
+    try:
+        return read_table(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def _within(first: dt.date | None, stop: dt.date | None) -> Column:
+    day = F.col(PART)
+    inside = F.lit(True) if first is None else day >= F.lit(first)
+    return inside if stop is None else inside & (day < F.lit(stop))
+
+
 def run_daily(spark: SparkSession, archive_path: str, table_path: str, first: dt.date | None = None,
-              stop: dt.date | None = None, fmt: str = "parquet") -> None:
-    """Analyse archive days ``[first, stop)`` (all of them by default) and replace their results."""
-    archive = read_archive(spark, archive_path, fmt=fmt)
-    if first is not None:
-        archive = archive.where(F.col(PART) >= F.lit(first))
-    if stop is not None:
-        archive = archive.where(F.col(PART) < F.lit(stop))
+              stop: dt.date | None = None, fmt: str = "parquet", meters: Sequence[str] = METERS,
+              columns: Mapping[str, str] = SEGMENT_COLUMNS) -> None:
+    """Analyse archive days ``[first, stop)`` (all of them by default) and replace their results.
+
+    Every day of the range that is archived or stored gets a row without a key
+    beside its segments. So the partition of a day that has no segment any more
+    is replaced too, and a table without segments has a schema.
+    """
+    archive = read_archive(spark, archive_path, fmt=fmt).where(_within(first, stop))
     local = "ts_local" if "ts_local" in archive.columns else None
-    replace_days(analyse_days(archive, local=local), table_path)
+    days = archive.select(PART)
+    if (stored := _stored(spark, table_path)) is not None:
+        days = days.union(stored.where(_within(first, stop)).select(PART))
+    segments = analyse_days(archive, meters, columns, local=local)
+    replace_days(segments.unionByName(days.distinct(), allowMissingColumns=True), table_path)
 
 
 def run_files(spark: SparkSession, path: str, table_path: str, run: int, fmt: str = "parquet") -> None:
-    """Analyse archive record files (one, a folder or a glob), each on its own, and upsert the results by key.
+    """Analyse archive record files (one, a folder or a glob), each on its own, and store the results by file.
 
     Files may cut days anywhere, so results of other files stay; ``run`` is a
-    growing number and the newest run wins per key. Use a table of its own.
+    growing number and the newest run wins per file, which is known by its path.
+    A file without segments leaves a row without a key, and so does every
+    day that an earlier run of the same number had. Use a table of its own.
     """
     rows = from_records(read_archive(spark, path, MERGED if fmt == "parquet" else None, fmt))
-    append_batch(analyse_files(rows, one_row_per_ts=False, local="ts_local"), table_path, run)
+    result = analyse_files(rows, one_row_per_ts=False, local="ts_local")
+    result = result.unionByName(rows.select(FILE).distinct(), allowMissingColumns=True)
+    if (stored := _stored(spark, table_path)) is not None:
+        days = stored.where(F.col(BATCH) == run).select(F.col(PART).cast("date")).distinct()
+        result = result.unionByName(days, allowMissingColumns=True)
+    append_batch(result, table_path, run)
 
 
 def read_segments(spark: SparkSession, path: str, columns: Mapping[str, str] = SEGMENT_COLUMNS,
                   first: dt.date | None = None, stop: dt.date | None = None) -> DataFrame:
-    """The batch analysis table of either job, newest run per key; the range skips partitions."""
-    table = read_table(spark, path)
-    if first is not None:
-        table = table.where(F.col(PART) >= F.lit(first))
-    if stop is not None:
-        table = table.where(F.col(PART) < F.lit(stop))
-    if BATCH not in table.columns:
-        return table
-    return last_write(table, ["key", *DEVICE, PART], ["startTimestamp", "endTimestamp", LAB, *columns.values()], BATCH)
+    """The batch analysis table of either job, newest run per file; the range skips partitions.
+
+    Keys have minutes only, so segments of one minute share theirs and all come back.
+    """
+    names = ["key", *DEVICE, PART, "startTimestamp", "endTimestamp", LAB, *columns.values()]
+    table = _stored(spark, path)
+    if table is None:
+        kinds = {**dict.fromkeys(["key", *DEVICE], "string"), PART: "date",
+                 **dict.fromkeys(["startTimestamp", "endTimestamp"], "timestamp_ntz")}
+        return spark.range(0).select(*[F.lit(None).cast(kinds.get(n, "double")).alias(n) for n in names])
+    rows = table.where(F.col("key").isNotNull()).where(_within(first, stop))
+    if BATCH in table.columns:
+        # All partitions tell which run is a file's newest: its rows may have moved to other days.
+        newest = table.where(F.col(FILE).isNotNull()).groupBy(FILE).agg(F.max(BATCH).alias(BATCH))
+        rows = join_spread(rows, newest, [FILE, BATCH], ["startTimestamp"])
+    return rows.withColumn(PART, F.col(PART).cast("date")).select(*names)

@@ -15,12 +15,16 @@ from kilnmark.operators.ordering import chronological
 from kilnmark.schemas import RAW, check_readable
 
 CORRUPT = "_corrupt_record"
+REASON = "reason"
 
 
 def read_raw(spark: SparkSession, path: str, sep: str = ";", schema: T.StructType = RAW,
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, time: str = "datetime") -> DataFrame:
     """Typed rows of an export with a header; ``_corrupt_record`` has the text of lines that do not fit.
 
+    ``reason`` says why: ``malformed`` (wrong number of fields), ``bad timestamp`` (text in ``time``
+    that is none; an empty one is a missing time and fits) or ``bad number``.
+
     Cells are read as text and cast here, so that a line is judged by all its
     columns even when a query asks for few of them. A gzip file cannot be
     split: give ``partitions`` to spread its rows after the read.
@@ -36,9 +40,13 @@ def read_raw(spark: SparkSession, path: str, sep: str = ";", schema: T.StructTyp
     cells = {f.name: empty_to_null(f.name) for f in schema.fields}
     typed = {f.name: cells[f.name].try_cast(f.dataType) for f in schema.fields}
     bad = reduce(or_, [cells[name].isNotNull() & typed[name].isNull() for name in schema.names])
+    bad_time = cells[time].isNotNull() & instant(time).isNull() if time in schema.names else F.lit(False)
+    reason = (F.when(F.col(CORRUPT).isNotNull(), "malformed").when(bad_time, "bad timestamp")
+              .when(bad, "bad number"))
     whole = F.concat_ws(sep, *[F.coalesce(F.col(name), F.lit("")) for name in schema.names])
     return lines.select(*[typed[name].alias(name) for name in schema.names],
-                        F.when(F.col(CORRUPT).isNotNull(), F.col(CORRUPT)).when(bad, whole).alias(CORRUPT))
+                        F.when(F.col(CORRUPT).isNotNull(), F.col(CORRUPT)).when(bad_time | bad, whole).alias(CORRUPT),
+                        reason.alias(REASON))
 
 
 def with_times(rows: DataFrame, text: str = "datetime") -> DataFrame:
@@ -60,4 +68,9 @@ def write_clean(rows: DataFrame, path: str, ts: str = "datetime", ties=(), gzip:
 
 
 def without_corrupt(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT, REASON)
+
+
+def dead_letters(rows: DataFrame) -> DataFrame:
+    """``(message, reason)`` of the lines that do not fit; with ``without_corrupt`` these are all lines."""
+    return rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("message"), REASON)

@@ -71,6 +71,16 @@ def export_rows(events: DataFrame) -> DataFrame:
         *[(F.col("value") + i).alias(m) for i, m in enumerate(METERS)])
 
 
+def faulty_export(events: DataFrame) -> DataFrame:
+    """The raw export as text; a ``signup`` above 200 has a bad timestamp, a ``view`` below 5 bad numbers."""
+    kind, value = F.col("event_type"), F.col("value")
+    time = F.when((kind == "signup") & (value > 200), F.lit("not-a-time")).otherwise(_time_text())
+    broken = (kind == "view") & (value < 5)
+    return events.select(
+        time.alias("datetime"), F.when(kind == LAB_TYPE, value).alias(LAB), status_code().alias(STATUS),
+        *[F.when(broken, F.lit("n/a")).otherwise((value + i).cast("string")).alias(m) for i, m in enumerate(METERS)])
+
+
 def sensor_messages(events: DataFrame) -> DataFrame:
     """Comma messages of the sensor feed, with the faults a feed has.
 

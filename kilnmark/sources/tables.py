@@ -1,8 +1,8 @@
 """Keyed tables as partitioned Parquet: idempotent batch appends, last write wins on read.
 
 A write never reads the table back. Each batch lands in its own ``batch_id``
-partitions, so a repeated batch replaces itself and nothing else, and a lost
-executor costs a task retry. Readers take the newest write per key; ``settle``
+partitions, so a batch repeated with the same rows replaces itself and nothing
+else, and a lost executor costs a task retry. Readers take the newest write per key; ``settle``
 rewrites finished days so that the choice is made once.
 """
 
@@ -25,7 +25,10 @@ CELL_KEYS = (*DEVICE, DAY, "meter", "minute_ts")
 
 
 def append_batch(rows: DataFrame, path: str, batch_id: int, parts: Sequence[str] = (DAY,)) -> None:
-    """Store one batch below ``parts`` and ``batch_id``; running it again replaces it."""
+    """Store one batch below ``parts`` and ``batch_id``; the same rows again replace it.
+
+    Partitions of an earlier run of the batch that get no row now stay as they are.
+    """
     (rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
      .hint("rebalance", *parts)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -33,7 +36,7 @@ def append_batch(rows: DataFrame, path: str, batch_id: int, parts: Sequence[str]
 
 
 def replace_days(rows: DataFrame, path: str, parts: Sequence[str] = (DAY,)) -> None:
-    """Replace the partitions present in ``rows``: results recomputed from a whole day."""
+    """Replace the partitions present in ``rows``: results recomputed from a whole day. All others stay."""
     (rows.hint("rebalance", *parts)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))

@@ -15,6 +15,7 @@ EV = """ev AS (
 
 SENSOR = "sensor AS (SELECT * FROM ev WHERE event_type <> 'purchase')"
 ROUND2 = "CAST(round(CAST({0} AS DECIMAL(18, 6)), 2) AS DOUBLE)"
+FILE_COLUMNS = {m: "avginputTemperatureProduct" if m == METERS[0] else "avg" + m[0].upper() + m[1:] for m in METERS}
 EXPORT = ", ".join(f'value + {i} AS "{m}"' for i, m in enumerate(METERS))
 
 
@@ -61,6 +62,20 @@ SHIFTED = f"""WITH {EV}, cut AS (SELECT *, CAST(ts - INTERVAL 6 HOUR AS DATE) AS
            max(productHumidity) AS "productHumidity", {_means('avg_{m}')}
     FROM marked WHERE marker IS NOT NULL GROUP BY factory_id, oven_id, unit, first_marker, marker"""
 
+FILES = f"""WITH {EV}, cut AS (
+        SELECT *, date_trunc('second', ts) AS s, CAST(date_trunc('second', ts) - INTERVAL 6 HOUR AS DATE) AS unit FROM ev),
+    marked AS (
+        SELECT *, min(CASE WHEN event_type = 'purchase' THEN s END) OVER (
+            PARTITION BY unit ORDER BY s RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS marker,
+            min(CASE WHEN event_type = 'purchase' THEN s END) OVER (PARTITION BY unit) AS first_marker
+        FROM cut)
+    SELECT '001#001#' || strftime(first_marker, '%Y%m%d') || '#' || strftime(min(s), '%H%M') || '#'
+               || strftime(max(s), '%H%M') AS key,
+           CAST(first_marker AS DATE) AS archive_day, min(s) AS "startTimestamp", max(s) AS "endTimestamp",
+           max(productHumidity) AS "productHumidity",
+           {', '.join(f'round(avg(value + {METERS.index(m)}), 6) AS "{c}"' for m, c in FILE_COLUMNS.items())}
+    FROM marked WHERE marker IS NOT NULL GROUP BY unit, first_marker, marker"""
+
 MANY_OVENS = SEGMENTS + """
     SELECT factory_id, oven_id, count(*) AS n_segments, CAST(sum(n_rows) AS BIGINT) AS n_rows,
            max("productHumidity") AS max_humidity, round(avg(click_exact), 6) AS mean_click
@@ -131,6 +146,8 @@ ORACLE = {
     "segment_averages_cross_midnight": CROSS_MIDNIGHT,
     "segment_shifted_archives": SHIFTED,
     "segment_all_files": SEGMENTS + f" SELECT {SEGMENT_COLUMNS} FROM segments",
+    "files_reread": FILES,
+    "replaced_days": SEGMENTS + f" SELECT {SEGMENT_COLUMNS} FROM segments WHERE archive_day < DATE '2024-01-15'",
     "many_ovens": MANY_OVENS,
     "lab_markers": f"""WITH {EV}
         SELECT factory_id, oven_id, ts, event_id AS seq, "productHumidity" FROM ev WHERE event_type = 'purchase'""",
@@ -141,6 +158,13 @@ ORACLE = {
     "raw_clean_sorted": f"""WITH {EV}
         SELECT datetime, ts, "productHumidity", CAST(event_id % 2 AS VARCHAR) AS "processIsOn", {EXPORT},
                rank() OVER (ORDER BY ts) AS position FROM ev""",
+    "export_dead_letters": f"""WITH {EV}
+        SELECT CASE WHEN event_type = 'signup' AND value > 200 THEN 'not-a-time' ELSE datetime END AS datetime,
+               CASE WHEN event_type = 'signup' AND value > 200 THEN 'bad timestamp'
+                    WHEN event_type = 'view' AND value < 5 THEN 'bad number' END AS reason FROM ev""",
+    "rank_with_missing_times": """
+        SELECT event_id, t AS ts, CASE WHEN t IS NOT NULL THEN rank() OVER (ORDER BY t NULLS LAST) END AS position
+        FROM (SELECT event_id, CASE WHEN event_type <> 'error' THEN ts END AS t FROM events)""",
     "chronological_export": f"""WITH {EV}
         SELECT factory_id, oven_id, event_id AS seq, datetime, "productHumidity",
                CAST(event_id % 2 AS VARCHAR) AS "processIsOn", {EXPORT} FROM ev ORDER BY ts, event_id""",

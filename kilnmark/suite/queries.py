@@ -39,7 +39,7 @@ from kilnmark.operators import (
 )
 from kilnmark.plans import batch, serving
 from kilnmark.plans.sql_views import register_views
-from kilnmark.schemas import DEVICE, LAB, METERS, RAW, STATUS, series_dimension
+from kilnmark.schemas import DEVICE, LAB, METERS, RAW, SEGMENT_COLUMNS, STATUS, series_dimension
 from kilnmark.session import fresh_dir
 from kilnmark.sources import archive, delimited, feeds, messages, tables
 from kilnmark.streaming import jobs
@@ -108,6 +108,22 @@ def raw_clean_sorted(spark, sf_dir):
     return ranked.select("datetime", "ts", LAB, STATUS, *METERS, "position")
 
 
+def export_dead_letters(spark, sf_dir):
+    """Every line of an export with faults: good ones without, bad ones with a reason."""
+    raw = fresh_dir(spark, "raw")
+    feeds.faulty_export(_events(spark, sf_dir)).write.option("sep", ";").option("header", True).csv(raw)
+    lines = delimited.read_raw(spark, raw)
+    good = delimited.without_corrupt(lines).select("datetime", F.lit(None).cast("string").alias("reason"))
+    dead = delimited.dead_letters(lines).select(F.split("message", ";")[0].alias("datetime"), "reason")
+    return good.unionByName(dead)
+
+
+def rank_with_missing_times(spark, sf_dir):
+    """Positions in time of all events; errors have lost their time and have no position."""
+    timed = F.when(F.col("event_type") != "error", F.col("ts")).alias("ts")
+    return chronological_rank(_events(spark, sf_dir).select("event_id", timed)).select("event_id", "ts", "position")
+
+
 def chronological_export(spark, sf_dir):
     """The export in time order."""
     rows = feeds.export_rows(_events(spark, sf_dir))
@@ -274,6 +290,33 @@ def segment_all_files(spark, sf_dir):
                          *_rounded(EVENT_COLUMNS.values()))
 
 
+def files_reread(spark, sf_dir):
+    """Record files cut at six in the morning, analysed twice one by one, stored and read back."""
+    records, table = fresh_dir(spark, "records"), fresh_dir(spark, "segments")
+    rows = feeds.export_rows(_events(spark, sf_dir)).withColumn("ts_local", local_time("datetime"))
+    merged = archive.to_records(rows.withColumn(STATUS, is_on(STATUS))).withColumn(
+        "cut", F.to_date(F.to_timestamp_ntz(F.substring("timestamp", 1, 19)) - F.expr("INTERVAL 6 HOURS")))
+    # A file is the unit of analysis, so each is written by one task.
+    merged.repartition("cut").write.partitionBy("cut").parquet(records)
+    for run in (1, 2):
+        batch.run_files(spark, records, table, run)
+    return batch.read_segments(spark, table).select(
+        "key", "archive_day", "startTimestamp", "endTimestamp", LAB, *_rounded(SEGMENT_COLUMNS.values()))
+
+
+def replaced_days(spark, sf_dir):
+    """Days whose lab values vanish from the archive have no segments after the next run."""
+    path, table = fresh_dir(spark, "archive"), fresh_dir(spark, "segments")
+    rows = feeds.archive_rows(_events(spark, sf_dir))
+    archive.write_archive(rows, path)
+    batch.run_daily(spark, path, table, meters=EVENT_METERS, columns=EVENT_COLUMNS)
+    late = rows.where(F.col("archive_day") >= F.lit(NOW.date()))
+    archive.write_archive(late.withColumn(LAB, F.lit(None).cast("double")), path)
+    batch.run_daily(spark, path, table, first=NOW.date(), meters=EVENT_METERS, columns=EVENT_COLUMNS)
+    return batch.read_segments(spark, table, EVENT_COLUMNS).select(
+        "key", *DEVICE, "archive_day", "startTimestamp", "endTimestamp", LAB, *_rounded(EVENT_COLUMNS.values()))
+
+
 def many_ovens(spark, sf_dir):
     """Segments per factory and oven."""
     return _segment_frame(_events(spark, sf_dir)).groupBy(*DEVICE).agg(
@@ -570,10 +613,14 @@ QUERIES = {
     "segment_averages_cross_midnight": segment_averages_cross_midnight,
     "segment_shifted_archives": segment_shifted_archives,
     "segment_all_files": segment_all_files,
+    "files_reread": files_reread,
+    "replaced_days": replaced_days,
     "many_ovens": many_ovens,
     "lab_markers": lab_markers,
     "interval_rows": interval_rows,
     "raw_clean_sorted": raw_clean_sorted,
+    "export_dead_letters": export_dead_letters,
+    "rank_with_missing_times": rank_with_missing_times,
     "chronological_export": chronological_export,
     "split_sensor_lab": split_sensor_lab,
     "parse_payload": parse_payload,
