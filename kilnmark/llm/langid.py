@@ -108,14 +108,21 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_windows: int =
 
     The rows are those of least hash of their id (ties by text), and each gives
     ``sample_windows`` stretches spread over its whole text, cut before anything leaves the
-    executors. Null lang, null text and texts without a letter teach nothing; None if no row is left.
+    executors. Rows that repeat teach once. Null lang, null text and texts without a letter teach
+    nothing; None if no row is left.
+
+    A count first tells below which hash four times the wanted rows lie, so that a task does
+    not send its own ``sample_rows`` rows to the driver whatever the number of tasks.
     """
     span = LENGTH
     usable = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    share = min(1.0, 4 * sample_rows / max(1, usable.count()))
+    bound = min(2**63 - 1, int(share * 2.0**64) - 2**63)
     starts = F.transform(F.sequence(F.lit(0), F.lit(sample_windows - 1)), lambda k: (
         F.greatest(F.length("text") - span, F.lit(0)) * k / max(sample_windows - 1, 1)).cast("int") + 1)
     parts = F.array_distinct(F.transform(starts, lambda s: F.substring(F.col("text"), s, F.lit(span))))
-    chosen = (usable.select(F.xxhash64("doc_id").alias("h"), "lang", parts.alias("parts"))
+    chosen = (usable.where(F.xxhash64("doc_id") <= bound)
+              .select(F.xxhash64("doc_id").alias("h"), "lang", parts.alias("parts")).distinct()
               .orderBy("h", "lang", "parts").limit(sample_rows).collect())
     pairs = [(windows_of(p.encode()[:LENGTH])[0], r.lang) for r in chosen for p in r.parts if p]
     if not pairs:
