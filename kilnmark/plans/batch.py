@@ -63,22 +63,28 @@ def _within(first: dt.date | None, stop: dt.date | None) -> Column:
     return inside if stop is None else inside & (day < F.lit(stop))
 
 
+def _marked(rows: DataFrame, unit: str) -> DataFrame:
+    """The days or files with a lab value: those that have segments."""
+    return rows.where(F.col(LAB).isNotNull() & F.col("ts").isNotNull()).select(unit).distinct()
+
+
 def run_daily(spark: SparkSession, archive_path: str, table_path: str, first: dt.date | None = None,
               stop: dt.date | None = None, fmt: str = "parquet", meters: Sequence[str] = METERS,
               columns: Mapping[str, str] = SEGMENT_COLUMNS) -> None:
     """Analyse archive days ``[first, stop)`` (all of them by default) and replace their results.
 
-    Every day of the range that is archived or stored gets a row without a key
-    beside its segments. So the partition of a day that has no segment any more
-    is replaced too, and a table without segments has a schema.
+    A day of the range that is archived or stored but has no segment gets one row
+    without a key. So the partition of a day that lost its segments is replaced
+    too, and a table without segments has a schema.
     """
     archive = read_archive(spark, archive_path, fmt=fmt).where(_within(first, stop))
     local = "ts_local" if "ts_local" in archive.columns else None
     days = archive.select(PART)
     if (stored := _stored(spark, table_path)) is not None:
         days = days.union(stored.where(_within(first, stop)).select(PART))
+    idle = days.distinct().join(_marked(archive, PART), PART, "left_anti")
     segments = analyse_days(archive, meters, columns, local=local)
-    replace_days(segments.unionByName(days.distinct(), allowMissingColumns=True), table_path)
+    replace_days(segments.unionByName(idle, allowMissingColumns=True), table_path)
 
 
 def run_files(spark: SparkSession, path: str, table_path: str, run: int, fmt: str = "parquet") -> None:
@@ -91,7 +97,8 @@ def run_files(spark: SparkSession, path: str, table_path: str, run: int, fmt: st
     """
     rows = from_records(read_archive(spark, path, MERGED if fmt == "parquet" else None, fmt))
     result = analyse_files(rows, one_row_per_ts=False, local="ts_local")
-    result = result.unionByName(rows.select(FILE).distinct(), allowMissingColumns=True)
+    idle = rows.select(FILE).distinct().join(_marked(rows, FILE), FILE, "left_anti")
+    result = result.unionByName(idle, allowMissingColumns=True)
     if (stored := _stored(spark, table_path)) is not None:
         days = stored.where(F.col(BATCH) == run).select(F.col(PART).cast("date")).distinct()
         result = result.unionByName(days, allowMissingColumns=True)
