@@ -8,8 +8,8 @@ pairs cannot reach the threshold any more, and only the rest meets in the other
 
 Documents with equal sets form a class and are compared once. N-grams that many
 documents share come last in the order, so they stand in a prefix only where a document holds
-little else. Groups of such n-grams are never paired up: their members are linked with a few
-representatives, and only members that still lie in different components meet again.
+little else. The group of such an n-gram is cut into salted blocks, and each two blocks meet in a task of their
+own, under the same bounds. Every linked pair of classes comes out; components and link counts follow from them.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilnmark.llm.common import (released, FACTOR, components, durable, flag_slots, is_flagged, mix, pack_slots, powers, running_sums,
@@ -35,7 +35,10 @@ SLOT_BITS, LOW = 24, 0.35
 MIN_FREQUENT = 16
 #: Bits of the filter for the documents whose sets are needed.
 NEEDED_BITS = 23
-STAR_ROUNDS = 2
+#: Members of a block of a frequent key's group.
+BLOCK = 512
+#: The keys before its own that a row of a frequent key carries.
+BEFORE = [f"v{k}" for k in range(4)]
 #: Words of 64 bits in the parity sketch of a set: bit k is the parity of its n-grams in the k-th fine fragment.
 SKETCH = [f"p{k}" for k in range(8)]
 
@@ -146,14 +149,18 @@ def frequent_slots(docs: DataFrame, width: int = WORDS) -> np.ndarray:
     return flag_slots(docs.mapInArrow(released(slots), "bucket int, slots binary"), SLOT_BITS, MIN_FREQUENT, 4)
 
 
-def prefixes(docs: DataFrame, shared: Broadcast, width: int = WORDS) -> DataFrame:
-    """(key, doc, n, pos, hot) for the n-grams in the prefix of each set; hot: frequent, or not counted."""
+def prefixes(docs: DataFrame, shared: Broadcast, hot: bool, width: int = WORDS) -> DataFrame:
+    """(key, doc, n, pos) for the n-grams in the prefix of each set; hot: those frequent, or not counted, else the others.
+
+    Hot rows have the keys before theirs in the prefix too, the nearest first; 0 where there is none.
+    """
     step = np.uint64(int(LOW * 2.0**64) >> SLOT_BITS)
+    names = ["key", "doc", "n", "pos", *(BEFORE if hot else [])]
 
     def run(batches):
         bits = shared.value
         for ids, sets in _fresh_sets(batches, width):
-            keys, rows, sizes, places, hots = [], [], [], [], []
+            columns = [[] for _ in names]
             for doc, s in zip(ids, sets):
                 slot = s // step
                 counted = slot < np.uint64(1 << SLOT_BITS)
@@ -161,25 +168,25 @@ def prefixes(docs: DataFrame, shared: Broadcast, width: int = WORDS) -> DataFram
                 # Pairs over the threshold miss at most a fifth of either set.
                 n = len(s)
                 first = np.concatenate([np.flatnonzero(~frequent), np.flatnonzero(frequent)])[:n - (4 * n + 4) // 5 + 1]
-                keys.append(s[first]), hots.append((frequent | ~counted)[first])
-                rows.append(np.full(len(first), doc, np.int64)), sizes.append(np.full(len(first), n, np.int32))
-                places.append(np.arange(len(first), dtype=np.int32))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(rows)),
-                     pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places)), pa.array(np.concatenate(hots))],
-                    ["key", "doc", "n", "pos", "hot"])
+                pos = np.flatnonzero((frequent | ~counted)[first] == hot)
+                keys = s[first].view(np.int64)
+                own = [keys[pos], np.full(len(pos), doc, np.int64), np.full(len(pos), n, np.int64), pos]
+                own += [np.where(pos > k, keys[np.maximum(pos - k - 1, 0)], 0) for k in range(len(names) - 4)]
+                for column, values in zip(columns, own):
+                    column.append(values)
+            if ids:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in columns], names)
 
-    return docs.mapInArrow(released(run), "key long, doc long, n int, pos int, hot boolean")
+    return docs.mapInArrow(released(run), ", ".join(f"{x} long" for x in names))
 
 
-def _may_link(n: str, pos: str, other_n: str, other_pos: str) -> Column:
+def _may_link(n: np.ndarray, pos: np.ndarray, other_n: np.ndarray, other_pos: np.ndarray) -> np.ndarray:
     """Can two documents link if this is the first n-gram of the order that they share?
 
     Nothing before it is shared, so what lies behind must do. Every link passes at its first shared
     n-gram, which stands in both prefixes.
     """
-    return F.expr(f"{DEN} * least({n} - {pos}, {other_n} - {other_pos}) >= {NUM} * ({n} + {other_n})")
+    return DEN * np.minimum(n - pos, other_n - other_pos) >= NUM * (n + other_n)
 
 
 def _cold_pairs(rows: DataFrame) -> DataFrame:
@@ -204,13 +211,13 @@ def _cold_pairs(rows: DataFrame) -> DataFrame:
             at = at[at + d < len(key)]
             at = at[key[at] == key[at + d]]
             a, b = at, at + d
-            fits = (DEN * np.minimum(n[a] - pos[a], n[b] - pos[b]) >= NUM * (n[a] + n[b])) & (doc[a] != doc[b])
+            fits = _may_link(n[a], pos[a], n[b], pos[b]) & (doc[a] != doc[b])
             if fits.any():
                 x, y = doc[a[fits]], doc[b[fits]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
             d += 1
 
-    dealt = rows.where("not hot").select("key", "doc", "n", "pos").repartition("key").sortWithinPartitions("key")
+    dealt = rows.repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(released(run), "a long, b long").distinct()
 
 
@@ -289,84 +296,115 @@ def _to_reps(pairs: DataFrame, rep_of: DataFrame) -> DataFrame:
     return named.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
 
 
-def _hot_links(hot: DataFrame, links: DataFrame, verify: _Verifier) -> DataFrame:
-    """Links that join what frequent keys hold together, on top of ``links``.
+def _hot_pairs(hot: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Pairs of representatives that share a frequent key and may link by their sizes, positions and sketches.
 
-    ``hot`` has (key, doc, n, pos and the sketch) of representatives. In each round, the members of a key's group
-    that lie outside the component of its centre are compared with it; the centre has the key near the
-    front, so it holds little that others lack. What is still apart after the rounds is compared with all of
-    the group, so nothing that could join two components is left out.
+    ``hot`` has (key, doc, n, pos, the keys before and the sketch). The members of a key are dealt over blocks,
+    and every two blocks (i, j) meet, so a task holds at most two blocks. A pair that shares one of the keys
+    before is left out here: that key is earlier in the order, and the pair is met there.
     """
-    found, tested = links, None
-    for turn in range(STAR_ROUNDS + 1):
-        label = components(found)
-        named = (hot.join(label.withColumnRenamed("id", "doc"), "doc", "left")
-                 .withColumn("c", F.coalesce("component_id", "doc")).drop("component_id"))
-        # Later rounds shuffle the order, so that other members become centres.
-        order = F.col("pos") if turn == 0 else F.pmod(F.xxhash64("doc", "key", F.lit(turn)), F.lit(1 + 2 * turn))
-        per_key = (named.groupBy("key").agg(
-            F.min("c").alias("c0"), F.max("c").alias("c1"),
-            F.min(F.struct(order.alias("h"), "pos", "doc", "c", "n", *SKETCH)).alias("r"))
-            .where("c0 < c1").select("key", F.col("r.doc").alias("other"), F.col("r.c").alias("oc"), F.col("r.n").alias("on"),
-                                     F.col("r.pos").alias("opos"), *(F.col(f"r.{x}").alias(x.replace("p", "q")) for x in SKETCH)))
-        per_key = durable(per_key, "ngram-open")
-        if per_key.isEmpty():
-            break
-        live = durable(named.join(per_key, "key"), "ngram-live")
-        hot = live.select("key", "doc", "n", "pos", *SKETCH)  # keys whose members are together already are done with
-        outside = live.where("c <> oc")
-        if turn < STAR_ROUNDS:
-            # Two keys of each document per round: enough for most, and linear.
-            nth = F.row_number().over(Window.partitionBy("doc").orderBy("pos", "key"))
-            few = outside.where(_may_link("n", "pos", "on", "opos") & _near("n", "p", "on", "q")).withColumn("nth", nth).where("nth <= 2")
-            pairs = few.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b"))
-        else:
-            left = outside.select("key", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("c").alias("cx"),
-                                  *_renamed("u"))
-            right = live.select("key", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("c").alias("cy"),
-                                *_renamed("w"))
-            pairs = (left.join(right, "key").where(F.expr("cx <> cy") & _may_link("nx", "px", "ny", "py") & _near("nx", "u", "ny", "w"))
-                     .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = durable(pairs, "ngram-star")
-        tested = pairs if tested is None else durable(tested.union(pairs), "ngram-tested")
-        found = durable(found.union(verify.links(pairs)).distinct(), "ngram-found")
-    return found
-
+    many = durable(hot.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "ngram-groups")
+    blocks = F.ceil(F.col("many") / block).cast("bigint")
+    salted = hot.join(many, "key").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc", "key"), F.col("blocks")))
+    met = salted.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    dealt = (met.select("key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "doc", "n", "pos",
+                        *BEFORE, *SKETCH)
+             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
 
-def ngram_components(docs: DataFrame, width: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, class_id and component_id for every row of ``docs`` (doc_id long, text).
-
-    Null or wordless texts have an empty set and are alone. Rows without a doc_id have null
-    class and component and link with nothing. Rows that repeat a doc_id share its component.
-    Extra columns are dropped.
-    """
+    def run(batches):
+        held = None
+        for batch in batches:
+            now = np.stack([c.to_numpy() for c in batch.columns])
+            now = now if held is None else np.concatenate([held, now], axis=1)
+            if not now.shape[1]:
+                continue
+            differs = np.flatnonzero((now[:3, 1:] != now[:3, :-1]).any(axis=0))
+            last = int(differs[-1]) + 1 if len(differs) else 0  # the last group may go on in the next batch
+            held = now[:, last:]
+            yield from pairs(now[:, :last])
+        if held is not None:
+            yield from pairs(held)
+
+    def pairs(rows):
+        if rows.shape[1] < 2:
+            return
+        i, j, own, doc, n, pos = rows[1:7]
+        before, sketch = rows[7:7 + len(BEFORE)], np.ascontiguousarray(rows[7 + len(BEFORE):].T).view(np.uint64)
+        group = np.cumsum(np.concatenate([[0], (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)]))
+        found, d, at = [], 1, np.arange(rows.shape[1] - 1)
+        while len(at):
+            at = at[at + d < len(group)]
+            at = at[group[at] == group[at + d]]
+            a, b = at, at + d
+            fits = ((i[a] == j[a]) | (own[a] != own[b])) & (doc[a] != doc[b]) & _may_link(n[a], pos[a], n[b], pos[b])
+            a, b = a[fits], b[fits]
+            d += 1
+            if not len(a):
+                continue
+            met = np.zeros(len(a), bool)
+            for k, x in enumerate(before):
+                for m, y in enumerate(before):
+                    met |= (x[a] == y[b]) & (pos[a] > k) & (pos[b] > m)
+            a, b = a[~met], b[~met]
+            differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
+            near = DEN * differ <= (DEN - 2 * NUM) * (n[a] + n[b])
+            x, y = doc[a[near]], doc[b[near]]
+            found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+        if found:
+            x, y = np.unique(np.concatenate(found, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
+
+    return dealt.mapInArrow(released(run), "a long, b long")
+
+
+def _classes(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """Every row with its size and its class (rep, null without one), and every linked pair of classes (a, b), each once."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     info = durable(describe(docs, width), "ngram-info")
     linked = docs.where("doc_id is not null")
     same = ["n_shingles", "s1", "s2"]
     reps = info.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"))
     # Stored first, so that both sides of the join come from a shuffle and a busy class can be split.
-    known = durable(info.join(durable(reps, "ngram-reps"), same, "left"), "ngram-classes")
+    known = durable(info.join(durable(reps, "ngram-reps"), same, "left")
+                    .withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.col("rep"))), "ngram-classes")
     rep_of = known.where("rep is not null").select("doc_id", "rep", "n_shingles", *SKETCH).distinct()
     flags = linked.sparkSession.sparkContext.broadcast(frequent_slots(linked, width))
-    rows = prefixes(linked, flags, width)
-    rows = durable(rows.where("hot"), "ngram-hot"), rows
-    verify = _Verifier(linked, width)
-    cold = durable(_to_reps(_cold_pairs(rows[1]), rep_of), "ngram-cold")
+    rows = durable(prefixes(linked, flags, True, width), "ngram-hot")
+    cold = durable(_to_reps(_cold_pairs(prefixes(linked, flags, False, width)), rep_of), "ngram-cold")
     flags.destroy()
-    links = verify.links(cold)
-    hot = (rows[0].join(rep_of.withColumnRenamed("doc_id", "doc"), "doc")
-           .select("key", F.col("rep").alias("doc"), "n", "pos", *SKETCH).distinct())
-    links = _hot_links(durable(hot, "ngram-hot"), links, verify)
+    hot = durable(rows.join(rep_of.withColumnRenamed("doc_id", "doc"), "doc")
+                  .select("key", F.col("rep").alias("doc"), "n", "pos", *BEFORE, *SKETCH).distinct(), "ngram-hot")
+    return known, _Verifier(linked, width).links(cold.union(_hot_pairs(hot)).distinct())
+
+
+def ngram_links(docs: DataFrame, width: int = WORDS) -> DataFrame:
+    """Every linked pair (a, b) of class representatives, each once, a < b.
+
+    The documents of a class have equal sets and link with each other and with all of a linked class; ``class_id`` of
+    ``ngram_components`` names the representative of each document.
+    """
+    return _classes(docs, width)[1]
+
+
+def ngram_components(docs: DataFrame, width: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles, class_id, component_id and n_links for every row of ``docs`` (doc_id long, text).
+
+    ``n_links`` is the number of other rows that the row links with. Null or wordless texts have an empty set and are
+    alone. Rows without a doc_id have null class and component and link with nothing. Rows that repeat a doc_id share
+    its component; their link counts are exact if their texts are equal. Extra columns are dropped.
+    """
+    known, links = _classes(docs, width)
     # Documents of a class hang below its representative; an id that repeats may join classes.
-    edges = links.union(rep_of.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
-    label = components(edges)
-    return (known.join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    below = known.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
+    label = components(links.union(below))
+    rows = durable(known.where("rep is not null").groupBy("rep").agg(F.count(F.lit(1)).alias("rows")), "ngram-rows")
+    beside = (links.union(links.select("b", "a")).toDF("rep", "other").join(rows.toDF("other", "more"), "other")
+              .groupBy("rep").agg(F.sum("more").alias("more")))
+    many = durable(rows.join(beside, "rep", "left").select("rep", (F.col("rows") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")),
+                   "ngram-many")
+    return (known.join(many, "rep", "left").join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("class_id"),
-                    F.coalesce("component_id", "doc_id").alias("component_id")))
+                    F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,6 +90,28 @@ def test_ngram_join_against_brute_force(spark, rng):
     assert {k: r.n_shingles for k, r in got.items()} == {k: len(s) for k, s in sets.items()}
 
 
+def test_ngram_join_yields_every_link(spark, rng, monkeypatch):
+    # Edited copies of one text: all n-grams are frequent, and many members of the one component do not link.
+    base, rows = [f"w{k}" for k in range(150)], []
+    for k in range(90):
+        text = list(base)
+        for j in range(rng.randrange(6)):
+            text[rng.randrange(150)] = f"x{k}_{j}"
+        rows.append((k, " ".join(text)))
+    rows += [(300 + k, rows[k][1].upper()) for k in range(5)] + [(400, None), (401, None), (None, rows[0][1])]
+    sets = {k: {tuple(w[i:i + 5]) for i in range(len(w) - 4)} for k, t in rows if k is not None for w in [(t or "").lower().split()]}
+    links = {(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    docs = spark.createDataFrame(rows, TEXTS)
+    monkeypatch.setattr(ngram_join._hot_pairs, "__defaults__", (16,))  # several blocks for a key
+    got = ngram_join.ngram_components(docs).collect()
+    of = {r.doc_id: r.class_id for r in got if r.doc_id is not None}
+    pairs = [(r.a, r.b) for r in ngram_join.ngram_links(docs).collect()]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) == {(min(of[a], of[b]), max(of[a], of[b])) for a, b in links if of[a] != of[b]}
+    assert {(r.doc_id, r.n_links) for r in got} == {(None, 0)} | {(k, sum(k in x for x in links)) for k in sets}
+    assert len(pairs) < 90 * 89 / 2 and len({r.component_id for r in got if r.doc_id is not None and r.doc_id < 400}) < 90
+
+
 def test_suffix_dedup_against_brute_force(spark, rng, sha):
     base = ["".join(rng.choice("abé ") for _ in range(90)) for _ in range(5)] + ["a" * 120, "ab" * 70]
     rows = [(i, "".join(rng.choice(base) if rng.random() < 0.5 else "".join(rng.choice("abé ") for _ in range(rng.randrange(40)))
