@@ -36,15 +36,22 @@ def encoding_of_json(path: str, pattern: str):
     byte_of = {chr(b): b for b in spelled} | {chr(256 + k): b for k, b in enumerate(rest)}
     with open(path, encoding="utf-8") as f:
         model = json.load(f)
-    special = {x["content"] for x in model["added_tokens"]}
+    special = {x["content"]: x["id"] for x in model["added_tokens"]}
+    if any(x[flag] for x in model["added_tokens"] for flag in ("lstrip", "rstrip", "single_word")):
+        raise ValueError(f"{path} has added tokens that look at the text around them")
     ranks = {bytes(byte_of[c] for c in token): k for token, k in model["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("json", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("json", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
 def encoder(path: str, pattern: str):
     return (encoding_of_json if path.endswith(".json") else encoding)(path, pattern)
 
 
+def encode_text(enc, text: str) -> list[int]:
+    """The ids of a text; it is cut at the spelling of added tokens, and their ids stand between the parts."""
+    return enc.encode(text, allowed_special="all") if enc.special_tokens_set else enc.encode_ordinary(text)
+
+
 def _ids(batches: list[list[int]]) -> pa.Array:
     return pa.array(batches, pa.list_(pa.int32()))
 
@@ -59,8 +66,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
     """``docs`` without ``text`` and with ``ids`` (array of int); null text encodes as empty.
 
     Every row comes back once, repeated rows as often as they stand there. Other columns
-    pass through; a column of the name ``ids`` is replaced. Special tokens are not looked for:
-    their spelling in a text is ordinary text.
+    pass through; a column of the name ``ids`` is replaced. The added tokens of a JSON vocabulary are
+    found inside a text, as the tokenizers library does; a rank file has none.
     """
     rest = [c for c in docs.columns if c not in (text, "ids")]
     rows = docs.select(*rest, empty_text(text).alias("__text"))
@@ -70,7 +77,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
         enc = encoder(path, pattern)
         for batch in batches:
             for part in _rows(batch):
-                ids = [enc.encode_ordinary(x) for x in part.column("__text").to_pylist()]
+                ids = [encode_text(enc, x) for x in part.column("__text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), _ids(ids)], [*rest, "ids"])
 
     short = rows.where(F.length("__text") <= chunk).mapInArrow(released(whole), out)
@@ -90,14 +97,28 @@ def _encode_long(rows: DataFrame, rest: list[str], path: str, pattern: str, chun
         import regex
 
         find = regex.compile(pattern).finditer
+        added = sorted(encoder(path, pattern).special_tokens_set, key=len, reverse=True)
+        cut_at = regex.compile("|".join(map(regex.escape, added))).finditer if added else None
+        longest = max(map(len, added), default=0)
+
+        def pieces(x):
+            """Start and end of every piece; no piece reaches over an added token, which is one itself."""
+            at = 0
+            for m in cut_at(x) if cut_at else ():
+                yield from ((at + p.start(), at + p.end()) for p in find(x[at:m.start()]))
+                yield m.span()
+                at = m.end()
+            yield from ((at + p.start(), at + p.end()) for p in find(x[at:]))
+
         for batch in batches:
             for part in _rows(batch, 64):
                 heads, tails = [], []
                 for x, no, last in zip(part.column("part").to_pylist(), part.column("no").to_pylist(),
                                        part.column("n").to_pylist()):
-                    # A match that reaches the end of the chunk, or looks at it, may be longer in the text.
-                    sure = len(x) if no == last - 1 else len(x) - 1
-                    starts = [m.start() for m in find(x) if m.end() < sure or no == last - 1]
+                    # A match that reaches the end of the chunk, or looks at it, may be longer in the text, and
+                    # one that reaches into the last characters may meet an added token that the chunk cuts.
+                    sure = len(x) - 1 - longest
+                    starts = [a for a, b in pieces(x) if b < sure or no == last - 1]
                     heads.append([s for s in starts if s <= overlap])
                     tails.append([s - chunk for s in starts if s >= chunk])
                 ints = pa.list_(pa.int32())
@@ -126,7 +147,7 @@ def _encode_long(rows: DataFrame, rest: list[str], path: str, pattern: str, chun
         enc = encoder(path, pattern)
         for batch in batches:
             for part in _rows(batch, 64):
-                ids = [enc.encode_ordinary(x) for x in part.column("piece").to_pylist()]
+                ids = [encode_text(enc, x) for x in part.column("piece").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("__key"), part.column("no"), _ids(ids)], ["__key", "no", "ids"])
 
     coded = synced.unionByName(joined).repartition("__key", "no").mapInArrow(released(encode), "__key string, no int, ids array<int>")

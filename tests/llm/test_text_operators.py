@@ -37,6 +37,16 @@ def test_packing(spark):
     assert placed.length.sum() / 256 / placed.sequence_id.nunique() > 0.8
 
 
+def test_added_tokens_inside_texts(spark):
+    path, end = P.path("byte_bpe_50k.json"), "<|endoftext|>"
+    texts = {1: f"a {end} b", 2: end, 3: f"x..{end}{end}   {end}\n\n y", 4: f"<|endof {end[:-1]} text|>",
+             5: "".join(f"word{k}  .{' ' * (k % 5)}{end}" for k in range(200)), 6: f"{'a b ' * 300}{end}" * 3}
+    tok = Tokenizer.from_file(path)
+    for chunk in (bpe.CHUNK, 97, 100):
+        got = bpe.encode_documents(spark.createDataFrame(list(texts.items()), TEXTS), path, P.PATTERN, chunk=chunk, overlap=40)
+        assert {r.doc_id: r.ids for r in got.collect()} == {k: tok.encode(t, add_special_tokens=False).ids for k, t in texts.items()}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], TEXTS)
     assert packing.pack_documents(none, P.path("byte_bpe_50k.json"), P.PATTERN).count() == 0
