@@ -4,7 +4,8 @@ Every node of the page's tree has a density: characters per tag, adjusted by how
 both stand in links. The densities of a node's children are summed, and the subtree with
 the largest sum holds the article. The least density on the path from that subtree to the
 body is the threshold for what else is kept. Parts that are no article by their element
-or their name (menus, footers, adverts, forms, comments) never take part.
+or their name (menus, footers, adverts, forms, comments) never take part, unless they hold most
+of the page's text outside links, or its only article.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from kilnmark.llm.common import released, table
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>|</?[a-zA-Z][^>]*+>", re.S)
-_NAMES = re.compile(r"(?:\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTES = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -33,7 +34,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are no article.
 DROPPED = frozenset("nav header footer aside form button select option textarea input script style noscript template iframe "
                     "svg head title menu dialog object canvas audio video".split())
-#: Words of a class, an id or a role that mark what is no article.
+#: Those of them that are dropped whatever they hold, and what else goes from a form that stays.
+NEVER_KEPT = DROPPED - frozenset("nav header footer aside form menu dialog".split())
+FORM_LABELS = frozenset("label legend optgroup datalist output".split())
+#: Whole words of a class, an id or a role that mark what is no article.
 DROPPED_NAMES = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie "
                           "cookies consent gdpr notice notices alert newsletter subscribe subscription popup modal overlay "
                           "sidebar sidebars aside menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead "
@@ -47,11 +51,12 @@ _SAME = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td"
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "parts", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total", "in_link")
+    __slots__ = ("tag", "parent", "parts", "dropped", "marked", "text", "articles", "chars", "tags", "link_chars", "link_tags", "density", "total", "in_link")
 
     def __init__(self, tag: str, parent: _Node | None, dropped: bool, in_link: bool):
         self.tag, self.parent, self.dropped, self.in_link = tag, parent, dropped, in_link
         self.parts: list[str | _Node] = []
+        self.marked, self.text, self.articles = False, 0, 0
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -61,10 +66,45 @@ def _marked_as_other(tag: str, attributes: str) -> bool:
         return True
     if not attributes or tag in _MAY_NOT_DROP:
         return False
-    for m in _NAMES.finditer(attributes):
-        if not DROPPED_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower())):
+    for m in _ATTRIBUTES.finditer(attributes):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name in ("class", "id", "role") and not DROPPED_NAMES.isdisjoint(value.split()):
             return True
-    return bool(_HIDDEN.search(attributes))
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _NOT_SHOWN.search(value):
+            return True
+    return False
+
+
+def _drop_others(nodes: list[_Node], body: _Node) -> None:
+    """Settles which marked nodes are dropped, with all below them.
+
+    A marked node stays if it holds more than half of the body's text outside links, or an article or main where
+    none stands outside marked nodes. What is marked inside it is judged by itself.
+    """
+    for node in reversed(nodes):
+        if node.dropped:
+            continue
+        if not node.in_link:
+            node.text += sum(len(x.strip()) for x in node.parts if isinstance(x, str))
+        node.articles += node.tag in ("article", "main")
+        if node.parent is not None:
+            node.parent.text += node.text
+            node.parent.articles += node.articles
+    under, free = set(), False
+    for node in nodes:
+        if node.marked or id(node.parent) in under:
+            under.add(id(node))
+        elif not node.dropped and node.tag in ("article", "main") and node.text:
+            free = True
+    in_form = set()
+    for node in nodes:
+        if node.parent is not None and node.parent.dropped:
+            node.dropped = True
+        elif node.marked:
+            node.dropped |= not (2 * node.text > body.text or node.articles and not free)
+        if node.tag == "form" or id(node.parent) in in_form:
+            in_form.add(id(node))
+            node.dropped |= node.tag in FORM_LABELS
 
 
 def _tree(page: str) -> list[_Node]:
@@ -96,7 +136,8 @@ def _tree(page: str) -> list[_Node]:
         if tag in _CLOSES:
             pop_to(_SAME.get(tag, (tag,)), _CLOSES[tag])
         up = stack[-1]
-        node = _Node(tag, up, up.dropped or _marked_as_other(tag, m[3]), up.in_link or tag == "a")
+        node = _Node(tag, up, up.dropped or tag in NEVER_KEPT, up.in_link or tag == "a")
+        node.marked = not node.dropped and _marked_as_other(tag, m[3])
         up.parts.append(node)
         nodes.append(node)
         if tag in RAW:
@@ -157,6 +198,7 @@ def main_text(page: str) -> str:
     """The article of one page: blocks joined by a line feed, empty if there is none."""
     nodes = _tree(page)
     body = next((n for n in nodes if n.tag == "body"), nodes[0])
+    _drop_others(nodes, body)
     _measure(nodes, body)
     inside = [n for n in nodes if not n.dropped and n.chars]
     if not inside:

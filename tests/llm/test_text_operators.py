@@ -162,3 +162,18 @@ def test_html():
     assert htmltext.main_text(page) == ("Title here\nFirst & long paragraph of text that goes on, and on, and on.\n"
                                         "Second one with a link in it, long enough.\nShort.")
     assert [htmltext.main_text(x) for x in ("plain  text", "<p>a</p>", "<body></body>", "")] == ["plain text", "a", "", ""]
+
+
+def test_html_marked_parts_that_hold_the_article():
+    text = "<p>" + "A long paragraph of the article that goes on and on. " * 4 + "</p>"
+    want = ("A long paragraph of the article that goes on and on. " * 4).strip()
+    pages = [f"<body><form id=f><label>Name</label><input><article>{text}</article><button>Go</button></form></body>",
+             f"<body><div class='layout no-sidebar'><article>{text}</article></div></body>",
+             f"<body><section title='A hidden gem'>{text}</section></body>",
+             f"<body><div class=sidebar><article>{text}</article></div><p>Short.</p></body>",
+             f"<body><form>{text}<select><option>One</select></form></body>"]
+    assert [want in htmltext.main_text(x) for x in pages] == [True] * 5
+    assert not any(x in htmltext.main_text(pages[0]) + htmltext.main_text(pages[4]) for x in ("Name", "Go", "One"))
+    # Marked parts beside an article go as before, also if they hold articles themselves.
+    beside = f"<body><article>{text}</article><div class=comments><article>A reader's word.</article></div><div hidden>No</div></body>"
+    assert htmltext.main_text(beside) == want
