@@ -23,9 +23,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the net names with some certainty; it learns on the rows given here."""
+    """Documents in a language that the net names with some certainty; it learns on the rows given here.
+
+    If none of them can be learned from, there is no net, and every document that has a letter stays.
+    """
     bounded_batches(spark)
-    told = langid.predict(docs.select(*COLUMNS), langid.train(docs.select("doc_id", "lang", "text")))
+    net = langid.train(docs.select("doc_id", "lang", "text"))
+    if net is None:
+        return docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}"))
+    told = langid.predict(docs.select(*COLUMNS), net)
     return told.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
 
