@@ -73,17 +73,24 @@ def give(answer, args):
         answer.show(args.rows or max(1, answer.count()), truncate=False)
 
 
+def beside(args, name):
+    """``args`` with a folder beside the table for the whole answer, unless a folder or ``--rows`` is given."""
+    if not args.output and not args.rows:
+        args.output = f"{args.table.rstrip('/')}.{name}"
+    return args
+
+
 def past(spark, args):
     now = args.now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     table = jobs.read_running_table(spark, args.table, first=minutes_before(now, args.minutes).date(), last=now.date())
     answer = serving.running_avg_since(table, now, args.minutes)
-    give(serving.in_key_order(answer), args)
+    give(serving.in_key_order(answer), beside(args, "past"))
 
 
 def week(spark, args):
     stop = parse_day(args.date)
     table = batch.read_segments(spark, args.table, first=stop - dt.timedelta(days=7), stop=stop)
-    give(serving.in_key_order(serving.batch_week(table, args.date)), args)
+    give(serving.in_key_order(serving.batch_week(table, args.date)), beside(args, "week"))
 
 
 def look(spark, args):
@@ -104,7 +111,7 @@ def parser() -> argparse.ArgumentParser:
     day = {"type": dt.date.fromisoformat, "default": None}
     rows = ("--rows", {"type": int, "default": 100})
     whole = (("--rows", {"type": int, "default": None, "help": "print this many rows only"}),
-             ("--output", {"default": None, "help": "folder for the whole answer as Parquet"}))
+             ("--output", {"default": None, "help": "folder for the whole answer as Parquet (beside the table by default)"}))
     dead = ("--dead", {"default": None, "help": "folder for lines that do not fit (beside the output by default)"})
     command(clean, "raw export -> comma export in time order", ("--input", need), ("--output", need),
             ("--sep", {"default": ";"}), ("--gzip", {"action": "store_true"}),
