@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by a depth-limited radix sort of suffixes.
+"""Removal of repeated byte strings by winnowing and hash equality, in place of a radix sort of suffixes.
 
 Suffixes are told apart only through ``THRESHOLD`` bytes, in passes that begin with the coarsest
 digit; after each pass what stands alone is dropped, and what is equal at the end is
@@ -8,10 +8,10 @@ the suffixes of a window are represented by its anchor: the position with the le
 
 1. the slot of the anchor's hash (28 bits), counted over all documents,
 2. the whole hash of the anchor, found in two documents or more,
-3. the bytes of the windows around it, compared group by group.
+3. the 64-bit hashes of the windows around it, compared group by group.
 
 The first two passes leave flags of a fixed size. They may let a lone suffix through but never hold
-a repeated one back, so the result is exact.
+a repeated one back, so the result is exact unless two hashes collide.
 """
 
 from __future__ import annotations
