@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from kilnmark.llm import bpe, chat, cover_tree, htmltext, langid, ngram_join, packing, quality, suffix_dedup, warc
+from kilnmark.llm import (
+    bpe,
+    chat,
+    cover_tree,
+    divergence,
+    htmltext,
+    langid,
+    merkle,
+    ngram_join,
+    packing,
+    quality,
+    secret_scan,
+    suffix_dedup,
+    warc,
+)
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,9 +29,14 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_chat_format": chat.op9_chat_format,
     "op10_language_id": langid.op10_language_id,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_source_divergence": divergence.op12_source_divergence,
+    "op13_secret_scan": secret_scan.op13_secret_scan,
 }
 ORACLE = {
     "op5_quality_rules": quality.ORACLE,
     "op6_warc": warc.ORACLE,
     "op9_chat_format": chat.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
 }
