@@ -173,13 +173,19 @@ def first_marker_day(rows: DataFrame, by=DEVICE, within=("archive_day",), ts="ts
     return markers(rows, marker).groupBy(*by, *within).agg(F.to_date(first).alias("key_day"))
 
 
+def first_segment_day(segments: DataFrame, by=DEVICE, within=("archive_day",)) -> DataFrame:
+    """Day of the first marker, taken from segments: it ends the first one of every archive unit."""
+    end = "end_local" if "end_local" in segments.columns else "end_ts"
+    return segments.groupBy(*by, *within).agg(F.to_date(F.min_by(end, "end_ts")).alias("key_day"))
+
+
 def segment_table(segments: DataFrame, key_day="archive_day", columns=SEGMENT_COLUMNS, by=DEVICE,
                   marker: str = LAB, keep: Sequence[str] = ()) -> DataFrame:
     """Shape segments into the stored batch analysis table: key first, catalog names.
 
     ``key_day`` is the column with the date part of the key. An archive day is
     the day of its first marker by construction; archives cut at other times
-    join ``first_marker_day`` and pass its column. ``keep`` names further columns.
+    join ``first_segment_day`` and pass its column. ``keep`` names further columns.
     """
     start, end = ("start_local", "end_local") if "start_local" in segments.columns else ("start_ts", "end_ts")
     return segments.select(

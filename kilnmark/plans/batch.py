@@ -5,15 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnmark.operators.segments import first_marker_day, segment_averages, segment_table
-from kilnmark.operators.skew import join_spread
+from kilnmark.operators.segments import first_segment_day, markers, segment_averages, segment_table
+from kilnmark.operators.skew import hot_keys, join_spread
 from kilnmark.schemas import DEVICE, LAB, MERGED, METERS, SEGMENT_COLUMNS
 from kilnmark.sources.archive import PART, from_records, read_archive
-from kilnmark.sources.tables import BATCH, append_batch, read_table, replace_days
+from kilnmark.sources.tables import BATCH, append_batch, replace_days
+from kilnmark.sources.tables import stored as stored_table
 
 FILE = "archive_file"
 
@@ -31,12 +31,15 @@ def analyse_files(archive: DataFrame, meters: Sequence[str] = METERS, columns: M
                   one_row_per_ts: bool = True, local: str | None = None) -> DataFrame:
     """Segments of every file on its own, wherever the files were cut; the last column names the file.
 
-    The date of the keys is that of the file's first marker: one lookup row per
-    device and file.
+    The date of the keys is that of the file's first marker, which is the end of its first segment:
+    one lookup row per device and file, taken from the segments themselves. The busy devices are
+    looked for among the markers, of which there is one per segment.
     """
     segments = segment_averages(archive, meters, by, (unit,), ts, one_row_per_ts=one_row_per_ts, local=local)
-    first = first_marker_day(archive, by, (unit,), ts, local=local)
-    return segment_table(join_spread(segments, first, [*by, unit], ["end_ts"]), "key_day", columns, by, keep=[unit])
+    first = first_segment_day(segments, by, (unit,))
+    hot = hot_keys(markers(archive), [*by, unit])
+    table = join_spread(segments, first, [*by, unit], ["end_ts"], hot=hot)
+    return segment_table(table, "key_day", columns, by, keep=[unit])
 
 
 def analyse_across_midnight(rows: DataFrame, meters: Sequence[str] = METERS,
@@ -47,16 +50,6 @@ def analyse_across_midnight(rows: DataFrame, meters: Sequence[str] = METERS,
     return segment_table(segments.withColumn("key_day", F.to_date("end_ts")), "key_day", columns, by)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None if nothing was ever written there."""
-    try:
-        return read_table(spark, path)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-
-
 def _within(first: dt.date | None, stop: dt.date | None) -> Column:
     day = F.col(PART)
     inside = F.lit(True) if first is None else day >= F.lit(first)
@@ -80,7 +73,7 @@ def run_daily(spark: SparkSession, archive_path: str, table_path: str, first: dt
     archive = read_archive(spark, archive_path, fmt=fmt).where(_within(first, stop))
     local = "ts_local" if "ts_local" in archive.columns else None
     days = archive.select(PART)
-    if (stored := _stored(spark, table_path)) is not None:
+    if (stored := stored_table(spark, table_path)) is not None:
         days = days.union(stored.where(_within(first, stop)).select(PART))
     idle = days.distinct().join(_marked(archive, PART), PART, "left_anti")
     segments = analyse_days(archive, meters, columns, local=local)
@@ -92,16 +85,13 @@ def run_files(spark: SparkSession, path: str, table_path: str, run: int, fmt: st
 
     Files may cut days anywhere, so results of other files stay; ``run`` is a
     growing number and the newest run wins per file, which is known by its path.
-    A file without segments leaves a row without a key, and so does every
-    day that an earlier run of the same number had. Use a table of its own.
+    A file without segments leaves a row without a key. A run that is repeated replaces
+    all that it wrote before. Use a table of its own.
     """
     rows = from_records(read_archive(spark, path, MERGED if fmt == "parquet" else None, fmt))
     result = analyse_files(rows, one_row_per_ts=False, local="ts_local")
     idle = rows.select(FILE).distinct().join(_marked(rows, FILE), FILE, "left_anti")
     result = result.unionByName(idle, allowMissingColumns=True)
-    if (stored := _stored(spark, table_path)) is not None:
-        days = stored.where(F.col(BATCH) == run).select(F.col(PART).cast("date")).distinct()
-        result = result.unionByName(days, allowMissingColumns=True)
     append_batch(result, table_path, run)
 
 
@@ -112,7 +102,7 @@ def read_segments(spark: SparkSession, path: str, columns: Mapping[str, str] = S
     Keys have minutes only, so segments of one minute share theirs and all come back.
     """
     names = ["key", *DEVICE, PART, "startTimestamp", "endTimestamp", LAB, *columns.values()]
-    table = _stored(spark, path)
+    table = stored_table(spark, path)
     if table is None:
         kinds = {**dict.fromkeys(["key", *DEVICE], "string"), PART: "date",
                  **dict.fromkeys(["startTimestamp", "endTimestamp"], "timestamp_ntz")}

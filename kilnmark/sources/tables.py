@@ -1,9 +1,9 @@
 """Keyed tables as partitioned Parquet: idempotent batch appends, last write wins on read.
 
 A write never reads the table back. Each batch lands in its own ``batch_id``
-partitions, so a batch repeated with the same rows replaces itself and nothing
-else, and a lost executor costs a task retry. Readers take the newest write per key; ``settle``
-rewrites finished days so that the choice is made once.
+partitions, so a repeated batch replaces itself and nothing
+else, and a lost executor costs a task retry. Readers take the newest write per key;
+``kilnmark.sources.compaction`` folds batches so that the choice is made once.
 """
 
 from __future__ import annotations
@@ -11,28 +11,65 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kilnmark.functions.timestamps import archive_day, wall_clock
 from kilnmark.operators.latest import last_write
 from kilnmark.schemas import DEVICE, LAB, METERS, STATUS
+from kilnmark.sources.files import Files
 
 BATCH = "batch_id"
+#: Folders beside the partitions, which Spark's readers skip: batches on their way, and the partitions of each batch.
+STAGED = "_staged"
+LISTS = "_batches"
 DAY = "archive_day"
 CELL_PARTS = (DAY, "meter")
 CELL_KEYS = (*DEVICE, DAY, "meter", "minute_ts")
 
 
-def append_batch(rows: DataFrame, path: str, batch_id: int, parts: Sequence[str] = (DAY,)) -> None:
-    """Store one batch below ``parts`` and ``batch_id``; the same rows again replace it.
+def append_batch(rows: DataFrame, path: str, batch_id: int, parts: Sequence[str] = (DAY,)) -> list[str]:
+    """Store one batch below ``parts`` and ``batch_id`` and return its partitions; repeated, it replaces itself.
 
-    Partitions of an earlier run of the batch that get no row now stay as they are.
+    The rows are staged first, which tells the partitions without a second run of the plan. A list
+    of these and of those of an earlier run is written ahead; then the folders are moved
+    to their places, the ones that the batch no longer has are removed, and the list is cut to what
+    is there. A run that breaks off anywhere leaves a list with all that the next run must replace.
     """
-    (rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-     .hint("rebalance", *parts)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts, BATCH).parquet(path))
+    files = Files(rows.sparkSession, path)
+    stage, note = f"{STAGED}/{BATCH}={batch_id}", f"{LISTS}/{batch_id}.json"
+    files.delete(stage)
+    rows.drop(BATCH).hint("rebalance", *parts).write.partitionBy(*parts).parquet(f"{path}/{stage}")
+    found = files.leaves(stage, len(parts))
+    if not parts and rows.sparkSession.read.schema(rows.drop(BATCH).schema).parquet(f"{path}/{stage}").isEmpty():
+        found = []
+    earlier = files.read_note(note) or []
+    files.write_note(note, sorted({*found, *earlier}))
+    for part in sorted({*found, *earlier}):
+        files.delete(batch_folder(part, batch_id))
+        if part in found:
+            files.move(f"{stage}/{part}".rstrip("/"), batch_folder(part, batch_id))
+    files.write_note(note, found)
+    files.delete(stage)
+    return found
+
+
+def batch_folder(part: str, batch_id: int) -> str:
+    """Where the rows of a batch in a partition are, relative to the table."""
+    return f"{part}/{BATCH}={batch_id}".lstrip("/")
+
+
+def read_batch(spark: SparkSession, path: str, batch_id: int, parts: Sequence[str], schema: T.StructType) -> DataFrame | None:
+    """The rows of one batch, without a look at any other folder; None if it has none. ``schema`` is that of its rows."""
+    found = Files(spark, path).read_note(f"{LISTS}/{batch_id}.json")
+    if not found:
+        return None
+    names = [f for f in schema.fields if f.name not in (*parts, BATCH)]
+    whole = T.StructType([*names, *(schema[p] for p in parts), T.StructField(BATCH, T.LongType())])
+    return (spark.read.schema(whole).option("basePath", path)
+            .parquet(*[f"{path}/{batch_folder(part, batch_id)}" for part in found]))
 
 
 def replace_days(rows: DataFrame, path: str, parts: Sequence[str] = (DAY,)) -> None:
@@ -46,6 +83,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None if nothing was ever written there."""
+    try:
+        return read_table(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def read_newest(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str],
                 order: str, where: Column | None = None) -> DataFrame:
     """Newest write per key. ``where`` is applied before the choice: put partition columns in it."""

@@ -8,13 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from kilnmark.functions.timestamps import archive_window
@@ -31,8 +27,9 @@ from kilnmark.operators.running import (
     running_table,
 )
 from kilnmark.schemas import DEVICE, LAB, METERS, STATUS
+from kilnmark.sources.compaction import RUNNING, read_keyed
 from kilnmark.sources.messages import read_lab, read_sensor
-from kilnmark.sources.tables import BATCH, CELL_PARTS, append_batch, both_kinds, cells, read_newest
+from kilnmark.sources.tables import BATCH, CELL_PARTS, append_batch, both_kinds, cells, read_batch
 from kilnmark.streaming.feeds import with_device, with_event_time
 
 DELAY = "1 hour"
@@ -88,22 +85,15 @@ def averages_sink(table_path: str, publish: Callable[[DataFrame, int], None], da
     Reading the stored batch back keeps the stateful plan from running twice.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch.withColumn(day, F.to_date("window_end")), table_path, batch_id, (day,))
-        reader = batch.sparkSession.read.schema(_with_parts(batch, day)).option("basePath", table_path)
-        try:  # only this batch's folders are listed, however long the table is
-            stored = reader.parquet(f"{table_path}/{day}=*/{BATCH}={batch_id}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return  # nothing changed in this batch
-        publish(average_messages(stored), batch_id)
+        rows = batch.withColumn(day, F.to_date("window_end"))
+        append_batch(rows, table_path, batch_id, (day,))
+        # Only this batch's folders are listed, however long the table is.
+        stored = read_batch(batch.sparkSession, table_path, batch_id, (day,), rows.schema)
+        if stored is not None:  # else nothing changed in this batch
+            publish(average_messages(stored), batch_id)
     return store
 
 
-def _with_parts(batch: DataFrame, day: str):
-    return T.StructType([*batch.schema.fields, T.StructField(day, T.DateType()), T.StructField(BATCH, T.LongType())])
-
-
 def message_files(path: str) -> Callable[[DataFrame, int], None]:
     """Publish ``(key, value)`` messages as files, one folder per batch."""
     def publish(messages: DataFrame, batch_id: int) -> None:
@@ -191,10 +181,9 @@ def read_running_table(spark: SparkSession, path: str, meters: Sequence[str] = M
 
     ``first`` and ``last`` are the days to read, both included; other partitions are skipped.
     """
-    bounds = [F.col("day") >= F.lit(first)] if first is not None else []
-    bounds += [F.col("day") <= F.lit(last)] if last is not None else []
-    days = reduce(and_, bounds) if bounds else None
-    newest = read_newest(spark, path, [*DEVICE, "day", "window_end", "meter"], ["avg"], BATCH, days)
+    newest = read_keyed(spark, path, RUNNING, first, last)
+    if newest is None:
+        raise FileNotFoundError(f"no running averages at {path}")
     newest = newest.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
     wide = rows_to_meters(newest.withColumnRenamed("avg", "value"), meters, [*DEVICE, "window_end"], F.max)
     return keyed_running_table(wide, meters)

@@ -230,6 +230,12 @@ ORACLE = {
     "upsert_last_wins": CELLS + " SELECT factory_id, oven_id, archive_day, meter, minute_ts, value FROM cells",
     "settled_days": CELLS + """ SELECT factory_id, oven_id, archive_day, meter, minute_ts, value FROM cells
         WHERE archive_day < DATE '2024-01-15'""",
+    "repeated_batch": CELLS + " SELECT factory_id, oven_id, archive_day, meter, minute_ts, value FROM cells",
+    "settled_plus_live": CELLS + " SELECT factory_id, oven_id, archive_day, meter, minute_ts, value FROM cells",
+    "settled_running": WIDE + f" SELECT key, factory_id, oven_id, window_end, {WIDE6} FROM wide",
+    "stored_key_range": WIDE + f""" SELECT key, window_end, {WIDE6} FROM wide
+        WHERE key >= '002#007#202401030000' AND key < '002#007#202401200000'""",
+    "stored_past_24h": WIDE + f" SELECT key, {WIDE2} FROM wide{IN_24H} ORDER BY key",
     "meter_prefix_scan": f"""WITH {EV}
         SELECT factory_id, oven_id, archive_day, event_type AS meter, date_trunc('minute', ts) AS minute_ts, value,
                event_id AS seq

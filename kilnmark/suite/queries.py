@@ -41,7 +41,7 @@ from kilnmark.plans import batch, serving
 from kilnmark.plans.sql_views import register_views
 from kilnmark.schemas import DEVICE, LAB, METERS, RAW, SEGMENT_COLUMNS, STATUS, series_dimension
 from kilnmark.session import fresh_dir
-from kilnmark.sources import archive, delimited, feeds, messages, tables
+from kilnmark.sources import archive, compaction, delimited, feeds, messages, tables
 from kilnmark.streaming import jobs
 from kilnmark.streaming.feeds import file_feed
 
@@ -219,6 +219,72 @@ def settled_days(spark, sf_dir):
     return tables.read_table(spark, settled).select(*tables.CELL_KEYS, "value")
 
 
+def repeated_batch(spark, sf_dir):
+    """A batch that is delivered again with its rows on other days: nothing of the first delivery stays."""
+    path = fresh_dir(spark, "cells")
+    cells = tables.cells(_all_readings(_events(spark, sf_dir)))
+    early, late = (cells.where(test) for test in (F.col("minute_ts") < wall_clock(NOW), F.col("minute_ts") >= wall_clock(NOW)))
+    moved = late.withColumns({"archive_day": F.date_add("archive_day", 40), "minute_ts": F.col("minute_ts") + F.expr("INTERVAL 40 DAYS")})
+    for batch_id, part in ((0, early), (1, moved), (1, late)):
+        tables.append_batch(part, path, batch_id, tables.CELL_PARTS)
+    return tables.read_newest(spark, path, tables.CELL_KEYS, ["value"], "seq").select(*tables.CELL_KEYS, "value")
+
+
+def settled_plus_live(spark, sf_dir):
+    """Cells that arrive in six batches, folded twice on the way: settled days and live batches together."""
+    path = fresh_dir(spark, "cells")
+    events = _events(spark, sf_dir)
+    for batch_id in range(6):
+        part = events.where(F.pmod(F.col("event_id"), F.lit(6)) == batch_id)
+        tables.append_batch(tables.cells(_all_readings(part)), path, batch_id, tables.CELL_PARTS)
+        if batch_id in (2, 4):
+            compaction.compact(spark, path, compaction.CELLS)
+    return compaction.read_keyed(spark, path, compaction.CELLS).select(*tables.CELL_KEYS, "value")
+
+
+def _growing_averages(spark, sf_dir):
+    """A table of running averages whose windows grow over three batches, the first two folded."""
+    path = fresh_dir(spark, "running")
+    events = _events(spark, sf_dir)
+    third = F.pmod(F.col("event_id"), F.lit(3))
+    for batch_id, part in enumerate((events.where(third == 0), events.where(third < 2), events)):
+        rows = running_averages_of_readings(feeds.readings(part)).withColumn("day", F.to_date("window_end"))
+        tables.append_batch(rows, path, batch_id, ("day",))
+        if batch_id == 1:
+            compaction.compact(spark, path, compaction.RUNNING, through=1)
+    return path
+
+
+def stored_key_range(spark, sf_dir):
+    """A range of keys of the stored running averages: days, files and row groups outside are not read."""
+    found = compaction.scan_keys(spark, _growing_averages(spark, sf_dir), compaction.RUNNING,
+                                 "002#007#202401030000", "002#007#202401200000")
+    wide = rows_to_meters(found.withColumnRenamed("avg", "value"), EVENT_METERS, ["key", "window_end"], F.max)
+    return wide.select("key", "window_end", *_rounded(EVENT_METERS))
+
+
+def stored_past_24h(spark, sf_dir):
+    """The past day served from the stored table instead of the events."""
+    first = NOW - dt.timedelta(days=1)
+    table = jobs.read_running_table(spark, _growing_averages(spark, sf_dir), EVENT_METERS, first.date(), NOW.date())
+    return serving.in_key_order(serving.running_avg_since(table, NOW, meters=EVENT_METERS))
+
+
+def settled_running(spark, sf_dir):
+    """Running averages of a stream of four micro-batches, folded after the third; the whole table."""
+    source, table, checkpoint = (fresh_dir(spark, n) for n in ("source", "running", "checkpoint"))
+    events = _events(spark, sf_dir)
+    sink = jobs.averages_sink(table, jobs.message_files(fresh_dir(spark, "messages")))
+    for k in range(4):
+        events.where(F.pmod(F.col("event_id"), F.lit(4)) == k).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.running_stream_of_readings(feeds.readings(file_feed(spark, source, events.schema)), delay="60 days")
+        jobs.finish(jobs.start_upserts(stream, sink, checkpoint))
+        if k == 2:
+            compaction.compact(spark, table, compaction.RUNNING)
+    rows = jobs.read_running_table(spark, table, EVENT_METERS)
+    return rows.select("key", *DEVICE, "window_end", *_rounded(EVENT_METERS))
+
+
 # --- merge -----------------------------------------------------------------
 
 def merge_day_buckets(spark, sf_dir):
@@ -641,6 +707,11 @@ QUERIES = {
     "current_conditions_map": current_conditions_map,
     "upsert_last_wins": upsert_last_wins,
     "settled_days": settled_days,
+    "repeated_batch": repeated_batch,
+    "settled_plus_live": settled_plus_live,
+    "settled_running": settled_running,
+    "stored_key_range": stored_key_range,
+    "stored_past_24h": stored_past_24h,
     "meter_prefix_scan": meter_prefix_scan,
     "meter_hour_scan": meter_hour_scan,
     "range_scan_past_24h": range_scan_past_24h,
