@@ -12,10 +12,10 @@ if __package__ in (None, ""):  # started as a script by spark-submit
 
 from kilnmark.functions import minutes_before, parse_day  # noqa: E402
 from kilnmark.plans import batch, serving  # noqa: E402
-from kilnmark.schemas import RAW  # noqa: E402
+from kilnmark.schemas import DEVICE, RAW  # noqa: E402
 from kilnmark.session import build_session  # noqa: E402
-from kilnmark.sources import delimited, messages, tables  # noqa: E402
-from kilnmark.streaming import jobs  # noqa: E402
+from kilnmark.sources import compaction, delimited, messages, tables  # noqa: E402
+from kilnmark.streaming import ingest, jobs  # noqa: E402
 from kilnmark.streaming.feeds import file_messages, topic_messages  # noqa: E402
 
 
@@ -41,14 +41,16 @@ def split(spark, args):
 
 
 def stream(spark, args):
-    def source(name):
+    places = ingest.positions(spark, args.behind, args.behind_batch) if args.behind else {}
+
+    def source(name, feed):
         if args.servers:
-            return topic_messages(spark, args.servers, name, args.from_start)
-        return file_messages(spark, name)
+            return topic_messages(spark, args.servers, name, args.from_start, after=places.get(feed))
+        return file_messages(spark, name, after=places.get(feed))
 
     publish = jobs.message_topic(args.servers, args.averages) if args.servers else jobs.message_files(args.averages)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
-    queries = jobs.start_all(source(args.sensor), source(args.lab), args.tables, publish, args.checkpoint,
+    queries = jobs.start_all(source(args.sensor, ingest.SENSOR_FEED), source(args.lab, ingest.LAB_FEED), args.tables, publish, args.checkpoint,
                              args.delay, args.size, args.slide, trigger)
     if args.once:
         for query in queries:
@@ -62,7 +64,7 @@ def daily(spark, args):
 
 
 def files(spark, args):
-    batch.run_files(spark, args.archive, args.table, args.run_number, args.format)
+    batch.run_files(spark, args.archive, args.table, args.run_number, args.format, args.by_folder)
 
 
 def give(answer, args):
@@ -93,6 +95,27 @@ def week(spark, args):
     give(serving.in_key_order(serving.batch_week(table, args.date)), beside(args, "week"))
 
 
+def current(spark, args):
+    rows = ingest.read_current(spark, args.table)
+    give(serving.current_conditions(rows).orderBy(*DEVICE), beside(args, "shown"))
+
+
+def averages(spark, args):
+    give(serving.current_averages(jobs.read_averages(spark, args.table)).orderBy(*DEVICE, "meter"), beside(args, "current"))
+
+
+def compact(spark, args):
+    layout = {"cells": compaction.CELLS, "running": compaction.RUNNING}[args.kind]
+    after = compaction.compact(spark, args.table, layout, args.through)
+    print(f"generation {after['generation']}, batches through {after['through']}")
+
+
+def keys(spark, args):
+    layout = {"cells": compaction.CELLS, "running": compaction.RUNNING}[args.kind]
+    found = compaction.scan_keys(spark, args.table, layout, args.start, args.stop)
+    give(found.orderBy("key", *layout.keys), beside(args, "range"))
+
+
 def look(spark, args):
     tables.preview(spark.read.format(args.format).load(args.path), args.rows).show(args.rows, truncate=False)
 
@@ -123,15 +146,25 @@ def parser() -> argparse.ArgumentParser:
             ("--servers", {"default": None, "help": "Kafka servers; sensor, lab and averages are then topics"}),
             ("--from-start", {"action": "store_true"}), ("--once", {"action": "store_true"}),
             ("--every", {"default": "1 minute"}), ("--delay", {"default": jobs.DELAY}),
-            ("--size", {"default": jobs.SIZE}), ("--slide", {"default": jobs.SLIDE}))
+            ("--size", {"default": jobs.SIZE}), ("--slide", {"default": jobs.SLIDE}),
+            ("--behind", {"default": None, "help": "journal of an earlier run: begin where that run's feeds were read to"}),
+            ("--behind-batch", {"type": int, "default": None, "help": "the batch of that journal to begin behind"}))
     command(daily, "archive days -> segment table", ("--archive", need), ("--table", need),
             ("--first", day), ("--stop", day), ("--format", {"default": "parquet"}))
     command(files, "archive record files, each on its own -> segment table", ("--archive", need), ("--table", need),
-            ("--run-number", {"type": int, "required": True}), ("--format", {"default": "parquet"}))
+            ("--run-number", {"type": int, "required": True}), ("--format", {"default": "parquet"}),
+            ("--by-folder", {"action": "store_true", "help": "all files of a folder are one archive"}))
     command(past, "running averages of the last minutes", ("--table", need),
             ("--now", {"type": dt.datetime.fromisoformat, "default": None}),
             ("--minutes", {"type": int, "default": serving.DAY_MINUTES}), *whole)
     command(week, "segments of the week before a date", ("--table", need), ("--date", need), *whole)
+    command(current, "newest row of every device", ("--table", need), *whole)
+    command(averages, "newest average of every meter", ("--table", need), *whole)
+    kind = ("--kind", {"choices": ["cells", "running"], "required": True})
+    command(compact, "fold the batches of a keyed table", ("--table", need), kind,
+            ("--through", {"type": int, "default": None, "help": "last batch to fold (all but the newest by default)"}))
+    command(keys, "rows of a keyed table whose key is in a range", ("--table", need), kind,
+            ("--start", need), ("--stop", need), *whole)
     command(look, "first rows of a table as JSON", ("--path", need), ("--format", {"default": "parquet"}), rows)
     return top
 

@@ -21,18 +21,18 @@ def chronological(rows: DataFrame, ts: str, ties: Sequence[str]) -> DataFrame:
     return rows.orderBy(ts, *ties)
 
 
-def in_parts(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+def in_parts(rows: DataFrame, order: Sequence[str], path: str | None = None) -> DataFrame:
     """``rows`` stored in the order of ``order``, cut by range, with ``__part`` and ``__at`` (place within the part).
 
     Ties are spread by the place of a row in its input, so rows that are equal in
     ``order`` are cut over many parts too. The rows are read twice: a sample for the ranges, then the sort. They
-    are stored in the shared folder, so that later reads see the same places whatever executor is lost.
+    are stored, at ``path`` or in the shared folder, so that later reads see the same places whatever executor is lost.
     """
     by = [F.col(c) for c in (*order, _TIE)]
     placed = (rows.withColumn(_TIE, F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by)
               .drop(_TIE).withColumn(_AT, F.monotonically_increasing_id()))
-    path = fresh_dir(rows.sparkSession, "in-order")
-    placed.write.parquet(path)
+    path = path or fresh_dir(rows.sparkSession, "in-order")
+    placed.write.mode("overwrite").parquet(path)
     stored = rows.sparkSession.read.schema(placed.schema).parquet(path)
     return stored.withColumns({_PART: F.shiftright(_AT, _ROW_BITS).cast("int"),
                                _AT: F.col(_AT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))})
@@ -50,12 +50,12 @@ def _starts(counts: Sequence[T.Row]) -> list[tuple[int, int, int]]:
     return starts
 
 
-def numbered(rows: DataFrame, order: Sequence[str], name: str = "number") -> DataFrame:
+def numbered(rows: DataFrame, order: Sequence[str], name: str = "number", path: str | None = None) -> DataFrame:
     """Add a number from 0, without gaps, in the order of ``order`` (nulls first); equal rows have any order.
 
     Distributed prefix sums: one count per part goes to the driver, and its offset comes back.
     """
-    placed = in_parts(rows, order)
+    placed = in_parts(rows, order, path)
     counts = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("n_rows")).orderBy(_PART).collect()
     offsets, total = [], 0
     for part, n in counts:

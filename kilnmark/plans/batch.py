@@ -80,15 +80,21 @@ def run_daily(spark: SparkSession, archive_path: str, table_path: str, first: dt
     replace_days(segments.unionByName(idle, allowMissingColumns=True), table_path)
 
 
-def run_files(spark: SparkSession, path: str, table_path: str, run: int, fmt: str = "parquet") -> None:
+def run_files(spark: SparkSession, path: str, table_path: str, run: int, fmt: str = "parquet",
+              by_folder: bool = False) -> None:
     """Analyse archive record files (one, a folder or a glob), each on its own, and store the results by file.
 
+    With ``by_folder`` all files of a folder are one unit of analysis, so that a large cut can be
+    written by many tasks; the folder's path then stands for the file's.
     Files may cut days anywhere, so results of other files stay; ``run`` is a
     growing number and the newest run wins per file, which is known by its path.
     A file without segments leaves a row without a key. A run that is repeated replaces
     all that it wrote before. Use a table of its own.
     """
-    rows = from_records(read_archive(spark, path, MERGED if fmt == "parquet" else None, fmt))
+    records = read_archive(spark, path, MERGED if fmt == "parquet" else None, fmt)
+    if by_folder:
+        records = records.withColumn(FILE, F.regexp_replace(FILE, "/[^/]*$", ""))
+    rows = from_records(records)
     result = analyse_files(rows, one_row_per_ts=False, local="ts_local")
     idle = rows.select(FILE).distinct().join(_marked(rows, FILE), FILE, "left_anti")
     result = result.unionByName(idle, allowMissingColumns=True)

@@ -46,6 +46,10 @@ class Files:
                      if not n.startswith((".", "_"))]
         return found
 
+    def set_time(self, name: str, millis: int) -> None:
+        """Set when a file was modified."""
+        self._fs.setTimes(self._path(name), millis, -1)
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._path(name), True)
 

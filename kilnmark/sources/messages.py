@@ -53,33 +53,51 @@ def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def _sort_out(parsed: DataFrame, required: str, keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _judged(parsed: DataFrame, required: str, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
     reason = (F.when(F.col("ts").isNull() & empty_to_null("datetime").isNotNull(), "bad timestamp")
               .when(F.col("ts").isNull(), "no timestamp")
               .when(F.col(BAD).isNotNull(), "malformed")
               .when(F.col(required).isNull(), "empty block"))
-    parsed = parsed.withColumn("reason", reason)
-    good = parsed.where(F.col("reason").isNull()).drop("reason", BAD, "__text")
-    dead = parsed.where(F.col("reason").isNotNull()).select(*keep, F.col("__text").alias("message"), "reason")
-    return good, dead
+    return parsed.select(*keep, *columns, F.col("__text").alias("message"), reason.alias("reason"))
 
 
-def read_sensor(messages: DataFrame, text: str = "value", keep: Sequence[str] = DEVICE,
-                required: str = REQUIRED_METER) -> tuple[DataFrame, DataFrame]:
-    """(sensor rows, dead letters). A row has ``ts``, ``ts_local``, a boolean status and six numbers."""
+def judge_sensor(messages: DataFrame, text: str = "value", keep: Sequence[str] = DEVICE,
+                 required: str = REQUIRED_METER) -> DataFrame:
+    """Every sensor message, parsed once: typed columns, the ``message`` itself and the ``reason`` it is no good, if any."""
     parsed = parse_messages(messages, SENSOR, text, keep)
     parsed = parsed.select(*keep, "datetime", instant("datetime").alias("ts"),
                            local_time("datetime").alias("ts_local"),
                            is_on(STATUS).alias(STATUS), *METERS, BAD, "__text")
-    return _sort_out(parsed, required, keep)
+    return _judged(parsed, required, keep, ["datetime", "ts", "ts_local", STATUS, *METERS])
 
 
-def read_lab(messages: DataFrame, text: str = "value", keep: Sequence[str] = DEVICE) -> tuple[DataFrame, DataFrame]:
-    """(lab rows, dead letters)."""
+def judge_lab(messages: DataFrame, text: str = "value", keep: Sequence[str] = DEVICE) -> DataFrame:
+    """Every lab message, parsed once, as ``judge_sensor`` does."""
     parsed = parse_messages(messages, LAB_EVENT, text, keep)
     parsed = parsed.select(*keep, "datetime", instant("datetime").alias("ts"),
                            local_time("datetime").alias("ts_local"), LAB, BAD, "__text")
-    return _sort_out(parsed, LAB, keep)
+    return _judged(parsed, LAB, keep, ["datetime", "ts", "ts_local", LAB])
+
+
+def good_rows(judged: DataFrame) -> DataFrame:
+    return judged.where(F.col("reason").isNull()).drop("reason", "message")
+
+
+def dead_rows(judged: DataFrame, keep: Sequence[str]) -> DataFrame:
+    return judged.where(F.col("reason").isNotNull()).select(*keep, "message", "reason")
+
+
+def read_sensor(messages: DataFrame, text: str = "value", keep: Sequence[str] = DEVICE,
+                required: str = REQUIRED_METER) -> tuple[DataFrame, DataFrame]:
+    """(sensor rows, dead letters). A row has ``ts``, ``ts_local``, a boolean status and six numbers."""
+    judged = judge_sensor(messages, text, keep, required)
+    return good_rows(judged), dead_rows(judged, keep)
+
+
+def read_lab(messages: DataFrame, text: str = "value", keep: Sequence[str] = DEVICE) -> tuple[DataFrame, DataFrame]:
+    """(lab rows, dead letters)."""
+    judged = judge_lab(messages, text, keep)
+    return good_rows(judged), dead_rows(judged, keep)
 
 
 def keyed(messages: DataFrame, text: str = "value", keep: Sequence[str] = DEVICE) -> DataFrame:

@@ -30,7 +30,7 @@ CELL_PARTS = (DAY, "meter")
 CELL_KEYS = (*DEVICE, DAY, "meter", "minute_ts")
 
 
-def append_batch(rows: DataFrame, path: str, batch_id: int, parts: Sequence[str] = (DAY,)) -> list[str]:
+def append_batch(rows: DataFrame, path: str, batch_id: int, parts: Sequence[str] = (DAY,), fmt: str = "parquet") -> list[str]:
     """Store one batch below ``parts`` and ``batch_id`` and return its partitions; repeated, it replaces itself.
 
     The rows are staged first, which tells the partitions without a second run of the plan. A list
@@ -41,9 +41,9 @@ def append_batch(rows: DataFrame, path: str, batch_id: int, parts: Sequence[str]
     files = Files(rows.sparkSession, path)
     stage, note = f"{STAGED}/{BATCH}={batch_id}", f"{LISTS}/{batch_id}.json"
     files.delete(stage)
-    rows.drop(BATCH).hint("rebalance", *parts).write.partitionBy(*parts).parquet(f"{path}/{stage}")
+    rows.drop(BATCH).hint("rebalance", *parts).write.format(fmt).partitionBy(*parts).save(f"{path}/{stage}")
     found = files.leaves(stage, len(parts))
-    if not parts and rows.sparkSession.read.schema(rows.drop(BATCH).schema).parquet(f"{path}/{stage}").isEmpty():
+    if not parts and rows.sparkSession.read.format(fmt).schema(rows.drop(BATCH).schema).load(f"{path}/{stage}").isEmpty():
         found = []
     earlier = files.read_note(note) or []
     files.write_note(note, sorted({*found, *earlier}))
@@ -61,15 +61,16 @@ def batch_folder(part: str, batch_id: int) -> str:
     return f"{part}/{BATCH}={batch_id}".lstrip("/")
 
 
-def read_batch(spark: SparkSession, path: str, batch_id: int, parts: Sequence[str], schema: T.StructType) -> DataFrame | None:
+def read_batch(spark: SparkSession, path: str, batch_id: int, parts: Sequence[str], schema: T.StructType,
+               fmt: str = "parquet") -> DataFrame | None:
     """The rows of one batch, without a look at any other folder; None if it has none. ``schema`` is that of its rows."""
     found = Files(spark, path).read_note(f"{LISTS}/{batch_id}.json")
     if not found:
         return None
     names = [f for f in schema.fields if f.name not in (*parts, BATCH)]
     whole = T.StructType([*names, *(schema[p] for p in parts), T.StructField(BATCH, T.LongType())])
-    return (spark.read.schema(whole).option("basePath", path)
-            .parquet(*[f"{path}/{batch_folder(part, batch_id)}" for part in found]))
+    return (spark.read.format(fmt).schema(whole).option("basePath", path)
+            .load([f"{path}/{batch_folder(part, batch_id)}" for part in found]))
 
 
 def replace_days(rows: DataFrame, path: str, parts: Sequence[str] = (DAY,)) -> None:

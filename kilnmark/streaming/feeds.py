@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,26 +26,39 @@ def file_feed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "
 
 
 def topic_messages(spark: SparkSession, servers: str, topic: str, from_start: bool = False,
-                   options: Mapping[str, str] | None = None) -> DataFrame:
-    """``(value, seq, ingest_ts)`` of a topic, from its latest offset or replayed from the start.
+                   options: Mapping[str, str] | None = None, after: Mapping | None = None) -> DataFrame:
+    """``(value, ingest_ts, origin, place)`` of a topic: partition and offset say where a message stands.
 
-    Message keys are ignored; ``seq`` is the offset, so the order of writes of
-    one device is that of its partition. Needs Spark's Kafka module on the class
-    path. The position is kept in the query's checkpoint.
+    It starts at the latest offsets, at the first ones, or behind the stored position ``after``
+    (see ``ingest.positions``). Message keys are ignored. Needs Spark's Kafka module on the
+    class path. Once started, the position is kept in the query's checkpoint.
     """
+    start = "earliest" if from_start else "latest"
+    if after is not None:
+        start = json.dumps({topic: after["offsets"]})
     return (spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-            .option("startingOffsets", "earliest" if from_start else "latest")
+            .option("startingOffsets", start)
             .options(**(options or {})).load()
-            .select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"),
-                    F.col("timestamp").alias("ingest_ts")))
+            .select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("ingest_ts"),
+                    F.col("partition").cast("string").alias("origin"), F.col("offset").alias("place")))
 
 
-def file_messages(spark: SparkSession, path: str, options: Mapping[str, str] | None = None) -> DataFrame:
-    """``(value, seq, ingest_ts)`` of text files with one message per line; ``seq`` follows the files' times."""
-    arrived = F.col("_metadata.file_modification_time")
-    return (spark.readStream.format("text").options(**(options or {})).load(path)
-            .select("value", F.unix_micros(arrived).alias("seq"), arrived.alias("ingest_ts")))
+def file_messages(spark: SparkSession, path: str, options: Mapping[str, str] | None = None,
+                  after: Mapping | None = None) -> DataFrame:
+    """``(value, ingest_ts, origin, place)`` of text files with one message per line.
+
+    A message has the time its file was written, the file, and where the stretch of the file begins that a task
+    reads; within a stretch lines come in order. ``after`` is a stored position (see
+    ``ingest.positions``): only files behind its time and file are read.
+    """
+    arrived, name = F.col("_metadata.file_modification_time"), F.col("_metadata.file_path")
+    lines = spark.readStream.format("text").options(**(options or {})).load(path)
+    if after is not None:
+        time = F.timestamp_micros(F.lit(after["time"]))
+        lines = lines.where((arrived > time) | ((arrived == time) & (name > after["origin"])))
+    return lines.select("value", arrived.alias("ingest_ts"), name.alias("origin"),
+                        F.col("_metadata.file_block_start").alias("place"))
 
 
 def with_device(messages: DataFrame, factory: str = DEFAULT_FACTORY, oven: str = DEFAULT_OVEN) -> DataFrame:

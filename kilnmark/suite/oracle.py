@@ -141,6 +141,21 @@ LATEST_PER_BUCKET = f"""WITH {EV}, buckets AS (SELECT *, date_trunc('hour', ts)
 GOOD = """NOT (event_type = 'signup' AND value > 200) AND NOT (event_type = 'view' AND value < 5)
           AND event_type <> 'error'"""
 
+# --- message feeds --------------------------------------------------------------
+
+# Written in four deliveries: by event_id modulo 4, then by event_id. All messages are of one device.
+WRITTEN = f"""WITH {EV}, sent AS (
+    SELECT *, date_trunc('hour', ts)::TIMESTAMP AS hour_ts, (event_id % 4) * 1000000000000 + event_id AS ord,
+           event_type = 'purchase' AS is_lab, {GOOD} AS is_good FROM ev)"""
+ONE_DEVICE = "'001' AS factory_id, '001' AS oven_id"
+
+DELIVERED = f"""WITH {EV}, rows AS (
+    SELECT 'sensor' AS feed, ts, value, event_id FROM ev WHERE {GOOD}
+    UNION ALL SELECT 'lab', ts, value, event_id FROM ev WHERE event_type = 'purchase'),
+    steps AS (SELECT *, (day(ts) - 1) // 6 + CASE WHEN event_id % 10 = 0 THEN 2 ELSE 0 END AS step FROM rows),
+    reached AS (SELECT step, max(max(ts)) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+                FROM steps GROUP BY step)"""
+
 ORACLE = {
     "segment_averages": SEGMENTS + f" SELECT {SEGMENT_COLUMNS} FROM segments",
     "segment_averages_cross_midnight": CROSS_MIDNIGHT,
@@ -340,4 +355,40 @@ ORACLE = {
         FROM sensor GROUP BY factory_id, oven_id, event_type""",
     "stream_cells": CELLS + " SELECT factory_id, oven_id, archive_day, meter, minute_ts, value FROM cells",
     "stream_late_update": WIDE + f" SELECT factory_id, oven_id, window_start, window_end, {WIDE6} FROM wide",
+    "stored_current_averages": RUNNING + f"""
+        SELECT factory_id, oven_id, meter, max(window_end) AS window_end,
+               {ROUND2.format('arg_max(avg, window_end)')} AS avg
+        FROM running GROUP BY factory_id, oven_id, meter""",
+    "loaded_schema": f"""WITH {EV}
+        SELECT factory_id, oven_id, event_id AS seq,
+               CASE WHEN event_type = 'signup' AND value > 200 THEN 'not-a-time' ELSE datetime END AS datetime,
+               CAST(event_id % 2 AS VARCHAR) AS "processIsOn",
+               {', '.join(f"CASE WHEN event_type <> 'error' AND NOT (event_type = 'view' AND value < 5) THEN value + {i} END AS " + f'"{m}"'
+                          for i, m in enumerate(METERS))},
+               event_type = 'view' AND value < 5 AS corrupt, true AS refused FROM ev""",
+    "stream_message_cells": WRITTEN + f""", wide AS (
+        SELECT hour_ts, ord, CAST(event_id % 2 AS DOUBLE) AS "processIsOn", {EXPORT} FROM sent WHERE is_good),
+        cells AS (
+        UNPIVOT wide ON "processIsOn", {', '.join(f'"{m}"' for m in METERS)} INTO NAME meter VALUE value
+        UNION ALL BY NAME SELECT hour_ts, ord, 'productHumidity' AS meter, value FROM sent WHERE is_lab)
+        SELECT {ONE_DEVICE}, CAST(hour_ts AS DATE) AS archive_day, meter, hour_ts AS minute_ts, arg_max(value, ord) AS value
+        FROM cells GROUP BY hour_ts, meter""",
+    "stream_message_merge": WRITTEN + f"""
+        SELECT {ONE_DEVICE}, hour_ts AS ts, max("productHumidity") AS "productHumidity",
+               (arg_max(event_id, ord) FILTER (WHERE is_good)) % 2 = 1 AS "processIsOn",
+               {', '.join(f'arg_max(value + {i}, ord) FILTER (WHERE is_good) AS "{m}"' for i, m in enumerate(METERS))}
+        FROM sent WHERE is_good OR is_lab GROUP BY hour_ts""",
+    "stream_current_conditions": WRITTEN + f"""
+        SELECT {ONE_DEVICE}, hour_ts AS ts, CASE WHEN event_id % 2 = 1 THEN 'ON' ELSE 'OFF' END AS "processIsOn",
+               {', '.join(ROUND2.format(f'value + {i}') + f' AS "{m}"' for i, m in enumerate(METERS))}
+        FROM sent WHERE is_good ORDER BY hour_ts DESC, ord DESC LIMIT 1""",
+    "stream_late_rows": DELIVERED + """
+        SELECT feed, ts, value, coalesce(ts <= newest - INTERVAL 1 DAY, false) AS late FROM steps JOIN reached USING (step)""",
+    "stream_sized_archive": f"""WITH {EV}, passed AS (SELECT * FROM ev WHERE ts <= {PASSED})
+        SELECT archive_day, count(*) AS n_rows,
+               archive_day < (SELECT CAST(max(ts) - INTERVAL 1 DAY AS DATE) FROM passed) AS closed
+        FROM passed GROUP BY archive_day""",
+    "replay_from_position": WRITTEN + """
+        SELECT 'sensor' AS feed, hour_ts AS ts, value FROM sent WHERE is_good AND event_id % 4 >= 2
+        UNION ALL SELECT 'lab', hour_ts, value FROM sent WHERE is_lab AND event_id % 4 >= 2""",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,11 +40,12 @@ from kilnmark.operators import (
 )
 from kilnmark.plans import batch, serving
 from kilnmark.plans.sql_views import register_views
-from kilnmark.schemas import DEVICE, LAB, METERS, RAW, SEGMENT_COLUMNS, STATUS, series_dimension
+from kilnmark.schemas import DEVICE, LAB, METERS, RAW, SEGMENT_COLUMNS, STATUS, load_schema, series_dimension
 from kilnmark.session import fresh_dir
 from kilnmark.sources import archive, compaction, delimited, feeds, messages, tables
-from kilnmark.streaming import jobs
-from kilnmark.streaming.feeds import file_feed
+from kilnmark.sources.files import Files
+from kilnmark.streaming import ingest, jobs
+from kilnmark.streaming.feeds import file_feed, file_messages, with_device
 
 EVENT_METERS = feeds.EVENT_METERS
 EVENT_COLUMNS = {m: f"avg_{m}" for m in EVENT_METERS}
@@ -149,6 +151,29 @@ def parse_lab_payload(spark, sf_dir):
     return good.select(*DEVICE, "seq", _utc("ts").alias("ts"), LAB)
 
 
+def _definition(number: str) -> str:
+    """A record definition of the sensor messages, numbers of the given type."""
+    fields = [{"name": n, "type": "string"} for n in ("datetime", STATUS)]
+    return json.dumps({"type": "record", "fields": fields + [{"name": m, "type": ["null", number]} for m in METERS]})
+
+
+def loaded_schema(spark, sf_dir):
+    """Sensor messages parsed by a schema from a definition file; a definition with another type is refused."""
+    events = _events(spark, sf_dir)
+    paths = {}
+    for number in ("double", "bytes"):
+        paths[number] = fresh_dir(spark, "schema")
+        events.limit(1).select(F.lit(_definition(number)).alias("value")).write.text(paths[number])
+    try:
+        load_schema(spark, paths["bytes"])
+        refused = False
+    except ValueError:
+        refused = True
+    rows = messages.parse_messages(feeds.sensor_messages(events), load_schema(spark, paths["double"]), keep=[*DEVICE, "seq"])
+    return rows.select(*DEVICE, "seq", "datetime", STATUS, *METERS, F.col(messages.BAD).isNotNull().alias("corrupt"),
+                       F.lit(refused).alias("refused"))
+
+
 def dead_letter(spark, sf_dir):
     _, dead = messages.read_sensor(feeds.sensor_messages(_events(spark, sf_dir)), keep=[*DEVICE, "seq"])
     return dead.select(*DEVICE, "seq", "reason", F.size(F.split("message", ",")).cast("bigint").alias("n_fields"))
@@ -357,15 +382,15 @@ def segment_all_files(spark, sf_dir):
 
 
 def files_reread(spark, sf_dir):
-    """Record files cut at six in the morning, analysed twice one by one, stored and read back."""
+    """Record folders cut at six in the morning, analysed twice one by one, stored and read back."""
     records, table = fresh_dir(spark, "records"), fresh_dir(spark, "segments")
     rows = feeds.export_rows(_events(spark, sf_dir)).withColumn("ts_local", local_time("datetime"))
     merged = archive.to_records(rows.withColumn(STATUS, is_on(STATUS))).withColumn(
         "cut", F.to_date(F.to_timestamp_ntz(F.substring("timestamp", 1, 19)) - F.expr("INTERVAL 6 HOURS")))
-    # A file is the unit of analysis, so each is written by one task.
-    merged.repartition("cut").write.partitionBy("cut").parquet(records)
+    # A cut is written by several tasks, so its folder is the unit of analysis.
+    merged.repartition("cut", F.pmod(F.hash("timestamp"), F.lit(4))).write.partitionBy("cut").parquet(records)
     for run in (1, 2):
-        batch.run_files(spark, records, table, run)
+        batch.run_files(spark, records, table, run, by_folder=True)
     return batch.read_segments(spark, table).select(
         "key", "archive_day", "startTimestamp", "endTimestamp", LAB, *_rounded(SEGMENT_COLUMNS.values()))
 
@@ -478,6 +503,11 @@ def current_reading(spark, sf_dir):
     return current_row(feeds.readings(_events(spark, sf_dir)), ["value", "seq"], by=(*DEVICE, "meter"))
 
 
+def stored_current_averages(spark, sf_dir):
+    """The newest averages served from the stored table: settled days and live batches."""
+    return serving.current_averages(jobs.read_averages(spark, _growing_averages(spark, sf_dir)))
+
+
 def current_averages(spark, sf_dir):
     return serving.current_averages(_running(spark, sf_dir))
 
@@ -674,6 +704,123 @@ def stream_late_update(spark, sf_dir):
         *DEVICE, "window_start", "window_end", *_rounded(EVENT_METERS))
 
 
+# --- message feeds -----------------------------------------------------------
+
+FIRST_WRITE = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
+
+
+def _write_messages(spark, rows, path, step):
+    """Append text files of messages in the order of ``seq``, all written at the time of ``step``."""
+    files = Files(spark, path)
+    before = set(files.names())
+    rows.repartitionByRange("seq").sortWithinPartitions("seq").select("value").write.mode("append").text(path)
+    for name in files.names():
+        if name.startswith("part-") and name not in before:
+            files.set_time(name, int((FIRST_WRITE + dt.timedelta(hours=step)).timestamp() * 1000))
+
+
+class _Feeds:
+    """The two message feeds as folders of files, and the tables that a stream over them fills step by step."""
+
+    def __init__(self, spark, delay="60 days"):
+        self.spark, self.delay = spark, jobs.delay_of(spark, delay)
+        self.sensor, self.lab, self.tables, self.checkpoint = (fresh_dir(spark, n) for n in ("sensor", "lab", "tables", "checkpoint"))
+        self.journal = f"{self.tables}/journal"
+
+    def deliver(self, events, step):
+        _write_messages(self.spark, feeds.sensor_messages(events), self.sensor, step)
+        _write_messages(self.spark, feeds.lab_messages(events), self.lab, step)
+
+    def ingest(self, journal=None, checkpoint=None, after=None):
+        """Everything delivered and not yet read, as one micro-batch; with ``after``, from a stored position on."""
+        after = after or {}
+        sinks = {"cells": ingest.cell_sink(f"{self.tables}/cells"), "late": ingest.late_sink(f"{self.tables}/late"),
+                 "current": ingest.current_sink(f"{self.tables}/current")}
+        jobs.finish(ingest.start_ingest(
+            with_device(file_messages(self.spark, self.sensor, after=after.get(ingest.SENSOR_FEED))),
+            with_device(file_messages(self.spark, self.lab, after=after.get(ingest.LAB_FEED))),
+            journal or self.journal, sinks if journal is None else {}, checkpoint or self.checkpoint, self.delay))
+
+    def read(self, journal=None):
+        return self.spark.read.schema(ingest.JOURNAL).parquet(journal or self.journal)
+
+
+def _four_deliveries(spark, sf_dir):
+    """Messages with the hour as their time, many per minute and device; those of equal ``event_id`` modulo 4 come together."""
+    source = _Feeds(spark)
+    hourly = _events(spark, sf_dir).withColumn("ts", _hour())
+    for step in range(4):
+        source.deliver(hourly.where(F.pmod(F.col("event_id"), F.lit(4)) == step), step)
+        source.ingest()
+    return source
+
+
+def stream_message_cells(spark, sf_dir):
+    """Cells of message files: of several messages in one minute the one written last wins."""
+    source = _four_deliveries(spark, sf_dir)
+    newest = tables.read_newest(spark, f"{source.tables}/cells", tables.CELL_KEYS, ["value"], "seq")
+    return newest.select(*tables.CELL_KEYS, "value")
+
+
+def stream_message_merge(spark, sf_dir):
+    """Message files merged over several starts of the stream: the sensor row written last, the largest lab value."""
+    source = _Feeds(spark)
+    hourly = _events(spark, sf_dir).withColumn("ts", _hour())
+    table, checkpoint = fresh_dir(spark, "merged"), fresh_dir(spark, "checkpoint")
+    for step in range(4):
+        source.deliver(hourly.where(F.pmod(F.col("event_id"), F.lit(4)) == step), step)
+        source.ingest()
+        merged = jobs.merged_journal(ingest.journal_feed(spark, source.journal), "60 days")
+        jobs.finish(jobs.start_upserts(merged, jobs.table_sink(table, ()), checkpoint))
+    values = [LAB, STATUS, *METERS]
+    return _back_to_local(tables.read_newest(spark, table, [*DEVICE, "ts"], values, tables.BATCH), "ts")
+
+
+def stream_current_conditions(spark, sf_dir):
+    """What the page shows after four deliveries: the newest row, written last among those of its time."""
+    rows = ingest.read_current(spark, f"{_four_deliveries(spark, sf_dir).tables}/current")
+    return _back_to_local(serving.current_conditions(rows), "ts")
+
+
+def replay_from_position(spark, sf_dir):
+    """A second reader starts behind the place that the first had reached after its second batch."""
+    source = _four_deliveries(spark, sf_dir)
+    place = ingest.positions(spark, source.journal, 1)
+    again = fresh_dir(spark, "journal")
+    source.ingest(again, fresh_dir(spark, "checkpoint"), place)
+    rows = source.read(again).where("reason IS NULL")
+    return _back_to_local(rows, "ts").select("feed", "ts", F.coalesce(METERS[0], LAB).alias("value"))
+
+
+def stream_late_rows(spark, sf_dir):
+    """Deliveries of six days each, a tenth of the rows two deliveries late: on time and late rows together are all."""
+    source = _Feeds(spark, "1 day")
+    events = _events(spark, sf_dir)
+    late = F.when(F.col("event_id") % 10 == 0, 2).otherwise(0)
+    step = F.floor((F.dayofmonth("ts") - 1) / 6) + late
+    for k in range(8):
+        part = events.where(step == k)
+        source.deliver(part, k)
+        source.ingest()
+    rows = source.read()
+    kept = rows.where("reason IS NULL AND NOT late").select("feed", "ts", F.coalesce(METERS[0], LAB).alias("value"), F.lit(False).alias("late"))
+    behind = spark.read.parquet(f"{source.tables}/late").select("feed", "ts", F.coalesce(METERS[0], LAB).alias("value"), F.lit(True).alias("late"))
+    return _back_to_local(kept.unionByName(behind), "ts")
+
+
+def stream_sized_archive(spark, sf_dir):
+    """An archive that a stream fills over five starts: rows of every day, and whether its files have been joined."""
+    source, out, checkpoint = (fresh_dir(spark, n) for n in ("source", "archive", "checkpoint"))
+    events = _events(spark, sf_dir)
+    for k in range(5):
+        events.where(F.floor((F.dayofmonth("ts") - 1) / 7) == k).write.mode("append").parquet(source)
+        rows = file_feed(spark, source, events.schema)
+        merged = jobs.merge_stream(_sensor_wide(rows), feeds.lab_events(rows), EVENT_METERS)
+        jobs.finish(jobs.start_archive(merged, out, checkpoint))
+    return spark.read.parquet(out).groupBy("archive_day").agg(
+        F.count(F.lit(1)).alias("n_rows"), (F.max(tables.BATCH) == jobs.CLOSED).alias("closed"))
+
+
 QUERIES = {
     "segment_averages": segment_averages_daily,
     "segment_averages_cross_midnight": segment_averages_cross_midnight,
@@ -691,6 +838,7 @@ QUERIES = {
     "split_sensor_lab": split_sensor_lab,
     "parse_payload": parse_payload,
     "parse_lab_payload": parse_lab_payload,
+    "loaded_schema": loaded_schema,
     "dead_letter": dead_letter,
     "key_by_timestamp": key_by_timestamp,
     "unpivot_meters": unpivot_meters,
@@ -721,6 +869,7 @@ QUERIES = {
     "current_row": current_conditions,
     "current_reading": current_reading,
     "current_averages": current_averages,
+    "stored_current_averages": stored_current_averages,
     "batch_series": batch_series,
     "running_series": running_series,
     "running_items": running_items,
@@ -739,4 +888,10 @@ QUERIES = {
     "stream_current": stream_current,
     "stream_cells": stream_cells,
     "stream_late_update": stream_late_update,
+    "stream_message_cells": stream_message_cells,
+    "stream_message_merge": stream_message_merge,
+    "stream_current_conditions": stream_current_conditions,
+    "stream_late_rows": stream_late_rows,
+    "stream_sized_archive": stream_sized_archive,
+    "replay_from_position": replay_from_position,
 }

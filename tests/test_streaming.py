@@ -92,7 +92,7 @@ def test_arrival_time_windows(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     line = "2014-06-05T06:01:00-04:00,1,47.5,14.5,50.2,38.65,29.9,60.05"
     spark.createDataFrame([(line,)], "value string").write.text(source)
-    rows, _ = read_sensor(with_device(file_messages(spark, source)), keep=[*DEVICE, "seq", "ingest_ts"])
+    rows, _ = read_sensor(with_device(file_messages(spark, source)), keep=[*DEVICE, "ingest_ts"])
     means = jobs.running_stream(rows, METERS, ts="ingest_ts", size="1 day", slide="1 day", long=False)
     jobs.finish(jobs.start_upserts(means, jobs.table_sink(out, ()), str(tmp_path / "cp")), 120)
     found = spark.read.parquet(out).first()
