@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "kilnmark", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,3 +53,26 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder (not created)."""
     return f"{shared_dir(spark)}/kilnmark/{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution on, whatever the session says; as before at the end."""
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def adaptive_sink(sink: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """``sink`` for ``foreachBatch`` with adaptive execution, which streams turn off for their own plans.
+
+    Without it the rebalance hint does nothing, and every task writes a file into every partition it has rows of.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            sink(batch, batch_id)
+    return run

@@ -15,14 +15,15 @@ class Files:
     """Folder operations below one base path."""
 
     def __init__(self, spark: SparkSession, base: str):
-        self._jvm = spark._jvm
+        self._hadoop = spark._jvm.org.apache.hadoop.fs
+        self._new_path = self._hadoop.Path  # looked up once: every step through the packages is a call
         self.base = base.rstrip("/")
         self._gateway = spark.sparkContext._gateway
         self._conf = spark._jsparkSession.sessionState().newHadoopConf()
         self._fs = self._path("").getFileSystem(self._conf)
 
     def _path(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}" if name else self.base)
+        return self._new_path(f"{self.base}/{name}" if name else self.base)
 
     def exists(self, name: str = "") -> bool:
         return self._fs.exists(self._path(name))
@@ -81,9 +82,8 @@ class Files:
         self._replace(draft, name)
 
     def _replace(self, source: str, target: str) -> None:
-        hadoop = self._jvm.org.apache.hadoop.fs
-        options = self._gateway.new_array(hadoop.Options.Rename, 1)
-        options[0] = hadoop.Options.Rename.OVERWRITE
+        options = self._gateway.new_array(self._hadoop.Options.Rename, 1)
+        options[0] = self._hadoop.Options.Rename.OVERWRITE
         path = self._path(source)
-        context = hadoop.FileContext.getFileContext(self._fs.makeQualified(path).toUri(), self._conf)
+        context = self._hadoop.FileContext.getFileContext(self._fs.makeQualified(path).toUri(), self._conf)
         context.rename(self._fs.makeQualified(path), self._fs.makeQualified(self._path(target)), options)

@@ -47,11 +47,12 @@ def append_batch(rows: DataFrame, path: str, batch_id: int, parts: Sequence[str]
         found = []
     earlier = files.read_note(note) or []
     files.write_note(note, sorted({*found, *earlier}))
-    for part in sorted({*found, *earlier}):
+    for part in earlier:
         files.delete(batch_folder(part, batch_id))
-        if part in found:
-            files.move(f"{stage}/{part}".rstrip("/"), batch_folder(part, batch_id))
-    files.write_note(note, found)
+    for part in found:
+        files.move(f"{stage}/{part}".rstrip("/"), batch_folder(part, batch_id))
+    if earlier:
+        files.write_note(note, found)
     files.delete(stage)
     return found
 

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from kilnmark.operators.latest import current_row
 from kilnmark.operators.ordering import numbered
 from kilnmark.schemas import DEVICE, LAB, METERS, STATUS
+from kilnmark.session import adaptive_sink
 from kilnmark.sources.files import Files
 from kilnmark.sources.messages import dead_rows, judge_lab, judge_sensor
 from kilnmark.sources.tables import (
@@ -226,7 +227,7 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
 def start_ingest(sensor: DataFrame, lab: DataFrame, journal: str, sinks: Mapping[str, Sink], checkpoint: str,
                  delay: dt.timedelta, trigger: dict | None = None) -> StreamingQuery:
     """One query that reads both message feeds and parses each message once."""
-    return (both_messages(sensor, lab).writeStream.foreachBatch(journal_sink(journal, sinks, delay))
+    return (both_messages(sensor, lab).writeStream.foreachBatch(adaptive_sink(journal_sink(journal, sinks, delay)))
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
 
 

@@ -27,6 +27,7 @@ from kilnmark.operators.running import (
     running_table,
 )
 from kilnmark.schemas import DEVICE, LAB, METERS, STATUS
+from kilnmark.session import adaptive_sink
 from kilnmark.sources.compaction import RUNNING, read_keyed
 from kilnmark.sources.files import Files
 from kilnmark.sources.tables import BATCH, LISTS, append_batch, read_batch
@@ -146,6 +147,8 @@ def archive_sink(path: str, part: str, label: Callable[[Column], Column], ts: st
             note = {"batch": batch_id, "newest": max([n for n in (*newest, note["newest"]) if n is not None], default=None),
                     "open": sorted({*note["open"], *found})}
             files.write_note(_NOTE, note)
+        else:  # its rows are stored, but the state behind them is only kept if they are read
+            batch.write.format("noop").mode("overwrite").save()
         if note["newest"] is None:
             return
         yesterday = F.timestamp_micros(F.lit(note["newest"])) - F.expr("INTERVAL 1 DAY")
@@ -193,7 +196,7 @@ def _forget_lists(files: Files, batch_id: int, open_parts: Sequence[str]) -> Non
 def start_upserts(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
                   mode: str = "update", trigger: dict | None = None) -> StreamingQuery:
     """Feed changed rows to ``sink``. ``trigger`` defaults to everything available now."""
-    return (stream.writeStream.foreachBatch(sink).outputMode(mode)
+    return (stream.writeStream.foreachBatch(adaptive_sink(sink)).outputMode(mode)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 

@@ -143,16 +143,17 @@ GOOD = """NOT (event_type = 'signup' AND value > 200) AND NOT (event_type = 'vie
 
 # --- message feeds --------------------------------------------------------------
 
-# Written in four deliveries: by event_id modulo 4, then by event_id. All messages are of one device.
+# Written in three deliveries, within each by event_id. All messages are of one device.
 WRITTEN = f"""WITH {EV}, sent AS (
-    SELECT *, date_trunc('hour', ts)::TIMESTAMP AS hour_ts, (event_id % 4) * 1000000000000 + event_id AS ord,
-           event_type = 'purchase' AS is_lab, {GOOD} AS is_good FROM ev)"""
+    SELECT *, date_trunc('hour', ts)::TIMESTAMP AS hour_ts, step * 1000000000000 + event_id AS ord,
+           event_type = 'purchase' AS is_lab, {GOOD} AS is_good
+    FROM (SELECT *, (day(ts) - 1) // 16 + CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS step FROM ev))"""
 ONE_DEVICE = "'001' AS factory_id, '001' AS oven_id"
 
 DELIVERED = f"""WITH {EV}, rows AS (
     SELECT 'sensor' AS feed, ts, value, event_id FROM ev WHERE {GOOD}
     UNION ALL SELECT 'lab', ts, value, event_id FROM ev WHERE event_type = 'purchase'),
-    steps AS (SELECT *, (day(ts) - 1) // 6 + CASE WHEN event_id % 10 = 0 THEN 2 ELSE 0 END AS step FROM rows),
+    steps AS (SELECT *, (day(ts) - 1) // 10 + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS step FROM rows),
     reached AS (SELECT step, max(max(ts)) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
                 FROM steps GROUP BY step)"""
 
@@ -389,6 +390,6 @@ ORACLE = {
                archive_day < (SELECT CAST(max(ts) - INTERVAL 1 DAY AS DATE) FROM passed) AS closed
         FROM passed GROUP BY archive_day""",
     "replay_from_position": WRITTEN + """
-        SELECT 'sensor' AS feed, hour_ts AS ts, value FROM sent WHERE is_good AND event_id % 4 >= 2
-        UNION ALL SELECT 'lab', hour_ts, value FROM sent WHERE is_lab AND event_id % 4 >= 2""",
+        SELECT 'sensor' AS feed, hour_ts AS ts, value FROM sent WHERE is_good AND step >= 1
+        UNION ALL SELECT 'lab', hour_ts, value FROM sent WHERE is_lab AND step >= 1""",
 }

@@ -255,14 +255,20 @@ def repeated_batch(spark, sf_dir):
     return tables.read_newest(spark, path, tables.CELL_KEYS, ["value"], "seq").select(*tables.CELL_KEYS, "value")
 
 
+def _arrival(days: int):
+    """The number of the delivery a row comes with: by its day, a third of the rows one delivery late."""
+    late = F.when(F.col("event_id") % 3 == 0, 1).otherwise(0)
+    return F.floor((F.dayofmonth("ts") - 1) / days) + late
+
+
 def settled_plus_live(spark, sf_dir):
-    """Cells that arrive in six batches, folded twice on the way: settled days and live batches together."""
+    """Cells that arrive in five batches, folded twice on the way: settled days and live batches together."""
     path = fresh_dir(spark, "cells")
     events = _events(spark, sf_dir)
-    for batch_id in range(6):
-        part = events.where(F.pmod(F.col("event_id"), F.lit(6)) == batch_id)
+    for batch_id in range(5):
+        part = events.where(_arrival(8) == batch_id)
         tables.append_batch(tables.cells(_all_readings(part)), path, batch_id, tables.CELL_PARTS)
-        if batch_id in (2, 4):
+        if batch_id in (2, 3):
             compaction.compact(spark, path, compaction.CELLS)
     return compaction.read_keyed(spark, path, compaction.CELLS).select(*tables.CELL_KEYS, "value")
 
@@ -731,45 +737,45 @@ class _Feeds:
         _write_messages(self.spark, feeds.sensor_messages(events), self.sensor, step)
         _write_messages(self.spark, feeds.lab_messages(events), self.lab, step)
 
-    def ingest(self, journal=None, checkpoint=None, after=None):
+    def ingest(self, journal=None, checkpoint=None, after=None, **sinks):
         """Everything delivered and not yet read, as one micro-batch; with ``after``, from a stored position on."""
         after = after or {}
-        sinks = {"cells": ingest.cell_sink(f"{self.tables}/cells"), "late": ingest.late_sink(f"{self.tables}/late"),
-                 "current": ingest.current_sink(f"{self.tables}/current")}
         jobs.finish(ingest.start_ingest(
             with_device(file_messages(self.spark, self.sensor, after=after.get(ingest.SENSOR_FEED))),
             with_device(file_messages(self.spark, self.lab, after=after.get(ingest.LAB_FEED))),
-            journal or self.journal, sinks if journal is None else {}, checkpoint or self.checkpoint, self.delay))
+            journal or self.journal, {name: sink(f"{self.tables}/{name}") for name, sink in sinks.items()},
+            checkpoint or self.checkpoint, self.delay))
 
     def read(self, journal=None):
         return self.spark.read.schema(ingest.JOURNAL).parquet(journal or self.journal)
 
 
-def _four_deliveries(spark, sf_dir):
-    """Messages with the hour as their time, many per minute and device; those of equal ``event_id`` modulo 4 come together."""
+def _three_deliveries(spark, sf_dir, **sinks):
+    """Messages with the hour as their time, so that many share a minute and device; a third of them comes one delivery late."""
     source = _Feeds(spark)
-    hourly = _events(spark, sf_dir).withColumn("ts", _hour())
-    for step in range(4):
-        source.deliver(hourly.where(F.pmod(F.col("event_id"), F.lit(4)) == step), step)
-        source.ingest()
-    return source
+    events = _events(spark, sf_dir)
+    for step in range(3):
+        source.deliver(events.where(_arrival(16) == step).withColumn("ts", _hour()), step)
+        source.ingest(**sinks)
+        yield source
+
+
+def _last(steps):
+    *_, last = steps
+    return last
 
 
 def stream_message_cells(spark, sf_dir):
     """Cells of message files: of several messages in one minute the one written last wins."""
-    source = _four_deliveries(spark, sf_dir)
+    source = _last(_three_deliveries(spark, sf_dir, cells=ingest.cell_sink))
     newest = tables.read_newest(spark, f"{source.tables}/cells", tables.CELL_KEYS, ["value"], "seq")
     return newest.select(*tables.CELL_KEYS, "value")
 
 
 def stream_message_merge(spark, sf_dir):
     """Message files merged over several starts of the stream: the sensor row written last, the largest lab value."""
-    source = _Feeds(spark)
-    hourly = _events(spark, sf_dir).withColumn("ts", _hour())
     table, checkpoint = fresh_dir(spark, "merged"), fresh_dir(spark, "checkpoint")
-    for step in range(4):
-        source.deliver(hourly.where(F.pmod(F.col("event_id"), F.lit(4)) == step), step)
-        source.ingest()
+    for source in _three_deliveries(spark, sf_dir):
         merged = jobs.merged_journal(ingest.journal_feed(spark, source.journal), "60 days")
         jobs.finish(jobs.start_upserts(merged, jobs.table_sink(table, ()), checkpoint))
     values = [LAB, STATUS, *METERS]
@@ -777,15 +783,15 @@ def stream_message_merge(spark, sf_dir):
 
 
 def stream_current_conditions(spark, sf_dir):
-    """What the page shows after four deliveries: the newest row, written last among those of its time."""
-    rows = ingest.read_current(spark, f"{_four_deliveries(spark, sf_dir).tables}/current")
-    return _back_to_local(serving.current_conditions(rows), "ts")
+    """What the page shows after three deliveries: the newest row, written last among those of its time."""
+    source = _last(_three_deliveries(spark, sf_dir, current=ingest.current_sink))
+    return _back_to_local(serving.current_conditions(ingest.read_current(spark, f"{source.tables}/current")), "ts")
 
 
 def replay_from_position(spark, sf_dir):
-    """A second reader starts behind the place that the first had reached after its second batch."""
-    source = _four_deliveries(spark, sf_dir)
-    place = ingest.positions(spark, source.journal, 1)
+    """A second reader starts behind the place that the first had reached after its first batch."""
+    source = _last(_three_deliveries(spark, sf_dir))
+    place = ingest.positions(spark, source.journal, 0)
     again = fresh_dir(spark, "journal")
     source.ingest(again, fresh_dir(spark, "checkpoint"), place)
     rows = source.read(again).where("reason IS NULL")
@@ -793,15 +799,14 @@ def replay_from_position(spark, sf_dir):
 
 
 def stream_late_rows(spark, sf_dir):
-    """Deliveries of six days each, a tenth of the rows two deliveries late: on time and late rows together are all."""
+    """Deliveries of ten days each, a tenth of the rows one delivery late: on time and late rows together are all."""
     source = _Feeds(spark, "1 day")
     events = _events(spark, sf_dir)
-    late = F.when(F.col("event_id") % 10 == 0, 2).otherwise(0)
-    step = F.floor((F.dayofmonth("ts") - 1) / 6) + late
-    for k in range(8):
-        part = events.where(step == k)
-        source.deliver(part, k)
-        source.ingest()
+    late = F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    step = F.floor((F.dayofmonth("ts") - 1) / 10) + late
+    for k in range(5):
+        source.deliver(events.where(step == k), k)
+        source.ingest(late=ingest.late_sink)
     rows = source.read()
     kept = rows.where("reason IS NULL AND NOT late").select("feed", "ts", F.coalesce(METERS[0], LAB).alias("value"), F.lit(False).alias("late"))
     behind = spark.read.parquet(f"{source.tables}/late").select("feed", "ts", F.coalesce(METERS[0], LAB).alias("value"), F.lit(True).alias("late"))
@@ -809,11 +814,11 @@ def stream_late_rows(spark, sf_dir):
 
 
 def stream_sized_archive(spark, sf_dir):
-    """An archive that a stream fills over five starts: rows of every day, and whether its files have been joined."""
+    """An archive that a stream fills over three starts: rows of every day, and whether its files have been joined."""
     source, out, checkpoint = (fresh_dir(spark, n) for n in ("source", "archive", "checkpoint"))
     events = _events(spark, sf_dir)
-    for k in range(5):
-        events.where(F.floor((F.dayofmonth("ts") - 1) / 7) == k).write.mode("append").parquet(source)
+    for k in range(3):
+        events.where(F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)) == k).write.mode("append").parquet(source)
         rows = file_feed(spark, source, events.schema)
         merged = jobs.merge_stream(_sensor_wide(rows), feeds.lab_events(rows), EVENT_METERS)
         jobs.finish(jobs.start_archive(merged, out, checkpoint))
