@@ -12,6 +12,7 @@ than the overlap) is encoded whole in one task instead.
 from __future__ import annotations
 
 import functools
+import heapq
 import hashlib
 import json
 from collections.abc import Iterator
@@ -47,11 +48,73 @@ def encoder(path: str, pattern: str):
     return (encoding_of_json if path.endswith(".json") else encoding)(path, pattern)
 
 
+#: A run of white space that is longer is not given to the pattern matcher, which gives up on about a million characters.
+LONGEST_RUN = 100_000
+#: How a pattern ends that takes a run of white space as one piece, without its last character if a word follows.
+_RUN_RULE = r"\s+(?!\S)|\s+"
+
+
 def encode_text(enc, text: str) -> list[int]:
-    """The ids of a text; it is cut at the spelling of added tokens, and their ids stand between the parts."""
+    """The ids of a text; it is cut at the spelling of added tokens, and their ids stand between the parts.
+
+    The outcome of the pattern for a run of white space is known, so a very long run is cut out and its
+    bytes are merged as the one piece that they are: all of it at the end of the text or before an added
+    token, all but the last character before anything else.
+    """
+    ids, at = [], 0
+    for start, end in _long_runs(text) if enc._pat_str.endswith(_RUN_RULE) else ():
+        if end < len(text) and not text.startswith(tuple(enc.special_tokens_set), end):
+            end -= 1
+        ids += _encode_part(enc, text[at:start])
+        ids += _merge_run(enc, text[start:end])
+        at = end
+    return ids + _encode_part(enc, text[at:]) if at else _encode_part(enc, text)
+
+
+def _encode_part(enc, text: str) -> list[int]:
     return enc.encode(text, allowed_special="all") if enc.special_tokens_set else enc.encode_ordinary(text)
 
 
+def _long_runs(text: str) -> Iterator[tuple[int, int]]:
+    if len(text) <= LONGEST_RUN:
+        return
+    import regex
+
+    for m in regex.finditer(r"\p{White_Space}++", text):
+        if m.end() - m.start() > LONGEST_RUN:
+            yield m.span()
+
+
+def _merge_run(enc, run: str) -> list[int]:
+    """The byte pairs of one piece, merged by rank: least rank first, leftmost first.
+
+    A heap of candidate pairs over a linked list of parts, so a piece of n bytes takes n log n steps.
+    """
+    data, ranks = run.encode(), enc._mergeable_ranks
+    n = len(data)
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    stop = list(range(1, n + 1))  # where the part that starts here ends; 0 once it is part of another
+
+    def rank(a: int) -> int | None:
+        b = after[a]
+        return ranks.get(data[a:stop[b]]) if b < n else None
+
+    heap = [(r, a, a + 2) for a in range(n - 1) if (r := rank(a)) is not None]
+    heapq.heapify(heap)
+    while heap:
+        r, a, end = heapq.heappop(heap)
+        b = after[a]
+        if not stop[a] or b >= n or stop[b] != end or rank(a) != r:
+            continue  # one of the two has been merged meanwhile
+        stop[a], stop[b], after[a] = end, 0, after[b]
+        if after[b] < n:
+            before[after[b]] = a
+        for c in (before[a], a):
+            if c >= 0 and (r := rank(c)) is not None:
+                heapq.heappush(heap, (r, c, stop[after[c]]))
+    return [ranks[data[a:stop[a]]] for a in range(n) if stop[a]]
+
+
 def _ids(batches: list[list[int]]) -> pa.Array:
     return pa.array(batches, pa.list_(pa.int32()))
 

@@ -35,7 +35,9 @@ class Node:
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    """Vectors of length 1; scaled by their largest part first, as squares of tiny or huge parts vanish or overflow."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:

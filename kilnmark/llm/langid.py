@@ -106,13 +106,14 @@ class ByteNet:
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_windows: int = SAMPLE_WINDOWS) -> ByteNet | None:
     """Learn from text and lang of at most ``sample_rows`` rows outside the held-out fold.
 
-    The rows are those of least hash of their id (ties by text), and each gives
+    The rows are those of least hash of their id and text, and each gives
     ``sample_windows`` stretches spread over its whole text, cut before anything leaves the
     executors. Rows that repeat teach once. Null lang, null text and texts without a letter teach
     nothing; None if no row is left.
 
     A count first tells below which hash four times the wanted rows lie, so that a task does
-    not send its own ``sample_rows`` rows to the driver whatever the number of tasks.
+    not send its own ``sample_rows`` rows to the driver whatever the number of tasks. Where too few
+    different rows lie below it, as among very many equal ones, the bound is left out.
     """
     span = LENGTH
     usable = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
@@ -121,9 +122,14 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_windows: int =
     starts = F.transform(F.sequence(F.lit(0), F.lit(sample_windows - 1)), lambda k: (
         F.greatest(F.length("text") - span, F.lit(0)) * k / max(sample_windows - 1, 1)).cast("int") + 1)
     parts = F.array_distinct(F.transform(starts, lambda s: F.substring(F.col("text"), s, F.lit(span))))
-    chosen = (usable.where(F.xxhash64("doc_id") <= bound)
-              .select(F.xxhash64("doc_id").alias("h"), "lang", parts.alias("parts")).distinct()
-              .orderBy("h", "lang", "parts").limit(sample_rows).collect())
+    hashed = usable.select(F.xxhash64("doc_id", "text").alias("h"), "lang", parts.alias("parts"))
+
+    def least(rows: DataFrame) -> list:
+        return rows.distinct().orderBy("h", "lang", "parts").limit(sample_rows).collect()
+
+    chosen = least(hashed.where(F.col("h") <= bound))
+    if share < 1 and len(chosen) < sample_rows:
+        chosen = least(hashed)
     pairs = [(windows_of(p.encode()[:LENGTH])[0], r.lang) for r in chosen for p in r.parts if p]
     if not pairs:
         return None

@@ -134,8 +134,15 @@ def fine_flags(docs: DataFrame, coarse: np.ndarray) -> np.ndarray:
                                              ["key", "lo", "hi"])
 
     def pack(batches):
+        held, many = [], 0  # long runs, so that a row of a bucket holds many slots
         for batch in batches:
-            yield pack_slots(_low(batch.column("key").to_numpy().view(np.uint64)))
+            held.append(_low(batch.column("key").to_numpy().view(np.uint64)))
+            many += len(held[-1])
+            if many > 1 << 21:
+                yield pack_slots(np.concatenate(held))
+                held, many = [], 0
+        if many:
+            yield pack_slots(np.concatenate(held))
 
     keys = (docs.mapInArrow(released(run), "key long, lo long, hi long").groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
             .where("lo < hi").select("key"))
@@ -307,27 +314,29 @@ def _merged(spans: list[tuple[int, int]], size: int) -> list[list[int]]:
 
 
 def dedup(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Every row of ``docs`` with ``removed`` (array of (start, end) in bytes, maximal, in order).
+    """Every row of ``docs`` with ``removed`` (array of (start, end) in bytes, in any order; they may overlap).
 
     A null text is empty. Rows with a null doc_id lose nothing and take nothing from others. Rows
     that repeat a doc_id take nothing from each other. Of equal texts, all but those of the
     least doc_id are removed as a whole if they reach the threshold; that needs their digests only.
+    All other columns stay as they are; only one named ``removed`` is replaced. An empty table gives no row.
     """
-    known = (docs.withColumn("text", empty_text()).withColumn("tid", F.xxhash64("text"))
+    known = (docs.withColumn("text", empty_text()).withColumn("__tid", F.xxhash64("text"))
              .withColumn("__digest", F.md5(F.col("text").cast("binary"))))
-    spans = repeated_stretches(known.select(F.col("doc_id").cast("bigint").alias("doc_id"), "tid", "text"), group_rows)
+    spans = repeated_stretches(known.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("__tid").alias("tid"), "text"), group_rows)
     # Copies need only their id and digest here; groups of one stay out of the lookup.
     copies = (known.where("doc_id is not null").where(F.octet_length("text") >= THRESHOLD)
               .groupBy("__digest").agg(F.min("doc_id").alias("__least"), F.max("doc_id").alias("__most")).where("__least < __most"))
-    late = durable(known.select("doc_id", "tid", "__digest").join(copies.select("__digest", "__least"), "__digest")
+    late = durable(known.select("doc_id", F.col("__tid").alias("tid"), "__digest").join(copies.select("__digest", "__least"), "__digest")
                    .where("doc_id > __least").select("doc_id", "tid").distinct(), "copies")
     whole = late.select(F.col("doc_id").alias("doc"), "tid", F.lit(True).alias("copy"))
-    lookup = spans.join(whole, ["doc", "tid"], "full").select(F.col("doc").alias("__doc"), F.col("tid").alias("__tid"), "spans", "copy")
-    joined = known.drop("__digest").join(lookup, (F.col("doc_id") == F.col("__doc")) & (F.col("tid") == F.col("__tid")), "left")
+    lookup = spans.join(whole, ["doc", "tid"], "full").select(
+        F.col("doc").alias("__doc"), F.col("tid").alias("__own"), F.col("spans").alias("__spans"), F.col("copy").alias("__copy"))
+    joined = known.drop("__digest").join(lookup, (F.col("doc_id") == F.col("__doc")) & (F.col("__tid") == F.col("__own")), "left")
     all_of_it = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.octet_length("text").cast("bigint").alias("end")))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return (joined.withColumn("removed", F.when(F.col("copy"), all_of_it).otherwise(F.coalesce("spans", none)))
-            .drop("__doc", "__tid", "tid", "spans", "copy"))
+    return (joined.withColumn("removed", F.when(F.col("__copy"), all_of_it).otherwise(F.coalesce("__spans", none)))
+            .drop("__doc", "__own", "__tid", "__spans", "__copy"))
 
 
 def digest_kept(cut: DataFrame) -> DataFrame:
