@@ -57,7 +57,7 @@ class Layout:
 
 
 CELLS = Layout(CELL_KEYS, ("value",), "seq", CELL_PARTS, (*DEVICE, "meter"), lambda: cell_key("meter", "minute_ts"))
-RUNNING = Layout((*DEVICE, "day", "window_start", "window_end", "meter"), ("avg",), BATCH, ("day",), DEVICE,
+RUNNING = Layout((*DEVICE, "day", "window_end", "meter"), ("avg",), BATCH, ("day",), DEVICE,
                  lambda: running_key("window_end"))
 
 
