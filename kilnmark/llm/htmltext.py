@@ -43,6 +43,16 @@ DROPPED_NAMES = frozenset("ad ads adv advert adverts advertisement advertising s
                           "sidebar sidebars aside menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead "
                           "comment comments commentlist disqus respond replies reply share sharing social related "
                           "recommended pagination pager search login contentinfo complementary toolbar skip widget".split())
+#: Those that mark a part under any prefix or suffix too, as in site-footer or cookie_banner ...
+MARKING_WORDS = frozenset("ad ads advert advertisement sponsored promo banner cookie cookies consent gdpr newsletter subscribe popup modal "
+                          "sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments disqus "
+                          "respond share sharing social related pagination".split())
+#: ... unless one of these says that the page only has or lacks such a part.
+ABOUT_PAGE = frozenset("no not has have with without is open closed enabled disabled hide show layout".split())
+#: What readers have written is no article, however much of it there is.
+READERS_WORDS = frozenset("comment comments commentlist disqus respond replies".split())
+#: So many characters outside mean that readers' comments are not all that the page has.
+OWN_TEXT = 140
 _MAY_NOT_DROP = frozenset(("html", "body", "main", "article"))
 #: Elements that a start tag of the same group closes, up to the given container.
 _CLOSES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"),
@@ -51,35 +61,52 @@ _SAME = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td"
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "parts", "dropped", "marked", "text", "articles", "chars", "tags", "link_chars", "link_tags", "density", "total", "in_link")
+    __slots__ = ("tag", "parent", "parts", "dropped", "marked", "readers", "text", "articles", "chars", "tags", "link_chars", "link_tags",
+                 "density", "total", "in_link", "in_article")
 
-    def __init__(self, tag: str, parent: _Node | None, dropped: bool, in_link: bool):
-        self.tag, self.parent, self.dropped, self.in_link = tag, parent, dropped, in_link
+    def __init__(self, tag: str, parent: _Node | None, dropped: bool):
+        self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.in_link = tag == "a" or parent is not None and parent.in_link
+        self.in_article = tag == "article" or parent is not None and parent.in_article
         self.parts: list[str | _Node] = []
-        self.marked, self.text, self.articles = False, 0, 0
+        self.marked, self.readers, self.text, self.articles = False, False, 0, 0
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _marked_as_other(tag: str, attributes: str) -> bool:
-    if tag in DROPPED:
-        return True
-    if not attributes or tag in _MAY_NOT_DROP:
-        return False
+def _marking(value: str) -> tuple[bool, bool]:
+    """Do the names of a class, id or role mark what is no article, and what readers have written?"""
+    marked = readers = False
+    for name in value.split():
+        words = set(re.split("[-_]+", name))
+        hits = {name} & DROPPED_NAMES or (set() if words & ABOUT_PAGE else words & MARKING_WORDS)
+        marked |= bool(hits)
+        readers |= bool(hits & READERS_WORDS)
+    return marked, readers
+
+
+def _judge_name(node: _Node, attributes: str) -> None:
+    """Sets whether a node is marked by its element, its names or as hidden; a header inside an article is part of it."""
+    if node.tag in DROPPED and not (node.tag == "header" and node.parent.in_article):
+        node.marked = True
+    if not attributes or node.tag in _MAY_NOT_DROP:
+        return
     for m in _ATTRIBUTES.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id", "role") and not DROPPED_NAMES.isdisjoint(value.split()):
-            return True
+        if name in ("class", "id", "role"):
+            marked, readers = _marking(value)
+            node.marked |= marked
+            node.readers |= readers
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _NOT_SHOWN.search(value):
-            return True
-    return False
+            node.marked = True
 
 
 def _drop_others(nodes: list[_Node], body: _Node) -> None:
     """Settles which marked nodes are dropped, with all below them.
 
     A marked node stays if it holds more than half of the body's text outside links, or an article or main where
-    none stands outside marked nodes. What is marked inside it is judged by itself.
+    none stands outside marked nodes. What is marked inside it is judged by itself. Readers' comments stay
+    only if the page has next to nothing else.
     """
     for node in reversed(nodes):
         if node.dropped:
@@ -100,6 +127,8 @@ def _drop_others(nodes: list[_Node], body: _Node) -> None:
     for node in nodes:
         if node.parent is not None and node.parent.dropped:
             node.dropped = True
+        elif node.readers:
+            node.dropped |= 2 * node.text <= body.text or body.text - node.text >= OWN_TEXT
         elif node.marked:
             node.dropped |= not (2 * node.text > body.text or node.articles and not free)
         if node.tag == "form" or id(node.parent) in in_form:
@@ -107,37 +136,59 @@ def _drop_others(nodes: list[_Node], body: _Node) -> None:
             node.dropped |= node.tag in FORM_LABELS
 
 
+class _Open:
+    """The open elements, and where on the stack each name stands, so that no end tag walks the stack."""
+
+    def __init__(self, root: _Node):
+        self.stack, self.places = [root], {}
+
+    def push(self, node: _Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def last(self, names) -> int:
+        """Place of the innermost open element of these names, 0 if there is none."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def close(self, names: tuple[str, ...], limits: tuple[str, ...] = ()) -> None:
+        """Close the innermost element of ``names`` and what is open inside it, unless a limit stands between."""
+        at = self.last(names)
+        if at and at > self.last(limits):
+            for node in self.stack[at:]:
+                self.places[node.tag].pop()
+            del self.stack[at:]
+
+
 def _tree(page: str) -> list[_Node]:
-    """All nodes, parents before children; unclosed and stray tags are mended as browsers roughly do."""
-    root = _Node("#root", None, False, False)
-    nodes, stack, at = [root], [root], 0
-
-    def pop_to(names: tuple[str, ...], limits: tuple[str, ...]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in names:
-                del stack[k:]
-                return
-            if stack[k].tag in limits:
-                return
-
-    while m := _MARKUP.search(page, at):
+    """All nodes, parents before children; unclosed and stray tags are mended as browsers roughly do.
+
+    An end tag of body or html ends nothing: what stands behind it still belongs to the body.
+    Every step takes as long as the markup it reads, so a page of any shape takes linear time.
+    """
+    root = _Node("#root", None, False)
+    nodes, opened, at = [root], _Open(root), 0
+    ends = page.rfind(">")  # behind it a tag has no end, and the search for one would run to the end of the page each time
+
+    while at <= ends and (m := _MARKUP.search(page, at)):
         if m.start() > at:
-            stack[-1].parts.append(page[at:m.start()])
+            opened.stack[-1].parts.append(page[at:m.start()])
         at = m.end()
         if not m[2]:
             continue
         tag = m[2].lower()
         if m[1]:
-            pop_to((tag,), ("body",) if tag not in ("html", "body") else ())
+            if tag not in ("html", "body"):
+                opened.close((tag,), ("body",))
             continue
         if tag in BLOCK:
             # A block ends an open paragraph, whatever inline elements are open inside it.
-            pop_to(("p",), ("td", "th", "button", "object", "body", "table", "div", "li", "article", "section"))
+            opened.close(("p",), ("td", "th", "button", "object", "body", "table", "div", "li", "article", "section"))
         if tag in _CLOSES:
-            pop_to(_SAME.get(tag, (tag,)), _CLOSES[tag])
-        up = stack[-1]
-        node = _Node(tag, up, up.dropped or tag in NEVER_KEPT, up.in_link or tag == "a")
-        node.marked = not node.dropped and _marked_as_other(tag, m[3])
+            opened.close(_SAME.get(tag, (tag,)), _CLOSES[tag])
+        up = opened.stack[-1]
+        node = _Node(tag, up, up.dropped or tag in NEVER_KEPT)
+        if not node.dropped:
+            _judge_name(node, m[3])
         up.parts.append(node)
         nodes.append(node)
         if tag in RAW:
@@ -146,9 +197,9 @@ def _tree(page: str) -> list[_Node]:
             if not node.dropped:
                 node.parts.append(inside)
         elif tag not in VOID and not m[3].endswith("/"):
-            stack.append(node)
+            opened.push(node)
     if at < len(page):
-        stack[-1].parts.append(page[at:])
+        opened.stack[-1].parts.append(page[at:].partition("<!--")[0])
     return nodes
 
 

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from kilnmark.llm import bpe, cover_tree, langid, packing, suffix_dedup
+from kilnmark.llm import bpe, cover_tree, htmltext, langid, packing, suffix_dedup
 
 
 def links_of(rows):
@@ -116,3 +116,98 @@ def test_packing_query_with_endless_white_space(spark, tmp_path):
         for r in own:
             data = struct.pack(f"<{r.length}I", *ids[r.start:r.start + r.length])
             assert r.ids_crc32 == zlib.crc32(data) and 0 <= r.offset <= 2048 - r.length
+
+
+# --- pages ------------------------------------------------------------------------
+
+SENTENCE = "A sentence of the article that is long enough to count. "
+WORD_OF_READERS = "A reader writes a very long comment about this article here. "
+
+
+def test_pages_whose_names_mark_other_parts():
+    """Names are split at hyphens and underscores; readers' comments never win by their length."""
+    body = f"<p>{SENTENCE * 5}</p><p>{SENTENCE * 4}</p>"
+    want = (SENTENCE * 5).strip() + "\n" + (SENTENCE * 4).strip()
+    many = "".join(f"<p>{WORD_OF_READERS * 4}</p>" for _ in range(12))
+    pages = [f"<body><div class=post>{body}</div><div class='comments-area'>{many}</div></body>",
+             f"<body><div class=post>{body}</div><section id=disqus_thread>{many}</section></body>",
+             f"<body><article>{body}</article><ol class='comment-list'><li><article class='comment-body'>{many}</article></ol></body>",
+             f"<body><article>{body}</article><div class='site-footer'><p>{WORD_OF_READERS * 2}</p></div><div class='cookie-banner'><p>{WORD_OF_READERS}</p></div></body>",
+             f"<body><div class='has-sidebar comments-open'><article>{body}</article><div class='left_sidebar'><p>{WORD_OF_READERS * 4}</p></div></div></body>",
+             f"<body><div class='elementor-widget'><div class='widget-text-header'>{body}</div></div></body>"]
+    assert [htmltext.main_text(p) for p in pages] == [want] * len(pages)
+    # A page with next to nothing but comments keeps them.
+    assert WORD_OF_READERS.strip() in htmltext.main_text(f"<body><div class=comments>{many}</div></body>")
+
+
+def test_text_behind_the_body_and_headers_of_articles():
+    body = f"<p>{SENTENCE * 5}</p>"
+    early = f"<body><div><p>Menu</p></div></body><div>{body}<p>{SENTENCE * 2}</p></div></html>"
+    assert (SENTENCE * 5).strip() in htmltext.main_text(early) and htmltext.main_text(early).endswith(SENTENCE.strip())
+    page = f"<body><header>Site</header><article><header><h1>Headline</h1><p>Standfirst of it.</p></header>{body}<footer>Tags</footer></article>"
+    assert htmltext.main_text(page) == "Headline\nStandfirst of it.\n" + (SENTENCE * 5).strip()
+
+
+@pytest.mark.parametrize("page", ["<div>" * 60_000 + "</b>" * 60_000, '<a "' * 250_000, "<a " * 300_000, "<!--" * 200_000, "<div class='" * 80_000,
+                                  "<p>" + "<b>" * 50_000 + "<hr>" * 50_000, "<table><td><p>" + "<b>" * 50_000 + "</p>" * 50_000])
+def test_markup_of_any_shape_takes_linear_time(page):
+    import time
+
+    began = time.process_time()
+    htmltext.main_text(page)
+    assert time.process_time() - began < 15
+
+
+def random_page(rng, depth=0):
+    out = []
+    for _ in range(rng.randrange(1, 5)):
+        tag = rng.choice(["div", "p", "section", "a", "span", "ul", "li", "nav", "h2", "article", "b"])
+        inner = random_page(rng, depth + 1) if depth < 4 and rng.random() < 0.6 else SENTENCE * rng.randrange(3) + rng.choice(["x", "&amp;", "é  é", ""])
+        close = f"</{tag}>" if rng.random() < 0.9 else ""
+        out.append(f"<{tag}>{inner}{close}{rng.choice(['', '</b>', '</body>', ' tail '])}")
+    return "".join(out)
+
+
+def plain_totals(node):
+    """The density rule stated anew, by recursion: characters, tags, those in links, and each node's sum of child densities."""
+    chars = sum(len(p.strip()) for p in node.parts if isinstance(p, str))
+    tags = link_tags = 0
+    link_chars = chars if node.in_link else 0
+    for child in node.parts:
+        if not isinstance(child, str) and not child.dropped:
+            c, t, lc, lt = plain_totals(child)
+            chars, tags, link_chars, link_tags = chars + c, tags + t + 1, link_chars + lc, link_tags + lt + (child.tag == "a")
+    return chars, tags, link_chars, link_tags
+
+
+def test_densities_against_the_rule():
+    import math
+
+    rng = random.Random(8)
+    for _ in range(150):
+        nodes = htmltext._tree(f"<body>{random_page(rng)}</body>")
+        body = next(n for n in nodes if n.tag == "body")
+        htmltext._drop_others(nodes, body)
+        htmltext._measure(nodes, body)
+        c0, _, lc0, _ = plain_totals(body)
+        for node in nodes:
+            if node.dropped:
+                continue
+            expected = 0.0
+            for child in (n for n in node.parts if not isinstance(n, str) and not n.dropped):
+                c, t, lc, lt = plain_totals(child)
+                if c:
+                    t, lc1, lt = max(t, 1), max(lc, 1), max(lt, 1)
+                    log = math.log(math.log(c / max(c - lc, 1) * lc1 + lc0 / max(c0, 1) * c + math.e))
+                    expected += c / t * math.log(max(c / lc1 * t / lt, 1.0)) / max(log, 1e-9)
+            assert math.isclose(node.total, expected, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_extract_edges(spark):
+    rows = [(1, None, "k"), (2, "", "k"), (3, f"<p>{SENTENCE}</p>", None), (3, f"<p>{SENTENCE}</p>", None), (None, "plain", "k")]
+    pages = spark.createDataFrame(rows, "page_id long, html string, url string").withColumns({"text": F.lit("clash"), "tag": F.lit("t")})
+    got = htmltext.extract(pages)
+    assert set(got.columns) == {"page_id", "url", "tag", "text", "n_chars"}
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got.collect()) == sorted(
+        [(1, "", 0), (2, "", 0), (3, SENTENCE.strip(), len(SENTENCE) - 1), (3, SENTENCE.strip(), len(SENTENCE) - 1), (0, "plain", 5)])
+    assert htmltext.extract(pages.where("false")).count() == 0
