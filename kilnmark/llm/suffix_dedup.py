@@ -34,6 +34,8 @@ CONTEXT = SPAN - 1 + THRESHOLD
 SLOT_BITS = 28
 #: Rows of one group that are compared in memory; larger groups are compared window by window in a shuffle.
 GROUP_ROWS = 50_000
+#: Rounds in which windows are shuffled and compared: each has its share of them on disk, and reads the texts once.
+ROUNDS = 2
 
 
 def _anchors(buffer: np.ndarray, ends: np.ndarray):
@@ -97,6 +99,11 @@ def _low(keys: np.ndarray) -> np.ndarray:
     return keys & np.uint64((1 << SLOT_BITS) - 1)
 
 
+def _middle(keys: np.ndarray) -> np.ndarray:
+    """Bits that neither flags use; the highest ones of a least hash are mostly 0."""
+    return (keys >> np.uint64(SLOT_BITS)) & np.uint64((1 << (64 - 2 * SLOT_BITS)) - 1)
+
+
 def coarse_flags(docs: DataFrame) -> np.ndarray:
     """Pass 1: slots of anchor hashes that two documents or more hold."""
     def run(batches):
@@ -160,16 +167,18 @@ def _binary(rows: np.ndarray) -> pa.Array:
 _ROWS = "key long, doc long, tid long, at long, o1 int, o2 int, context binary"
 
 
-def contexts(docs: DataFrame, one: Broadcast, two: Broadcast) -> DataFrame:
+def contexts(docs: DataFrame, one: Broadcast, two: Broadcast, turn: int = 0, rounds: int = 1) -> DataFrame:
     """Anchors that passed the coarse flags (one) and the fine ones (two), with the bytes of their windows.
 
+    Of ``rounds`` shares of the hashes, the one of number ``turn``: all anchors of a hash come in the same round.
+
     Where equal contexts meet within a task's batch, only the least document goes on; for the others it
     is settled that they repeat it: rows with o1 = -1 carry such a stretch (at, length o2).
     """
     def run(batches):
         for ids, tids, buffer, ends in _slices(batches):
             doc, at, keys, w1, w2 = _anchors(buffer, ends)
-            hit = is_flagged(one.value, _high(keys)) & is_flagged(two.value, _low(keys))
+            hit = is_flagged(one.value, _high(keys)) & is_flagged(two.value, _low(keys)) & (_middle(keys) % np.uint64(rounds) == turn)
             doc, at, keys, w1, w2 = (x[hit] for x in (doc, at, keys, w1, w2))
             begin = np.concatenate([[0], ends[:-1]])[doc]
             o1, o2 = w1 - (at - SPAN + 1), w2 - (at - SPAN + 1)
@@ -294,7 +303,11 @@ def repeated_stretches(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFra
     fine = fine_flags(usable, coarse)
     sc = docs.sparkSession.sparkContext
     one, two = sc.broadcast(coarse), sc.broadcast(fine)
-    found = durable(compare(contexts(usable, one, two), group_rows), "repeats")
+    # Round by round: the contexts of a round are on disk while they are compared, and gone when its result is stored.
+    found = None
+    for turn in range(ROUNDS):
+        some = durable(compare(contexts(usable, one, two, turn, ROUNDS), group_rows), "repeats")
+        found = some if found is None else found.unionByName(some)
     one.destroy(), two.destroy()
     left = found.where("h is not null")
     least = left.groupBy("h").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("h", "least")
