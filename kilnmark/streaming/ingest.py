@@ -32,6 +32,7 @@ from kilnmark.sources.tables import (
     BATCH,
     CELL_PARTS,
     DAY,
+    LISTS,
     append_batch,
     batch_folder,
     both_kinds,
@@ -203,7 +204,7 @@ def current_sink(path: str) -> Sink:
         append_batch(current_row(fresh, values), path, batch_id, ())
         for version in older[:-1]:
             files.delete(batch_folder("", version))
-            files.delete(f"_batches/{version}.json")
+            files.delete(f"{LISTS}/{version}.json")
     return store
 
 
@@ -224,6 +225,21 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{batch_folder('', versions[-1])}")
 
 
+def trim_journal(spark: SparkSession, journal: str, through: int) -> None:
+    """Remove the batches up to ``through`` from the journal: for rows that every query behind it has read.
+
+    The newest batch and its note stay, since it may be repeated and the next one begins from its note. Queries that
+    read the journal remember which files they have read, so they go on as before.
+    """
+    files = Files(spark, journal)
+    batches = _versions(files)
+    for batch in batches[:-1]:
+        if batch <= through:
+            files.delete(batch_folder("", batch))
+            files.delete(f"{LISTS}/{batch}.json")
+            files.delete(f"{PROGRESS}/{batch}.json")
+
+
 def start_ingest(sensor: DataFrame, lab: DataFrame, journal: str, sinks: Mapping[str, Sink], checkpoint: str,
                  delay: dt.timedelta, trigger: dict | None = None) -> StreamingQuery:
     """One query that reads both message feeds and parses each message once."""

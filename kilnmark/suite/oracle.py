@@ -383,6 +383,12 @@ ORACLE = {
         SELECT {ONE_DEVICE}, hour_ts AS ts, CASE WHEN event_id % 2 = 1 THEN 'ON' ELSE 'OFF' END AS "processIsOn",
                {', '.join(ROUND2.format(f'value + {i}') + f' AS "{m}"' for i, m in enumerate(METERS))}
         FROM sent WHERE is_good ORDER BY hour_ts DESC, ord DESC LIMIT 1""",
+    "stream_arrival_windows": WRITTEN + f""", arrived AS (
+        SELECT *, TIMESTAMP '2024-03-01 00:00:00' + step * INTERVAL 1 HOUR AS arrival FROM sent WHERE is_good),
+        spread AS (SELECT *, unnest([arrival, arrival - INTERVAL 30 MINUTE]) AS window_start FROM arrived)
+        SELECT {ONE_DEVICE}, window_start, window_start + INTERVAL 1 HOUR AS window_end,
+               {', '.join(f'round(avg(value + {i}), 6) AS "{m}"' for i, m in enumerate(METERS))}
+        FROM spread GROUP BY window_start""",
     "stream_late_rows": DELIVERED + """
         SELECT feed, ts, value, coalesce(ts <= newest - INTERVAL 1 DAY, false) AS late FROM steps JOIN reached USING (step)""",
     "stream_sized_archive": f"""WITH {EV}, passed AS (SELECT * FROM ev WHERE ts <= {PASSED})

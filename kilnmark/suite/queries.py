@@ -788,6 +788,18 @@ def stream_current_conditions(spark, sf_dir):
     return _back_to_local(serving.current_conditions(ingest.read_current(spark, f"{source.tables}/current")), "ts")
 
 
+def stream_arrival_windows(spark, sf_dir):
+    """Averages over windows of the time at which messages arrived, whatever time they carry."""
+    table, checkpoint = fresh_dir(spark, "averages"), fresh_dir(spark, "checkpoint")
+    for source in _three_deliveries(spark, sf_dir):
+        sensor = ingest.good(ingest.journal_feed(spark, source.journal), ingest.SENSOR_FEED)
+        averages = jobs.running_stream(sensor, ts="ingest_ts", delay="60 days", long=False)
+        jobs.finish(jobs.start_upserts(averages, jobs.table_sink(table, ()), checkpoint))
+    newest = tables.read_newest(spark, table, [*DEVICE, "window_start", "window_end"], METERS, tables.BATCH)
+    return _back_to_local(newest, "window_start", "window_end").select(
+        *DEVICE, "window_start", "window_end", *_rounded(METERS))
+
+
 def replay_from_position(spark, sf_dir):
     """A second reader starts behind the place that the first had reached after its first batch."""
     source = _last(_three_deliveries(spark, sf_dir))
@@ -897,6 +909,7 @@ QUERIES = {
     "stream_message_merge": stream_message_merge,
     "stream_current_conditions": stream_current_conditions,
     "stream_late_rows": stream_late_rows,
+    "stream_arrival_windows": stream_arrival_windows,
     "stream_sized_archive": stream_sized_archive,
     "replay_from_position": replay_from_position,
 }

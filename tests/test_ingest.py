@@ -159,6 +159,26 @@ def test_replay_from_a_position(spark, plant):
         assert sorted(r[FIRST] if r["feed"] == "sensor" else r[LAB] for r in got) == expected
 
 
+def test_trimmed_journal_goes_on(spark, plant):
+    """Batches that all queries have read can go; what follows is numbered, judged late and read as if they were there."""
+    journal, sink = f"{plant.base}/journal", jobs.table_sink(f"{plant.base}/averages", ())
+
+    def averages():
+        stream = jobs.running_stream(ingest.good(ingest.journal_feed(spark, journal), "sensor", late=False), [FIRST], long=False)
+        jobs.finish(jobs.start_upserts(stream, sink, f"{plant.base}/cp-averages"), 120)
+
+    for k, lines in enumerate([[sensor(5, 1)], [sensor(9, 2)], [sensor(9.25, 4), sensor(6, 9)]]):
+        plant.file(f"f{k}", "sensor", lines, 1000 + k)
+        plant.run()
+        averages()
+        ingest.trim_journal(spark, journal, k)
+    assert [os.path.basename(p) for p in glob.glob(f"{journal}/batch_id=*")] == ["batch_id=2"]
+    rows = {r[FIRST]: (r["seq"] // ingest.BATCH_SPAN, r["late"]) for r in plant.rows().collect()}
+    assert rows == {4: (2, False), 9: (2, True)}
+    newest = tables.read_newest(spark, f"{plant.base}/averages", [*DEVICE, "window_end"], [FIRST], tables.BATCH)
+    assert {r["window_end"].hour + r["window_end"].minute / 60: r[FIRST] for r in newest.collect()} == {5.5: 1, 6: 1, 9.5: 3, 10: 3}
+
+
 def test_files_of_one_time_are_told_apart(spark, plant):
     plant.file("a", "sensor", [sensor(0, 0)], 1000)
     plant.run()
