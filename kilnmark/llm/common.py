@@ -107,7 +107,17 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     with freed_shuffles(df.sparkSession):
         df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_in = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``durable`` stored, once all that is read from them is stored itself."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_in)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def first_per_key(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -136,20 +146,25 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                              .select("id", F.coalesce("top", "up").alias("up"),
                                      F.col("top").isNotNull().alias("moved")), "parents")
             done = jumped.where("moved").isEmpty()
-            parent = jumped.select("id", "up")
+            discard(parent)
+            parent = jumped
             if done:
                 break
         steps.append(parent)
         low, high = (parent.select(F.col("id").alias(c), F.col("up").alias(f"{c}_up")) for c in "ab")
         moved = (live.join(low, "a", "left").join(high, "b", "left")
                  .select(F.coalesce("a_up", "a").alias("x"), F.coalesce("b_up", "b").alias("y")))
-        live = durable(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        rest = durable(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
                        .distinct(), "edges")
+        discard(live)
+        live = rest
     nodes = edges.select(F.explode(F.array(a, b)).alias("id")).distinct().withColumn("component_id", F.col("id"))
     for parent in steps:
         up = parent.select(F.col("id").alias("component_id"), "up")
         nodes = nodes.join(up, "component_id", "left").select("id", F.coalesce("up", "component_id").alias("component_id"))
-    return durable(nodes, "components")
+    found = durable(nodes, "components")
+    discard(live, *steps)
+    return found
 
 
 @functools.lru_cache(maxsize=4)
@@ -223,6 +238,7 @@ def flag_slots(packed: DataFrame, bits: int, least: int, times_mean: float = 0.0
     out = np.zeros((1 << (bits - 16), BUCKET_SLOTS // 8), np.uint8)
     for row in flags.toLocalIterator():
         out[row.bucket] = np.frombuffer(row.bits, np.uint8)
+    discard(flags)
     return out.reshape(-1)
 
 

@@ -1,15 +1,16 @@
 """Exact Jaccard self-join of word n-gram sets by vertical partitioning.
 
-N-grams are 64-bit hashes, and their global order is (frequent or not, hash). The hash range is cut into
-fragments. Documents are candidates if they share an n-gram of their prefixes in the
-global order, which every pair over the threshold does. The partial overlap of
-a pair is counted in each fragment separately and summed per pair; after the first fragment most wrong
-pairs cannot reach the threshold any more, and only the rest meets in the other fragments.
-
-Documents with equal sets form a class and are compared once. N-grams that many
-documents share come last in the order, so they stand in a prefix only where a document holds
-little else. The group of such an n-gram is cut into salted blocks, and each two blocks meet in a task of their
-own, under the same bounds. Every linked pair of classes comes out; components and link counts follow from them.
+N-grams are 64-bit hashes, and their global order is (frequent or not, hash). Documents are candidates if they share
+an n-gram of their prefixes in the global order, which every pair over the threshold does, and if exact bounds by size,
+position and sketch let them pass. The hash range is cut into fragments: the partial overlap of a pair is counted
+in each fragment separately and summed per pair, until no pair at hand can reach the threshold any more.
+
+Documents with equal sets form a class and are compared once. No table of pairs is stored for large groups: what
+candidates connect is a cluster, a cluster is cut into salted blocks, and each two blocks meet in a task of
+their own (a cell), which holds the sets of both, counts all overlaps and gives one row per member: how many rows it
+links with there, and the least member that its links reach. Work grows with the square of a cluster, stored
+rows with its members times its blocks. N-grams that many documents share come last in the order, so they
+stand in a prefix only where a document holds little else; their groups are cut into blocks in the same way.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnmark.llm.common import (released, FACTOR, components, durable, flag_slots, is_flagged, mix, pack_slots, powers, running_sums,
-                                 table)
+from kilnmark.llm.common import (FACTOR, components, discard, durable, flag_slots, is_flagged, mix, pack_slots, powers, released,
+                                 running_sums, table)
 
 WORDS = 5
 #: A link needs DEN * overlap >= NUM * (size + size), which is a Jaccard similarity of 0.8 or more.
@@ -35,10 +36,10 @@ SLOT_BITS, LOW = 24, 0.35
 MIN_FREQUENT = 16
 #: Bits of the filter for the documents whose sets are needed.
 NEEDED_BITS = 23
-#: Members of a block of a frequent key's group.
+#: Members of a block, of a frequent key's group or of a cluster.
 BLOCK = 512
-#: The keys before its own that a row of a frequent key carries.
-BEFORE = [f"v{k}" for k in range(4)]
+#: N-grams of all sets in a block of a cluster, on average.
+BLOCK_GRAMS = 1 << 20
 #: Words of 64 bits in the parity sketch of a set: bit k is the parity of its n-grams in the k-th fine fragment.
 SKETCH = [f"p{k}" for k in range(8)]
 
@@ -150,12 +151,9 @@ def frequent_slots(docs: DataFrame, width: int = WORDS) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, shared: Broadcast, hot: bool, width: int = WORDS) -> DataFrame:
-    """(key, doc, n, pos) for the n-grams in the prefix of each set; hot: those frequent, or not counted, else the others.
-
-    Hot rows have the keys before theirs in the prefix too, the nearest first; 0 where there is none.
-    """
+    """(key, doc, n, pos) for the n-grams in the prefix of each set; hot: those frequent, or not counted, else the others."""
     step = np.uint64(int(LOW * 2.0**64) >> SLOT_BITS)
-    names = ["key", "doc", "n", "pos", *(BEFORE if hot else [])]
+    names = ["key", "doc", "n", "pos"]
 
     def run(batches):
         bits = shared.value
@@ -169,9 +167,7 @@ def prefixes(docs: DataFrame, shared: Broadcast, hot: bool, width: int = WORDS)
                 n = len(s)
                 first = np.concatenate([np.flatnonzero(~frequent), np.flatnonzero(frequent)])[:n - (4 * n + 4) // 5 + 1]
                 pos = np.flatnonzero((frequent | ~counted)[first] == hot)
-                keys = s[first].view(np.int64)
-                own = [keys[pos], np.full(len(pos), doc, np.int64), np.full(len(pos), n, np.int64), pos]
-                own += [np.where(pos > k, keys[np.maximum(pos - k - 1, 0)], 0) for k in range(len(names) - 4)]
+                own = [s[first[pos]].view(np.int64), np.full(len(pos), doc, np.int64), np.full(len(pos), n, np.int64), pos]
                 for column, values in zip(columns, own):
                     column.append(values)
             if ids:
@@ -221,69 +217,163 @@ def _cold_pairs(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(released(run), "a long, b long").distinct()
 
 
-class _Verifier:
-    """Tells which pairs of class representatives are links, fragment by fragment."""
-
-    def __init__(self, docs: DataFrame, width: int):
-        self.docs, self.width = docs, width
-
-    def fragments(self, wanted: DataFrame) -> DataFrame:
-        """(doc, f, grams) of the documents in ``wanted`` (column doc), stored."""
-        spark, mask = self.docs.sparkSession, (1 << NEEDED_BITS) - 1
-        slot = F.xxhash64("doc").bitwiseAND(F.lit(mask))
-        # A filter of fixed size: 2^NEEDED_BITS bits in words of 32, whatever the number of documents.
-        rows = (wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 5).alias("w"))
-                .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 31 as int))")).alias("bits")).collect())
-        words = np.zeros((mask + 1) >> 5, np.uint32)
-        for r in rows:
-            words[r.w] = r.bits
-        held = spark.sparkContext.broadcast(words)
-
-        def run(batches):
-            for batch in batches:
-                slots = batch.column("slot").to_numpy()
-                hit = (held.value[slots >> 5] >> (slots & 31).astype(np.uint32)) & 1
-                batch = batch.take(pa.array(np.flatnonzero(hit)))
-                for k in range(0, batch.num_rows, 128):
-                    part = batch.slice(k, 128)
-                    docs, fs, lists = [], [], []
-                    for doc, s in zip(part.column("doc_id").to_pylist(), gram_sets(part.column("text").to_pylist(), self_width)):
-                        cuts = np.searchsorted(s, (np.arange(1, FRAGMENTS).astype(np.uint64) << np.uint64(61)))
-                        for f, own in enumerate(np.split(s, cuts)):
-                            docs.append(doc), fs.append(f), lists.append(own.view(np.int64))
-                    yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(fs, pa.int32()),
-                                                      pa.array(lists, pa.list_(pa.int64()))], ["doc", "f", "grams"])
-
-        self_width = self.width
-        marked = self.docs.withColumn("slot", F.xxhash64("doc_id").bitwiseAND(F.lit(mask)))
-        found = durable(marked.mapInArrow(released(run), "doc long, f int, grams array<bigint>").dropDuplicates(["doc", "f"]),
-                        "ngram-fragments")
-        held.destroy()
-        return found
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of ``pairs`` with a similarity of 0.8 or more."""
-        pairs = durable(pairs, "ngram-pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-        parts = self.fragments(wanted)
-
-        def overlap(few: DataFrame, some: Column) -> DataFrame:
-            """Partial overlap of each pair in each of the fragments, with the sizes there."""
-            left = parts.where(some).select(F.col("doc").alias("a"), "f", F.col("grams").alias("x"))
-            right = parts.where(some).select(F.col("doc").alias("b"), "f", F.col("grams").alias("y"))
-            return few.join(left, "a").join(right, ["b", "f"]).select(
-                "a", "b", "f", F.size(F.array_intersect("x", "y")).alias("common"), F.size("x").alias("nx"), F.size("y").alias("ny"))
-
-        sizes = parts.groupBy("doc").agg(F.sum(F.size("grams")).alias("n"))
-        sized = (pairs.join(sizes.select(F.col("doc").alias("a"), F.col("n").alias("na")), "a")
-                 .join(sizes.select(F.col("doc").alias("b"), F.col("n").alias("nb")), "b").where("5 * na >= 4 * nb and 5 * nb >= 4 * na"))
-        first = overlap(sized.select("a", "b"), F.col("f") == 0)
-        alive = durable(sized.join(first, ["a", "b"])
-                        .where(f"{DEN} * (common + least(na - nx, nb - ny)) >= {NUM} * (na + nb)")
-                        .select("a", "b", "na", "nb", F.col("common").alias("head")), "ngram-alive")
-        rest = overlap(alive.select("a", "b"), F.col("f") > 0).groupBy("a", "b").agg(F.sum("common").alias("tail"))
-        return durable(alive.join(rest, ["a", "b"]).where(f"{DEN} * (head + tail) >= {NUM} * (na + nb)").select("a", "b"),
-                       "ngram-links")
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct nodes of the edges (a, b), and for each the least node that it reaches."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y, label = at[:len(a)], at[len(a):], np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[x], label[y])
+        now = label.copy()
+        for side in (x, y, label[x], label[y]):
+            np.minimum.at(now, side, low)
+        now = now[now]
+        if (now == label).all():
+            return nodes, nodes[label]
+        label = now
+
+
+def needed_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(doc, grams), the sorted sets of the documents in ``wanted`` (column doc) and of a few more, one row for each id.
+
+    A filter of fixed size (2^NEEDED_BITS bits), whatever the number of documents, tells which texts to read as sets.
+    """
+    mask = (1 << NEEDED_BITS) - 1
+
+    def slots(batches):
+        for batch in batches:
+            yield pack_slots(batch.column("slot").to_numpy())
+
+    asked = wanted.select(F.xxhash64("doc").bitwiseAND(F.lit(mask)).alias("slot"))
+    held = docs.sparkSession.sparkContext.broadcast(
+        flag_slots(asked.mapInArrow(released(slots), "bucket int, slots binary"), NEEDED_BITS, 1))
+
+    def run(batches):
+        for batch in batches:
+            batch = batch.take(pa.array(np.flatnonzero(is_flagged(held.value, batch.column("slot").to_numpy()))))
+            for k in range(0, batch.num_rows, 128):
+                part = batch.slice(k, 128)
+                sets = [s.view(np.int64) for s in gram_sets(part.column("text").to_pylist(), width)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["doc", "grams"])
+
+    marked = docs.select("doc_id", "text", F.xxhash64("doc_id").bitwiseAND(F.lit(mask)).alias("slot"))
+    return marked.mapInArrow(released(run), "doc long, grams array<bigint>").dropDuplicates(["doc"])
+
+
+def _partial_overlap(gram: np.ndarray, member: np.ndarray, many: int, left: int) -> np.ndarray:
+    """How many n-grams each two of ``many`` members share in one fragment; n-grams sorted, members ascending within one.
+
+    With ``left`` the first so many members meet the others only. Common n-grams are counted by a product of matrices, the rest one by one.
+    """
+    out = np.zeros((many, many), np.int32)
+    run = np.cumsum(np.diff(gram, prepend=gram[:1]) != 0)
+    df = np.bincount(run)
+    wide = df >= max(8, many // 16)
+    if wide.any():
+        column, here = np.cumsum(wide) - 1, wide[run]
+        c, m = column[run[here]], member[here]
+        for first in range(0, int(c[-1]) + 1, 4096):
+            lo, hi = np.searchsorted(c, [first, first + 4096])
+            holds = np.zeros((many, min(4096, int(c[-1]) + 1 - first)), np.float32)
+            holds[m[lo:hi], c[lo:hi] - first] = 1
+            if left:
+                out[:left, left:] += (holds[:left] @ holds[left:].T).astype(np.int32)
+            else:
+                out += (holds @ holds.T).astype(np.int32)
+    here = ((df > 1) & ~wide)[run]
+    r, m = run[here], member[here].astype(np.int64)
+    d, at, met = 1, np.arange(len(r) - 1), []
+    while len(at):
+        at = at[at + d < len(r)]
+        at = at[r[at] == r[at + d]]
+        met.append(m[at] * many + m[at + d])
+        d += 1
+    if met:
+        out += np.bincount(np.concatenate(met), minlength=many * many).reshape(many, many).astype(np.int32)
+    return out
+
+
+def _cell_links(sets: list[np.ndarray], n: np.ndarray, left: int) -> tuple[np.ndarray, np.ndarray]:
+    """The linked pairs of members, as two arrays of positions, fragment by fragment; ``left`` as above."""
+    many = len(sets)
+    grams, member = np.concatenate(sets), np.repeat(np.arange(many), n)
+    order = np.argsort(grams, kind="stable")
+    grams, member = grams[order], member[order]
+    need = NUM * (n[:, None] + n[None, :])
+    alive = np.triu(DEN * np.minimum(n[:, None], n[None, :]) >= need, 1)
+    if left:
+        alive[:left, :left] = alive[left:, left:] = False
+    total, rest = np.zeros((many, many), np.int32), n.copy()
+    cuts = np.searchsorted(grams, np.arange(1, FRAGMENTS).astype(np.uint64) << np.uint64(61))
+    for lo, hi in zip([0, *cuts], [*cuts, len(grams)]):
+        if not alive.any():
+            break
+        if hi > lo:
+            total += _partial_overlap(grams[lo:hi], member[lo:hi], many, left)
+            rest -= np.bincount(member[lo:hi], minlength=many)
+        alive &= DEN * (total + np.minimum(rest[:, None], rest[None, :])) >= need
+    return np.nonzero(alive)
+
+
+def _cells(docs: DataFrame, members: DataFrame, width: int, whole: bool, block: int, block_grams: int) -> DataFrame:
+    """Meet the members (doc, cluster, n, rows) of each cluster, block by block.
+
+    Gives (a, b, more) per member and cell: member ``b`` links with ``more`` rows there, and ``a`` is the least member that
+    its links there reach. ``whole``: (a, b, 1) for every linked pair instead.
+    """
+    size = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / block_grams))
+                                          .cast("bigint").alias("blocks"))
+    # Stored first: both sides come from a shuffle then, and a busy cluster can be split.
+    cut = durable(members.join(durable(size, "ngram-blocks"), "cluster")
+                  .withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks"))), "ngram-members")
+    met = (needed_sets(docs, cut, width).join(cut, "doc")
+           .withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))))
+    dealt = (met.select("cluster", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "doc", "n", "rows", "grams")
+             .repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "own"))
+
+    def run(batches):
+        held, last, out, waiting = [], None, [], 0
+        for batch in batches:
+            key = np.stack([batch.column(k).to_numpy() for k in range(3)])
+            cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if hi == lo:
+                    continue
+                now = tuple(key[:, lo])
+                if now != last and held:
+                    out.append(cell(held))
+                    waiting += len(out[-1][0])
+                    held = []
+                last = now
+                held.append(batch.slice(lo, hi - lo))
+            if waiting > 10_000:
+                yield flat(out)
+                out, waiting = [], 0
+        if held:
+            out.append(cell(held))
+        if out:
+            yield flat(out)
+
+    def flat(out):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*out)], ["a", "b", "more"])
+
+    def cell(parts):
+        i, j, own, doc, n, rows = (np.concatenate([p.column(k).to_numpy() for p in parts]) for k in range(1, 7))
+        sets = [s.values.to_numpy().view(np.uint64) for p in parts for s in p.column(7)]
+        left = int((own == i[0]).sum()) if i[0] < j[0] else 0
+        none = np.zeros(0, np.int64)
+        if len(doc) < 2 or left == len(doc) or (i[0] < j[0] and not left):
+            return none, none, none
+        a, b = _cell_links(sets, n, left)
+        if whole:
+            return np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b]), np.ones(len(a), np.int64)
+        more = np.bincount(a, rows[b], len(doc)) + np.bincount(b, rows[a], len(doc))
+        nodes, least = _stars(doc[a], doc[b])
+        at = np.argsort(doc)
+        return least, nodes, more[at[np.searchsorted(doc, nodes, sorter=at)]].astype(np.int64)
+
+    found = durable(dealt.mapInArrow(released(run), "a long, b long, more long"), "ngram-links")
+    discard(cut)
+    return found
 
 
 def _to_reps(pairs: DataFrame, rep_of: DataFrame) -> DataFrame:
@@ -297,18 +387,18 @@ def _to_reps(pairs: DataFrame, rep_of: DataFrame) -> DataFrame:
 
 
 def _hot_pairs(hot: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Pairs of representatives that share a frequent key and may link by their sizes, positions and sketches.
+    """Edges (a, b) that connect all representatives that share a frequent key and may link by their sizes, positions and sketches.
 
-    ``hot`` has (key, doc, n, pos, the keys before and the sketch). The members of a key are dealt over blocks,
-    and every two blocks (i, j) meet, so a task holds at most two blocks. A pair that shares one of the keys
-    before is left out here: that key is earlier in the order, and the pair is met there.
+    ``hot`` has (key, doc, n, pos and the sketch). The members of a key are dealt over blocks, and every two
+    blocks (i, j) meet, so a task holds at most two blocks. Not the pairs come out, but for each member the
+    least one that they connect it with.
     """
     many = durable(hot.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "ngram-groups")
     blocks = F.ceil(F.col("many") / block).cast("bigint")
     salted = hot.join(many, "key").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc", "key"), F.col("blocks")))
     met = salted.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     dealt = (met.select("key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "doc", "n", "pos",
-                        *BEFORE, *SKETCH)
+                        *SKETCH)
              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
 
     def run(batches):
@@ -329,7 +419,7 @@ def _hot_pairs(hot: DataFrame, block: int = BLOCK) -> DataFrame:
         if rows.shape[1] < 2:
             return
         i, j, own, doc, n, pos = rows[1:7]
-        before, sketch = rows[7:7 + len(BEFORE)], np.ascontiguousarray(rows[7 + len(BEFORE):].T).view(np.uint64)
+        sketch = np.ascontiguousarray(rows[7:].T).view(np.uint64)
         group = np.cumsum(np.concatenate([[0], (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)]))
         found, d, at = [], 1, np.arange(rows.shape[1] - 1)
         while len(at):
@@ -341,49 +431,55 @@ def _hot_pairs(hot: DataFrame, block: int = BLOCK) -> DataFrame:
             d += 1
             if not len(a):
                 continue
-            met = np.zeros(len(a), bool)
-            for k, x in enumerate(before):
-                for m, y in enumerate(before):
-                    met |= (x[a] == y[b]) & (pos[a] > k) & (pos[b] > m)
-            a, b = a[~met], b[~met]
             differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
             near = DEN * differ <= (DEN - 2 * NUM) * (n[a] + n[b])
-            x, y = doc[a[near]], doc[b[near]]
-            found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+            found.append(np.stack([doc[a[near]], doc[b[near]]]))
+            if sum(x.shape[1] for x in found) > 1 << 20:
+                found = [np.stack(_stars(*np.concatenate(found, axis=1)))]
         if found:
-            x, y = np.unique(np.concatenate(found, axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
+            nodes, least = _stars(*np.concatenate(found, axis=1))
+            apart = nodes != least
+            yield pa.RecordBatch.from_arrays([pa.array(least[apart]), pa.array(nodes[apart])], ["a", "b"])
 
     return dealt.mapInArrow(released(run), "a long, b long")
 
 
-def _classes(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """Every row with its size and its class (rep, null without one), and every linked pair of classes (a, b), each once."""
+def _classes(docs: DataFrame, width: int, whole: bool) -> tuple[DataFrame, DataFrame]:
+    """Every row with its size and its class (rep, null without one), and what ``_cells`` finds among the classes."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     info = durable(describe(docs, width), "ngram-info")
     linked = docs.where("doc_id is not null")
     same = ["n_shingles", "s1", "s2"]
-    reps = info.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    reps = info.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"))
     # Stored first, so that both sides of the join come from a shuffle and a busy class can be split.
-    known = durable(info.join(durable(reps, "ngram-reps"), same, "left")
-                    .withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.col("rep"))), "ngram-classes")
+    reps = durable(reps, "ngram-reps")
+    known = durable(info.join(reps, same, "left").withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.col("rep"))), "ngram-classes")
+    discard(info, reps)
     rep_of = known.where("rep is not null").select("doc_id", "rep", "n_shingles", *SKETCH).distinct()
     flags = linked.sparkSession.sparkContext.broadcast(frequent_slots(linked, width))
-    rows = durable(prefixes(linked, flags, True, width), "ngram-hot")
     cold = durable(_to_reps(_cold_pairs(prefixes(linked, flags, False, width)), rep_of), "ngram-cold")
+    rows = durable(prefixes(linked, flags, True, width), "ngram-prefixes")
     flags.destroy()
     hot = durable(rows.join(rep_of.withColumnRenamed("doc_id", "doc"), "doc")
-                  .select("key", F.col("rep").alias("doc"), "n", "pos", *BEFORE, *SKETCH).distinct(), "ngram-hot")
-    return known, _Verifier(linked, width).links(cold.union(_hot_pairs(hot)).distinct())
+                  .select("key", F.col("rep").alias("doc"), "n", "pos", *SKETCH).distinct(), "ngram-hot")
+    discard(rows)
+    edges = durable(cold.union(_hot_pairs(hot)).distinct(), "ngram-candidates")
+    discard(cold, hot)
+    sizes = known.where("rep is not null").groupBy(F.col("rep").alias("doc")).agg(F.max("n_shingles").alias("n"), F.max("rows").alias("rows"))
+    members = components(edges).join(sizes.withColumnRenamed("doc", "id"), "id")
+    found = _cells(linked, members.select(F.col("id").alias("doc"), F.col("component_id").alias("cluster"), "n", "rows"), width, whole, BLOCK,
+                   BLOCK_GRAMS)
+    discard(edges)
+    return known, found
 
 
 def ngram_links(docs: DataFrame, width: int = WORDS) -> DataFrame:
-    """Every linked pair (a, b) of class representatives, each once, a < b.
+    """Every linked pair (a, b) of class representatives, each once, a < b: all pairs, the square of a group of edited copies.
 
     The documents of a class have equal sets and link with each other and with all of a linked class; ``class_id`` of
     ``ngram_components`` names the representative of each document.
     """
-    return _classes(docs, width)[1]
+    return _classes(docs, width, True)[1].select("a", "b")
 
 
 def ngram_components(docs: DataFrame, width: int = WORDS) -> DataFrame:
@@ -393,18 +489,15 @@ def ngram_components(docs: DataFrame, width: int = WORDS) -> DataFrame:
     alone. Rows without a doc_id have null class and component and link with nothing. Rows that repeat a doc_id share
     its component; their link counts are exact if their texts are equal. Extra columns are dropped.
     """
-    known, links = _classes(docs, width)
+    known, found = _classes(docs, width, False)
     # Documents of a class hang below its representative; an id that repeats may join classes.
     below = known.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
-    label = components(links.union(below))
-    rows = durable(known.where("rep is not null").groupBy("rep").agg(F.count(F.lit(1)).alias("rows")), "ngram-rows")
-    beside = (links.union(links.select("b", "a")).toDF("rep", "other").join(rows.toDF("other", "more"), "other")
-              .groupBy("rep").agg(F.sum("more").alias("more")))
-    many = durable(rows.join(beside, "rep", "left").select("rep", (F.col("rows") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")),
-                   "ngram-many")
-    return (known.join(many, "rep", "left").join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    label = components(found.select("a", "b").union(below))
+    more = durable(found.groupBy(F.col("b").alias("rep")).agg(F.sum("more").alias("more")), "ngram-many")
+    return (known.join(more, "rep", "left").join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("class_id"),
-                    F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+                    F.coalesce("component_id", "doc_id").alias("component_id"),
+                    F.when(F.col("rep").isNotNull(), F.col("rows") - 1 + F.coalesce("more", F.lit(0))).otherwise(F.lit(0)).alias("n_links")))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
