@@ -42,6 +42,9 @@ BLOCK = 512
 BLOCK_GRAMS = 1 << 20
 #: Words of 64 bits in the parity sketch of a set: bit k is the parity of its n-grams in the k-th fine fragment.
 SKETCH = [f"p{k}" for k in range(8)]
+#: All that tells two sets apart without their n-grams; sets of more n-grams than the sketch has bits have a wide one too.
+BOUNDS = [*SKETCH, "wide"]
+
 
 def _word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of every word of ASCII-lower-cased bytes."""
@@ -94,7 +97,41 @@ def _print(grams: np.ndarray) -> tuple[int, int, int]:
 
 def _sketch(grams: np.ndarray) -> np.ndarray:
     bits = 64 * len(SKETCH)
-    return np.packbits(np.bincount((grams % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).view(np.int64)
+    return _parities(grams, bits).view(np.int64)
+
+
+def _parities(grams: np.ndarray, bits: int) -> np.ndarray:
+    return np.packbits(np.bincount((grams % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1)
+
+
+def _wide(grams: np.ndarray) -> bytes:
+    """A sketch with at least as many bits as n-grams, a power of two; empty where the narrow one has enough."""
+    return _parities(grams, 1 << (len(grams) - 1).bit_length()).tobytes() if len(grams) > 64 * len(SKETCH) else b""
+
+
+def _folded(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch of the same set with ``size`` bytes: its halves are added bit by bit."""
+    row = np.frombuffer(sketch, np.uint64)
+    while len(row) * 8 > size:
+        row = row[:len(row) // 2] ^ row[len(row) // 2:]
+    return row
+
+
+def _wide_near(wide: list[bytes], n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The bound of ``_near`` for the pairs (a, b) of positions, by wide sketches folded to the smaller of the two."""
+    size = np.array([len(w) for w in wide], np.int64)
+    low = np.minimum(size[a], size[b])
+    fits = np.ones(len(a), bool)
+    for length in np.unique(low[low > 0]):
+        pairs = np.flatnonzero(low == length)
+        rows, at = np.unique(np.concatenate([a[pairs], b[pairs]]), return_inverse=True)
+        folded = np.stack([_folded(wide[r], length) for r in rows])
+        x, y, step = at[:len(pairs)], at[len(pairs):], max(1, (1 << 22) // int(length))
+        for k in range(0, len(pairs), step):
+            differ = np.bitwise_count(folded[x[k:k + step]] ^ folded[y[k:k + step]]).sum(axis=1, dtype=np.int64)
+            p = pairs[k:k + step]
+            fits[p] = DEN * differ <= (DEN - 2 * NUM) * (n[a[p]] + n[b[p]])
+    return fits
 
 
 def _near(n: str, p: str, other_n: str, q: str) -> Column:
@@ -120,17 +157,17 @@ def _fresh_sets(batches, width: int):
 
 
 def describe(docs: DataFrame, width: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, the two sums that tell sets apart, and the parity sketch, for every row."""
+    """doc_id, n_shingles, the two sums that tell sets apart, and the parity sketches, for every row."""
     def run(batches):
         for ids, sets in _sets(batches, width):
             rows = [_print(s) for s in sets]
             sketches = np.array([_sketch(s) for s in sets], np.int64).reshape(-1, len(SKETCH))
             yield pa.RecordBatch.from_arrays(
                 [ids, *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3)),
-                 *(pa.array(np.ascontiguousarray(sketches[:, k])) for k in range(len(SKETCH)))],
-                ["doc_id", "n_shingles", "s1", "s2", *SKETCH])
+                 *(pa.array(np.ascontiguousarray(sketches[:, k])) for k in range(len(SKETCH))),
+                 pa.array([_wide(s) for s in sets], pa.binary())], ["doc_id", "n_shingles", "s1", "s2", *BOUNDS])
 
-    return docs.mapInArrow(released(run), "doc_id long, n_shingles long, s1 long, s2 long, " + ", ".join(f"{x} long" for x in SKETCH))
+    return docs.mapInArrow(released(run), "doc_id long, n_shingles long, s1 long, s2 long, " + ", ".join(f"{x} long" for x in SKETCH) + ", wide binary")
 
 
 def frequent_slots(docs: DataFrame, width: int = WORDS) -> np.ndarray:
@@ -380,16 +417,26 @@ def _to_reps(pairs: DataFrame, rep_of: DataFrame) -> DataFrame:
     """Pairs between class representatives, each once, without those inside a class or too far apart by their sketches."""
     def side(name: str, letter: str) -> DataFrame:
         return rep_of.select(F.col("doc_id").alias(name), F.col("rep").alias(f"r{name}"), F.col("n_shingles").alias(f"n{name}"),
-                             *_renamed(letter))
+                             *_renamed(letter), F.col("wide").alias(f"w{name}"))
 
     named = pairs.join(side("a", "u"), "a").join(side("b", "w"), "b").where("ra <> rb").where(_near("na", "u", "nb", "w"))
-    return named.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+
+    def run(batches):
+        for batch in batches:
+            k = batch.num_rows
+            n = np.concatenate([batch.column(c).to_numpy() for c in ("na", "nb")])
+            wide = batch.column("wa").to_pylist() + batch.column("wb").to_pylist()
+            fits = pa.array(np.flatnonzero(_wide_near(wide, n, np.arange(k), np.arange(k, 2 * k))))
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(fits) for c in "ab"], ["a", "b"])
+
+    sized = named.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), "na", "nb", "wa", "wb")
+    return sized.mapInArrow(released(run), "a long, b long").distinct()
 
 
 def _hot_pairs(hot: DataFrame, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) that connect all representatives that share a frequent key and may link by their sizes, positions and sketches.
 
-    ``hot`` has (key, doc, n, pos and the sketch). The members of a key are dealt over blocks, and every two
+    ``hot`` has (key, doc, n, pos and the sketches). The members of a key are dealt over blocks, and every two
     blocks (i, j) meet, so a task holds at most two blocks. Not the pairs come out, but for each member the
     least one that they connect it with.
     """
@@ -398,24 +445,25 @@ def _hot_pairs(hot: DataFrame, block: int = BLOCK) -> DataFrame:
     salted = hot.join(many, "key").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc", "key"), F.col("blocks")))
     met = salted.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     dealt = (met.select("key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "doc", "n", "pos",
-                        *SKETCH)
+                        *BOUNDS)
              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
 
     def run(batches):
-        held = None
+        held, held_wide = None, []
         for batch in batches:
-            now = np.stack([c.to_numpy() for c in batch.columns])
+            now = np.stack([c.to_numpy() for c in batch.columns[:-1]])
             now = now if held is None else np.concatenate([held, now], axis=1)
+            wide = held_wide + batch.column("wide").to_pylist()
             if not now.shape[1]:
                 continue
             differs = np.flatnonzero((now[:3, 1:] != now[:3, :-1]).any(axis=0))
             last = int(differs[-1]) + 1 if len(differs) else 0  # the last group may go on in the next batch
-            held = now[:, last:]
-            yield from pairs(now[:, :last])
+            held, held_wide = now[:, last:], wide[last:]
+            yield from pairs(now[:, :last], wide[:last])
         if held is not None:
-            yield from pairs(held)
+            yield from pairs(held, held_wide)
 
-    def pairs(rows):
+    def pairs(rows, wide):
         if rows.shape[1] < 2:
             return
         i, j, own, doc, n, pos = rows[1:7]
@@ -433,6 +481,8 @@ def _hot_pairs(hot: DataFrame, block: int = BLOCK) -> DataFrame:
                 continue
             differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
             near = DEN * differ <= (DEN - 2 * NUM) * (n[a] + n[b])
+            a, b = a[near], b[near]
+            near = _wide_near(wide, n, a, b)
             found.append(np.stack([doc[a[near]], doc[b[near]]]))
             if sum(x.shape[1] for x in found) > 1 << 20:
                 found = [np.stack(_stars(*np.concatenate(found, axis=1)))]
@@ -455,13 +505,13 @@ def _classes(docs: DataFrame, width: int, whole: bool) -> tuple[DataFrame, DataF
     reps = durable(reps, "ngram-reps")
     known = durable(info.join(reps, same, "left").withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.col("rep"))), "ngram-classes")
     discard(info, reps)
-    rep_of = known.where("rep is not null").select("doc_id", "rep", "n_shingles", *SKETCH).distinct()
+    rep_of = known.where("rep is not null").select("doc_id", "rep", "n_shingles", *BOUNDS).distinct()
     flags = linked.sparkSession.sparkContext.broadcast(frequent_slots(linked, width))
     cold = durable(_to_reps(_cold_pairs(prefixes(linked, flags, False, width)), rep_of), "ngram-cold")
     rows = durable(prefixes(linked, flags, True, width), "ngram-prefixes")
     flags.destroy()
     hot = durable(rows.join(rep_of.withColumnRenamed("doc_id", "doc"), "doc")
-                  .select("key", F.col("rep").alias("doc"), "n", "pos", *SKETCH).distinct(), "ngram-hot")
+                  .select("key", F.col("rep").alias("doc"), "n", "pos", *BOUNDS).distinct(), "ngram-hot")
     discard(rows)
     edges = durable(cold.union(_hot_pairs(hot)).distinct(), "ngram-candidates")
     discard(cold, hot)
