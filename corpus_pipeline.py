@@ -18,7 +18,10 @@ LEAST_SCORE = 0.4
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base and every rule."""
+    """Documents that pass the base and every rule; each row is judged by its text alone.
+
+    Null and empty texts go. Rows without a doc_id and repeated rows are judged like others. Extra columns are dropped.
+    """
     return quality.judge(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
 
 
@@ -50,14 +53,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the bytes that a document of smaller doc_id holds in a repeated string."""
+    """All documents, without the bytes that a document of smaller doc_id holds in a repeated string.
+
+    A null text becomes empty, n_chars counts what is left. Rows without a doc_id neither lose nor take anything.
+    Extra columns are dropped; an empty table gives no row.
+    """
     bounded_batches(spark)
     cut = suffix_dedup.cut_texts(suffix_dedup.dedup(docs.select(*COLUMNS)))
     return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in the packed sequences."""
+    """The pieces of all documents with their places in the packed sequences.
+
+    A null or empty text is the closing id alone. Rows without a doc_id are packed too, with a null there. An empty
+    table gives no row.
+    """
     bounded_batches(spark)
     import public_tokenizers
 
