@@ -77,7 +77,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality_rules", quality_rules), ("language", language), ("near_duplicates", near_duplicates),
           ("repeated_strings", repeated_strings), ("pack", pack)]
-#: The language net and the byte pairs have no form in SQL; tests/llm checks the stages against brute force.
+#: The language net and the byte pairs have no form in SQL. tests/llm holds near duplicates, repeated strings and packed
+#: lengths against brute force; rules and languages there are the verdicts of their own operators.
 ORACLE_SQL = None
 
 
