@@ -30,20 +30,23 @@ CELL_PARTS = (DAY, "meter")
 CELL_KEYS = (*DEVICE, DAY, "meter", "minute_ts")
 
 
-def append_batch(rows: DataFrame, path: str, batch_id: int, parts: Sequence[str] = (DAY,), fmt: str = "parquet") -> list[str]:
+def append_batch(rows: DataFrame, path: str, batch_id: int, parts: Sequence[str] = (DAY,), fmt: str = "parquet",
+                 sized: bool = False) -> list[str]:
     """Store one batch below ``parts`` and ``batch_id`` and return its partitions; repeated, it replaces itself.
 
     The rows are staged first, which tells the partitions without a second run of the plan. A list
     of these and of those of an earlier run is written ahead; then the folders are moved
     to their places, the ones that the batch no longer has are removed, and the list is cut to what
     is there. A run that breaks off anywhere leaves a list with all that the next run must replace.
+    Rows are dealt out to files of good size, unless they are ``sized``: then each task writes what it has.
     """
     files = Files(rows.sparkSession, path)
     stage, note = f"{STAGED}/{BATCH}={batch_id}", f"{LISTS}/{batch_id}.json"
     files.delete(stage)
-    rows.drop(BATCH).hint("rebalance", *parts).write.format(fmt).partitionBy(*parts).save(f"{path}/{stage}")
+    rows = rows.drop(BATCH)
+    (rows if sized else rows.hint("rebalance", *parts)).write.format(fmt).partitionBy(*parts).save(f"{path}/{stage}")
     found = files.leaves(stage, len(parts))
-    if not parts and rows.sparkSession.read.format(fmt).schema(rows.drop(BATCH).schema).load(f"{path}/{stage}").isEmpty():
+    if not parts and rows.sparkSession.read.format(fmt).schema(rows.schema).load(f"{path}/{stage}").isEmpty():
         found = []
     earlier = files.read_note(note) or []
     files.write_note(note, sorted({*found, *earlier}))

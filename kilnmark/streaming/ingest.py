@@ -45,6 +45,12 @@ SENSOR_FEED, LAB_FEED = "sensor", "lab"
 BATCH_SPAN = 10**12
 PROGRESS, DONE, ORDERED = "_progress", "_done", "_ordered"
 _KEEP = (*DEVICE, "seq", "ingest_ts", "origin", "place")
+#: Origins of topics are the numbers of partitions, those of files are paths.
+PARTITION = "^[0-9]+$"
+#: Lines of a stretch that one task parses; splits of Spark's default size hold fewer unless lines are very short.
+LONGEST_STRETCH = 10**7
+#: With fewer lines in a stretch on average, rows are gathered before they are stored.
+SHORT_STRETCH = 50_000
 #: In this order a message was written before another.
 WRITE_ORDER = ("ingest_ts", "feed", "origin", "place", "line")
 
@@ -78,11 +84,44 @@ def parse(messages: DataFrame, watermark: dt.datetime | None) -> DataFrame:
     return judged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in JOURNAL.fields])
 
 
-def number(messages: DataFrame, batch_id: int, path: str) -> DataFrame:
-    """Messages with ``seq``, their place in the order of writes, sorted through the folder ``path``."""
+def number(messages: DataFrame, batch_id: int, path: str, longest: int = LONGEST_STRETCH) -> tuple[DataFrame, bool]:
+    """Messages with ``seq``, their place in the order of writes, and whether each task holds enough of them for a file.
+
+    A task reads a stretch of a file line by line, so files need no sort: one row per stretch goes to the driver,
+    and the number of lines before it comes back. Should a second read be cut into other stretches, it fails and the
+    batch is repeated. Topics, whose partitions interleave by time, stretches that are not read in one piece and those of more
+    than ``longest`` lines (files that cannot be split) are sorted through the folder ``path``.
+    """
     lines = messages.withColumn("line", F.monotonically_increasing_id())
-    return (numbered(lines, WRITE_ORDER, "seq", path).drop("line")
-            .withColumn("seq", F.col("seq") + F.lit(batch_id * BATCH_SPAN)))
+    starts = _stretch_starts(lines, longest)
+    if starts is None:
+        rows = numbered(lines, WRITE_ORDER, "seq", path)
+    else:
+        known = F.broadcast(messages.sparkSession.createDataFrame(
+            starts, "feed string, __time long, origin string, place long, __first long, __n long, __start long"))  # one row per stretch
+        at = F.col("line") - F.col("__first")
+        seq = F.when((at >= 0) & (at < F.col("__n")), F.col("__start") + at).otherwise(
+            F.raise_error(F.lit("the messages of this batch were read in other stretches than they were counted in")))
+        rows = (lines.withColumn("__time", F.unix_micros("ingest_ts")).join(known, ["feed", "__time", "origin", "place"], "left")
+                .withColumn("seq", seq))
+    # What tasks read makes files of a size unless the stretches are short.
+    sized = starts is not None and sum(s[5] for s in starts) >= len(starts) * SHORT_STRETCH
+    return rows.select(*messages.columns, (F.col("seq") + F.lit(batch_id * BATCH_SPAN)).alias("seq")), sized
+
+
+def _stretch_starts(lines: DataFrame, longest: int) -> list[tuple] | None:
+    """``(feed, time, origin, place, first line, lines, lines of earlier stretches)`` in the order of writes; None if they must be sorted."""
+    in_file = F.coalesce(~F.col("origin").rlike(PARTITION) & F.col("ingest_ts").isNotNull() & F.col("place").isNotNull(), F.lit(False))
+    keys = {"time": F.unix_micros("ingest_ts"), "origin": F.col("origin"), "place": F.col("place")}
+    found = (lines.groupBy("feed", *[F.when(in_file, c).alias(k) for k, c in keys.items()])  # one row for all of a topic
+             .agg(F.min("line").alias("first"), F.max("line").alias("last"), F.count(F.lit(1)).alias("n")).collect())
+    if any(s["origin"] is None or s["last"] - s["first"] + 1 != s["n"] or s["n"] > longest for s in found):
+        return None
+    starts, total = [], 0
+    for s in sorted(found, key=lambda s: (s["time"], s["feed"], s["origin"], s["place"])):
+        starts.append((s["feed"], s["time"], s["origin"], s["place"], s["first"], s["n"], total))
+        total += s["n"]
+    return starts
 
 
 # --- notes -------------------------------------------------------------------
@@ -104,19 +143,22 @@ def positions(spark: SparkSession, journal: str, batch_id: int | None = None) ->
 
 
 def _note(rows: DataFrame, earlier: dict) -> dict:
-    """The newest time and the positions after one batch, from a few aggregate rows."""
-    newest = rows.where(F.col("reason").isNull()).agg(F.unix_micros(F.max("ts"))).first()[0]
+    """The newest time and the positions after one batch, from a few aggregate rows and one scan."""
     places = {feed: {**p, "offsets": dict(p["offsets"])} for feed, p in earlier["positions"].items()}
-    ends = rows.groupBy("feed").agg(F.max(F.struct(F.unix_micros("ingest_ts").alias("time"), "origin")).alias("end")).collect()
-    for feed, (time, origin) in ends:
+    # First per file and partition: maxima of numbers are hashed, those of text and structs would sort every row.
+    per_origin = rows.groupBy("feed", "origin").agg(
+        F.max(F.unix_micros("ingest_ts")).alias("time"), F.max("place").alias("place"),
+        F.max(F.when(F.col("reason").isNull(), F.unix_micros("ts"))).alias("newest"))
+    partition = F.when(F.col("origin").rlike(PARTITION), F.col("origin"))  # one row for each partition, one for all files
+    ends = (per_origin.groupBy("feed", partition.alias("partition"))
+            .agg(F.max(F.struct("time", "origin")).alias("end"), F.max("place").alias("place"), F.max("newest").alias("newest")).collect())
+    for feed, partition, (time, origin), offset, _ in ends:
         place = places.setdefault(feed, {"time": None, "origin": None, "offsets": {}})
         if place["time"] is None or (time, origin) > (place["time"], place["origin"]):
             place.update(time=time, origin=origin)
-    # Partitions have numbers, files have paths: one row for each partition.
-    for feed, partition, offset in (rows.where(F.col("origin").rlike("^[0-9]+$")).groupBy("feed", "origin")
-                                    .agg(F.max("place")).collect()):
-        places[feed]["offsets"][partition] = offset + 1
-    known = [n for n in (earlier["newest"], newest) if n is not None]
+        if partition is not None:
+            place["offsets"][partition] = offset + 1
+    known = [n for n in (earlier["newest"], *(e["newest"] for e in ends)) if n is not None]
     return {"newest": max(known, default=None), "positions": places}
 
 
@@ -139,7 +181,8 @@ def journal_sink(path: str, sinks: Mapping[str, Sink], delay: dt.timedelta) -> S
         earlier = progress(files, batch_id)
         if not files.exists(batch_folder("", batch_id)):
             ordered = f"{path}/{ORDERED}"
-            append_batch(parse(number(batch, batch_id, ordered), _behind(earlier, delay)), path, batch_id, ())
+            messages, sized = number(batch, batch_id, ordered)
+            append_batch(parse(messages, _behind(earlier, delay)), path, batch_id, (), sized=sized)
             files.delete(ORDERED)
         if not files.exists(batch_folder("", batch_id)):
             return  # no message came

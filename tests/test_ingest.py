@@ -76,6 +76,42 @@ def test_order_of_writes(spark, plant):
     assert found[0] == found[1] == {0: 4.0, 1: 10.0, 2: 7.0}
 
 
+def test_files_are_numbered_as_read(spark, plant, monkeypatch):
+    """Stretches of files need no sort; long ones are sorted and get the same numbers."""
+    for k, name in enumerate("bacd"):
+        plant.file(name, "sensor", [sensor(0, 100 * k + i) for i in range(40)], 2000 - 500 * (k == 2))
+        plant.file(name, "lab", [lab(0, 1000 + 100 * k + i) for i in range(10)], 2000)
+    sort, calls, number = ingest.numbered, [], ingest.number
+    monkeypatch.setattr(ingest, "numbered", lambda *a, **b: calls.append(a) or sort(*a, **b))
+    plant.run(None, "read", "cp-read")
+    assert not calls
+    monkeypatch.setattr(ingest, "number", lambda rows, batch_id, path: number(rows, batch_id, path, longest=39))
+    plant.run(None, "dealt", "cp-dealt")
+    assert len(calls) == 1
+    read, dealt = ([(r["seq"], r["feed"], r[FIRST], r[LAB]) for r in plant.rows(j).orderBy("seq").collect()] for j in ("read", "dealt"))
+    assert read == dealt and [r[0] for r in read] == list(range(200))
+
+
+def test_topics_are_numbered_by_time(spark, tmp_path):
+    """Partitions interleave by time, and a batch may hold a topic and files."""
+    rows = [("sensor", "1", 5, 3), ("sensor", "0", 9, 1), ("lab", "f", 0, 2), ("lab", "f", 0, 2), ("sensor", "0", 10, 3), ("sensor", "1", 4, 1)]
+    rows = spark.createDataFrame(rows, "feed string, origin string, place long, at long").withColumn("ingest_ts", F.timestamp_seconds("at"))
+    got, sized = ingest.number(rows.drop("at"), 2, str(tmp_path / "ordered"))
+    got = [(r["seq"] - 2 * ingest.BATCH_SPAN, r["origin"], r["place"]) for r in got.orderBy("seq").collect()]
+    assert got == [(0, "0", 9), (1, "1", 4), (2, "f", 0), (3, "f", 0), (4, "0", 10), (5, "1", 5)] and not sized
+
+
+def test_stretch_cut_otherwise_fails(spark, tmp_path, monkeypatch):
+    """Lines beyond those counted must not share a number: the batch fails instead."""
+    rows = spark.createDataFrame([("sensor", "f", 0)] * 5, "feed string, origin string, place long").coalesce(1)
+    rows = rows.withColumn("ingest_ts", F.timestamp_seconds(F.lit(1)))
+    starts = ingest._stretch_starts
+    assert [r["seq"] for r in ingest.number(rows, 0, "")[0].orderBy("seq").collect()] == list(range(5))
+    monkeypatch.setattr(ingest, "_stretch_starts", lambda *a: [(*s[:5], s[5] - 1, s[6]) for s in starts(*a)])
+    with pytest.raises(Exception, match="other stretches"):
+        ingest.number(rows, 0, "")[0].collect()
+
+
 def test_later_batches_come_behind(spark, plant):
     for k in range(3):
         plant.file(f"f{9 - k}", "sensor", [sensor(0, k), sensor(0, k + 0.5)], 1000 + k)
