@@ -715,11 +715,16 @@ def stream_late_update(spark, sf_dir):
 FIRST_WRITE = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
 
 
-def _write_messages(spark, rows, path, step):
-    """Append text files of messages in the order of ``seq``, all written at the time of ``step``."""
+def _write_messages(spark, events, messages, path, step):
+    """Append text files of ``messages`` in the order of events, all written at the time of ``step``.
+
+    A message that brings its own line end has only this one; another behind it would be an empty message.
+    """
     files = Files(spark, path)
     before = set(files.names())
-    rows.repartitionByRange("seq").sortWithinPartitions("seq").select("value").write.mode("append").text(path)
+    # The events are sorted, not the longer messages, and the sample for the ranges makes no text.
+    placed = events.select("event_id", "ts", "user_id", "event_type", "value").repartitionByRange("event_id").sortWithinPartitions("event_id")
+    messages(placed).select(F.rtrim("value", F.lit("\r\n")).alias("value")).write.mode("append").text(path)
     for name in files.names():
         if name.startswith("part-") and name not in before:
             files.set_time(name, int((FIRST_WRITE + dt.timedelta(hours=step)).timestamp() * 1000))
@@ -734,8 +739,8 @@ class _Feeds:
         self.journal = f"{self.tables}/journal"
 
     def deliver(self, events, step):
-        _write_messages(self.spark, feeds.sensor_messages(events), self.sensor, step)
-        _write_messages(self.spark, feeds.lab_messages(events), self.lab, step)
+        _write_messages(self.spark, events, feeds.sensor_messages, self.sensor, step)
+        _write_messages(self.spark, events.where(F.col("event_type") == feeds.LAB_TYPE), feeds.lab_messages, self.lab, step)
 
     def ingest(self, journal=None, checkpoint=None, after=None, **sinks):
         """Everything delivered and not yet read, as one micro-batch; with ``after``, from a stored position on."""

@@ -112,6 +112,22 @@ def test_stretch_cut_otherwise_fails(spark, tmp_path, monkeypatch):
         ingest.number(rows, 0, "")[0].collect()
 
 
+def test_deliveries_hold_their_messages_only(spark, tmp_path):
+    """A message with a line end of its own is one line, without an empty message behind it."""
+    from kilnmark.sources import feeds
+    from kilnmark.suite import queries
+
+    events = spark.createDataFrame([(k, T0, 1, "purchase" if k % 4 == 0 else "click", 1.0 + k) for k in range(40)],
+                                   "event_id long, ts timestamp, user_id long, event_type string, value double")
+    source = queries._Feeds(spark)
+    source.deliver(events, 0)
+    source.ingest()
+    rows = source.read()
+    assert rows.where("reason IS NOT NULL").isEmpty()
+    assert rows.count() == feeds.sensor_messages(events).count() + feeds.lab_messages(events).count()
+    assert [r[FIRST] for r in rows.where("feed = 'sensor'").orderBy("seq").collect()] == [1.0 + k for k in range(40)]
+
+
 def test_later_batches_come_behind(spark, plant):
     for k in range(3):
         plant.file(f"f{9 - k}", "sensor", [sensor(0, k), sensor(0, k + 0.5)], 1000 + k)
