@@ -179,9 +179,13 @@ def encoding(path: str, pattern: str):
 
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser over a uint64 array."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    spare = x >> np.uint64(30)  # two arrays for all steps: new ones cost more than the sums
+    x = x ^ spare
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= np.right_shift(x, np.uint64(27), out=spare)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= np.right_shift(x, np.uint64(31), out=spare)
+    return x
 
 
 def empty_text(column: str = "text") -> Column:
@@ -221,20 +225,25 @@ def flag_slots(packed: DataFrame, bits: int, least: int, times_mean: float = 0.0
     one bucket after the other in bounded memory. The result has the same size for any
     corpus and is all that the driver gets.
     """
+    def flagged(bucket, count):
+        enough = count >= max(least, times_mean * count.mean())
+        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(enough).tobytes()], pa.binary())],
+                                          ["bucket", "bits"])
+
     def add(batches):
-        total: dict[int, np.ndarray] = {}
+        held, count = None, None  # of one bucket: few rows may put all buckets into one task
         for batch in batches:
             for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("slots").to_pylist()):
-                if bucket not in total:
-                    total[bucket] = np.zeros(BUCKET_SLOTS, np.uint32)
+                if bucket != held:
+                    if held is not None:
+                        yield flagged(held, count)
+                    held, count = bucket, np.zeros(BUCKET_SLOTS, np.uint32)
                 slots, many = np.unique(np.frombuffer(data, "<u2"), return_counts=True)
-                total[bucket][slots] += many.astype(np.uint32)
-        for bucket, count in total.items():
-            enough = count >= max(least, times_mean * count.mean())
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(enough).tobytes()], pa.binary())],
-                                             ["bucket", "bits"])
+                count[slots] += many.astype(np.uint32)
+        if held is not None:
+            yield flagged(held, count)
 
-    flags = durable(packed.repartition("bucket").mapInArrow(released(add), "bucket int, bits binary"), "flags")
+    flags = durable(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(released(add), "bucket int, bits binary"), "flags")
     out = np.zeros((1 << (bits - 16), BUCKET_SLOTS // 8), np.uint8)
     for row in flags.toLocalIterator():
         out[row.bucket] = np.frombuffer(row.bits, np.uint8)

@@ -24,8 +24,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnmark.llm.common import (released, BYTE_VALUES, durable, empty_text, flag_slots, is_flagged, mix, pack_slots, powers, running_sums,
-                                 table)
+from kilnmark.llm.common import (released, BYTE_VALUES, FACTOR, durable, empty_text, flag_slots, is_flagged, mix, pack_slots, powers,
+                                 running_sums, table)
 
 THRESHOLD, GRAM = 50, 24
 #: Windows that can share an anchor, and the bytes that they reach over.
@@ -47,23 +47,35 @@ def _anchors(buffer: np.ndarray, ends: np.ndarray):
     if len(buffer) < THRESHOLD:
         return none, none, none.view(np.uint64), none, none
     sums = running_sums(buffer)
-    grams = mix((sums[GRAM:] - sums[:-GRAM]) * powers(len(buffer), inverse=True)[:len(buffer) - GRAM + 1])
-    # Position of the least hash among SPAN neighbours, the leftmost of equal ones, by doubling.
-    at, value, have = np.arange(len(grams), dtype=np.int32), grams, 1
+    grams = sums[GRAM:] - sums[:-GRAM]
+    grams *= powers(len(buffer), inverse=True)[:len(grams)]
+    grams = mix(grams)
+    # The least hash among SPAN neighbours, by doubling.
+    least, have = grams, 1
     while have < SPAN:
         step = min(have, SPAN - have)
-        left = value[:-step] <= value[step:]
-        at, value = np.where(left, at[:-step], at[step:]), np.where(left, value[:-step], value[step:])
-        have += step
-    window = np.arange(len(at))
-    doc = np.searchsorted(ends, window, side="right")
-    whole = window + THRESHOLD <= ends[np.minimum(doc, len(ends) - 1)]
-    window, doc, at = window[whole], doc[whole], at[whole].astype(np.int64)
-    if not len(window):
-        return none, none, none.view(np.uint64), none, none
-    fresh = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    last = np.append(fresh[1:], len(window)) - 1
-    return doc[fresh], at[fresh], grams[at[fresh]], window[fresh], window[last]
+        least, have = np.minimum(least[:-step], least[step:]), have + step
+    # An anchor, the leftmost of equal ones, gives way when the windows leave it behind or a smaller hash comes in.
+    leaves = grams[:len(least)] == least
+    fresh = np.ones(len(least), bool)
+    np.not_equal(least[1:], least[:-1], out=fresh[1:])
+    fresh[1:] |= leaves[:-1]
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:], len(least)) - 1
+    value = least[first]
+    at = first + SPAN - 1  # of those that came in
+    left = leaves[last]
+    at[left] = last[left]
+    came = np.zeros(len(first), bool)
+    came[1:] = value[1:] < value[:-1]
+    inner = np.flatnonzero(~left & ~came)
+    at[inner] = first[inner] + (grams[first[inner][:, None] + np.arange(SPAN)] == value[inner][:, None]).argmax(axis=1)
+    # A window that lies in one document lies in that of its anchor.
+    doc = np.searchsorted(ends, at, side="right")
+    first = np.maximum(first, np.concatenate([[0], ends[:-1]])[doc])
+    last = np.minimum(last, ends[doc] - THRESHOLD)
+    whole = first <= last
+    return tuple(x[whole] for x in (doc, at, value, first, last))
 
 
 def _slices(batches, size: int = 1 << 19):
@@ -111,7 +123,8 @@ def coarse_flags(docs: DataFrame) -> np.ndarray:
         for _, _, buffer, ends in _slices(batches):
             doc, _, keys, _, _ = _anchors(buffer, ends)
             # Once per document and slot.
-            held.append(np.unique((doc.astype(np.uint64) << np.uint64(SLOT_BITS)) | _high(keys)) & np.uint64((1 << SLOT_BITS) - 1))
+            both = np.sort((doc.astype(np.uint64) << np.uint64(SLOT_BITS)) | _high(keys))
+            held.append(both[np.diff(both, prepend=~both[:1]) != 0] & np.uint64((1 << SLOT_BITS) - 1))
             many += len(held[-1])
             if many > 1 << 21:
                 yield pack_slots(np.concatenate(held))
@@ -158,6 +171,31 @@ def fine_flags(docs: DataFrame, coarse: np.ndarray) -> np.ndarray:
     return flags
 
 
+#: Which bytes of a context belong to the windows from o1 to o2.
+_INSIDE = ((np.arange(CONTEXT) >= np.arange(SPAN)[:, None, None])
+           & (np.arange(CONTEXT) < np.arange(SPAN)[None, :, None] + THRESHOLD)).astype(np.uint8)
+
+
+def _digests(keys: np.ndarray, o1: np.ndarray, o2: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each anchor with its context."""
+    words = matrix.view("<u4").astype(np.uint64)
+    words *= FACTOR
+    words ^= words >> np.uint64(32)
+    words *= powers(words.shape[1] + 1)[1:]
+    return mix(words.sum(axis=1, dtype=np.uint64) + mix(keys + (o1 * 64 + o2).astype(np.uint64)))
+
+
+def _repeats(doc: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """Which rows have the digest of a row of a smaller document."""
+    order = np.lexsort((doc, digest))
+    digest, doc = digest[order], doc[order]
+    first = np.ones(len(order), bool)
+    first[1:] = digest[1:] != digest[:-1]
+    out = np.zeros(len(order), bool)
+    out[order] = doc > doc[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))] if len(order) else False
+    return out
+
+
 def _binary(rows: np.ndarray) -> pa.Array:
     """Rows of a byte matrix as a binary column."""
     offsets = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
@@ -183,18 +221,9 @@ def contexts(docs: DataFrame, one: Broadcast, two: Broadcast, turn: int = 0, rou
             begin = np.concatenate([[0], ends[:-1]])[doc]
             o1, o2 = w1 - (at - SPAN + 1), w2 - (at - SPAN + 1)
             padded = np.concatenate([np.zeros(SPAN, np.uint8), buffer, np.zeros(CONTEXT, np.uint8)])
-            column = np.arange(CONTEXT)
-            matrix = padded[(at + 1)[:, None] + column]
-            matrix[(column < o1[:, None]) | (column >= (o2 + THRESHOLD)[:, None])] = 0
-            digest = mix((BYTE_VALUES[matrix] * powers(CONTEXT)).sum(axis=1, dtype=np.uint64) + keys
-                         + (o1 * 64 + o2).astype(np.uint64))
+            matrix = np.lib.stride_tricks.sliding_window_view(padded, CONTEXT)[at + 1] * _INSIDE[o1, o2]
             owner = ids[doc]
-            order = np.lexsort((owner, digest))
-            same = np.zeros(len(order), bool)
-            same[1:] = digest[order][1:] == digest[order][:-1]
-            lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(order)))) if len(order) else order
-            done = np.zeros(len(order), bool)
-            done[order] = same & (owner[order] > owner[order][lead])
+            done = _repeats(owner, _digests(keys, o1, o2, matrix))
             go = ~done
             tid = tids[doc]
             yield pa.RecordBatch.from_arrays(
@@ -232,7 +261,21 @@ def compare(rows: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
             [pa.nulls(len(doc), pa.int64()) if h is None else pa.array(h.view(np.int64)), pa.array(doc), pa.array(tid),
              pa.array(start), pa.array(end)], ["h", "doc", "tid", "start", "end"])
 
-    def settle(key, doc, tid, at, o1, o2, matrix):
+    def whole(done, key, doc, tid, at, o1, o2, matrix):
+        """Of equal contexts only the least document's goes on; the others repeat all of it."""
+        start = at[done] - SPAN + 1
+        return emit(doc[done], tid[done], start + o1[done], start + o2[done] + THRESHOLD)
+
+    def settle(*rows):
+        key, doc, tid, at, o1, o2, matrix = rows
+        done = _repeats(doc, _digests(key, o1, o2, matrix))
+        yield whole(done, *rows)
+        key = key[~done]
+        # An anchor that is left alone has nobody to share a window with.
+        shared = np.zeros(len(key), bool)
+        shared[1:] |= key[1:] == key[:-1]
+        shared[:-1] |= key[1:] == key[:-1]
+        key, doc, tid, at, o1, o2, matrix = (x[~done][shared] for x in rows)
         if len(key) == 0:
             return
         row, h, start = _windows(key, at, o1, o2, matrix)
@@ -248,7 +291,11 @@ def compare(rows: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
         some = high >= 0
         yield emit(doc[some], tid[some], low[some], high[some] + THRESHOLD)
 
-    def leave(key, doc, tid, at, o1, o2, matrix):
+    def leave(*rows):
+        key, doc, tid, at, o1, o2, matrix = rows
+        done = _repeats(doc, _digests(key, o1, o2, matrix))
+        yield whole(done, *rows)
+        key, doc, tid, at, o1, o2, matrix = (x[~done] for x in rows)
         row, h, start = _windows(key, at, o1, o2, matrix)
         yield emit(doc[row], tid[row], start, start + THRESHOLD, h)
 
@@ -316,14 +363,24 @@ def repeated_stretches(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFra
     return every.groupBy("doc", "tid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
-def _merged(spans: list[tuple[int, int]], size: int) -> list[list[int]]:
-    out: list[list[int]] = []
-    for start, end in sorted(spans):
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([start, end])
-    return out
+def _merged(removed: pa.Array, sizes: np.ndarray) -> list[list[tuple[int, int]]]:
+    """The maximal runs of each row's spans, in order; ``sizes`` are the bytes of the rows' texts."""
+    if isinstance(removed, pa.ChunkedArray):
+        removed = removed.combine_chunks()
+    many = removed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    spans = removed.flatten()
+    doc = np.repeat(np.arange(len(many)), many)
+    base = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]  # all texts one behind the other, with a gap between them
+    start, end = (spans.field(c).to_numpy(zero_copy_only=False) + base[doc] for c in ("start", "end"))
+    order = np.argsort(start)
+    start, end, doc = start[order], np.maximum.accumulate(end[order]), doc[order]
+    first = np.ones(len(start), bool)
+    first[1:] = start[1:] > end[:-1]
+    at = np.flatnonzero(first)
+    owner = doc[at]
+    out = list(zip((start[at] - base[owner]).tolist(), (end[np.append(at[1:], len(start)) - 1] - base[owner]).tolist())) if len(at) else []
+    cuts = np.searchsorted(owner, np.arange(len(many) + 1)).tolist()
+    return [out[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def dedup(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -359,9 +416,8 @@ def digest_kept(cut: DataFrame) -> DataFrame:
             for k in range(0, batch.num_rows, 128):
                 part = batch.slice(k, 128)
                 size, gone, many, digest = [], [], [], []
-                for text, spans in zip(part.column("text").to_pylist(), part.column("removed").to_pylist()):
-                    data = text.encode()
-                    merged = _merged([(s["start"], s["end"]) for s in spans], len(data))
+                texts = [text.encode() for text in part.column("text").to_pylist()]
+                for data, merged in zip(texts, _merged(part.column("removed"), np.array([len(t) for t in texts], np.int64))):
                     left, at = hashlib.sha256(), 0
                     for a, b in merged:
                         left.update(data[at:a])
@@ -384,9 +440,10 @@ def cut_texts(cut: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist()):
-                data, at, left = text.encode(), 0, []
-                for a, b in _merged([(s["start"], s["end"]) for s in spans], len(data)):
+            whole = [text.encode() for text in batch.column("text").to_pylist()]
+            for data, spans in zip(whole, _merged(batch.column("removed"), np.array([len(t) for t in whole], np.int64))):
+                at, left = 0, []
+                for a, b in spans:
                     left.append(data[at:a])
                     at = b
                 left.append(data[at:])

@@ -1,11 +1,14 @@
+import tracemalloc
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from kilnmark.llm import bpe, htmltext, langid, ngram_join, packing, quality, suffix_dedup
+from kilnmark.llm import bpe, common, htmltext, langid, ngram_join, packing, quality, suffix_dedup
 
 TEXTS = "doc_id long, text string"
 
@@ -177,3 +180,83 @@ def test_html_marked_parts_that_hold_the_article():
     # Marked parts beside an article go as before, also if they hold articles themselves.
     beside = f"<body><article>{text}</article><div class=comments><article>A reader's word.</article></div><div hidden>No</div></body>"
     assert htmltext.main_text(beside) == want
+
+
+def test_anchors_are_the_least_hashes(rng):
+    """Every window's anchor, the leftmost of equal hashes, and runs that end with the document."""
+    def plain(buffer, ends):
+        sums = suffix_dedup.running_sums(buffer)
+        n = len(buffer) - suffix_dedup.GRAM + 1
+        grams = suffix_dedup.mix((sums[suffix_dedup.GRAM:] - sums[:-suffix_dedup.GRAM]) * suffix_dedup.powers(len(buffer), inverse=True)[:n])
+        out, begin = [], 0
+        for d, end in enumerate(ends):
+            for w in range(begin, end - suffix_dedup.THRESHOLD + 1):
+                at = w + int(np.argmin(grams[w:w + suffix_dedup.SPAN]))
+                if out and out[-1][:2] == [d, at]:
+                    out[-1][4] = w
+                else:
+                    out.append([d, at, int(grams[at]), w, w])
+            begin = end
+        return out
+
+    for letters in (1, 2, 3, 26):
+        for period in (1, 7, 10**6):
+            ends = np.cumsum([60, 0, 49, 50, 200, 300])
+            buffer = np.resize(np.array([rng.randrange(97, 97 + letters) for _ in range(min(period, 659))], np.uint8), 659)
+            got = [list(map(int, row)) for row in zip(*suffix_dedup._anchors(buffer, ends))]
+            assert got == plain(buffer, ends)
+
+
+def test_anchors_stay_small():
+    """Arrays as long as the text are few: the work is bound by memory."""
+    buffer = np.random.default_rng(0).integers(97, 123, 1 << 18).astype(np.uint8)
+    ends = np.cumsum(np.full(256, 1024))
+    suffix_dedup._anchors(buffer, ends)
+    tracemalloc.start()
+    try:
+        suffix_dedup._anchors(buffer, ends)
+        assert tracemalloc.get_traced_memory()[1] < 50 * len(buffer)
+    finally:
+        tracemalloc.stop()
+
+
+def test_flags_hold_one_bucket_at_a_time(monkeypatch):
+    """Few rows come in one task, which must not hold a count of each slot."""
+    batch = common.pack_slots(np.tile(np.arange(0, 1 << 25, 4096, dtype=np.uint64), 2))
+
+    class Rows:
+        repartition = sortWithinPartitions = lambda self, *_: self
+
+        def mapInArrow(self, run, _):
+            self.run = run
+            return self
+
+        def toLocalIterator(self):
+            for found in self.run(batch.slice(k, 1) for k in range(batch.num_rows)):
+                yield from (SimpleNamespace(**r) for r in found.to_pylist())
+
+    monkeypatch.setattr(common, "durable", lambda rows, _: rows)
+    monkeypatch.setattr(common, "discard", lambda *_: None)
+    tracemalloc.start()
+    try:
+        flags = common.flag_slots(Rows(), 25, 2)
+        assert tracemalloc.get_traced_memory()[1] < 30e6
+    finally:
+        tracemalloc.stop()
+    assert np.flatnonzero(np.unpackbits(flags)).tolist() == list(range(0, 1 << 25, 4096))
+
+
+def test_spans_of_a_batch_are_merged_by_row(rng):
+    sizes = [rng.randrange(1, 300) for _ in range(50)]
+    spans = [[tuple(sorted(rng.randrange(size + 1) for _ in "ab")) for _ in range(rng.randrange(6))] for size in sizes]
+    column = pa.array([[{"start": a, "end": b} for a, b in row] for row in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+    for row, size, got in zip(spans, sizes, suffix_dedup._merged(column, np.array(sizes)), strict=True):
+        runs = []
+        for a, b in sorted(row):
+            if runs and a <= runs[-1][1]:
+                runs[-1] = (runs[-1][0], max(runs[-1][1], b))
+            else:
+                runs.append((a, b))
+        assert got == runs
+    assert suffix_dedup._merged(column.slice(3, 2), np.array(sizes[3:5])) == suffix_dedup._merged(column, np.array(sizes))[3:5]
+    assert suffix_dedup._merged(column.slice(0, 0), np.array([], np.int64)) == []
