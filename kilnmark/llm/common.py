@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -203,6 +204,8 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
 
 #: Slots of one bucket, so that a slot within it takes two bytes.
 BUCKET_SLOTS = 1 << 16
+#: Buckets whose bits the driver gets at once, half a megabyte at most: its heap grows by what comes in one piece.
+BUCKETS_AT_ONCE = 64
 
 
 def pack_slots(slots: np.ndarray) -> pa.RecordBatch:
@@ -223,11 +226,11 @@ def flag_slots(packed: DataFrame, bits: int, least: int, times_mean: float = 0.0
     Often enough is ``least`` times, and more than ``times_mean`` times the mean of its
     bucket. All rows count. Buckets are cut by hash values and so are even; a task adds up
     one bucket after the other in bounded memory. The result has the same size for any
-    corpus and is all that the driver gets.
+    corpus and is all that the driver gets, compressed and ``BUCKETS_AT_ONCE`` buckets at a time.
     """
     def flagged(bucket, count):
         enough = count >= max(least, times_mean * count.mean())
-        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(enough).tobytes()], pa.binary())],
+        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([zlib.compress(np.packbits(enough).tobytes(), 1)], pa.binary())],
                                           ["bucket", "bits"])
 
     def add(batches):
@@ -245,8 +248,9 @@ def flag_slots(packed: DataFrame, bits: int, least: int, times_mean: float = 0.0
 
     flags = durable(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(released(add), "bucket int, bits binary"), "flags")
     out = np.zeros((1 << (bits - 16), BUCKET_SLOTS // 8), np.uint8)
-    for row in flags.toLocalIterator():
-        out[row.bucket] = np.frombuffer(row.bits, np.uint8)
+    # Few files hold all buckets, and the iterator fetches a partition as a whole.
+    for row in flags.repartition(-(-len(out) // BUCKETS_AT_ONCE)).toLocalIterator():
+        out[row.bucket] = np.frombuffer(zlib.decompress(row.bits), np.uint8)
     discard(flags)
     return out.reshape(-1)
 

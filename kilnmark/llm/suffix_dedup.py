@@ -135,14 +135,12 @@ def coarse_flags(docs: DataFrame) -> np.ndarray:
     return flag_slots(docs.mapInArrow(released(run), "bucket int, slots binary"), SLOT_BITS, 2)
 
 
-def fine_flags(docs: DataFrame, coarse: np.ndarray) -> np.ndarray:
+def fine_flags(docs: DataFrame, coarse: Broadcast) -> np.ndarray:
     """Pass 2: other bits of the anchor hashes that two documents or more share as a whole."""
-    shared = docs.sparkSession.sparkContext.broadcast(coarse)
-
     def run(batches):
         for ids, _, buffer, ends in _slices(batches):
             doc, _, keys, _, _ = _anchors(buffer, ends)
-            hit = is_flagged(shared.value, _high(keys))
+            hit = is_flagged(coarse.value, _high(keys))
             keys, owner = keys[hit], ids[doc[hit]]
             order = np.lexsort((owner, keys))
             keys, owner = keys[order], owner[order]
@@ -166,9 +164,7 @@ def fine_flags(docs: DataFrame, coarse: np.ndarray) -> np.ndarray:
 
     keys = (docs.mapInArrow(released(run), "key long, lo long, hi long").groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
             .where("lo < hi").select("key"))
-    flags = flag_slots(keys.mapInArrow(released(pack), "bucket int, slots binary"), SLOT_BITS, 1)
-    shared.destroy()
-    return flags
+    return flag_slots(keys.mapInArrow(released(pack), "bucket int, slots binary"), SLOT_BITS, 1)
 
 
 #: Which bytes of a context belong to the windows from o1 to o2.
@@ -346,10 +342,10 @@ def compare(rows: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
 def repeated_stretches(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(doc, tid, spans): stretches of each text, as arrays of (start, end), that a smaller document holds."""
     usable = docs.where("doc_id is not null").where(F.octet_length("text") >= THRESHOLD)
-    coarse = coarse_flags(usable)
-    fine = fine_flags(usable, coarse)
     sc = docs.sparkSession.sparkContext
-    one, two = sc.broadcast(coarse), sc.broadcast(fine)
+    # Each goes out once, and the driver keeps no copy of its own.
+    one = sc.broadcast(coarse_flags(usable))
+    two = sc.broadcast(fine_flags(usable, one))
     # Round by round: the contexts of a round are on disk while they are compared, and gone when its result is stored.
     found = None
     for turn in range(ROUNDS):

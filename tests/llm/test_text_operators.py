@@ -246,6 +246,31 @@ def test_flags_hold_one_bucket_at_a_time(monkeypatch):
     assert np.flatnonzero(np.unpackbits(flags)).tolist() == list(range(0, 1 << 25, 4096))
 
 
+def test_flags_reach_the_driver_in_small_pieces(spark, monkeypatch):
+    """The driver's heap grows by what comes in one piece, and a file may hold every bucket."""
+    wanted = np.random.default_rng(4).random(1 << 24) < 0.5
+
+    def dense(batches):
+        yield common.pack_slots(np.flatnonzero(wanted))
+
+    pieces, rows = [], type(spark.range(1))
+    fetch = rows.toLocalIterator
+
+    def watched(self, *args):
+        pieces.extend(self.rdd.mapPartitions(lambda part: [sum(len(r.bits) for r in part)]).collect())
+        return fetch(self, *args)
+
+    monkeypatch.setattr(rows, "toLocalIterator", watched)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        flags = common.flag_slots(spark.range(0, 1, 1, 1).mapInArrow(dense, "bucket int, slots binary"), 24, 1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert np.array_equal(np.unpackbits(flags).astype(bool), wanted)
+    assert sum(pieces) > 2e6 and max(pieces) < 1e6
+
+
 def test_spans_of_a_batch_are_merged_by_row(rng):
     sizes = [rng.randrange(1, 300) for _ in range(50)]
     spans = [[tuple(sorted(rng.randrange(size + 1) for _ in "ab")) for _ in range(rng.randrange(6))] for size in sizes]
