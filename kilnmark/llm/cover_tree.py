@@ -2,27 +2,38 @@
 
 Levels of centres with halving radii are fitted on a bounded sample; a child list begins with its parent's
 centre, so levels are nested. Every vector descends to the nearest centre of each level. What
-prunes is not the nominal radius but the covering radius over all vectors below a node, so the
+prunes is not the nominal radius but the covering angle over all vectors below a node, so the
 pairs are exact whatever the sample was. Node pairs are followed from the root down; two
-nodes are apart if their centres are farther from each other than both covering radii and the
-threshold distance. Leaf pairs that remain are compared block by block in tasks.
+nodes are apart if the angle between their centres exceeds both covering angles and that of the
+threshold. Vectors are laid out once, leaf after leaf, in strips of bounded size. Cells of two
+strips with leaf pairs that remain are compared in tasks, in rounds: what a round shuffles is
+bounded by the size of the strips, however many cells there are.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
-from kilnmark.llm.common import components, durable, table
+from kilnmark.llm.common import components, discard, durable, fresh_path, freed_shuffles, released, table
 
 COSINE = 0.9
-#: Bound of the sample that shapes the tree, of children per node, of rows per block, and of the levels.
+#: Bound of the sample that shapes the tree, of children per node, of rows per leaf that is not split further, and of the levels.
 SAMPLE, FANOUT, BLOCK, LEVELS = 2048, 16, 4096, 6
-_SLACK = 1e-9
+#: Bytes of the vectors of a strip, at least so many strips if they hold a block each, and rows and bytes that are packed into one row.
+STRIP_BYTES, STRIPS, PACKED, PACKED_BYTES = 32 << 20, 8, 1024, 1 << 20
+#: Bytes that a round of cells may shuffle, if all strips together have less.
+ROUND_BYTES = 128 << 20
+#: Edges that a task holds before it joins them.
+EDGES = 1 << 20
+_SLACK = 1e-6
 
 
 @dataclass
@@ -44,6 +55,10 @@ def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * (x @ y.T), 0))
 
 
+def _angle(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ y.T, -1, 1))
+
+
 def fit_tree(sample: np.ndarray, rows: int, block: int = BLOCK, fanout: int = FANOUT, levels: int = LEVELS) -> list[Node]:
     """Nodes of a tree over unit vectors, the root first; ``rows`` is how many vectors the sample stands for."""
     nodes = [Node(sample[0], 0, 0)]
@@ -67,47 +82,123 @@ def fit_tree(sample: np.ndarray, rows: int, block: int = BLOCK, fanout: int = FA
     return nodes
 
 
-def descend(nodes: list[Node], vectors: np.ndarray) -> tuple[np.ndarray, dict[int, float]]:
-    """Leaf of every vector, and the largest distance to the centre of each node on the way."""
-    leaf, far = np.zeros(len(vectors), np.int64), {}
+def descend(nodes: list[Node], vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
+    """Leaf of every vector, its angle to the leaf's centre, and the largest angle to the centre of each node on the way."""
+    leaf, turn, far = np.zeros(len(vectors), np.int64), np.zeros(len(vectors)), {}
     todo = [(nodes[0], np.arange(len(vectors)))]
     while todo:
         node, rows = todo.pop()
         if not len(rows):
             continue
-        far[node.index] = float(_distance(vectors[rows], node.center[None]).max())
+        angle = _angle(vectors[rows], node.center[None])[:, 0]
+        far[node.index] = float(angle.max())
         if not node.children:
-            leaf[rows] = node.index
+            leaf[rows], turn[rows] = node.index, angle
             continue
         near = _distance(vectors[rows], np.stack([c.center for c in node.children])).argmin(axis=1)
         todo += [(child, rows[near == k]) for k, child in enumerate(node.children)]
-    return leaf, far
-
-
-def leaf_pairs(nodes: list[Node], filled: set[int], reach: float) -> list[tuple[int, int]]:
-    """Pairs of filled leaves that may hold vectors within ``reach`` of each other, each once."""
-    out, todo = [], [(nodes[0], nodes[0])]
+    return leaf, turn, far
+
+
+def leaf_pairs(nodes: list[Node], filled: set[int], reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of filled leaves that may hold vectors within the angle ``reach`` of each other, each once, the lesser leaf first."""
+    center, radius = np.stack([n.center for n in nodes]), np.array([n.radius for n in nodes])
+    full = np.zeros(len(nodes), bool)
+    full[list(filled)] = True
+    many = np.array([len(n.children) for n in nodes])
+    first = np.cumsum(many) - many
+    below = np.array([c.index for n in nodes for c in n.children] or [0])
+    out, todo = [], [(np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while todo:
         a, b = todo.pop()
-        if a.index not in filled or b.index not in filled:
+        if len(a) > 1 << 16:  # the stack stays short, as pieces are followed to their leaves one by one
+            todo += [(a[:len(a) // 2], b[:len(b) // 2]), (a[len(a) // 2:], b[len(b) // 2:])]
             continue
-        if a is not b and np.linalg.norm(a.center - b.center) > a.radius + b.radius + reach + _SLACK:
-            continue
-        if not a.children and not b.children:
-            out.append((min(a.index, b.index), max(a.index, b.index)))
-        elif a is b:
-            todo += [(x, y) for i, x in enumerate(a.children) for y in a.children[i:]]
-        elif not b.children or (a.children and a.radius >= b.radius):
-            todo += [(x, b) for x in a.children]
-        else:
-            todo += [(a, y) for y in b.children]
-    return sorted(set(out))
+        apart = np.arccos(np.clip((center[a] * center[b]).sum(axis=1), -1, 1)) > radius[a] + radius[b] + reach + _SLACK
+        near = full[a] & full[b] & ((a == b) | ~apart)
+        a, b = a[near], b[near]
+        leaves = (many[a] == 0) & (many[b] == 0)
+        out.append((np.minimum(a[leaves], b[leaves]), np.maximum(a[leaves], b[leaves])))
+        a, b = a[~leaves], b[~leaves]
+        for n in np.unique(a[a == b]):
+            own = below[first[n]:first[n] + many[n]]
+            i, j = np.triu_indices(len(own))
+            todo.append((own[i], own[j]))
+        a, b = a[a != b], b[a != b]
+        left = (many[b] == 0) | ((many[a] > 0) & (radius[a] >= radius[b]))
+        split, other = np.where(left, a, b), np.where(left, b, a)
+        if len(split):
+            step = np.arange(many[split].sum()) - np.repeat(np.cumsum(many[split]) - many[split], many[split])
+            todo.append((below[np.repeat(first[split], many[split]) + step], np.repeat(other, many[split])))
+    return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
+
+
+@dataclass
+class Layout:
+    """Where the rows of each leaf lie: leaf after leaf, in strips of ``size`` rows."""
+    size: int
+    start: dict[int, int]
+    count: dict[int, int]
 
+    @property
+    def strips(self) -> int:
+        return max(1, -(-sum(self.count.values()) // self.size))
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    def slots(self) -> list[tuple[int, int, int]]:
+        """(leaf, strip, rows) for each strip that a leaf reaches into; a large leaf is dealt out over several."""
+        return [(leaf, s, min(self.start[leaf] + n, (s + 1) * self.size) - max(self.start[leaf], s * self.size))
+                for leaf, n in self.count.items() for s in range(self.start[leaf] // self.size, (self.start[leaf] + n - 1) // self.size + 1)]
+
+
+def lay_out(nodes: list[Node], count: dict[int, int], size: int) -> Layout:
+    """Leaves in the order of the tree, so that near ones share a strip."""
+    start, at, todo = {}, 0, [nodes[0]]
+    while todo:
+        node = todo.pop()
+        todo += node.children[::-1]
+        if node.index in count:
+            start[node.index], at = at, at + count[node.index]
+    return Layout(size, start, count)
+
+
+def rounds(layout: Layout, pairs: tuple[np.ndarray, np.ndarray], row_bytes: int, budget: int) -> Iterator[list[tuple[int, int, int]]]:
+    """(strip, leaf, cell) of the rows that meet in cells, in rounds of at most ``budget`` bytes or one cell.
+
+    A cell of strips i <= j has the number i * strips + j and gets the leaves of either that
+    have a partner in the other.
+    """
+    slots, strips = layout.slots(), layout.strips
+    own = np.array([s for _, s, _ in slots])
+    of: dict[int, list[int]] = {}
+    for k, (leaf, _, _) in enumerate(slots):
+        of.setdefault(leaf, []).append(k)
+    first = np.zeros(max(of) + 1, np.int64)
+    many = np.zeros(max(of) + 1, np.int64)
+    for leaf, ks in of.items():
+        first[leaf], many[leaf] = ks[0], len(ks)
+    meets = np.zeros((len(slots), strips), bool)
+    for p in range(0, len(pairs[0]), 1 << 16):
+        a, b = (x[p:p + (1 << 16)] for x in pairs)
+        for k in range(int(many[a].max())):  # the k-th strip of a with the l-th of b
+            for l in range(int(many[b].max())):
+                some = (many[a] > k) & (many[b] > l)
+                x, y = first[a[some]] + k, first[b[some]] + l
+                meets[x, own[y]] = True
+                meets[y, own[x]] = True
+    cells: dict[tuple[int, int], list[int]] = {}
+    for k, s in zip(*(x.tolist() for x in np.nonzero(meets))):
+        cells.setdefault((min(int(own[k]), s), max(int(own[k]), s)), []).append(k)
+    side = max(1, int((budget / (2 * layout.size * row_bytes)) ** 0.5))  # squares of cells: a round reads few strips
+    held, out = 0, []
+    for i, j in sorted(cells, key=lambda c: (c[0] // side, c[1] // side, c)):
+        more = sum(slots[k][2] for k in cells[i, j]) * row_bytes
+        if out and held + more > budget:
+            yield out
+            held, out = 0, []
+        held += more
+        out += [(slots[k][1], slots[k][0], i * strips + j) for k in cells[i, j]]
+    if out:
+        yield out
 
 
 def _star_edges(mask: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,41 +215,124 @@ def _star_edges(mask: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[
     return np.concatenate([left[rows], right[cols]]), np.concatenate([x, y])
 
 
-def _compare(nodes: list[Node], cosine: float, reach: float):
+def _joined(child: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One edge for every id: to the least id of its component within the edges."""
+    ids, at = np.unique(np.concatenate([child, top]), return_inverse=True)
+    a, b = at[:len(child)], at[len(child):]
+    label = np.arange(len(ids))
+    while True:
+        before = label.copy()
+        least = np.minimum(label[a], label[b])
+        for x in (label[a], label[b], a, b):
+            np.minimum.at(label, x, least)
+        label = label[label]
+        if (label == before).all():
+            return ids, ids[label]
+
+
+class _Side:
+    """The vectors of a strip that stand in a cell, block by block."""
+
+    def __init__(self, rows: list[dict], axes: np.ndarray, item: str):
+        rows = sorted(rows, key=lambda r: (r["leaf"], r["lo"], r["hi"]))
+        self.raw = [np.frombuffer(r["v"], item).reshape(r["n"], -1) for r in rows]
+        self.ids = np.concatenate([np.frombuffer(r["ids"], "<i8") for r in rows])
+        self.many = np.concatenate([np.frombuffer(r["ms"], "<i8") for r in rows])
+        self.cuts = np.cumsum([0] + [r["n"] for r in rows])
+        self.lo, self.hi = np.array([r["lo"] for r in rows]), np.array([r["hi"] for r in rows])
+        leaves, self.leaf = np.unique([r["leaf"] for r in rows], return_inverse=True)
+        self.axes = axes[leaves]
+        self.short = np.empty((len(self.ids), axes.shape[1]), np.float32)
+        for k, x in enumerate(self.raw):
+            self.short[self.cuts[k]:self.cuts[k + 1]] = unit(x.astype(np.float64))
+        self.n = np.zeros(len(self.ids), np.int64)
+
+    def exact(self, block: int, rows: np.ndarray) -> np.ndarray:
+        return unit(self.raw[block][rows].astype(np.float64))
+
+
+def _compare(axes: np.ndarray, cosine: float, reach: float, strips: int, item: str):
+    """Counts and edges of a cell. Products in single precision only leave out what is below the threshold by more than their error."""
+    slack = _SLACK + (axes.shape[1] + 8) * 1.2e-7
+
     def run(table_: pa.Table) -> pa.Table:
-        side, leaf = table_.column("side").to_numpy(), table_.column("leaf").to_numpy()
-        ids, many = table_.column("id").to_numpy(), table_.column("m").to_numpy()
-        vectors = unit(_matrix(table_.column("v")))
-        a = np.flatnonzero(side != 1)
-        b = np.flatnonzero(side != 0)  # side 2: the block meets itself
-        if not len(a) or not len(b):
-            return pa.table({c: pa.array([], pa.int64()) for c in ("id", "n", "up")})
-        itself = bool((side == 2).any())
-        if not itself:
-            # A vector farther from the other node's centre than its radius and the reach has no partner there.
-            one, two = nodes[int(leaf[a[0]])], nodes[int(leaf[b[0]])]
-            a = a[_distance(vectors[a], two.center[None])[:, 0] <= two.radius + reach + _SLACK]
-            b = b[_distance(vectors[b], one.center[None])[:, 0] <= one.radius + reach + _SLACK]
-        out = []
-        for s in range(0, len(a), 512):
-            rows = a[s:s + 512]
-            mask = vectors[rows] @ vectors[b].T >= cosine
-            if itself:
-                mask[rows[:, None] == b[None, :]] = False
-            if not mask.any():
-                continue
-            out.append((ids[rows], mask @ many[b], ids[rows]))
-            if not itself:
-                out.append((ids[b], many[rows] @ mask, ids[b]))
-            child, top = _star_edges(mask, ids[rows], ids[b])
-            out.append((child, np.zeros(len(child), np.int64), top))
-        columns = [np.concatenate([x[k] for x in out]) if out else np.zeros(0, np.int64) for k in range(3)]
-        some = (columns[1] > 0) | (columns[0] != columns[2])
-        return pa.table({c: pa.array(v[some].astype(np.int64)) for c, v in zip(("id", "n", "up"), columns)})
+        i, j = divmod(table_.column("cell")[0].as_py(), strips)
+        rows = table_.select(["strip", "leaf", "lo", "hi", "n", "ids", "ms", "v"]).to_pylist()
+        del table_
+        a = _Side([r for r in rows if r["strip"] == i], axes, item)
+        b = a if i == j else _Side([r for r in rows if r["strip"] == j], axes, item)
+        apart = _angle(a.axes, b.axes)
+        # What may hold a partner of a block: not farther from its centre than its farthest vector and the reach, nor nearer than its nearest one less the reach.
+        least, most = ([np.where(s.hi + reach < np.pi, np.cos(np.minimum(s.hi + reach, np.pi)), -2) - slack for s in (a, b)],
+                       [np.where(s.lo - reach > 0, np.cos(np.maximum(s.lo - reach, 0)), 2) + slack for s in (a, b)])
+        edges, held, seen = [], 0, -1
+        for p in range(len(a.raw)):
+            if a.leaf[p] != seen:
+                seen, to_one = a.leaf[p], b.short @ a.axes[a.leaf[p]].astype(np.float32)
+            mine = a.short[a.cuts[p]:a.cuts[p + 1]]
+            to_two = mine @ b.axes.astype(np.float32).T
+            near = apart[seen, b.leaf] <= a.hi[p] + b.hi + reach + _SLACK
+            for q in np.flatnonzero(near):
+                if b is a and q < p:
+                    continue
+                itself = b is a and q == p
+                other = to_one[b.cuts[q]:b.cuts[q + 1]]
+                xs = np.flatnonzero((to_two[:, b.leaf[q]] >= least[1][q]) & (to_two[:, b.leaf[q]] <= most[1][q]))
+                ys = np.flatnonzero((other >= least[0][p]) & (other <= most[0][p]))
+                if not len(xs) or not len(ys):
+                    continue
+                like = mine[xs] @ b.short[b.cuts[q] + ys].T
+                if like.max() < cosine - slack:
+                    continue
+                like = like >= cosine - slack
+                xs, ys = xs[like.any(axis=1)], ys[like.any(axis=0)]
+                mask = a.exact(p, xs) @ b.exact(q, ys).T >= cosine
+                if itself:
+                    mask[xs[:, None] == ys[None, :]] = False
+                if not mask.any():
+                    continue
+                xs, ys = a.cuts[p] + xs, b.cuts[q] + ys
+                a.n[xs] += mask @ b.many[ys]
+                if not itself:
+                    b.n[ys] += a.many[xs] @ mask
+                edges.append(_star_edges(mask, a.ids[xs], b.ids[ys]))
+                held += len(edges[-1][0])
+                if held > EDGES:
+                    edges = [_joined(*(np.concatenate(x) for x in zip(*edges)))]
+                    held = len(edges[0][0]) // 2  # may not fall below that many
+        out = [(s.ids[s.n > 0], s.n[s.n > 0], s.ids[s.n > 0]) for s in ((a,) if b is a else (a, b))]
+        if edges:
+            child, top = _joined(*(np.concatenate(x) for x in zip(*edges)))
+            out.append((child[child != top], np.zeros((child != top).sum(), np.int64), top[child != top]))
+        return pa.table({c: pa.array(np.concatenate([x[k] for x in out])) for k, c in enumerate(("id", "n", "up"))})
 
     return run
 
 
+def _keyed(rows: DataFrame, item: str, whole: bool) -> DataFrame:
+    """vec_id and a digest of every vector that can be compared; if ``whole``, its length and its bytes instead of the vec_id."""
+    def run(batches):
+        for batch in batches:
+            ids, lists = batch.column("vec_id"), batch.column("v")
+            long = np.diff(lists.offsets.to_numpy())
+            start = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            usable = ids.is_valid().to_numpy(zero_copy_only=False) & lists.is_valid().to_numpy(zero_copy_only=False) & (long > 0)
+            for width in np.unique(long[usable]).tolist():
+                at = np.flatnonzero(usable & (long == width))
+                v = flat[start[at][:, None] + np.arange(width)]
+                good = np.isfinite(v).all(axis=1) & (v != 0).any(axis=1)
+                at, v = at[good], (v[good] + 0.0).astype(item)
+                data = [x.tobytes() for x in v]
+                keys = pa.array([hashlib.sha256(x).digest() for x in data], pa.binary())
+                if whole:
+                    yield pa.RecordBatch.from_arrays([keys, pa.array(np.full(len(at), width), pa.int32()), pa.array(data, pa.binary())], ["key", "d", "v"])
+                else:
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), keys], ["vec_id", "key"])
+
+    return rows.mapInArrow(released(run), "key binary, d int, v binary" if whole else "vec_id long, key binary")
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of ``vectors`` (vec_id, embedding).
 
@@ -166,31 +340,31 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     vectors of different lengths with each other, and rows without a vec_id (component null, not
     kept). Equal vectors are compared once and counted as often as they stand there; rows that
     repeat both id and vector are one vector, and rows that repeat an id share their links. Extra
-    columns are dropped. A leaf that holds many rows is dealt out over blocks of bounded size.
+    columns are dropped. A leaf that holds many rows is dealt out over strips of bounded size.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
-    usable = F.col("vec_id").isNotNull() & F.coalesce(F.size("v") > 0, F.lit(False)) & F.coalesce(
-        F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))), F.lit(False)) & F.coalesce(
-        F.exists("v", lambda x: x != 0), F.lit(False))
-    key = F.array_join(F.transform("v", lambda x: (x + F.lit(0.0)).cast("string")), ",")
-    known = rows.withColumn("key", F.when(usable, F.sha2(key, 256)))
-    one = known.where("key is not null").groupBy("key", "vec_id").agg(F.first("v").alias("v"))
-    classes = durable(one.groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("m"), F.first("v").alias("v")),
-                      "vector-classes")
-    links, edges = [], []
-    for width in sorted(r.d for r in classes.select(F.size("v").alias("d")).distinct().collect()):
-        found = durable(_links(spark, classes.where(F.size("v") == width), cosine, sample, block), "vector-links")
-        links.append(found.groupBy("id").agg(F.sum("n").alias("n")))
-        edges.append(found.where("id <> up").select(F.col("id").alias("a"), F.col("up").alias("b")).distinct())
-    empty = spark.createDataFrame([], "id long, n long, up long")
-    linked, joined = empty.select("id", "n"), empty.select(F.col("id").alias("a"), F.col("up").alias("b"))
-    for a, b in zip(links, edges):
-        linked, joined = linked.union(a), joined.union(b)
-    of = known.where("key is not null").select("key", "vec_id").distinct().join(classes.select("key", "id", "m"), "key")
+    kind = vectors.schema["embedding"].dataType
+    item = "<f4" if isinstance(getattr(kind, "elementType", None), FloatType) else "<f8"
+    # Vectors are shuffled once to their classes and once to their strips, in the width they came in; all else goes by digests and ids.
+    named = durable(_keyed(rows, item, False).distinct(), "vector-ids")
+    sizes = named.groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("m"))
+    of = durable(named.join(sizes, "key").select("vec_id", "id", "m"), "vector-members")
+    whole = _keyed(rows, item, True).groupBy("key").agg(F.first("d").alias("d"), F.first("v").alias("v"))
+    classes = durable(sizes.join(whole, "key").select("id", "m", "d", "v"), "vector-classes")
+    discard(named)
+    found = fresh_path(spark, "vector-links")
+    for width in sorted(r.d for r in classes.select("d").distinct().collect()):
+        _links(spark, classes.where(F.col("d") == width), cosine, sample, block, width, item, found)
+    discard(classes)
+    links = spark.createDataFrame([], "id long, n long, up long")
+    if not of.isEmpty():
+        links = spark.read.schema(links.schema).parquet(found)
+    linked = links.groupBy("id").agg(F.sum("n").alias("n"))
     # Members of a class hang below its least id; an id with several vectors joins their classes.
-    label = components(joined.union(of.where("vec_id <> id").select("vec_id", "id")))
-    direct = (of.join(linked.groupBy("id").agg(F.sum("n").alias("n")), "id", "left").groupBy("vec_id")
+    edges = links.where("id <> up").select(F.col("id").alias("a"), F.col("up").alias("b"))
+    label = components(edges.union(of.where("vec_id <> id").select("vec_id", "id")))
+    direct = (of.join(linked, "id", "left").groupBy("vec_id")
               .agg(F.sum(F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links")))
     return (rows.select("vec_id").join(direct, "vec_id", "left").join(label.withColumnRenamed("id", "vec_id"), "vec_id", "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
@@ -198,53 +372,103 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
 
 
-def _links(spark: SparkSession, classes: DataFrame, cosine: float, sample: int, block: int) -> DataFrame:
-    """(id, n, up): partial counts of linked vectors, and edges to smaller ids, from each pair of blocks."""
-    rows = classes.count()
-    few = classes.orderBy(F.xxhash64("id"), "id").select("v").limit(sample).collect()
-    nodes = fit_tree(unit(np.array([r.v for r in few], np.float64)), rows, block)
-    reach = float(np.sqrt(max(2 - 2 * cosine, 0.0)))
+def _matrix(column: pa.Array, width: int, item: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), item).reshape(len(column), width).astype(np.float64)
+
+
+def _links(spark: SparkSession, classes: DataFrame, cosine: float, sample: int, block: int, width: int, item: str, found: str) -> None:
+    """Adds to the table ``found`` (id, n, up) partial counts of linked vectors, and edges to smaller ids, from each cell."""
+    rows, row_bytes = classes.count(), width * np.dtype(item).itemsize
+    first = F.xxhash64("id")
+    # About four times as many as needed by their hash, so that few vectors are sorted.
+    some = classes if rows <= 8 * sample else classes.where(first < F.lit(-(1 << 63) + (4 * sample << 64) // rows))
+    with freed_shuffles(spark):
+        few = some.orderBy(first, "id").select("v").limit(sample).collect() or classes.select("v").limit(sample).collect()
+    nodes = fit_tree(unit(np.array([np.frombuffer(r.v, item) for r in few], np.float64)), rows, block)
+    reach = float(np.arccos(np.clip(cosine, -1.0, 1.0)))
+
+    def survey(batches):
+        far, count = {}, {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            leaf, _, most = descend(nodes, unit(_matrix(batch.column("v"), width, item)))
+            for node, d in most.items():
+                far[node] = max(far.get(node, 0.0), d)
+            for node, n in zip(*(x.tolist() for x in np.unique(leaf, return_counts=True))):
+                count[node] = count.get(node, 0) + n
+        yield pa.RecordBatch.from_arrays([pa.array(list(far), pa.int64()), pa.array(list(far.values()), pa.float64()),
+                                          pa.array([count.get(k, 0) for k in far], pa.int64())], ["node", "d", "n"])
+
+    # The list is bounded by the number of nodes, which the sample bounds.
+    with freed_shuffles(spark):
+        seen = (classes.select("v").mapInArrow(released(survey), "node long, d double, n long")
+                .groupBy("node").agg(F.max("d").alias("d"), F.sum("n").alias("n")).collect())
+    for r in seen:
+        nodes[r.node].radius = r.d
+    layout = lay_out(nodes, {r.node: r.n for r in seen if r.n}, min(max(1, STRIP_BYTES // row_bytes), max(block, -(-rows // STRIPS))))
 
     def assign(batches):
         for batch in batches:
-            leaf, far = descend(nodes, unit(_matrix(batch.column("v")))) if batch.num_rows else (np.zeros(0, np.int64), {})
+            leaf, turn, _ = descend(nodes, unit(_matrix(batch.column("v"), width, item))) if batch.num_rows else (np.zeros(0, np.int64), np.zeros(0), {})
+            share = (batch.column("h").to_numpy().view(np.uint64) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+            at = np.array([layout.start[k] for k in leaf.tolist()]), np.array([layout.count[k] for k in leaf.tolist()])
+            strip = (at[0] + np.minimum((share * at[1]).astype(np.int64), at[1] - 1)) // layout.size
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("m"), batch.column("v"), pa.array(leaf),
-                 pa.array([list(far.items()) if k == 0 else None for k in range(batch.num_rows)], pa.map_(pa.int64(), pa.float64()))],
-                ["id", "m", "v", "leaf", "far"])
+                [pa.array(strip.astype(np.int32), pa.int32()), pa.array(leaf), pa.array(turn), batch.column("id"), batch.column("m"), batch.column("v")],
+                ["strip", "leaf", "turn", "id", "m", "v"])
 
-    placed = durable(classes.select("id", "m", "v").mapInArrow(
-        assign, "id long, m long, v array<double>, leaf long, far map<bigint,double>"), "vector-leaves")
-    for r in placed.where("far is not null").select(F.explode("far").alias("node", "d")).groupBy("node").agg(F.max("d").alias("d")).collect():
-        nodes[r.node].radius = r.d
-    # Both lists are bounded by the number of nodes, which the sample bounds.
-    count = {r.leaf: r.n for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    def pack(batches):
+        held, parts, n, most = None, [], 0, max(1, min(PACKED, PACKED_BYTES // row_bytes))
+
+        def packed():
+            turn, ids, many, v = (np.concatenate([x[k] for x in parts]) for k in range(4))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([held[0]], pa.int32()), pa.array([held[1]], pa.int64()), pa.array([turn.min()]), pa.array([turn.max()]), pa.array([len(ids)], pa.int32()),
+                 *(pa.array([x.tobytes()], pa.binary()) for x in (ids, many, v))], ["strip", "leaf", "lo", "hi", "n", "ids", "ms", "v"])
+
+        for batch in batches:
+            strip, leaf = batch.column("strip").to_numpy(), batch.column("leaf").to_numpy()
+            columns = [batch.column(c).to_numpy() for c in ("turn", "id", "m")]
+            columns.append(np.frombuffer(b"".join(batch.column("v").to_pylist()), item).reshape(batch.num_rows, width))
+            cuts = np.flatnonzero((np.diff(strip, prepend=-1) != 0) | (np.diff(leaf, prepend=-1) != 0))
+            for start, end in zip(cuts.tolist(), [*cuts[1:].tolist(), batch.num_rows]):
+                if held != (strip[start], leaf[start]) and n:
+                    yield packed()
+                    parts, n = [], 0
+                held = strip[start], leaf[start]
+                while start < end:
+                    stop = min(end, start + most - n)
+                    parts.append([x[start:stop] for x in columns])
+                    n, start = n + stop - start, stop
+                    if n == most:
+                        yield packed()
+                        parts, n = [], 0
+        if n:
+            yield packed()
+
+    blocks = durable(
+        classes.select("id", "m", "v", F.xxhash64("id", "v").alias("h"))
+        .mapInArrow(released(assign), "strip int, leaf long, turn double, id long, m long, v binary")
+        .repartition(layout.strips, "strip").sortWithinPartitions("strip", "leaf", "turn")
+        .mapInArrow(released(pack), "strip int, leaf long, lo double, hi double, n int, ids binary, ms binary, v binary"), "vector-strips")
+    compare = _compare(np.stack([n.center for n in nodes]), cosine, reach, layout.strips, item)
+    pairs = leaf_pairs(nodes, _with_parents(nodes, layout.count), reach)
+    for cells in rounds(layout, pairs, row_bytes + 16, max(ROUND_BYTES, rows * (row_bytes + 16))):
+        lookup = spark.createDataFrame(cells, "strip int, leaf long, cell long")
+        met = blocks.where(F.col("strip").isin(sorted({s for s, _, _ in cells}))).join(F.broadcast(lookup), ["strip", "leaf"])
+        with freed_shuffles(spark):
+            met.groupBy("cell").applyInArrow(compare, "id long, n long, up long").write.mode("append").parquet(found)
+    discard(blocks)
+
+
+def _with_parents(nodes: list[Node], count: dict[int, int]) -> set[int]:
     filled, above = set(count), {c.index: n.index for n in nodes for c in n.children}
-    for leaf in list(filled):
+    for leaf in count:
         while leaf in above:
             leaf = above[leaf]
             filled.add(leaf)
-    parts = {leaf: -(-n // block) for leaf, n in count.items()}
-    pairs = leaf_pairs(nodes, filled, reach)
-    plan: dict[int, list[tuple[int, int]]] = {}
-    for a, b in pairs:
-        plan.setdefault(a, []).append((b, 0))
-        if a != b:
-            plan.setdefault(b, []).append((a, 1))
-    lookup = spark.createDataFrame([(leaf, parts[leaf], other, side, parts[other]) for leaf, others in plan.items()
-                                    for other, side in others], "leaf long, own int, other long, side int, more int")
-    dealt = placed.drop("far").join(F.broadcast(lookup), "leaf").withColumn("part", F.pmod(F.xxhash64("id"), "own").cast("int"))
-    # Every block meets every block of the other leaf; a leaf meets itself with each pair of its blocks once.
-    met = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("more") - 1)))
-    inner = F.col("leaf") == F.col("other")
-    role = F.when(~inner, F.col("side")).when(F.col("part") == F.col("with"), 2).when(F.col("part") < F.col("with"), 0).otherwise(1)
-    first = F.col("side") == 0
-    paired = met.select(
-        F.when(first, F.col("leaf")).otherwise(F.col("other")).alias("la"), F.when(first, F.col("other")).otherwise(F.col("leaf")).alias("lb"),
-        F.when(inner, F.least("part", "with")).when(first, F.col("part")).otherwise(F.col("with")).alias("pa"),
-        F.when(inner, F.greatest("part", "with")).when(first, F.col("with")).otherwise(F.col("part")).alias("pb"),
-        role.cast("int").alias("side"), "leaf", "id", "m", "v")
-    return paired.groupBy("la", "lb", "pa", "pb").applyInArrow(_compare(nodes, cosine, reach), "id long, n long, up long")
+    return filled
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
