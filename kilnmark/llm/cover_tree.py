@@ -1,13 +1,14 @@
 """Exact threshold pairs of embeddings by dual traversal of a cover tree.
 
 Levels of centres with halving radii are fitted on a bounded sample; a child list begins with its parent's
-centre, so levels are nested. Every vector descends to the nearest centre of each level. What
+centre, so levels are nested. Every vector goes to the leaf with the nearest centre. What
 prunes is not the nominal radius but the covering angle over all vectors below a node, so the
 pairs are exact whatever the sample was. Node pairs are followed from the root down; two
 nodes are apart if the angle between their centres exceeds both covering angles and that of the
-threshold. Vectors are laid out once, leaf after leaf, in strips of bounded size. Cells of two
-strips with leaf pairs that remain are compared in tasks, in rounds: what a round shuffles is
-bounded by the size of the strips, however many cells there are.
+threshold. Vectors are laid out once, leaf after leaf, in strips of bounded size, and blocks of
+them get an axis and their angles to it. Cells of two strips with leaf pairs that remain are
+compared in tasks, in rounds: what a round shuffles is bounded by the size of the strips, however
+many cells there are.
 """
 
 from __future__ import annotations
@@ -22,17 +23,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
-from kilnmark.llm.common import components, discard, durable, fresh_path, freed_shuffles, released, table
+from kilnmark.llm.common import components, discard, durable, freed_shuffles, released, table
 
 COSINE = 0.9
 #: Bound of the sample that shapes the tree, of children per node, of rows per leaf that is not split further, and of the levels.
 SAMPLE, FANOUT, BLOCK, LEVELS = 2048, 16, 4096, 6
 #: Bytes of the vectors of a strip, at least so many strips if they hold a block each, and rows and bytes that are packed into one row.
-STRIP_BYTES, STRIPS, PACKED, PACKED_BYTES = 32 << 20, 8, 1024, 1 << 20
+STRIP_BYTES, STRIPS, PACKED, PACKED_BYTES = 32 << 20, 16, 1024, 1 << 20
 #: Bytes that a round of cells may shuffle, if all strips together have less.
 ROUND_BYTES = 128 << 20
-#: Edges that a task holds before it joins them.
-EDGES = 1 << 20
+#: Edges that a task holds before it joins them; rows of counts and edges that rounds may leave before they are summed, if there are fewer vectors.
+EDGES, LINKS = 1 << 20, 1 << 20
 _SLACK = 1e-6
 
 
@@ -82,22 +83,24 @@ def fit_tree(sample: np.ndarray, rows: int, block: int = BLOCK, fanout: int = FA
     return nodes
 
 
-def descend(nodes: list[Node], vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
-    """Leaf of every vector, its angle to the leaf's centre, and the largest angle to the centre of each node on the way."""
-    leaf, turn, far = np.zeros(len(vectors), np.int64), np.zeros(len(vectors)), {}
-    todo = [(nodes[0], np.arange(len(vectors)))]
-    while todo:
-        node, rows = todo.pop()
-        if not len(rows):
-            continue
-        angle = _angle(vectors[rows], node.center[None])[:, 0]
-        far[node.index] = float(angle.max())
-        if not node.children:
-            leaf[rows], turn[rows] = node.index, angle
-            continue
-        near = _distance(vectors[rows], np.stack([c.center for c in node.children])).argmin(axis=1)
-        todo += [(child, rows[near == k]) for k, child in enumerate(node.children)]
-    return leaf, turn, far
+def nearest_leaf(nodes: list[Node]):
+    """A function that gives the leaf of every vector. Nothing hangs on ties, which sums of another order may settle otherwise."""
+    leaves = np.array([n.index for n in nodes if not n.children])
+    centers = np.stack([nodes[k].center for k in leaves]).astype(np.float32)
+    return lambda vectors: leaves[(vectors.astype(np.float32) @ centers.T).argmax(axis=1)]
+
+
+def cover(nodes: list[Node], radius: dict[int, float]) -> set[int]:
+    """Sets the covering angles of all nodes by those of the filled leaves; the nodes with vectors below them."""
+    filled, above = set(radius), {c.index: n.index for n in nodes for c in n.children}
+    for leaf, d in radius.items():
+        at = nodes[leaf]
+        at.radius = max(at.radius, d)
+        while at.index in above:
+            at = nodes[above[at.index]]
+            at.radius = max(at.radius, float(_angle(at.center, nodes[leaf].center)) + d)
+            filled.add(at.index)
+    return filled
 
 
 def leaf_pairs(nodes: list[Node], filled: set[int], reach: float) -> tuple[np.ndarray, np.ndarray]:
@@ -133,49 +136,50 @@ def leaf_pairs(nodes: list[Node], filled: set[int], reach: float) -> tuple[np.nd
     return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
 
 
-@dataclass
-class Layout:
-    """Where the rows of each leaf lie: leaf after leaf, in strips of ``size`` rows."""
-    size: int
-    start: dict[int, int]
-    count: dict[int, int]
-
-    @property
-    def strips(self) -> int:
-        return max(1, -(-sum(self.count.values()) // self.size))
-
-    def slots(self) -> list[tuple[int, int, int]]:
-        """(leaf, strip, rows) for each strip that a leaf reaches into; a large leaf is dealt out over several."""
-        return [(leaf, s, min(self.start[leaf] + n, (s + 1) * self.size) - max(self.start[leaf], s * self.size))
-                for leaf, n in self.count.items() for s in range(self.start[leaf] // self.size, (self.start[leaf] + n - 1) // self.size + 1)]
-
-
-def lay_out(nodes: list[Node], count: dict[int, int], size: int) -> Layout:
-    """Leaves in the order of the tree, so that near ones share a strip."""
-    start, at, todo = {}, 0, [nodes[0]]
+def lay_out(nodes: list[Node], count: dict[int, int]) -> np.ndarray:
+    """The number of rows before each leaf: leaves in the order of the tree, so that near ones share a strip."""
+    start, at, todo = np.zeros(len(nodes), np.int64), 0, [nodes[0]]
     while todo:
         node = todo.pop()
         todo += node.children[::-1]
-        if node.index in count:
-            start[node.index], at = at, at + count[node.index]
-    return Layout(size, start, count)
+        if not node.children:
+            start[node.index], at = at, at + count.get(node.index, 0)
+    return start
 
 
-def rounds(layout: Layout, pairs: tuple[np.ndarray, np.ndarray], row_bytes: int, budget: int) -> Iterator[list[tuple[int, int, int]]]:
+def cut(units: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of at most ``most`` near rows: the axis, the rows, and their angles to the axis."""
+    todo = [np.arange(len(units))]
+    while todo:
+        rows = todo.pop()
+        own = units[rows]
+        middle = own.mean(axis=0)
+        if len(rows) > 2 * most:  # in halves along the line between two far ones
+            one = own[(own @ middle).argmin()]
+            along = own @ (one - own[(own @ one).argmin()])
+            order = np.argpartition(along, len(rows) // 2)
+            todo += [rows[order[:len(rows) // 2]], rows[order[len(rows) // 2:]]]
+            continue
+        size = np.linalg.norm(middle)
+        axis = middle / size if size > 1e-6 else own[0]
+        angle = _angle(own, axis)
+        for piece in np.array_split(angle.argsort(), -(-len(rows) // most)):
+            yield axis, rows[piece], angle[piece]
+
+
+def rounds(slots: list[tuple[int, int, int]], pairs: tuple[np.ndarray, np.ndarray], row_bytes: int, budget: int) -> Iterator[list[tuple[int, int, int]]]:
     """(strip, leaf, cell) of the rows that meet in cells, in rounds of at most ``budget`` bytes or one cell.
 
-    A cell of strips i <= j has the number i * strips + j and gets the leaves of either that
-    have a partner in the other.
+    ``slots`` are (leaf, strip, rows), in the order of the leaves: a large leaf reaches into
+    several strips. A cell of strips i <= j has the number i * strips + j and gets the leaves of
+    either that have a partner in the other.
     """
-    slots, strips = layout.slots(), layout.strips
     own = np.array([s for _, s, _ in slots])
-    of: dict[int, list[int]] = {}
-    for k, (leaf, _, _) in enumerate(slots):
-        of.setdefault(leaf, []).append(k)
-    first = np.zeros(max(of) + 1, np.int64)
-    many = np.zeros(max(of) + 1, np.int64)
-    for leaf, ks in of.items():
-        first[leaf], many[leaf] = ks[0], len(ks)
+    strips = int(own.max()) + 1
+    leaves, first, many = np.unique([leaf for leaf, _, _ in slots], return_index=True, return_counts=True)
+    at = np.zeros(int(leaves.max()) + 1, np.int64)
+    at[leaves] = np.arange(len(leaves))
+    first, many = first[at], many[at]
     meets = np.zeros((len(slots), strips), bool)
     for p in range(0, len(pairs[0]), 1 << 16):
         a, b = (x[p:p + (1 << 16)] for x in pairs)
@@ -188,7 +192,7 @@ def rounds(layout: Layout, pairs: tuple[np.ndarray, np.ndarray], row_bytes: int,
     cells: dict[tuple[int, int], list[int]] = {}
     for k, s in zip(*(x.tolist() for x in np.nonzero(meets))):
         cells.setdefault((min(int(own[k]), s), max(int(own[k]), s)), []).append(k)
-    side = max(1, int((budget / (2 * layout.size * row_bytes)) ** 0.5))  # squares of cells: a round reads few strips
+    side = max(1, int((budget * strips / (2 * sum(n for _, _, n in slots) * row_bytes)) ** 0.5))  # squares of cells: a round reads few strips
     held, out = 0, []
     for i, j in sorted(cells, key=lambda c: (c[0] // side, c[1] // side, c)):
         more = sum(slots[k][2] for k in cells[i, j]) * row_bytes
@@ -233,16 +237,14 @@ def _joined(child: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 class _Side:
     """The vectors of a strip that stand in a cell, block by block."""
 
-    def __init__(self, rows: list[dict], axes: np.ndarray, item: str):
-        rows = sorted(rows, key=lambda r: (r["leaf"], r["lo"], r["hi"]))
+    def __init__(self, rows: list[dict], item: str):
         self.raw = [np.frombuffer(r["v"], item).reshape(r["n"], -1) for r in rows]
         self.ids = np.concatenate([np.frombuffer(r["ids"], "<i8") for r in rows])
         self.many = np.concatenate([np.frombuffer(r["ms"], "<i8") for r in rows])
         self.cuts = np.cumsum([0] + [r["n"] for r in rows])
         self.lo, self.hi = np.array([r["lo"] for r in rows]), np.array([r["hi"] for r in rows])
-        leaves, self.leaf = np.unique([r["leaf"] for r in rows], return_inverse=True)
-        self.axes = axes[leaves]
-        self.short = np.empty((len(self.ids), axes.shape[1]), np.float32)
+        self.axes = np.stack([np.frombuffer(r["axis"], "<f8") for r in rows])
+        self.short = np.empty((len(self.ids), self.axes.shape[1]), np.float32)
         for k, x in enumerate(self.raw):
             self.short[self.cuts[k]:self.cuts[k + 1]] = unit(x.astype(np.float64))
         self.n = np.zeros(len(self.ids), np.int64)
@@ -251,34 +253,32 @@ class _Side:
         return unit(self.raw[block][rows].astype(np.float64))
 
 
-def _compare(axes: np.ndarray, cosine: float, reach: float, strips: int, item: str):
+def _compare(width: int, cosine: float, reach: float, strips: int, item: str):
     """Counts and edges of a cell. Products in single precision only leave out what is below the threshold by more than their error."""
-    slack = _SLACK + (axes.shape[1] + 8) * 1.2e-7
+    slack = _SLACK + (width + 8) * 1.2e-7
 
     def run(table_: pa.Table) -> pa.Table:
         i, j = divmod(table_.column("cell")[0].as_py(), strips)
-        rows = table_.select(["strip", "leaf", "lo", "hi", "n", "ids", "ms", "v"]).to_pylist()
+        rows = table_.drop_columns(["cell"]).to_pylist()
         del table_
-        a = _Side([r for r in rows if r["strip"] == i], axes, item)
-        b = a if i == j else _Side([r for r in rows if r["strip"] == j], axes, item)
-        apart = _angle(a.axes, b.axes)
-        # What may hold a partner of a block: not farther from its centre than its farthest vector and the reach, nor nearer than its nearest one less the reach.
+        a = _Side([r for r in rows if r["strip"] == i], item)
+        b = a if i == j else _Side([r for r in rows if r["strip"] == j], item)
+        # What may hold a partner of a block: not farther from its axis than its farthest vector and the reach, nor nearer than its nearest one less the reach.
         least, most = ([np.where(s.hi + reach < np.pi, np.cos(np.minimum(s.hi + reach, np.pi)), -2) - slack for s in (a, b)],
                        [np.where(s.lo - reach > 0, np.cos(np.maximum(s.lo - reach, 0)), 2) + slack for s in (a, b)])
-        edges, held, seen = [], 0, -1
+        edges, held = [], 0
         for p in range(len(a.raw)):
-            if a.leaf[p] != seen:
-                seen, to_one = a.leaf[p], b.short @ a.axes[a.leaf[p]].astype(np.float32)
             mine = a.short[a.cuts[p]:a.cuts[p + 1]]
-            to_two = mine @ b.axes.astype(np.float32).T
-            near = apart[seen, b.leaf] <= a.hi[p] + b.hi + reach + _SLACK
-            for q in np.flatnonzero(near):
-                if b is a and q < p:
-                    continue
+            near = np.flatnonzero(_angle(b.axes, a.axes[p]) <= a.hi[p] + b.hi + reach + _SLACK)
+            if b is a:
+                near = near[near >= p]
+            if not len(near):
+                continue
+            to_one, to_two = b.short @ a.axes[p].astype(np.float32), mine @ b.axes[near].astype(np.float32).T
+            to_one, to_two = (to_one >= least[0][p]) & (to_one <= most[0][p]), (to_two >= least[1][near]) & (to_two <= most[1][near])
+            for q, some in zip(near.tolist(), to_two.T):
                 itself = b is a and q == p
-                other = to_one[b.cuts[q]:b.cuts[q + 1]]
-                xs = np.flatnonzero((to_two[:, b.leaf[q]] >= least[1][q]) & (to_two[:, b.leaf[q]] <= most[1][q]))
-                ys = np.flatnonzero((other >= least[0][p]) & (other <= most[0][p]))
+                xs, ys = np.flatnonzero(some), np.flatnonzero(to_one[b.cuts[q]:b.cuts[q + 1]])
                 if not len(xs) or not len(ys):
                     continue
                 like = mine[xs] @ b.short[b.cuts[q] + ys].T
@@ -353,13 +353,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     whole = _keyed(rows, item, True).groupBy("key").agg(F.first("d").alias("d"), F.first("v").alias("v"))
     classes = durable(sizes.join(whole, "key").select("id", "m", "d", "v"), "vector-classes")
     discard(named)
-    found = fresh_path(spark, "vector-links")
-    for width in sorted(r.d for r in classes.select("d").distinct().collect()):
-        _links(spark, classes.where(F.col("d") == width), cosine, sample, block, width, item, found)
+    found = [x for width in sorted(r.d for r in classes.select("d").distinct().collect())
+             for x in _links(spark, classes.where(F.col("d") == width), cosine, sample, block, width, item)]
     discard(classes)
-    links = spark.createDataFrame([], "id long, n long, up long")
-    if not of.isEmpty():
-        links = spark.read.schema(links.schema).parquet(found)
+    links = _all(found) if found else spark.createDataFrame([], "id long, n long, up long")
     linked = links.groupBy("id").agg(F.sum("n").alias("n"))
     # Members of a class hang below its least id; an id with several vectors joins their classes.
     edges = links.where("id <> up").select(F.col("id").alias("a"), F.col("up").alias("b"))
@@ -376,8 +373,21 @@ def _matrix(column: pa.Array, width: int, item: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), item).reshape(len(column), width).astype(np.float64)
 
 
-def _links(spark: SparkSession, classes: DataFrame, cosine: float, sample: int, block: int, width: int, item: str, found: str) -> None:
-    """Adds to the table ``found`` (id, n, up) partial counts of linked vectors, and edges to smaller ids, from each cell."""
+def _all(tables: list[DataFrame]) -> DataFrame:
+    return tables[0].sparkSession.read.schema(tables[0].schema).parquet(*(x.stored_in for x in tables))
+
+
+def _summed(links: DataFrame) -> DataFrame:
+    """The same counts and components in fewer rows: one count and one edge for each id, and what its other edges say of their ends."""
+    edges = links.where("id <> up").select("id", "up")
+    least = edges.groupBy("id").agg(F.min("up").alias("top"))
+    ends = edges.join(least, "id").where("up <> top").select("up", "top").distinct()
+    return (links.groupBy("id").agg(F.sum("n").alias("n")).where("n > 0").select("id", "n", F.col("id").alias("up"))
+            .union(least.select("id", F.lit(0).cast("long"), "top")).union(ends.select("up", F.lit(0).cast("long"), "top")))
+
+
+def _links(spark: SparkSession, classes: DataFrame, cosine: float, sample: int, block: int, width: int, item: str) -> list[DataFrame]:
+    """Tables (id, n, up) with partial counts of linked vectors, and edges to smaller ids, from each cell."""
     rows, row_bytes = classes.count(), width * np.dtype(item).itemsize
     first = F.xxhash64("id")
     # About four times as many as needed by their hash, so that few vectors are sorted.
@@ -385,90 +395,84 @@ def _links(spark: SparkSession, classes: DataFrame, cosine: float, sample: int,
     with freed_shuffles(spark):
         few = some.orderBy(first, "id").select("v").limit(sample).collect() or classes.select("v").limit(sample).collect()
     nodes = fit_tree(unit(np.array([np.frombuffer(r.v, item) for r in few], np.float64)), rows, block)
-    reach = float(np.arccos(np.clip(cosine, -1.0, 1.0)))
+    reach, leaf_of = float(np.arccos(np.clip(cosine, -1.0, 1.0))), nearest_leaf(nodes)
 
     def survey(batches):
-        far, count = {}, {}
+        count = np.zeros(len(nodes), np.int64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            leaf, _, most = descend(nodes, unit(_matrix(batch.column("v"), width, item)))
-            for node, d in most.items():
-                far[node] = max(far.get(node, 0.0), d)
-            for node, n in zip(*(x.tolist() for x in np.unique(leaf, return_counts=True))):
-                count[node] = count.get(node, 0) + n
-        yield pa.RecordBatch.from_arrays([pa.array(list(far), pa.int64()), pa.array(list(far.values()), pa.float64()),
-                                          pa.array([count.get(k, 0) for k in far], pa.int64())], ["node", "d", "n"])
-
-    # The list is bounded by the number of nodes, which the sample bounds.
+            if batch.num_rows:
+                count += np.bincount(leaf_of(unit(_matrix(batch.column("v"), width, item))), minlength=len(nodes))
+        some = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(count[some])], ["leaf", "n"])
+
+    # Both lists are bounded by the number of nodes, which the sample bounds, and of strips.
     with freed_shuffles(spark):
-        seen = (classes.select("v").mapInArrow(released(survey), "node long, d double, n long")
-                .groupBy("node").agg(F.max("d").alias("d"), F.sum("n").alias("n")).collect())
-    for r in seen:
-        nodes[r.node].radius = r.d
-    layout = lay_out(nodes, {r.node: r.n for r in seen if r.n}, min(max(1, STRIP_BYTES // row_bytes), max(block, -(-rows // STRIPS))))
+        count = {r.leaf: r.n for r in classes.select("v").mapInArrow(released(survey), "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).collect()}
+    start, size = lay_out(nodes, count), min(max(1, STRIP_BYTES // row_bytes), max(block, -(-rows // STRIPS)))
+    share_of, most = np.array([count.get(k, 0) for k in range(len(nodes))]), max(1, min(PACKED, block, PACKED_BYTES // row_bytes))
+    center = {n.index: n.center for n in nodes if not n.children}
 
     def assign(batches):
         for batch in batches:
-            leaf, turn, _ = descend(nodes, unit(_matrix(batch.column("v"), width, item))) if batch.num_rows else (np.zeros(0, np.int64), np.zeros(0), {})
+            leaf = leaf_of(unit(_matrix(batch.column("v"), width, item))) if batch.num_rows else np.zeros(0, np.int64)
             share = (batch.column("h").to_numpy().view(np.uint64) >> np.uint64(11)).astype(np.float64) / (1 << 53)
-            at = np.array([layout.start[k] for k in leaf.tolist()]), np.array([layout.count[k] for k in leaf.tolist()])
-            strip = (at[0] + np.minimum((share * at[1]).astype(np.int64), at[1] - 1)) // layout.size
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(strip.astype(np.int32), pa.int32()), pa.array(leaf), pa.array(turn), batch.column("id"), batch.column("m"), batch.column("v")],
-                ["strip", "leaf", "turn", "id", "m", "v"])
+            strip = np.minimum(start[leaf] + (share * share_of[leaf]).astype(np.int64), rows - 1) // size
+            yield pa.RecordBatch.from_arrays([pa.array(strip, pa.int32()), pa.array(leaf), batch.column("id"), batch.column("m"), batch.column("v")],
+                                             ["strip", "leaf", "id", "m", "v"])
 
     def pack(batches):
-        held, parts, n, most = None, [], 0, max(1, min(PACKED, PACKED_BYTES // row_bytes))
+        held, parts = None, []
 
         def packed():
-            turn, ids, many, v = (np.concatenate([x[k] for x in parts]) for k in range(4))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([held[0]], pa.int32()), pa.array([held[1]], pa.int64()), pa.array([turn.min()]), pa.array([turn.max()]), pa.array([len(ids)], pa.int32()),
-                 *(pa.array([x.tobytes()], pa.binary()) for x in (ids, many, v))], ["strip", "leaf", "lo", "hi", "n", "ids", "ms", "v"])
+            ids, many, v = (np.concatenate([x[k] for x in parts]) for k in range(3))
+            units = unit(v.astype(np.float64))
+            far = float(_angle(units, center[held[1]]).max())
+            for axis, at, angle in cut(units, most):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([held[0]], pa.int32()), pa.array([held[1]], pa.int64()), pa.array([far]), pa.array([axis.tobytes()], pa.binary()),
+                     pa.array([angle.min()]), pa.array([angle.max()]), pa.array([len(at)], pa.int32()),
+                     *(pa.array([x[at].tobytes()], pa.binary()) for x in (ids, many, v))], ["strip", "leaf", "far", "axis", "lo", "hi", "n", "ids", "ms", "v"])
 
         for batch in batches:
             strip, leaf = batch.column("strip").to_numpy(), batch.column("leaf").to_numpy()
-            columns = [batch.column(c).to_numpy() for c in ("turn", "id", "m")]
+            columns = [batch.column(c).to_numpy() for c in ("id", "m")]
             columns.append(np.frombuffer(b"".join(batch.column("v").to_pylist()), item).reshape(batch.num_rows, width))
-            cuts = np.flatnonzero((np.diff(strip, prepend=-1) != 0) | (np.diff(leaf, prepend=-1) != 0))
-            for start, end in zip(cuts.tolist(), [*cuts[1:].tolist(), batch.num_rows]):
-                if held != (strip[start], leaf[start]) and n:
-                    yield packed()
-                    parts, n = [], 0
-                held = strip[start], leaf[start]
-                while start < end:
-                    stop = min(end, start + most - n)
-                    parts.append([x[start:stop] for x in columns])
-                    n, start = n + stop - start, stop
-                    if n == most:
-                        yield packed()
-                        parts, n = [], 0
-        if n:
-            yield packed()
+            cuts = np.flatnonzero((np.diff(strip, prepend=-1) != 0) | (np.diff(leaf, prepend=-1) != 0)).tolist()
+            for begin, end in zip(cuts, [*cuts[1:], batch.num_rows]):
+                if held != (strip[begin], leaf[begin]) and parts:
+                    yield from packed()
+                    parts = []
+                held = int(strip[begin]), int(leaf[begin])
+                parts.append([x[begin:end] for x in columns])
+        if parts:
+            yield from packed()
 
     blocks = durable(
         classes.select("id", "m", "v", F.xxhash64("id", "v").alias("h"))
-        .mapInArrow(released(assign), "strip int, leaf long, turn double, id long, m long, v binary")
-        .repartition(layout.strips, "strip").sortWithinPartitions("strip", "leaf", "turn")
-        .mapInArrow(released(pack), "strip int, leaf long, lo double, hi double, n int, ids binary, ms binary, v binary"), "vector-strips")
-    compare = _compare(np.stack([n.center for n in nodes]), cosine, reach, layout.strips, item)
-    pairs = leaf_pairs(nodes, _with_parents(nodes, layout.count), reach)
-    for cells in rounds(layout, pairs, row_bytes + 16, max(ROUND_BYTES, rows * (row_bytes + 16))):
+        .mapInArrow(released(assign), "strip int, leaf long, id long, m long, v binary")
+        .repartition(-(-rows // size), "strip").sortWithinPartitions("strip", "leaf")
+        .mapInArrow(released(pack), "strip int, leaf long, far double, axis binary, lo double, hi double, n int, ids binary, ms binary, v binary"), "vector-strips")
+    with freed_shuffles(spark):
+        there = blocks.groupBy("leaf", "strip").agg(F.sum("n").alias("n"), F.max("far").alias("far")).collect()
+    slots = sorted((r.leaf, r.strip, r.n) for r in there)
+    radius: dict[int, float] = {}
+    for r in there:
+        radius[r.leaf] = max(radius.get(r.leaf, 0.0), r.far)
+    compare = _compare(width, cosine, reach, max(s for _, s, _ in slots) + 1, item)
+    found, left, most_left = [], 0, max(LINKS, rows)
+    for cells in rounds(slots, leaf_pairs(nodes, cover(nodes, radius), reach), row_bytes + 16, max(ROUND_BYTES, rows * (row_bytes + 16))):
         lookup = spark.createDataFrame(cells, "strip int, leaf long, cell long")
         met = blocks.where(F.col("strip").isin(sorted({s for s, _, _ in cells}))).join(F.broadcast(lookup), ["strip", "leaf"])
-        with freed_shuffles(spark):
-            met.groupBy("cell").applyInArrow(compare, "id long, n long, up long").write.mode("append").parquet(found)
+        found.append(durable(met.select("cell", "strip", "axis", "lo", "hi", "n", "ids", "ms", "v").groupBy("cell")
+                             .applyInArrow(compare, "id long, n long, up long"), "vector-links"))
+        left += found[-1].count()
+        if left > most_left:  # else they would grow with the cells of a large component
+            summed = durable(_summed(_all(found)), "vector-links")
+            discard(*found)
+            found, left = [summed], summed.count()
+            most_left = max(most_left, 2 * left)
     discard(blocks)
-
-
-def _with_parents(nodes: list[Node], count: dict[int, int]) -> set[int]:
-    filled, above = set(count), {c.index: n.index for n in nodes for c in n.children}
-    for leaf in count:
-        while leaf in above:
-            leaf = above[leaf]
-            filled.add(leaf)
-    return filled
+    return found
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

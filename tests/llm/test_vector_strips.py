@@ -1,5 +1,6 @@
 """Vectors that no tree can prune: every row meets every other one, and the disk holds a round of them at a time."""
 
+import collections
 import os
 import threading
 import time
@@ -27,6 +28,7 @@ def shuffled_bytes(spark, stop, peak):
 
 def test_disk_of_unclustered_vectors(spark, monkeypatch):
     monkeypatch.setattr(cover_tree, "ROUND_BYTES", 1 << 20, raising=False)
+    monkeypatch.setattr(cover_tree, "STRIPS", 6, raising=False)
     rng = np.random.default_rng(4)
     v = rng.normal(size=(4000, 32))
     v[rng.choice(4000, 300, replace=False)] = v[rng.integers(0, 20, 300)] + rng.normal(size=(300, 32)) * 0.2
@@ -50,28 +52,48 @@ def test_disk_of_unclustered_vectors(spark, monkeypatch):
     assert max(peak) - min(peak) < 10 * v.nbytes
 
 
+def test_links_of_large_components(spark, monkeypatch):
+    """Counts and edges of many rounds are summed meanwhile, and nothing gets lost by that."""
+    monkeypatch.setattr(cover_tree, "ROUND_BYTES", 1)
+    monkeypatch.setattr(cover_tree, "LINKS", 1)
+    monkeypatch.setattr(cover_tree, "STRIPS", 4)
+    summed, links = [], cover_tree._summed
+    monkeypatch.setattr(cover_tree, "_summed", lambda found: summed.append(links(found)) or summed[-1])
+    rng = np.random.default_rng(8)
+    v = (rng.normal(size=(3, 6))[rng.integers(0, 3, 300)] + rng.normal(size=(300, 6)) * 0.25).astype(np.float32)
+    v = np.concatenate([v, v[:30]])
+    ids = rng.permutation(330)
+    table = spark.createDataFrame(list(zip(ids.tolist(), v.tolist())), "vec_id long, embedding array<float>")
+    got = {r.vec_id: r for r in cover_tree.near_duplicates(table, block=20).collect()}
+    units = cover_tree.unit(v.astype(np.float64))
+    linked = units @ units.T >= 0.9
+    label = ids
+    for _ in range(330):
+        label = np.where(linked, label[None, :], 330).min(axis=1)
+    assert [got[i].n_links for i in ids.tolist()] == (linked.sum(axis=1) - 1).tolist()
+    assert [got[i].component_id for i in ids.tolist()] == label.tolist() and [got[i].kept for i in ids.tolist()] == (ids == label).tolist()
+    assert summed
+
+
 def test_rounds_hold_each_pair_of_leaves_once():
     rng = np.random.default_rng(5)
     v = cover_tree.unit(rng.normal(size=(3000, 4)))
     nodes = cover_tree.fit_tree(v[:400], 3000, 30)
-    leaf, _, far = cover_tree.descend(nodes, v)
-    for k, d in far.items():
-        nodes[k].radius = d
-    count = dict(zip(*(x.tolist() for x in np.unique(leaf, return_counts=True))))
+    leaf = cover_tree.nearest_leaf(nodes)(v)
+    strip = (np.arange(3000) * 31) // 100 % 31  # every leaf in several strips
+    slots = [(a, b, n) for (a, b), n in sorted(collections.Counter(zip(leaf.tolist(), strip.tolist())).items())]
+    radius = {k: float(np.arccos(np.clip(v[leaf == k] @ nodes[k].center, -1, 1)).max()) for k in set(leaf.tolist())}
     reach = float(np.arccos(0.9))
-    a, b = cover_tree.leaf_pairs(nodes, cover_tree._with_parents(nodes, count), reach)
+    a, b = cover_tree.leaf_pairs(nodes, cover_tree.cover(nodes, radius), reach)
     pairs = set(zip(a.tolist(), b.tolist()))
     assert len(pairs) == len(a)
     left, right = np.nonzero(v @ v.T >= 0.9)
     assert {(min(x, y), max(x, y)) for x, y in zip(leaf[left].tolist(), leaf[right].tolist())} <= pairs
-    assert len(pairs) < len(count) * (len(count) + 1) / 2
-    layout = cover_tree.lay_out(nodes, count, 100)
-    slots, strips = layout.slots(), layout.strips
-    held = {s: sum(n for _, t, n in slots if t == s) for s in range(strips)}
-    assert sum(held.values()) == 3000 and max(held.values()) <= 100
-    found, seen = list(cover_tree.rounds(layout, (a, b), 10, 6000)), set()
+    assert len(pairs) < len(radius) * (len(radius) + 1) / 2
+    found, seen, strips = list(cover_tree.rounds(slots, (a, b), 10, 6000)), set(), 31
+    held = {(s, leaf_): n for leaf_, s, n in slots}
     for cells in found:
-        size = sum(n for s, k, _ in cells for leaf_, t, n in slots if (leaf_, t) == (k, s))
+        size = sum(held[s, leaf_] for s, leaf_, _ in cells)
         assert size * 10 <= 6000 or len({c for _, _, c in cells}) == 1
         assert not seen & {c for _, _, c in cells}
         seen |= {c for _, _, c in cells}
@@ -82,3 +104,13 @@ def test_rounds_hold_each_pair_of_leaves_once():
     need = {(s, x, min(s, t) * strips + max(s, t)) for x, y in zip(a.tolist(), b.tolist()) for s in of[x] for t in of[y]}
     need |= {(t, y, min(s, t) * strips + max(s, t)) for x, y in zip(a.tolist(), b.tolist()) for s in of[x] for t in of[y]}
     assert need == {x for cells in found for x in cells}
+
+
+def test_blocks_of_near_rows():
+    rng = np.random.default_rng(6)
+    v = cover_tree.unit(np.concatenate([rng.normal(size=(500, 6)), np.ones((40, 6)), -np.ones((40, 6))]))
+    found = list(cover_tree.cut(v, 30))
+    assert sorted(np.concatenate([rows for _, rows, _ in found]).tolist()) == list(range(580))
+    for axis, rows, angle in found:
+        assert len(rows) <= 30 and np.allclose(np.cos(angle), v[rows] @ axis)
+    assert [len(x[1]) for x in cover_tree.cut(np.array([[1.0, 0.0], [-1.0, 0.0]]), 4)] == [2]
